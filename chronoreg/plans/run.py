@@ -1,14 +1,17 @@
 """One whole run: parameters -> candidates -> change set -> apply -> change log.
 
 The plan builders are lazy.  A caller that executes several outputs of one run passes
-``stage``: each staging relation is then materialised once (``DataFrame.checkpoint``
-into the session's checkpoint directory) instead of being recomputed by every output
-that reads it, and its lineage is cut so a lost executor never re-reads a table that
-a publish may since have replaced.
+``stage`` (a ``ParquetStage``): each staging relation - candidates, deletes, inserts,
+relinks - is then written once to the session's checkpoint folder and read back,
+instead of being recomputed by every output that reads it.  That also cuts the
+lineage, so a lost executor never re-reads a table a publish may since have replaced,
+and keeps every later plan small.
 """
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -16,15 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chronoreg.model import DWELLINGS, RunParams, Spec
 from chronoreg.operators.apply import Applied, apply_changes
-from chronoreg.operators.diff import Changes, detect
+from chronoreg.operators.diff import Changes, changed_keys, classify, find_relinks
 from chronoreg.operators.report import changelog
 from chronoreg.operators.select import ScenarioSet, candidates, resolve_batch, resolve_scenarios
 from chronoreg.sources.tables import State
 
-Stage = Callable[[DataFrame], DataFrame]
+Stage = Callable[[DataFrame, str], DataFrame]
 
 
-def _identity(df: DataFrame) -> DataFrame:
+def _identity(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
@@ -37,14 +40,44 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return current or None
 
 
-def checkpoint_stage(spark: SparkSession) -> Stage:
-    """Reliable checkpoint into ``spark.checkpoint.dir`` (never a local checkpoint)."""
+_LOCAL_DIRS: dict[str, str] = {}
+
+
+def staging_root(spark: SparkSession) -> str:
+    """Where staged relations go: the session's checkpoint folder.
+
+    Only a local-mode session without one (tests, single-machine checks) gets a private
+    scratch folder; on a cluster the folder must be named by ``spark.checkpoint.dir``.
+    """
     folder = checkpoint_dir(spark)
-    if not folder:
+    if folder:
+        return folder.rstrip("/")
+    sc = spark.sparkContext
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before staging a run")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return lambda df: df.checkpoint(eager=True)
+    app = sc.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="chronoreg-stage-")
+        sc.setCheckpointDir(_LOCAL_DIRS[app])
+    return _LOCAL_DIRS[app]
+
+
+class ParquetStage:
+    """Materialise a staging relation once as Parquet under the staging root.
+
+    Each run writes to its own folder, so a retried task or a lost executor only
+    re-reads finished files, and later plans start from a small leaf with real
+    statistics (AQE sizes joins from them) instead of the whole upstream plan.
+    """
+
+    def __init__(self, spark: SparkSession, root: str | None = None) -> None:
+        self.spark = spark
+        self.folder = f"{root or staging_root(spark)}/run-{uuid.uuid4().hex}"
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.parquet(path)
 
 
 @dataclass(frozen=True)
@@ -58,7 +91,7 @@ def select(interim: DataFrame, params: RunParams, spec: Spec = DWELLINGS,
            stage: Stage = _identity) -> Selection:
     scen = resolve_scenarios(interim, params, spec)
     batch = resolve_batch(interim, scen, params, spec)
-    return Selection(scen, batch, stage(candidates(interim, scen, batch, params, spec)))
+    return Selection(scen, batch, stage(candidates(interim, scen, batch, params, spec), "candidates"))
 
 
 @dataclass(frozen=True)
@@ -76,9 +109,10 @@ class RunResult:
 def run(interim: DataFrame, state: State, params: RunParams, spec: Spec = DWELLINGS,
         stage: Stage = _identity) -> RunResult:
     sel = select(interim, params, spec, stage)
-    raw = detect(state.register, state.building_link, state.part_link, sel.candidates,
-                 sel.scenarios, params, spec)
-    changes = Changes(candidates=sel.candidates, deletes=stage(raw.deletes),
-                      inserts=stage(raw.inserts), relinks=stage(raw.relinks))
+    deletes, inserts = classify(state.register, sel.candidates, sel.scenarios, params, spec)
+    deletes, inserts = stage(deletes, "deletes"), stage(inserts, "inserts")
+    relinks = stage(find_relinks(sel.candidates, state.building_link, state.part_link,
+                                 changed_keys(deletes, inserts, spec), spec), "relinks")
+    changes = Changes(candidates=sel.candidates, deletes=deletes, inserts=inserts, relinks=relinks)
     applied = apply_changes(state, changes, params, spec)
     return RunResult(sel, changes, applied, changelog(changes, applied.state, params, spec))

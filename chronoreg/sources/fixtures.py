@@ -112,7 +112,7 @@ def derived_inputs(spark: SparkSession, sf_dir: str, spec: Spec = DWELLINGS) ->
     )
     temporal = [EFF_START, EFF_END, SYS_CREATE, SYS_END, DELETED]
     register = registered.select(k.alias(spec.entity), spec.scenario, *temporal)
-    part_cases = m.isin(7, 9, 17)
+    part_cases = m.isin(1, 7, 9, 17)
     building_link = registered.filter(~part_cases).select(
         k.alias(spec.entity), F.when(m == 11, F.lit(0).cast("long")).otherwise(c).alias(spec.parent),
         *temporal)
