@@ -152,42 +152,54 @@ def split_open(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     return table.filter(open_), table.filter(~open_)
 
 
+@dataclass(frozen=True)
+class TableUpdate:
+    """One table after a run, in the three parts a store needs.
+
+    ``kept``: closed rows, passed through untouched (``None`` when the whole table was
+    a target); ``updated``: the targets after closing, with ``_touched``/``_by``;
+    ``inserted``: the opening rows.
+    """
+
+    kept: DataFrame | None
+    updated: DataFrame
+    inserted: DataFrame
+
+    @property
+    def rewritten(self) -> DataFrame:
+        """Rows a versioned store writes for this run (targets and new rows)."""
+        return self.updated.drop(TOUCHED, BY).unionByName(self.inserted)
+
+    @property
+    def after(self) -> DataFrame:
+        """The whole table after the run."""
+        return self.rewritten if self.kept is None else self.kept.unionByName(self.rewritten)
+
+
 def close_register(register: DataFrame, deletes: DataFrame, params: RunParams | None = None,
-                   spec: Spec = DWELLINGS) -> DataFrame:
+                   spec: Spec = DWELLINGS) -> tuple[DataFrame | None, DataFrame]:
     """A1: close the register rows matched by (entity, system create, start).
 
     Only open rows are targets unless ``params.close_history`` asks for the original's
     behaviour of also rewriting closed rows with the same identity.
+    Returns (kept closed rows, updated targets).
     """
     keys = [spec.entity, SYS_CREATE, EFF_START]
     requests = register_close_requests(deletes, spec)
     if params is not None and params.close_history:
-        return update_from(register, requests, list(zip(keys, keys)))
+        return None, update_from(register, requests, list(zip(keys, keys)))
     open_, closed = split_open(register)
-    updated = update_from(open_, requests, list(zip(keys, keys)))
-    return updated.unionByName(closed.withColumn(TOUCHED, F.lit(False))
-                               .withColumn(BY, F.lit(None).cast("string")))
+    return closed, update_from(open_, requests, list(zip(keys, keys)))
 
 
 def close_links(link_table: DataFrame, deletes: DataFrame, relinks: DataFrame, link: str,
-                parent_side: bool, spec: Spec = DWELLINGS) -> DataFrame:
+                parent_side: bool, spec: Spec = DWELLINGS) -> tuple[DataFrame, DataFrame]:
     """A2+A4 or A3+A5 on one link table; only open link rows are targets."""
     open_, closed = split_open(link_table)
     requests = link_close_requests(deletes, relinks, link, parent_side, spec)
     updated = update_from(open_, requests, [(spec.entity, spec.entity), (EFF_START, EFF_START)],
                           when=_link_predicate(link))
-    return updated.unionByName(closed.withColumn(TOUCHED, F.lit(False))
-                               .withColumn(BY, F.lit(None).cast("string")))
-
-
-@dataclass(frozen=True)
-class Applied:
-    """State after a run, and each table's rows with ``_touched``/``_by`` after closing."""
-
-    state: State
-    register_closed: DataFrame
-    building_closed: DataFrame
-    part_closed: DataFrame
+    return closed, updated
 
 
 def new_register_rows(inserts: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
@@ -209,17 +221,29 @@ def new_part_rows(inserts: DataFrame, relinks: DataFrame, spec: Spec = DWELLINGS
     return inserts.filter(has_part).select(*cols).unionByName(relinks.filter(has_part).select(*cols))
 
 
+@dataclass(frozen=True)
+class Applied:
+    """The three tables after a run."""
+
+    register: TableUpdate
+    building_link: TableUpdate
+    part_link: TableUpdate
+
+    @property
+    def state(self) -> State:
+        return State(self.register.after, self.building_link.after, self.part_link.after)
+
+
 def apply_changes(state: State, changes: Changes, params: RunParams | None = None,
                   spec: Spec = DWELLINGS) -> Applied:
     """All closings, then all openings, as three independent table plans."""
-    reg = close_register(state.register, changes.deletes, params, spec)
-    bld = close_links(state.building_link, changes.deletes, changes.relinks, spec.parent, True, spec)
-    prt = close_links(state.part_link, changes.deletes, changes.relinks, spec.sub_parent, False, spec)
-    new_state = State(
-        register=reg.drop(TOUCHED, BY).unionByName(new_register_rows(changes.inserts, spec)),
-        building_link=bld.drop(TOUCHED, BY).unionByName(
-            new_building_rows(changes.inserts, changes.relinks, spec)),
-        part_link=prt.drop(TOUCHED, BY).unionByName(
-            new_part_rows(changes.inserts, changes.relinks, spec)),
+    reg_kept, reg = close_register(state.register, changes.deletes, params, spec)
+    bld_kept, bld = close_links(state.building_link, changes.deletes, changes.relinks, spec.parent,
+                                True, spec)
+    prt_kept, prt = close_links(state.part_link, changes.deletes, changes.relinks, spec.sub_parent,
+                                False, spec)
+    return Applied(
+        register=TableUpdate(reg_kept, reg, new_register_rows(changes.inserts, spec)),
+        building_link=TableUpdate(bld_kept, bld, new_building_rows(changes.inserts, changes.relinks, spec)),
+        part_link=TableUpdate(prt_kept, prt, new_part_rows(changes.inserts, changes.relinks, spec)),
     )
-    return Applied(state=new_state, register_closed=reg, building_closed=bld, part_closed=prt)

@@ -102,13 +102,21 @@ def _contribution(df: DataFrame, **values: Column) -> DataFrame:
     return df.select(*cols)
 
 
-def changelog(changes: Changes, after: State, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
+_LAZY = object()
+
+
+def changelog(changes: Changes, after: State, params: RunParams, spec: Spec = DWELLINGS,
+              retired_at=_LAZY) -> DataFrame:
     """L1-L3: one change-log row per table, from one global aggregate.
 
     register: added = INSERT, modified = UPDATE, retired = DELETE, total = open rows after.
     link tables: added / modified split by whether the row has a part, modified also
     counts the relinks, retired = rows of the table (any age) whose system end equals
     the retired end date, total = open rows after.
+
+    ``retired_at`` is that date when the caller already resolved it (a staged run): the
+    history scan then carries a literal filter the Parquet reader prunes row groups
+    with.  Otherwise it comes from a broadcast one-row aggregate, and the plan stays lazy.
     """
     ins, dels, rel = changes.inserts, changes.deletes, changes.relinks
     is_ins = (F.col(CHANGE) == CHANGE_INSERT).cast("int")
@@ -117,7 +125,12 @@ def changelog(changes: Changes, after: State, params: RunParams, spec: Spec = DW
     b_ins, p_ins = F.when(no_part, is_ins).otherwise(0), F.when(no_part, 0).otherwise(is_ins)
     b_upd, p_upd = F.when(no_part, is_upd).otherwise(0), F.when(no_part, 0).otherwise(is_upd)
     one = F.lit(1)
-    end = F.broadcast(retired_end(dels))
+
+    def retired(table: DataFrame) -> DataFrame:
+        if retired_at is _LAZY:
+            end = F.broadcast(retired_end(dels))
+            return table.select(SYS_END).join(end, F.col(SYS_END) == F.col("_retired_end"), "left_semi")
+        return table.filter(F.col(SYS_END) == ts(retired_at))
     pieces = [
         _contribution(ins, r_added=is_ins, r_modified=is_upd, b_added=b_ins, b_modified=b_upd,
                       p_added=p_ins, p_modified=p_upd),
@@ -126,10 +139,8 @@ def changelog(changes: Changes, after: State, params: RunParams, spec: Spec = DW
         _contribution(after.register.filter(is_open(SYS_END)), r_total=one),
         _contribution(after.building_link.filter(is_open(SYS_END)), b_total=one),
         _contribution(after.part_link.filter(is_open(SYS_END)), p_total=one),
-        _contribution(after.building_link.select(SYS_END).join(
-            end, F.col(SYS_END) == F.col("_retired_end"), "left_semi"), b_retired=one),
-        _contribution(after.part_link.select(SYS_END).join(
-            end, F.col(SYS_END) == F.col("_retired_end"), "left_semi"), p_retired=one),
+        _contribution(retired(after.building_link), b_retired=one),
+        _contribution(retired(after.part_link), p_retired=one),
     ]
     allc = pieces[0]
     for p in pieces[1:]:

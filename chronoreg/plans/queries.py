@@ -136,11 +136,11 @@ QUERIES: dict[str, Query] = {
         diff.changed_keys(r.changes.deletes, r.changes.inserts, SPEC), SPEC))(*_run(s, d)),
     "relinks_all": lambda s, d: _run(s, d)[1].changes.relinks,
     # A1-A5
-    "register_closed": lambda s, d: _touched(_run(s, d)[1].applied.register_closed),
-    "building_closed_by_change": lambda s, d: _touched(_run(s, d)[1].applied.building_closed, BY_CHANGE),
-    "part_closed_by_change": lambda s, d: _touched(_run(s, d)[1].applied.part_closed, BY_CHANGE),
-    "building_closed_by_relink": lambda s, d: _touched(_run(s, d)[1].applied.building_closed, BY_RELINK),
-    "part_closed_by_relink": lambda s, d: _touched(_run(s, d)[1].applied.part_closed, BY_RELINK),
+    "register_closed": lambda s, d: _touched(_run(s, d)[1].applied.register.updated),
+    "building_closed_by_change": lambda s, d: _touched(_run(s, d)[1].applied.building_link.updated, BY_CHANGE),
+    "part_closed_by_change": lambda s, d: _touched(_run(s, d)[1].applied.part_link.updated, BY_CHANGE),
+    "building_closed_by_relink": lambda s, d: _touched(_run(s, d)[1].applied.building_link.updated, BY_RELINK),
+    "part_closed_by_relink": lambda s, d: _touched(_run(s, d)[1].applied.part_link.updated, BY_RELINK),
     # A6-A11
     "register_after": lambda s, d: _run(s, d)[1].state.register,
     "building_after": lambda s, d: _run(s, d)[1].state.building_link,

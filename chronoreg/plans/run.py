@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chronoreg.model import DWELLINGS, RunParams, Spec
 from chronoreg.operators.apply import Applied, apply_changes
 from chronoreg.operators.diff import Changes, changed_keys, classify, find_relinks
-from chronoreg.operators.report import changelog
+from chronoreg.operators.report import changelog, retired_end
 from chronoreg.operators.select import ScenarioSet, candidates, resolve_batch, resolve_scenarios
 from chronoreg.sources.tables import State
 
@@ -100,6 +100,7 @@ class RunResult:
     changes: Changes
     applied: Applied
     changelog: DataFrame
+    params: RunParams
 
     @property
     def state(self) -> State:
@@ -115,4 +116,10 @@ def run(interim: DataFrame, state: State, params: RunParams, spec: Spec = DWELLI
                                  changed_keys(deletes, inserts, spec), spec), "relinks")
     changes = Changes(candidates=sel.candidates, deletes=deletes, inserts=inserts, relinks=relinks)
     applied = apply_changes(state, changes, params, spec)
-    return RunResult(sel, changes, applied, changelog(changes, applied.state, params, spec))
+    if stage is _identity:
+        log = changelog(changes, applied.state, params, spec)
+    else:
+        # one bounded scalar from the staged deletes; lets the history scan prune row groups
+        log = changelog(changes, applied.state, params, spec,
+                        retired_at=retired_end(deletes).first()["_retired_end"])
+    return RunResult(sel, changes, applied, log, params)
