@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoreg.functions import second_before, ts
@@ -128,36 +128,83 @@ def classify(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet, para
     return deletes, inserts
 
 
-def classify_one_pass(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
-                      params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
-    """D1 + D2 + D3 from a single full outer join of open register and candidates.
+def _has_keys(keys: list[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
 
-    One shuffle per side.  Presence is tested on a non-NULL marker column per side,
-    since NULL keys never match and stay unmatched on both sides.  Output: one row per
-    classified change with the key, both scenarios and the change kind.
+def classify_pairs(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
+                   params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
+    """D1 + D2 + D3 in one pass: a full outer join of the open register and the candidates.
+
+    One shuffle per side and one sort-merge join, instead of two anti joins and an inner
+    join over the same inputs.  Presence is tested on a non-NULL marker per side.
+    Rows with a NULL key component can never match, so they skip the join (and its
+    shuffle) altogether: they cannot pile up in one partition.
+
+    Result: one row per classified change - the whole candidate row (NULL for a
+    DELETE), the register row's key, scenario, effective end and system create
+    (``reg_*``, NULL for an INSERT), and ``change``.
     """
     keys = list(spec.keys)
+    reg_cols = [*keys, spec.scenario, EFF_END, SYS_CREATE]
     reg = scenarios.flag(open_rows(register), spec.scenario, "_listed").select(
-        *[F.col(k).alias(REG_PREFIX + k) for k in keys],
-        F.col(spec.scenario).alias(REG_PREFIX + spec.scenario),
-        F.col(EFF_END).alias(REG_PREFIX + EFF_END),
-        "_listed",
-        F.lit(True).alias("_in_reg"))
-    cand = cands.select(*keys, spec.scenario, EFF_END, F.lit(True).alias("_in_cand"))
-    cond = [cand[k] == reg[REG_PREFIX + k] for k in keys]
-    both = cand.join(reg, cond, "full_outer")
+        *[F.col(c).alias(REG_PREFIX + c) for c in reg_cols], "_listed", F.lit(True).alias("_in_reg"))
+    cand = cands.select(*spec.candidate_columns, F.lit(True).alias("_in_cand"))
+    reg_keys = [REG_PREFIX + k for k in keys]
+    keyed_reg, loose_reg = reg.filter(_has_keys(reg_keys)), reg.filter(~_has_keys(reg_keys))
+    keyed_cand, loose_cand = cand.filter(_has_keys(keys)), cand.filter(~_has_keys(keys))
+    cond = [keyed_cand[k] == keyed_reg[REG_PREFIX + k] for k in keys]
+    both = (keyed_cand.join(keyed_reg, cond, "full_outer")
+            .unionByName(loose_cand, allowMissingColumns=True)
+            .unionByName(loose_reg, allowMissingColumns=True))
     in_reg, in_cand = F.col("_in_reg").isNotNull(), F.col("_in_cand").isNotNull()
+    listed = F.coalesce(F.col("_listed"), F.lit(False))
     changed = ((F.col(REG_PREFIX + EFF_END) != F.col(EFF_END))
                | (F.col(REG_PREFIX + spec.scenario) != F.col(spec.scenario)))
-    kind = (F.when(in_reg & ~in_cand & F.col("_listed"), F.lit(CHANGE_DELETE))
+    kind = (F.when(in_reg & ~in_cand & listed, F.lit(CHANGE_DELETE))
             .when(in_cand & ~in_reg, F.lit(CHANGE_INSERT))
-            .when(in_reg & in_cand & F.col("_listed") & changed, F.lit(CHANGE_UPDATE)))
-    return both.select(
+            .when(in_reg & in_cand & listed & changed, F.lit(CHANGE_UPDATE)))
+    return (both.withColumn(CHANGE, kind).filter(F.col(CHANGE).isNotNull())
+            .select(*spec.candidate_columns, *[REG_PREFIX + c for c in reg_cols], CHANGE))
+
+
+def closing_rows(classified: DataFrame, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
+    """D1 + D4 from classified pairs: the staged closing side (``#dwell_deletes``)."""
+    is_delete = F.col(CHANGE) == CHANGE_DELETE
+    return classified.filter(F.col(CHANGE).isin(CHANGE_DELETE, CHANGE_UPDATE)).select(
+        F.col(REG_PREFIX + spec.entity).alias(spec.entity),
+        F.when(is_delete, F.lit(DELETE_BUILDING_ID).cast("long")).otherwise(F.col(spec.parent))
+        .alias(spec.parent),
+        F.when(is_delete, F.lit(DELETE_PART_ID))
+        .otherwise(F.coalesce(F.col(spec.sub_parent), F.lit(UPDATE_PART_DEFAULT))).alias(spec.sub_parent),
+        F.col(REG_PREFIX + spec.scenario).alias(spec.scenario),
+        F.col(REG_PREFIX + EFF_START).alias(EFF_START),
+        F.col(REG_PREFIX + EFF_END).alias(EFF_END),
+        F.col(REG_PREFIX + SYS_CREATE).alias(SYS_CREATE),
+        F.when(is_delete, ts(params.run_ts)).otherwise(second_before(SYS_CREATE)).alias(SYS_END),
+        F.when(is_delete, F.lit(FLAG_DELETED)).otherwise(F.lit(FLAG_LIVE)).alias(DELETED),
+        CHANGE)
+
+
+def opening_rows(classified: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
+    """D2 + D5 from classified pairs: the staged opening side (``#dwell_inserts``)."""
+    return classified.filter(F.col(CHANGE).isin(CHANGE_INSERT, CHANGE_UPDATE)).select(
+        *spec.candidate_columns, CHANGE)
+
+
+def classify_one_pass(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
+                      params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
+    """The one-pass classification, reduced to key, both scenarios and change kind."""
+    pairs = classify_pairs(register, cands, scenarios, params, spec)
+    return pairs.select(
         F.coalesce(F.col(spec.entity), F.col(REG_PREFIX + spec.entity)).alias(spec.entity),
         F.coalesce(F.col(EFF_START), F.col(REG_PREFIX + EFF_START)).alias(EFF_START),
         F.col(REG_PREFIX + spec.scenario),
         F.col(spec.scenario).alias("cand_" + spec.scenario),
-        kind.alias(CHANGE)).filter(F.col(CHANGE).isNotNull())
+        CHANGE)
 
 
 def changed_keys(deletes: DataFrame, inserts: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
@@ -166,42 +213,58 @@ def changed_keys(deletes: DataFrame, inserts: DataFrame, spec: Spec = DWELLINGS)
     return deletes.select(*keys).unionByName(inserts.select(*keys)).distinct()
 
 
-def find_part_relinks(cands: DataFrame, part_link: DataFrame, changed: DataFrame,
-                      spec: Spec = DWELLINGS) -> DataFrame:
-    """Unchanged keys whose open part link differs from the candidate's part.
+_KIND = "_link_kind"
+
+
+def _relink_pairs(cands: DataFrame, building_link: DataFrame, part_link: DataFrame,
+                  changed: DataFrame, spec: Spec) -> DataFrame:
+    """D7 and D8 with one join: candidates against the union of both open link tables.
 
-    Covers part -> building (candidate part NULL) and part -> other part.  The old
-    part id is kept for matching the link row to close.
+    Part side (D7): the open part link differs from the candidate's part (part ->
+    building when the candidate has none, part -> other part); the old part id is kept
+    to find the link row to close.  Building side (D8): the candidate now has a part;
+    the building id comes from the link row and the old part id is a fixed marker.
+    Keys already changed by an insert, update or delete are left out (one anti join).
     """
     keys = list(spec.keys)
-    links = open_rows(part_link).select(*keys, F.col(spec.sub_parent).alias(OLD_PART))
-    pairs = cands.join(links, keys, "inner").filter(
-        F.col(spec.sub_parent).isNull() | (F.col(spec.sub_parent) != F.col(OLD_PART)))
+    links = (open_rows(part_link).select(
+        *keys, F.col(spec.sub_parent).alias(OLD_PART),
+        F.lit(None).cast("long").alias("_link_parent"), F.lit("part").alias(_KIND))
+        .unionByName(open_rows(building_link).select(
+            *keys, F.lit(None).cast("string").alias(OLD_PART),
+            F.col(spec.parent).alias("_link_parent"), F.lit("building").alias(_KIND))))
+    part = F.col(spec.sub_parent)
+    on_part = (F.col(_KIND) == "part") & (part.isNull() | (part != F.col(OLD_PART)))
+    on_building = (F.col(_KIND) == "building") & part.isNotNull()
+    pairs = cands.join(links, keys, "inner").filter(on_part | on_building)
     return pairs.join(changed, keys, "left_anti").select(
-        spec.entity, OLD_PART, spec.sub_parent, spec.parent, EFF_START, EFF_END, SYS_CREATE,
-        SYS_END, F.lit(FLAG_LIVE).alias(DELETED))
+        spec.entity,
+        F.when(F.col(_KIND) == "part", F.col(OLD_PART)).otherwise(F.lit(BUILDING_RELINK_OLD_PART))
+        .alias(OLD_PART),
+        spec.sub_parent,
+        F.when(F.col(_KIND) == "part", F.col(spec.parent)).otherwise(F.col("_link_parent"))
+        .alias(spec.parent),
+        EFF_START, EFF_END, SYS_CREATE, SYS_END, F.lit(FLAG_LIVE).alias(DELETED), _KIND)
 
 
-def find_building_relinks(cands: DataFrame, building_link: DataFrame, changed: DataFrame,
-                          spec: Spec = DWELLINGS) -> DataFrame:
-    """Unchanged keys with an open building link whose candidate now has a part.
+def find_part_relinks(cands: DataFrame, building_link: DataFrame, part_link: DataFrame,
+                      changed: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
+    """D7 alone: relinks found from the part links."""
+    pairs = _relink_pairs(cands, building_link, part_link, changed, spec)
+    return pairs.filter(F.col(_KIND) == "part").drop(_KIND)
 
-    The building id comes from the link row, the old part id is a fixed marker.
-    """
-    keys = list(spec.keys)
-    links = open_rows(building_link).select(*keys, F.col(spec.parent).alias("_link_parent"))
-    pairs = cands.filter(F.col(spec.sub_parent).isNotNull()).join(links, keys, "inner")
-    return pairs.join(changed, keys, "left_anti").select(
-        spec.entity, F.lit(BUILDING_RELINK_OLD_PART).alias(OLD_PART), spec.sub_parent,
-        F.col("_link_parent").alias(spec.parent), EFF_START, EFF_END, SYS_CREATE, SYS_END,
-        F.lit(FLAG_LIVE).alias(DELETED))
+
+def find_building_relinks(cands: DataFrame, building_link: DataFrame, part_link: DataFrame,
+                          changed: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
+    """D8 alone: relinks found from the building links."""
+    pairs = _relink_pairs(cands, building_link, part_link, changed, spec)
+    return pairs.filter(F.col(_KIND) == "building").drop(_KIND)
 
 
 def find_relinks(cands: DataFrame, building_link: DataFrame, part_link: DataFrame,
                  changed: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
     """Bag union of D7 and D8."""
-    return find_part_relinks(cands, part_link, changed, spec).unionByName(
-        find_building_relinks(cands, building_link, changed, spec))
+    return _relink_pairs(cands, building_link, part_link, changed, spec).drop(_KIND)
 
 
 def detect(register: DataFrame, building_link: DataFrame, part_link: DataFrame,

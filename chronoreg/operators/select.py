@@ -103,6 +103,33 @@ def resolve_batch(interim: DataFrame, scenarios: ScenarioSet, params: RunParams,
     return round_to_second(row["m"]) if row and row["m"] is not None else None
 
 
+def resolve(interim: DataFrame, params: RunParams,
+            spec: Spec = DWELLINGS) -> tuple[ScenarioSet, str | None]:
+    """P1-P3 with one scan: the latest create date per scenario of the version.
+
+    The per-scenario maxima are a partial aggregate, and the driver receives one row per
+    scenario, at most ``max_inline_scenarios + 1`` of them; a longer list falls back to
+    ``resolve_scenarios`` + ``resolve_batch`` (a DataFrame list, never collected).
+    """
+    limit = params.max_inline_scenarios
+    per = (version_rows(interim, params, spec).groupBy(spec.scenario)
+           .agg(F.max(SYS_CREATE).alias("latest")))
+    rows = per.limit(limit + 1).collect()
+    if len(rows) > limit:
+        scen = resolve_scenarios(interim, params, spec)
+        return scen, resolve_batch(interim, scen, params, spec)
+    latest = {r[spec.scenario]: r["latest"] for r in rows}
+    if params.scenarios:
+        ids = tuple(params.scenarios)
+    else:
+        excluded = set(params.excluded_scenarios)
+        ids = tuple(sorted(i for i in latest if i is not None and i not in excluded))
+    if params.batch_ts is not None:
+        return ScenarioSet(ids=ids), params.batch_ts
+    dates = [latest[i] for i in ids if latest.get(i) is not None]
+    return ScenarioSet(ids=ids), round_to_second(max(dates)) if dates else None
+
+
 def _selected(interim: DataFrame, scenarios: ScenarioSet, batch_ts: str | None,
               params: RunParams, spec: Spec, only=None, but=()) -> DataFrame:
     rows = scenarios.keep(version_rows(interim, params, spec), spec.scenario, only, but)

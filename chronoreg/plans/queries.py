@@ -129,10 +129,10 @@ QUERIES: dict[str, Query] = {
     "classify_one_pass": lambda s, d: (lambda i, x: diff.classify_one_pass(
         i.state.register, x.candidates, x.scenarios, P, SPEC))(*_sel(s, d)),
     "relinks_part": lambda s, d: (lambda i, r: diff.find_part_relinks(
-        r.changes.candidates, i.state.part_link,
+        r.changes.candidates, i.state.building_link, i.state.part_link,
         diff.changed_keys(r.changes.deletes, r.changes.inserts, SPEC), SPEC))(*_run(s, d)),
     "relinks_building": lambda s, d: (lambda i, r: diff.find_building_relinks(
-        r.changes.candidates, i.state.building_link,
+        r.changes.candidates, i.state.building_link, i.state.part_link,
         diff.changed_keys(r.changes.deletes, r.changes.inserts, SPEC), SPEC))(*_run(s, d)),
     "relinks_all": lambda s, d: _run(s, d)[1].changes.relinks,
     # A1-A5

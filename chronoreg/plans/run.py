@@ -19,9 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chronoreg.model import DWELLINGS, RunParams, Spec
 from chronoreg.operators.apply import Applied, apply_changes
-from chronoreg.operators.diff import Changes, changed_keys, classify, find_relinks
+from chronoreg.operators.diff import (
+    Changes,
+    changed_keys,
+    classify_pairs,
+    closing_rows,
+    find_relinks,
+    opening_rows,
+)
 from chronoreg.operators.report import changelog, retired_end
-from chronoreg.operators.select import ScenarioSet, candidates, resolve_batch, resolve_scenarios
+from chronoreg.operators.select import ScenarioSet, candidates, resolve
 from chronoreg.sources.tables import State
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -89,8 +96,7 @@ class Selection:
 
 def select(interim: DataFrame, params: RunParams, spec: Spec = DWELLINGS,
            stage: Stage = _identity) -> Selection:
-    scen = resolve_scenarios(interim, params, spec)
-    batch = resolve_batch(interim, scen, params, spec)
+    scen, batch = resolve(interim, params, spec)
     return Selection(scen, batch, stage(candidates(interim, scen, batch, params, spec), "candidates"))
 
 
@@ -110,8 +116,9 @@ class RunResult:
 def run(interim: DataFrame, state: State, params: RunParams, spec: Spec = DWELLINGS,
         stage: Stage = _identity) -> RunResult:
     sel = select(interim, params, spec, stage)
-    deletes, inserts = classify(state.register, sel.candidates, sel.scenarios, params, spec)
-    deletes, inserts = stage(deletes, "deletes"), stage(inserts, "inserts")
+    classified = stage(classify_pairs(state.register, sel.candidates, sel.scenarios, params, spec),
+                       "classified")
+    deletes, inserts = closing_rows(classified, params, spec), opening_rows(classified, spec)
     relinks = stage(find_relinks(sel.candidates, state.building_link, state.part_link,
                                  changed_keys(deletes, inserts, spec), spec), "relinks")
     changes = Changes(candidates=sel.candidates, deletes=deletes, inserts=inserts, relinks=relinks)
