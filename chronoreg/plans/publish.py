@@ -107,7 +107,15 @@ class RegisterStore:
          .write.mode("overwrite").partitionBy(OPEN_FLAG)
          .parquet(f"{self.root}/{name}/{VERSION}={version}"))
 
-    def publish(self, result: RunResult, mode: str = "dry_run", strict: bool = False) -> PublishReport:
+    def committed_tags(self) -> set[str]:
+        """Tags of committed versions (a streaming sink records its batches with them)."""
+        commits = self._read(f"{self.root}/_commits")
+        if commits is None or "tag" not in commits.columns:
+            return set()
+        return {r["tag"] for r in commits.select("tag").where(F.col("tag").isNotNull()).collect()}
+
+    def publish(self, result: RunResult, mode: str = "dry_run", strict: bool = False,
+                tag: str | None = None) -> PublishReport:
         """Write every table of ``result`` as one new version, or none of them.
 
         ``dry_run`` (the default, as the original ships) computes the change log and the
@@ -137,7 +145,7 @@ class RegisterStore:
         log = [r.asDict() for r in self._read(f"{self.root}/changelog/{VERSION}={version}").collect()]
         commit = self.spark.range(1).select(
             F.lit(version).alias("version"), ts(result.params.run_ts).alias("run_ts"),
-            ts(result.params.change_ts).alias("change_ts"))
+            ts(result.params.change_ts).alias("change_ts"), F.lit(tag).cast("string").alias("tag"))
         commit.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_commits/{VERSION}={version}")
         return PublishReport(mode, version, log, violations)
 
@@ -150,7 +158,8 @@ class RegisterStore:
 
 
 def run_and_publish(spark: SparkSession, interim: DataFrame, store: RegisterStore, params: RunParams,
-                    mode: str = "dry_run", spec: Spec = DWELLINGS, strict: bool = False) -> PublishReport:
+                    mode: str = "dry_run", spec: Spec = DWELLINGS, strict: bool = False,
+                    tag: str | None = None) -> PublishReport:
     """A whole run against the store's current version, then publish (dry run by default)."""
     result = run(interim, store.state(), params, spec, ParquetStage(spark))
-    return store.publish(result, mode, strict)
+    return store.publish(result, mode, strict, tag)

@@ -1,0 +1,5 @@
+"""Structured Streaming entry point: one committed run per arriving snapshot batch."""
+
+from chronoreg.streaming.snapshots import apply_batches, arriving_batches, start
+
+__all__ = ["apply_batches", "arriving_batches", "start"]

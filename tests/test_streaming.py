@@ -1,0 +1,35 @@
+"""The golden two steps, driven by snapshots arriving in a watched folder."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from chronoreg.model import RunParams
+from chronoreg.plans.publish import RegisterStore
+from chronoreg.sources.fixtures import B1, GOLDEN_NOW, golden_interim
+from chronoreg.streaming import start
+
+
+def test_each_arriving_batch_is_committed_once(spark, scratch_dir):
+    interim_dir = os.path.join(scratch_dir, "interim")
+    store = RegisterStore(spark, os.path.join(scratch_dir, "store"))
+    ckpt = os.path.join(scratch_dir, "stream-ckpt")
+    params = RunParams(version_no=0.0, run_ts=GOLDEN_NOW)
+    golden = golden_interim(spark)
+    b1 = F.col("sys_create_date") == F.lit(B1).cast("timestamp_ntz")
+
+    golden.filter(b1).write.mode("append").parquet(interim_dir)
+    start(spark, interim_dir, store, params, ckpt).awaitTermination()
+    assert store.current_version() == 1
+    st = store.state()
+    assert (st.register.count(), st.building_link.count(), st.part_link.count()) == (5, 4, 1)
+
+    golden.filter(~b1).write.mode("append").parquet(interim_dir)
+    start(spark, interim_dir, store, params, ckpt).awaitTermination()
+    assert store.current_version() == 2
+    st = store.state()
+    assert (st.register.count(), st.building_link.count(), st.part_link.count()) == (11, 10, 3)
+
+    # nothing new arrived: no new version
+    start(spark, interim_dir, store, params, ckpt).awaitTermination()
+    assert store.current_version() == 2
