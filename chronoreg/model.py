@@ -32,6 +32,12 @@ TEST_SCENARIOS = (0, 99)  # test rows in the register
 TEST_BUILDING_IDS_ABOVE = 9999990  # test rows in the building links (also id 0)
 TEST_PART_PREFIX = "tst"  # test rows in the part links
 RECENT_HOURS = 2  # change-log rows younger than this are "recent"
+CHANGELOG_TABLE = "Table_Changelog"
+COUNT_CANDIDATES = "total_considered_records"  # report column names
+COUNT_DELETES = "dwell_deletes"
+COUNT_INSERTS = "dwell_inserts"
+COUNT_RELINKS = "PoB_changes"
+COUNT_MAINTENANCE = "dwell_deletes_maintenance"
 # -------------------------------------------------------------------------------
 
 # Temporal and staging column names shared by every table.

@@ -172,7 +172,7 @@ def classify_pairs(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet
 
 
 def closing_rows(classified: DataFrame, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
-    """D1 + D4 from classified pairs: the staged closing side (``#dwell_deletes``)."""
+    """D1 + D4 from classified pairs: the staged closing side."""
     is_delete = F.col(CHANGE) == CHANGE_DELETE
     return classified.filter(F.col(CHANGE).isin(CHANGE_DELETE, CHANGE_UPDATE)).select(
         F.col(REG_PREFIX + spec.entity).alias(spec.entity),
@@ -190,7 +190,7 @@ def closing_rows(classified: DataFrame, params: RunParams, spec: Spec = DWELLING
 
 
 def opening_rows(classified: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
-    """D2 + D5 from classified pairs: the staged opening side (``#dwell_inserts``)."""
+    """D2 + D5 from classified pairs: the staged opening side."""
     return classified.filter(F.col(CHANGE).isin(CHANGE_INSERT, CHANGE_UPDATE)).select(
         *spec.candidate_columns, CHANGE)
 

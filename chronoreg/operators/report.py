@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from chronoreg.functions import hours_before, is_open, ts
 from chronoreg.model import (
     CHANGE,
+    CHANGELOG_TABLE,
+    COUNT_CANDIDATES,
+    COUNT_MAINTENANCE,
+    COUNT_RELINKS,
     CHANGE_DELETE,
     CHANGE_INSERT,
     CHANGE_UPDATE,
@@ -36,7 +40,7 @@ from chronoreg.sources.tables import State
 
 def count_candidates(cands: DataFrame) -> DataFrame:
     """G1."""
-    return cands.agg(F.count(F.lit(1)).alias("total_considered_records"))
+    return cands.agg(F.count(F.lit(1)).alias(COUNT_CANDIDATES))
 
 
 def count_by_change(staged: DataFrame, name: str) -> DataFrame:
@@ -46,13 +50,13 @@ def count_by_change(staged: DataFrame, name: str) -> DataFrame:
 
 def count_relinks(relinks: DataFrame) -> DataFrame:
     """G4."""
-    return relinks.agg(F.count(F.lit(1)).alias("PoB_changes"))
+    return relinks.agg(F.count(F.lit(1)).alias(COUNT_RELINKS))
 
 
 def count_maintenance(deletes: DataFrame) -> DataFrame:
     """Closing rows per change kind and effective end."""
     return (deletes.groupBy(CHANGE, EFF_END)
-            .agg(F.count(F.lit(1)).alias("dwell_deletes_maintenance"))
+            .agg(F.count(F.lit(1)).alias(COUNT_MAINTENANCE))
             .orderBy(CHANGE, EFF_END))
 
 
@@ -202,7 +206,7 @@ def purge_counts(state: State, log: DataFrame, now: str, spec: Spec = DWELLINGS)
     preds["changelog"] = F.col("change_date") > ts(hours_before(now))
     frames = dict(state.tables(), changelog=log)
     names = {"register": spec.register_table, "building_link": spec.parent_table,
-             "part_link": spec.sub_parent_table, "changelog": "Table_Changelog"}
+             "part_link": spec.sub_parent_table, "changelog": CHANGELOG_TABLE}
     out = None
     for key, df in frames.items():
         hit = F.coalesce(preds[key], F.lit(False))

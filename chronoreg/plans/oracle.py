@@ -13,12 +13,15 @@ Inputs are derived from the ``orders`` view with the same rules as
 from __future__ import annotations
 
 from chronoreg.model import (
+    BUILDING_LINK_TABLE,
     BUILDING_RELINK_OLD_PART,
     DELETE_BUILDING_ID,
     DELETE_PART_ID,
     HIGH_DATE,
     OPEN_CUTOFF,
+    PART_LINK_TABLE,
     PROCESS_NAME,
+    REGISTER_TABLE,
     UPDATE_PART_DEFAULT,
     RunParams,
 )
@@ -225,20 +228,20 @@ def chain(p: str, params: RunParams, interim: str, reg: str, bld: str, prt: str)
     tail = (f"CAST(NULL AS VARCHAR) AS source, CAST(NULL AS TIMESTAMP) AS source_from_date, "
             f"CAST(NULL AS TIMESTAMP) AS source_to_date")
     ctes.append(f"""{p}log AS (
-  SELECT {cd} AS change_date, 'Dwelling_Register_Skinny' AS table_name, '{PROCESS_NAME}' AS process,
+  SELECT {cd} AS change_date, '{REGISTER_TABLE}' AS table_name, '{PROCESS_NAME}' AS process,
     (SELECT count(*) FROM {p}ins WHERE change = 'INSERT') AS records_added,
     (SELECT count(*) FROM {p}ins WHERE change = 'UPDATE') AS records_modified,
     (SELECT count(*) FROM {p}dels WHERE change = 'DELETE') AS records_retired,
     (SELECT count(*) FROM {p}reg_after WHERE {is_open()}) AS total_records_after, {tail}
   UNION ALL
-  SELECT {cd}, 'Dwelling_Building_Reference', '{PROCESS_NAME}',
+  SELECT {cd}, '{BUILDING_LINK_TABLE}', '{PROCESS_NAME}',
     (SELECT count(*) FROM {p}ins WHERE change = 'INSERT' AND part_of_building_id IS NULL),
     (SELECT count(*) FROM {p}ins WHERE change = 'UPDATE' AND part_of_building_id IS NULL)
       + (SELECT count(*) FROM {p}rel WHERE part_of_building_id IS NULL),
     (SELECT count(*) FROM {p}bld_after WHERE sys_end_date = (SELECT e FROM {p}retired)),
     (SELECT count(*) FROM {p}bld_after WHERE {is_open()}), NULL, NULL, NULL
   UNION ALL
-  SELECT {cd}, 'Dwelling_Part_of_Building_Reference', '{PROCESS_NAME}',
+  SELECT {cd}, '{PART_LINK_TABLE}', '{PROCESS_NAME}',
     (SELECT count(*) FROM {p}ins WHERE change = 'INSERT' AND part_of_building_id IS NOT NULL),
     (SELECT count(*) FROM {p}ins WHERE change = 'UPDATE' AND part_of_building_id IS NOT NULL)
       + (SELECT count(*) FROM {p}rel WHERE part_of_building_id IS NOT NULL),

@@ -12,7 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoreg.model import CHANGE, DWELLINGS, SYS_END, RunParams
+from chronoreg.model import (
+    CHANGELOG_TABLE,
+    COUNT_CANDIDATES,
+    COUNT_DELETES,
+    COUNT_INSERTS,
+    COUNT_MAINTENANCE,
+    COUNT_RELINKS,
+    DWELLINGS,
+    RunParams,
+)
 from chronoreg.operators import checks, diff, report
 from chronoreg.operators.apply import BY, BY_CHANGE, BY_RELINK, TOUCHED
 from chronoreg.operators.select import (
@@ -147,8 +156,8 @@ QUERIES: dict[str, Query] = {
     "part_after": lambda s, d: _run(s, d)[1].state.part_link,
     # G1-G6
     "count_candidates": lambda s, d: report.count_candidates(_sel(s, d)[1].candidates),
-    "count_deletes": lambda s, d: report.count_by_change(_run(s, d)[1].changes.deletes, "dwell_deletes"),
-    "count_inserts": lambda s, d: report.count_by_change(_run(s, d)[1].changes.inserts, "dwell_inserts"),
+    "count_deletes": lambda s, d: report.count_by_change(_run(s, d)[1].changes.deletes, COUNT_DELETES),
+    "count_inserts": lambda s, d: report.count_by_change(_run(s, d)[1].changes.inserts, COUNT_INSERTS),
     "count_relinks": lambda s, d: report.count_relinks(_run(s, d)[1].changes.relinks),
     "count_maintenance": lambda s, d: report.count_maintenance(_run(s, d)[1].changes.deletes),
     "count_by_sys_end": _by_sys_end,
@@ -207,7 +216,7 @@ def _purge_sql() -> str:
         (SPEC.register_table, "reg_after", "scenario_no = 0 OR scenario_no = 99"),
         (SPEC.parent_table, "bld_after", "building_id = 0 OR building_id > 9999990"),
         (SPEC.sub_parent_table, "prt_after", "part_of_building_id LIKE 'tst%'"),
-        ("Table_Changelog", "log", f"change_date > TIMESTAMP '{since}'"),
+        (CHANGELOG_TABLE, "log", f"change_date > TIMESTAMP '{since}'"),
     ]
     return "\nUNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) FILTER (WHERE NOT COALESCE({w}, false)) AS rows_kept, "
@@ -266,11 +275,11 @@ UNION ALL SELECT dwelling_id, effective_start_date, reg_scenario_no, scenario_no
         "register_after": w("SELECT * FROM reg_after"),
         "building_after": w("SELECT * FROM bld_after"),
         "part_after": w("SELECT * FROM prt_after"),
-        "count_candidates": w("SELECT count(*) AS total_considered_records FROM cand"),
-        "count_deletes": w("SELECT change, count(*) AS dwell_deletes FROM dels GROUP BY change"),
-        "count_inserts": w("SELECT change, count(*) AS dwell_inserts FROM ins GROUP BY change"),
-        "count_relinks": w("SELECT count(*) AS PoB_changes FROM rel"),
-        "count_maintenance": w("SELECT change, effective_end_date, count(*) AS dwell_deletes_maintenance "
+        "count_candidates": w(f"SELECT count(*) AS {COUNT_CANDIDATES} FROM cand"),
+        "count_deletes": w(f"SELECT change, count(*) AS {COUNT_DELETES} FROM dels GROUP BY change"),
+        "count_inserts": w(f"SELECT change, count(*) AS {COUNT_INSERTS} FROM ins GROUP BY change"),
+        "count_relinks": w(f"SELECT count(*) AS {COUNT_RELINKS} FROM rel"),
+        "count_maintenance": w(f"SELECT change, effective_end_date, count(*) AS {COUNT_MAINTENANCE} "
                                "FROM dels GROUP BY change, effective_end_date"),
         "count_by_sys_end": w(_counts_by_sys_end()),
         "changelog_register": w(f"SELECT * FROM log WHERE table_name = '{SPEC.register_table}'"),
