@@ -19,6 +19,7 @@ map side before it is shuffled.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -170,12 +171,12 @@ class TableUpdate:
     updated: DataFrame
     inserted: DataFrame
 
-    @property
+    @cached_property
     def rewritten(self) -> DataFrame:
         """Rows a versioned store writes for this run (targets and new rows)."""
         return self.updated.drop(TOUCHED, BY).unionByName(self.inserted)
 
-    @property
+    @cached_property
     def after(self) -> DataFrame:
         """The whole table after the run."""
         return self.rewritten if self.kept is None else self.kept.unionByName(self.rewritten)
@@ -234,7 +235,7 @@ class Applied:
     building_link: TableUpdate
     part_link: TableUpdate
 
-    @property
+    @cached_property
     def state(self) -> State:
         return State(self.register.after, self.building_link.after, self.part_link.after)
 

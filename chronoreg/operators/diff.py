@@ -207,6 +207,15 @@ def classify_one_pass(register: DataFrame, cands: DataFrame, scenarios: Scenario
         CHANGE)
 
 
+def touched_keys(classified: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
+    """Keys of every classified change, duplicates kept: the exclusion set of the relinks.
+
+    An anti join ignores duplicates on its right side, so no distinct (and no shuffle
+    for one) is needed here; ``changed_keys`` is the de-duplicated D6 relation.
+    """
+    return classified.select(*[F.coalesce(F.col(k), F.col(REG_PREFIX + k)).alias(k) for k in spec.keys])
+
+
 def changed_keys(deletes: DataFrame, inserts: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
     """Keys already handled as an insert, update or delete."""
     keys = list(spec.keys)

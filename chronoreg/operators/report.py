@@ -109,7 +109,14 @@ def _contribution(df: DataFrame, **values: Column) -> DataFrame:
 _LAZY = object()
 
 
-def changelog(changes: Changes, after: State, params: RunParams, spec: Spec = DWELLINGS,
+def _open_after(update) -> DataFrame:
+    """Open rows after the run.  Closed rows passed through untouched are closed by
+    definition, so when they were kept apart only the rewritten part is scanned."""
+    part = update.rewritten if update.kept is not None else update.after
+    return part.filter(is_open(SYS_END))
+
+
+def changelog(changes: Changes, applied, params: RunParams, spec: Spec = DWELLINGS,
               retired_at=_LAZY) -> DataFrame:
     """L1-L3: one change-log row per table, from one global aggregate.
 
@@ -118,6 +125,7 @@ def changelog(changes: Changes, after: State, params: RunParams, spec: Spec = DW
     counts the relinks, retired = rows of the table (any age) whose system end equals
     the retired end date, total = open rows after.
 
+    ``applied`` is the run's ``apply.Applied``.
     ``retired_at`` is that date when the caller already resolved it (a staged run): the
     history scan then carries a literal filter the Parquet reader prunes row groups
     with.  Otherwise it comes from a broadcast one-row aggregate, and the plan stays lazy.
@@ -140,11 +148,11 @@ def changelog(changes: Changes, after: State, params: RunParams, spec: Spec = DW
                       p_added=p_ins, p_modified=p_upd),
         _contribution(dels, r_retired=(F.col(CHANGE) == CHANGE_DELETE).cast("int")),
         _contribution(rel, b_modified=no_part.cast("int"), p_modified=(~no_part).cast("int")),
-        _contribution(after.register.filter(is_open(SYS_END)), r_total=one),
-        _contribution(after.building_link.filter(is_open(SYS_END)), b_total=one),
-        _contribution(after.part_link.filter(is_open(SYS_END)), p_total=one),
-        _contribution(retired(after.building_link), b_retired=one),
-        _contribution(retired(after.part_link), p_retired=one),
+        _contribution(_open_after(applied.register), r_total=one),
+        _contribution(_open_after(applied.building_link), b_total=one),
+        _contribution(_open_after(applied.part_link), p_total=one),
+        _contribution(retired(applied.building_link.after), b_retired=one),
+        _contribution(retired(applied.part_link.after), p_retired=one),
     ]
     allc = pieces[0]
     for p in pieces[1:]:

@@ -21,11 +21,11 @@ from chronoreg.model import DWELLINGS, RunParams, Spec
 from chronoreg.operators.apply import Applied, apply_changes
 from chronoreg.operators.diff import (
     Changes,
-    changed_keys,
     classify_pairs,
     closing_rows,
     find_relinks,
     opening_rows,
+    touched_keys,
 )
 from chronoreg.operators.report import changelog, retired_end
 from chronoreg.operators.select import ScenarioSet, candidates, resolve
@@ -120,13 +120,13 @@ def run(interim: DataFrame, state: State, params: RunParams, spec: Spec = DWELLI
                        "classified")
     deletes, inserts = closing_rows(classified, params, spec), opening_rows(classified, spec)
     relinks = stage(find_relinks(sel.candidates, state.building_link, state.part_link,
-                                 changed_keys(deletes, inserts, spec), spec), "relinks")
+                                 touched_keys(classified, spec), spec), "relinks")
     changes = Changes(candidates=sel.candidates, deletes=deletes, inserts=inserts, relinks=relinks)
     applied = apply_changes(state, changes, params, spec)
     if stage is _identity:
-        log = changelog(changes, applied.state, params, spec)
+        log = changelog(changes, applied, params, spec)
     else:
         # one bounded scalar from the staged deletes; lets the history scan prune row groups
-        log = changelog(changes, applied.state, params, spec,
+        log = changelog(changes, applied, params, spec,
                         retired_at=retired_end(deletes).first()["_retired_end"])
     return RunResult(sel, changes, applied, log, params)
