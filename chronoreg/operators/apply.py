@@ -80,18 +80,16 @@ def update_from(targets: DataFrame, requests: DataFrame, on: list[tuple[str, str
         joined = targets.join(reduced, cond, "left")
         return _merge(joined, columns, F.col("_pick"))
     # The pick depends on the target row too: find the matching pairs, keep one request per
-    # distinct target row, and join that back.  The join back is keyed on ``on`` alone (the
-    # other columns are compared NULL-safely as a residual condition), so both joins read
-    # the targets through the same exchange and the big side is shuffled once.
+    # distinct target row (a partial aggregate), and join that back NULL-safely on every
+    # column.  Keying the join back on all columns costs one more shuffle of the targets
+    # than keying it on ``on``, but stays linear when one key holds many distinct rows
+    # (a key-only join back would compare every such row with every pick of its key).
     t = targets.alias("t")
     cond = [F.col(f"t.{tc}") == renamed[f"_k{i}"] for i, (tc, _) in enumerate(on)]
     hits = t.join(renamed, cond, "inner").filter(when(lambda c: F.col(f"t.{c}"), F.col))
     picks = hits.groupBy(*[F.col(f"t.{c}").alias(f"_t_{c}") for c in columns]).agg(
         F.max(_pick_struct()).alias("_pick"))
-    keyed = {tc for tc, _ in on}
-    back = [targets[c] == picks[f"_t_{c}"] for c in columns if c in keyed]
-    back += [F.coalesce(targets[c] == picks[f"_t_{c}"], targets[c].isNull() & picks[f"_t_{c}"].isNull())
-             for c in columns if c not in keyed]
+    back = [targets[c].eqNullSafe(picks[f"_t_{c}"]) for c in columns]
     joined = targets.join(picks, back, "left")
     return _merge(joined, columns, F.col("_pick"))
 

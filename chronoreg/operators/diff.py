@@ -135,6 +135,51 @@ def _has_keys(keys: list[str]) -> Column:
     return cond
 
 
+def classify_split(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
+                   params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
+    """D1 + D2 + D3 as classified pairs, in a form every join of which AQE can split.
+
+    D3 is an inner join (either side can be split when a key is hot).  D1 and D2 are
+    anti joins against the *distinct* keys of the other side, so a key held by many
+    rows is combined map-side before it is shuffled and the right side never holds
+    more than one row per key.  The register and candidate projections are shared by
+    the joins that read them, so each big input is shuffled once (reused exchange);
+    the two extra shuffles carry keys only.
+
+    Same result as ``classify_pairs`` (the one-pass full outer join), which has fewer
+    shuffles but cannot be split by AQE when one key is hot.
+    """
+    keys = list(spec.keys)
+    wanted = {*keys, spec.scenario, EFF_END, SYS_CREATE}
+    reg_cols = [c for c in spec.register_columns if c in wanted]  # table order, see below
+    out = [*spec.candidate_columns, *[REG_PREFIX + c for c in reg_cols], CHANGE]
+    keyed = _has_keys(keys)
+    open_reg = open_rows(register)
+    # Shared inputs with raw column names in table order: aliases come after the joins and
+    # the pruned projections keep one order, so Catalyst sees the same subtree under each
+    # exchange and reuses it.  NULL-key rows never match: they skip the joins.
+    listed = scenarios.keep(open_reg, spec.scenario).select(*reg_cols)
+    listed_keyed = listed.filter(keyed)
+    cand = cands.select(*spec.candidate_columns)
+    cand_keyed = cand.filter(keyed)
+    cand_keys = cand_keyed.select(*keys).distinct()
+    open_keys = open_reg.filter(keyed).select(*keys).distinct()
+
+    as_reg = [F.col(c).alias(REG_PREFIX + c) for c in reg_cols]
+    deletes = (listed_keyed.join(cand_keys, keys, "left_anti")
+               .unionByName(listed.filter(~keyed)).select(*as_reg))
+    inserts = cand_keyed.join(open_keys, keys, "left_anti").unionByName(cand.filter(~keyed))
+    pairs = cand_keyed.join(listed_keyed, [cand_keyed[k] == listed_keyed[k] for k in keys], "inner")
+    pairs = pairs.filter((listed_keyed[EFF_END] != cand_keyed[EFF_END])
+                         | (listed_keyed[spec.scenario] != cand_keyed[spec.scenario]))
+    pairs = pairs.select(*[cand_keyed[c] for c in spec.candidate_columns],
+                         *[listed_keyed[c].alias(REG_PREFIX + c) for c in reg_cols])
+    return (deletes.withColumn(CHANGE, F.lit(CHANGE_DELETE))
+            .unionByName(inserts.withColumn(CHANGE, F.lit(CHANGE_INSERT)), allowMissingColumns=True)
+            .unionByName(pairs.withColumn(CHANGE, F.lit(CHANGE_UPDATE)), allowMissingColumns=True)
+            .select(*out))
+
+
 def classify_pairs(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
                    params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
     """D1 + D2 + D3 in one pass: a full outer join of the open register and the candidates.
@@ -208,12 +253,13 @@ def classify_one_pass(register: DataFrame, cands: DataFrame, scenarios: Scenario
 
 
 def touched_keys(classified: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
-    """Keys of every classified change, duplicates kept: the exclusion set of the relinks.
+    """Distinct keys of every classified change: the exclusion set of the relinks.
 
-    An anti join ignores duplicates on its right side, so no distinct (and no shuffle
-    for one) is needed here; ``changed_keys`` is the de-duplicated D6 relation.
+    Same set as ``changed_keys``, read from the one staged relation; the distinct is a
+    partial aggregate, so a key repeated by many changes is one row per task.
     """
-    return classified.select(*[F.coalesce(F.col(k), F.col(REG_PREFIX + k)).alias(k) for k in spec.keys])
+    return classified.select(
+        *[F.coalesce(F.col(k), F.col(REG_PREFIX + k)).alias(k) for k in spec.keys]).distinct()
 
 
 def changed_keys(deletes: DataFrame, inserts: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:

@@ -21,7 +21,7 @@ from chronoreg.model import DWELLINGS, RunParams, Spec
 from chronoreg.operators.apply import Applied, apply_changes
 from chronoreg.operators.diff import (
     Changes,
-    classify_pairs,
+    classify_split,
     closing_rows,
     find_relinks,
     opening_rows,
@@ -116,7 +116,7 @@ class RunResult:
 def run(interim: DataFrame, state: State, params: RunParams, spec: Spec = DWELLINGS,
         stage: Stage = _identity) -> RunResult:
     sel = select(interim, params, spec, stage)
-    classified = stage(classify_pairs(state.register, sel.candidates, sel.scenarios, params, spec),
+    classified = stage(classify_split(state.register, sel.candidates, sel.scenarios, params, spec),
                        "classified")
     deletes, inserts = closing_rows(classified, params, spec), opening_rows(classified, spec)
     relinks = stage(find_relinks(sel.candidates, state.building_link, state.part_link,
