@@ -31,7 +31,7 @@ from chronoreg.operators.select import (
     latest_batch,
 )
 from chronoreg.plans import oracle as O
-from chronoreg.plans.run import ParquetStage, RunResult, Selection, run, select
+from chronoreg.plans.run import ParquetStage, RunResult, Selection, run, select, session_id
 from chronoreg.sources.fixtures import FIXTURE_PARAMS, Inputs, derived_inputs
 from chronoreg.sources.tables import open_rows
 
@@ -54,7 +54,7 @@ _SELECTIONS: dict[tuple, tuple[Inputs, Selection]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, params: RunParams) -> tuple:
-    return (spark.sparkContext.applicationId, id(spark), sf_dir, params)
+    return (session_id(spark), sf_dir, params)
 
 
 def _run(spark: SparkSession, sf_dir: str, params: RunParams = P) -> tuple[Inputs, RunResult]:

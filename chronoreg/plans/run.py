@@ -38,13 +38,27 @@ def _identity(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None)
+    except Exception:  # a conf the session does not expose
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    conf = _conf(spark, "spark.checkpoint.dir")
     if conf:
         return conf
-    current = spark.sparkContext.getCheckpointDir()
-    return current or None
+    try:
+        return spark.sparkContext.getCheckpointDir() or None
+    except Exception:  # sessions without a SparkContext handle
+        return None
+
+
+def session_id(spark: SparkSession) -> str:
+    """Identifies the running application (for per-session caches)."""
+    return f"{_conf(spark, 'spark.app.id') or ''}:{id(spark)}"
 
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -59,14 +73,13 @@ def staging_root(spark: SparkSession) -> str:
     folder = checkpoint_dir(spark)
     if folder:
         return folder.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    master = _conf(spark, "spark.master") or ""
+    if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before staging a run")
-    app = sc.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="chronoreg-stage-")
-        sc.setCheckpointDir(_LOCAL_DIRS[app])
-    return _LOCAL_DIRS[app]
+    key = session_id(spark)
+    if key not in _LOCAL_DIRS:
+        _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="chronoreg-stage-")
+    return _LOCAL_DIRS[key]
 
 
 class ParquetStage:
