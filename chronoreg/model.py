@@ -200,6 +200,7 @@ class RunParams:
     ambiguous_scenarios: tuple[int, ...] = (AMBIGUOUS_SCENARIO,)
     max_inline_scenarios: int = 10_000  # beyond this the list stays a DataFrame
     close_history: bool = False  # also rewrite closed register rows sharing an identity
+    reinsert_join: bool = False  # multiply new rows by the open rows they meet (see apply)
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "run_ts", round_to_second(self.run_ts))

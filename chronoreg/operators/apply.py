@@ -238,6 +238,25 @@ class Applied:
         return State(self.register.after, self.building_link.after, self.part_link.after)
 
 
+def _reinsert_join(new_rows: DataFrame, target: TableUpdate, spec: Spec,
+                   other_scenario: bool = False) -> DataFrame:
+    """The original's ``LEFT OUTER JOIN`` of new rows with the open rows of the target
+    table (after the closings) on the business key - for the register also on a
+    different scenario.  Nothing is taken from the right side, so a new row is kept
+    once, or once per matching open row when a key holds two or more (decision X6
+    drops this; ``RunParams.reinsert_join`` keeps it).  A plain join, no arrays: AQE
+    can split a hot key on the new rows' side.
+    """
+    keys = list(spec.keys)
+    opened = target.updated.filter(is_open(SYS_END))
+    right = opened.select(*[F.col(k).alias(f"_o_{k}") for k in keys],
+                          F.col(spec.scenario).alias("_o_s") if other_scenario else F.lit(None).alias("_o_s"))
+    cond = [new_rows[k] == right[f"_o_{k}"] for k in keys]
+    if other_scenario:
+        cond.append(new_rows[spec.scenario] != right["_o_s"])
+    return new_rows.join(right, cond, "left").select(*new_rows.columns)
+
+
 def apply_changes(state: State, changes: Changes, params: RunParams | None = None,
                   spec: Spec = DWELLINGS) -> Applied:
     """All closings, then all openings, as three independent table plans."""
@@ -246,8 +265,17 @@ def apply_changes(state: State, changes: Changes, params: RunParams | None = Non
                                 True, spec)
     prt_kept, prt = close_links(state.part_link, changes.deletes, changes.relinks, spec.sub_parent,
                                 False, spec)
+    new_reg = new_register_rows(changes.inserts, spec)
+    new_bld = new_building_rows(changes.inserts, changes.relinks, spec)
+    new_prt = new_part_rows(changes.inserts, changes.relinks, spec)
+    if params is not None and params.reinsert_join:
+        # The relinks' keys are disjoint from the inserts', so joining both kinds of new
+        # rows with the open rows left by the closings equals the statement order.
+        new_reg = _reinsert_join(new_reg, TableUpdate(reg_kept, reg, new_reg), spec, other_scenario=True)
+        new_bld = _reinsert_join(new_bld, TableUpdate(bld_kept, bld, new_bld), spec)
+        new_prt = _reinsert_join(new_prt, TableUpdate(prt_kept, prt, new_prt), spec)
     return Applied(
-        register=TableUpdate(reg_kept, reg, new_register_rows(changes.inserts, spec)),
-        building_link=TableUpdate(bld_kept, bld, new_building_rows(changes.inserts, changes.relinks, spec)),
-        part_link=TableUpdate(prt_kept, prt, new_part_rows(changes.inserts, changes.relinks, spec)),
+        register=TableUpdate(reg_kept, reg, new_reg),
+        building_link=TableUpdate(bld_kept, bld, new_bld),
+        part_link=TableUpdate(prt_kept, prt, new_prt),
     )

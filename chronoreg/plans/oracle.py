@@ -211,16 +211,32 @@ def chain(p: str, params: RunParams, interim: str, reg: str, bld: str, prt: str)
     FROM {p}rel r JOIN {p}prt1 t ON r.dwelling_id = t.dwelling_id AND r.effective_start_date = t.effective_start_date
       AND t.part_of_building_id = r.old_pob_id
     WHERE {is_open('t')} AND (r.part_of_building_id IS NULL OR r.part_of_building_id <> t.part_of_building_id)""")
-    # A6-A10.
+    # A6-A10, with the original's left join of new rows to the open rows when asked for.
+    if params.reinsert_join:
+        def reins(cols: str, src: str, where: str, target: str, theta: str = "") -> str:
+            sel = ", ".join(f"i.{c.strip()}" for c in cols.split(","))
+            return (f"SELECT {sel} FROM {src} i LEFT JOIN (SELECT * FROM {target} WHERE {is_open()}) o "
+                    f"ON i.dwelling_id = o.dwelling_id AND i.effective_start_date = o.effective_start_date"
+                    f"{theta} WHERE {where}")
+        new_reg = reins(REG_COLS, f"{p}ins", "true", f"(SELECT {REG_COLS} FROM {p}reg1)",
+                        " AND i.scenario_no <> o.scenario_no")
+        new_bld = (reins(BLD_COLS, f"{p}ins", "i.part_of_building_id IS NULL", f"(SELECT {BLD_COLS} FROM {p}bld2)")
+                   + "\n  UNION ALL " + reins(BLD_COLS, f"{p}rel", "i.part_of_building_id IS NULL",
+                                              f"(SELECT {BLD_COLS} FROM {p}bld2)"))
+        new_prt = (reins(PRT_COLS, f"{p}ins", "i.part_of_building_id IS NOT NULL",
+                         f"(SELECT {PRT_COLS} FROM {p}prt2)")
+                   + "\n  UNION ALL " + reins(PRT_COLS, f"{p}rel", "i.part_of_building_id IS NOT NULL",
+                                              f"(SELECT {PRT_COLS} FROM {p}prt2)"))
+    else:
+        new_reg = f"SELECT {REG_COLS} FROM {p}ins"
+        new_bld = (f"SELECT {BLD_COLS} FROM {p}ins WHERE part_of_building_id IS NULL\n"
+                   f"  UNION ALL SELECT {BLD_COLS} FROM {p}rel WHERE part_of_building_id IS NULL")
+        new_prt = (f"SELECT {PRT_COLS} FROM {p}ins WHERE part_of_building_id IS NOT NULL\n"
+                   f"  UNION ALL SELECT {PRT_COLS} FROM {p}rel WHERE part_of_building_id IS NOT NULL")
     ctes += [
-        f"""{p}reg_after AS (SELECT {REG_COLS} FROM {p}reg1
-  UNION ALL SELECT {REG_COLS} FROM {p}ins)""",
-        f"""{p}bld_after AS (SELECT {BLD_COLS} FROM {p}bld2
-  UNION ALL SELECT {BLD_COLS} FROM {p}ins WHERE part_of_building_id IS NULL
-  UNION ALL SELECT {BLD_COLS} FROM {p}rel WHERE part_of_building_id IS NULL)""",
-        f"""{p}prt_after AS (SELECT {PRT_COLS} FROM {p}prt2
-  UNION ALL SELECT {PRT_COLS} FROM {p}ins WHERE part_of_building_id IS NOT NULL
-  UNION ALL SELECT {PRT_COLS} FROM {p}rel WHERE part_of_building_id IS NOT NULL)""",
+        f"{p}reg_after AS (SELECT {REG_COLS} FROM {p}reg1\n  UNION ALL {new_reg})",
+        f"{p}bld_after AS (SELECT {BLD_COLS} FROM {p}bld2\n  UNION ALL {new_bld})",
+        f"{p}prt_after AS (SELECT {PRT_COLS} FROM {p}prt2\n  UNION ALL {new_prt})",
         f"""{p}retired AS (SELECT COALESCE(max(CASE WHEN change = 'DELETE' THEN sys_end_date END),
   max(CASE WHEN change = 'UPDATE' THEN sys_end_date END)) AS e FROM {p}dels)""",
     ]
