@@ -181,12 +181,14 @@ def chain(p: str, params: RunParams, interim: str, reg: str, bld: str, prt: str)
   AND {key_in(p + 'dels')} AND {key_in(p + 'ins')} AND {is_open('l')})""",
         f"{p}rel AS (SELECT * FROM {p}d7 UNION ALL SELECT * FROM {p}d8)",
     ]
-    # A1: register rows closed by the staged closing rows (open rows only).
+    # A1: register rows closed by the staged closing rows (open rows only, unless the
+    # original's rewrite of closed rows with the same identity is asked for).
+    a1_scope = "true" if params.close_history else is_open("t")
     ctes += _update_ctes(f"{p}reg1", reg, REG_COLS, f"""
     SELECT t.*, d.effective_end_date AS n_ee, d.sys_end_date AS n_se, d.sys_deleted_ind AS n_di
     FROM {reg} t JOIN {p}dels d ON t.dwelling_id = d.dwelling_id AND t.sys_create_date = d.sys_create_date
       AND t.effective_start_date = d.effective_start_date
-    WHERE {is_open('t')}""")
+    WHERE {a1_scope}""")
     # A2, then A4, on the building links.
     ctes += _update_ctes(f"{p}bld1", bld, BLD_COLS, f"""
     SELECT t.*, d.effective_end_date AS n_ee, d.sys_end_date AS n_se, d.sys_deleted_ind AS n_di

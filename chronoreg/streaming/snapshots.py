@@ -19,7 +19,6 @@ from pyspark.sql.streaming import StreamingQuery
 from chronoreg.functions import round_second
 from chronoreg.model import DWELLINGS, SYS_CREATE, RunParams, Spec, interim_schema, round_to_second
 from chronoreg.plans.publish import RegisterStore, run_and_publish
-from chronoreg.plans.run import staging_root
 from chronoreg.sources.tables import read_interim
 
 MAX_BATCHES_PER_TRIGGER = 1000  # distinct batches one micro-batch may announce
@@ -56,11 +55,14 @@ def start(spark: SparkSession, interim_dir: str, store: RegisterStore, params: R
           available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; ``available_now`` processes what has arrived, then stops.
 
+    The stream's own checkpoint defaults to a folder inside the store, which is shared
+    storage and belongs to exactly one stream.
+
     ``params.run_ts`` is taken as the clock for every batch of the stream unless the
     caller builds a new ``RunParams`` per trigger; the original also takes one reading
     per run.
     """
-    location = checkpoint_location or f"{staging_root(spark)}/snapshot-stream"
+    location = checkpoint_location or f"{store.root}/_stream_checkpoint"
     source = arriving_batches(spark, interim_dir, spec)
     writer = (source.writeStream
               .foreachBatch(lambda df, _epoch: apply_batches(spark, interim_dir, store, params, df, spec))

@@ -77,8 +77,9 @@ def _oracle(snap, reg, bld, prt, params, final):
 @pytest.mark.parametrize("seed", [11, 12, 13, 14])
 @pytest.mark.parametrize("params", [RunParams(version_no=1.0, run_ts=NOW),
                                     RunParams(version_no=1.0, run_ts=NOW, scenarios=(1, 5, 999), batch_filter=False),
-                                    RunParams(version_no=1.0, run_ts=NOW, batch_filter=False, reinsert_join=True)],
-                         ids=["auto", "explicit-allbatches", "reinsert-join"])
+                                    RunParams(version_no=1.0, run_ts=NOW, batch_filter=False, reinsert_join=True),
+                                    RunParams(version_no=1.0, run_ts=NOW, close_history=True)],
+                         ids=["auto", "explicit-allbatches", "reinsert-join", "close-history"])
 def test_random_run_matches_oracle(spark, seed, params):
     snap, reg, bld, prt = _generate(seed)
     res = run(interim(spark, snap), state(spark, reg, bld, prt), params, stage=ParquetStage(spark))
