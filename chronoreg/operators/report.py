@@ -53,9 +53,18 @@ def count_relinks(relinks: DataFrame) -> DataFrame:
     return relinks.agg(F.count(F.lit(1)).alias(COUNT_RELINKS))
 
 
-def count_maintenance(deletes: DataFrame) -> DataFrame:
-    """Closing rows per change kind and effective end."""
-    return (deletes.groupBy(CHANGE, EFF_END)
+def start_bucket(after: str, otherwise: str) -> Column:
+    """the effective start when later than ``after``, else the fixed ``otherwise``."""
+    return (F.when(F.col(EFF_START) > ts(after), F.col(EFF_START))
+            .otherwise(ts(otherwise)).alias("changed_start_date"))
+
+
+def count_maintenance(deletes: DataFrame, bucket: tuple[str, str] | None = None) -> DataFrame:
+    """Closing rows per change kind and effective end (and start bucket, F12)."""
+    keys = [F.col(CHANGE), F.col(EFF_END)]
+    if bucket is not None:
+        keys.append(start_bucket(*bucket))
+    return (deletes.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias(COUNT_MAINTENANCE))
             .orderBy(CHANGE, EFF_END))
 

@@ -159,7 +159,16 @@ class RegisterStore:
 
 def run_and_publish(spark: SparkSession, interim: DataFrame, store: RegisterStore, params: RunParams,
                     mode: str = "dry_run", spec: Spec = DWELLINGS, strict: bool = False,
-                    tag: str | None = None) -> PublishReport:
-    """A whole run against the store's current version, then publish (dry run by default)."""
-    result = run(interim, store.state(), params, spec, ParquetStage(spark))
-    return store.publish(result, mode, strict, tag)
+                    tag: str | None = None, keep_staging: bool = False) -> PublishReport:
+    """A whole run against the store's current version, then publish (dry run by default).
+
+    The run's staging folder is dropped afterwards (the report holds collected rows
+    only), unless ``keep_staging`` asks to keep it for inspection.
+    """
+    stage = ParquetStage(spark)
+    try:
+        result = run(interim, store.state(), params, spec, stage)
+        return store.publish(result, mode, strict, tag)
+    finally:
+        if not keep_staging:
+            stage.drop()

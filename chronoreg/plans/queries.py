@@ -36,6 +36,7 @@ from chronoreg.sources.fixtures import FIXTURE_PARAMS, Inputs, derived_inputs
 from chronoreg.sources.tables import open_rows
 
 P = FIXTURE_PARAMS
+START_BUCKET = ("1995-06-07 00:00:00", "1995-05-24 00:00:00")  # F12 bucket inside the order dates
 EXPLICIT = P.with_(scenarios=(0, 99, 999, 5))
 ALL_BATCHES = P.with_(batch_filter=False)
 SPEC = DWELLINGS
@@ -160,6 +161,8 @@ QUERIES: dict[str, Query] = {
     "count_inserts": lambda s, d: report.count_by_change(_run(s, d)[1].changes.inserts, COUNT_INSERTS),
     "count_relinks": lambda s, d: report.count_relinks(_run(s, d)[1].changes.relinks),
     "count_maintenance": lambda s, d: report.count_maintenance(_run(s, d)[1].changes.deletes),
+    "count_maintenance_by_start": lambda s, d: report.count_maintenance(
+        _run(s, d)[1].changes.deletes, START_BUCKET),
     "count_by_sys_end": _by_sys_end,
     # L1-L4
     "changelog_register": _log_table(SPEC.register_table),
@@ -281,6 +284,11 @@ UNION ALL SELECT dwelling_id, effective_start_date, reg_scenario_no, scenario_no
         "count_relinks": w(f"SELECT count(*) AS {COUNT_RELINKS} FROM rel"),
         "count_maintenance": w(f"SELECT change, effective_end_date, count(*) AS {COUNT_MAINTENANCE} "
                                "FROM dels GROUP BY change, effective_end_date"),
+        "count_maintenance_by_start": w(f"""
+SELECT change, effective_end_date, changed_start_date, count(*) AS {COUNT_MAINTENANCE}
+FROM (SELECT CASE WHEN effective_start_date > TIMESTAMP '{START_BUCKET[0]}' THEN effective_start_date
+                  ELSE TIMESTAMP '{START_BUCKET[1]}' END AS changed_start_date, * FROM dels) d
+GROUP BY change, effective_end_date, changed_start_date"""),
         "count_by_sys_end": w(_counts_by_sys_end()),
         "changelog_register": w(f"SELECT * FROM log WHERE table_name = '{SPEC.register_table}'"),
         "changelog_building": w(f"SELECT * FROM log WHERE table_name = '{SPEC.parent_table}'"),

@@ -99,6 +99,21 @@ class ParquetStage:
         df.write.mode("errorifexists").parquet(path)
         return self.spark.read.parquet(path)
 
+    def drop(self) -> bool:
+        """Delete this run's staging folder (the temporary tables' clean-up).
+
+        Uses the Hadoop FileSystem of the session; where that handle is not available the
+        folder is left for the storage's lifecycle rules.  Call it only when nothing will
+        read the staged frames again.
+        """
+        try:
+            jvm = self.spark._jvm
+            path = jvm.org.apache.hadoop.fs.Path(self.folder)
+            fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            return bool(fs.delete(path, True))
+        except Exception:
+            return False
+
 
 @dataclass(frozen=True)
 class Selection:

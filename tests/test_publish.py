@@ -81,3 +81,17 @@ def test_strict_commit_refuses_a_state_that_breaks_a_rule(spark, scratch_dir):
 
 def test_tables_constant():
     assert pub.TABLES == ("register", "building_link", "part_link")
+
+
+def test_publish_drops_its_staging_folder(spark, scratch_dir):
+    import os
+
+    from chronoreg.plans.run import staging_root
+
+    root = staging_root(spark)
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    store = RegisterStore(spark, scratch_dir)
+    run_and_publish(spark, _snap(spark), store, P, mode="commit")
+    after = set(os.listdir(root)) if os.path.isdir(root) else set()
+    assert {d for d in after - before if d.startswith("run-")} == set()
+    assert store.state().register.count() == 2  # the committed tables do not depend on staging
