@@ -320,11 +320,3 @@ def find_relinks(cands: DataFrame, building_link: DataFrame, part_link: DataFram
                  changed: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
     """Bag union of D7 and D8."""
     return _relink_pairs(cands, building_link, part_link, changed, spec).drop(_KIND)
-
-
-def detect(register: DataFrame, building_link: DataFrame, part_link: DataFrame,
-           cands: DataFrame, scenarios: ScenarioSet, params: RunParams,
-           spec: Spec = DWELLINGS) -> Changes:
-    deletes, inserts = classify(register, cands, scenarios, params, spec)
-    relinks = find_relinks(cands, building_link, part_link, changed_keys(deletes, inserts, spec), spec)
-    return Changes(candidates=cands, deletes=deletes, inserts=inserts, relinks=relinks)

@@ -107,12 +107,16 @@ class RegisterStore:
          .write.mode("overwrite").partitionBy(OPEN_FLAG)
          .parquet(f"{self.root}/{name}/{VERSION}={version}"))
 
-    def committed_tags(self) -> set[str]:
-        """Tags of committed versions (a streaming sink records its batches with them)."""
+    def committed_tags(self, tags: list[str]) -> set[str]:
+        """Which of ``tags`` a committed version already carries (the stream's replays).
+
+        Only the asked-for tags come back to the driver, however many runs exist.
+        """
         commits = self._read(f"{self.root}/_commits")
-        if commits is None or "tag" not in commits.columns:
+        if commits is None or "tag" not in commits.columns or not tags:
             return set()
-        return {r["tag"] for r in commits.select("tag").where(F.col("tag").isNotNull()).collect()}
+        hits = commits.select("tag").where(F.col("tag").isin(list(tags))).distinct()
+        return {r["tag"] for r in hits.collect()}
 
     def publish(self, result: RunResult, mode: str = "dry_run", strict: bool = False,
                 tag: str | None = None) -> PublishReport:

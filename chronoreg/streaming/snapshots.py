@@ -36,11 +36,11 @@ def apply_batches(spark: SparkSession, interim_dir: str, store: RegisterStore, p
     dates = batch_df.distinct().orderBy("batch_ts").limit(MAX_BATCHES_PER_TRIGGER + 1).collect()
     if len(dates) > MAX_BATCHES_PER_TRIGGER:
         raise RuntimeError("too many snapshot batches in one trigger; lower maxFilesPerTrigger")
-    done = store.committed_tags()
+    batches = [round_to_second(row["batch_ts"]) for row in dates]
+    done = store.committed_tags([f"batch:{b}" for b in batches])
     versions = []
     interim = read_interim(spark, interim_dir, spec)
-    for row in dates:
-        batch = round_to_second(row["batch_ts"])
+    for batch in batches:
         tag = f"batch:{batch}"
         if tag in done:
             continue
