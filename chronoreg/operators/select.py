@@ -155,10 +155,15 @@ def candidates_ambiguous(interim: DataFrame, scenarios: ScenarioSet, batch_ts: s
     aggregate before the shuffle, so many copies of one row cost one row per task.
     """
     rows = _selected(interim, scenarios, batch_ts, params, spec, only=params.ambiguous_scenarios)
-    return rows.select(
+    # The grouping includes the snapshot's own flag, which the output then replaces: two
+    # rows that differ only in that flag stay two (the UNION in C3 merges them).
+    grouped = rows.select(
+        spec.entity, spec.scenario, spec.version, spec.sub_parent, EFF_START, EFF_END, SYS_CREATE,
+        SYS_END, F.col(DELETED).alias("_source_flag")).distinct()
+    return grouped.select(
         spec.entity, spec.scenario, spec.version,
         F.lit(AMBIGUOUS_BUILDING_ID).cast("long").alias(spec.parent), spec.sub_parent,
-        EFF_START, EFF_END, SYS_CREATE, SYS_END, F.lit(FLAG_LIVE).alias(DELETED)).distinct()
+        EFF_START, EFF_END, SYS_CREATE, SYS_END, F.lit(FLAG_LIVE).alias(DELETED))
 
 
 def candidates(interim: DataFrame, scenarios: ScenarioSet, batch_ts: str | None,

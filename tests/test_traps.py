@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from chronoreg.model import RunParams
 from chronoreg.operators import checks
+from chronoreg.operators.select import candidates_ambiguous
 from chronoreg.plans.run import run, select
 from chronoreg.sources.tables import empty_state, open_rows
 from helpers import HI, interim, materialise, rows, state
@@ -86,6 +87,11 @@ def test_t12_ambiguous_rows_keep_their_own_system_end(spark):
     res = run(snap, empty_state(spark), P)
     assert rows(res.selection.candidates.select("building_id", "sys_end_date", "sys_deleted_ind")) == {
         (0, "2024-01-05 00:00:00", "N")}
+    assert res.selection.candidates.count() == 1
+    # C2 alone groups on the snapshot's own flag before replacing it: two rows
+    sel = res.selection
+    c2 = candidates_ambiguous(snap, sel.scenarios, sel.batch_ts, P)
+    assert c2.count() == 2 and rows(c2.select("sys_deleted_ind")) == {("N",)}
     assert open_rows(res.state.register).count() == 0
     assert res.state.register.count() == 1
 
