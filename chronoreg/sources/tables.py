@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronoreg.functions import is_open
 from chronoreg.model import (
@@ -31,18 +33,37 @@ class State:
                 "part_link": self.part_link}
 
 
+class SchemaError(ValueError):
+    """A stored table lacks a declared column."""
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read Parquet and check it against the declared schema.
+
+    Missing columns fail at once (the check reads file footers only).  Every column is
+    cast to its declared type; where the stored type already matches, Catalyst drops
+    the cast, so pushdown and pruning are unaffected.  Extra stored columns are ignored.
+    """
+    df = spark.read.parquet(path)
+    stored = {f.name: f.dataType for f in df.schema.fields}
+    missing = [f.name for f in schema.fields if f.name not in stored]
+    if missing:
+        raise SchemaError(f"{path}: missing column(s) {missing}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_interim(spark: SparkSession, path: str, spec: Spec = DWELLINGS) -> DataFrame:
-    """The full snapshot, read with its declared schema (no inference)."""
-    return spark.read.schema(interim_schema(spec)).parquet(path)
+    """The full snapshot, checked against its declared schema (no inference)."""
+    return read_table(spark, path, interim_schema(spec))
 
 
 def read_state(spark: SparkSession, register_path: str, building_path: str, part_path: str,
                spec: Spec = DWELLINGS) -> State:
     """The state tables from plain Parquet directories."""
     return State(
-        register=spark.read.schema(register_schema(spec)).parquet(register_path),
-        building_link=spark.read.schema(parent_link_schema(spec)).parquet(building_path),
-        part_link=spark.read.schema(sub_parent_link_schema(spec)).parquet(part_path),
+        register=read_table(spark, register_path, register_schema(spec)),
+        building_link=read_table(spark, building_path, parent_link_schema(spec)),
+        part_link=read_table(spark, part_path, sub_parent_link_schema(spec)),
     )
 
 

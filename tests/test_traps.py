@@ -142,3 +142,20 @@ def test_deleted_key_closes_register_and_link_with_the_run_clock(spark):
     assert rows(res.state.register.filter("dwelling_id = 1").select("sys_end_date", "sys_deleted_ind")) == {
         (NOW, "Y")}
     assert rows(res.state.part_link.select("sys_end_date", "sys_deleted_ind")) == {(NOW, "Y")}
+
+
+def test_readers_check_and_cast_the_declared_schema(spark, scratch_dir):
+    import os
+
+    import pytest as _pytest
+
+    from chronoreg.sources.tables import SchemaError, read_interim
+
+    snap = interim(spark, [(1, 1, V, 10, None, S0, HI, B2)])
+    wide = snap.withColumn("scenario_no", F.col("scenario_no").cast("long"))
+    wide.write.parquet(os.path.join(scratch_dir, "wide"))
+    back = read_interim(spark, os.path.join(scratch_dir, "wide"))
+    assert dict(back.dtypes)["scenario_no"] == "int" and back.count() == 1
+    snap.drop("version_no").write.parquet(os.path.join(scratch_dir, "short"))
+    with _pytest.raises(SchemaError):
+        read_interim(spark, os.path.join(scratch_dir, "short"))
