@@ -58,11 +58,20 @@ def _key(spark: SparkSession, sf_dir: str, params: RunParams) -> tuple:
     return (session_id(spark), sf_dir, params)
 
 
+def _stage(spark: SparkSession):
+    """Parquet staging under the session's checkpoint folder; a session that names none
+    and is not local runs the queries unstaged (same rows, larger plans)."""
+    try:
+        return ParquetStage(spark)
+    except RuntimeError:
+        return lambda df, name: df
+
+
 def _run(spark: SparkSession, sf_dir: str, params: RunParams = P) -> tuple[Inputs, RunResult]:
     key = _key(spark, sf_dir, params)
     if key not in _RUNS:
         inp = _inputs(spark, sf_dir)
-        _RUNS[key] = (inp, run(inp.interim, inp.state, params, SPEC, ParquetStage(spark)))
+        _RUNS[key] = (inp, run(inp.interim, inp.state, params, SPEC, _stage(spark)))
     return _RUNS[key]
 
 
@@ -73,7 +82,7 @@ def _sel(spark: SparkSession, sf_dir: str, params: RunParams = P) -> tuple[Input
         return inp, res.selection
     if key not in _SELECTIONS:
         inp = _inputs(spark, sf_dir)
-        _SELECTIONS[key] = (inp, select(inp.interim, params, SPEC, ParquetStage(spark)))
+        _SELECTIONS[key] = (inp, select(inp.interim, params, SPEC, _stage(spark)))
     return _SELECTIONS[key]
 
 
@@ -89,7 +98,7 @@ def _touched(df: DataFrame, by: str | None = None) -> DataFrame:
 
 def _rerun_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp, first = _run(spark, sf_dir)
-    second = run(inp.interim, first.state, P, SPEC, ParquetStage(spark))
+    second = run(inp.interim, first.state, P, SPEC, _stage(spark))
     ch = second.changes
     tagged = (ch.deletes.select(F.lit("d").alias("t"))
               .unionByName(ch.inserts.select(F.lit("i").alias("t")))
