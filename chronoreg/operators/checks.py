@@ -14,8 +14,8 @@ from chronoreg.sources.tables import State, open_rows
 def exclusive_links(state: State, spec: Spec = DWELLINGS) -> DataFrame:
     """K1: open building links whose key also has an open part link."""
     keys = list(spec.keys)
-    both = open_rows(state.building_link).select(*keys).join(
-        open_rows(state.part_link).select(*keys), keys, "left_semi")
+    part_keys = open_rows(state.part_link).select(*keys).distinct()  # combined map-side
+    both = open_rows(state.building_link).select(*keys).join(part_keys, keys, "left_semi")
     return both.agg(F.count(F.lit(1)).alias("violations"))
 
 
