@@ -1,10 +1,12 @@
 """DuckDB SQL for every registered query: the independent oracle.
 
-The SQL is written the way the original process reads - scalar subqueries,
-``NOT EXISTS``, ``CONCAT(key) NOT IN (...)``, and the five UPDATE steps applied one
-after another - not the way the Spark plans are built, so the two only agree when the
-Spark operators mean the same thing.  Arbitrary picks of an update-join use the same
-deterministic order as the Spark side (greatest system end, effective end, flag).
+One CTE chain per run, in DuckDB's dialect, evaluated by a different engine: the
+classification with ``NOT EXISTS`` and a plain join, the five closing steps applied one
+after another (each target keeps one matching request, chosen by ``row_number`` in the
+same deterministic order the Spark side uses), and the change log from one conditional
+aggregate.  The Spark plans are built differently (one classification relation, one
+pass per link table, ``max(struct)`` picks), so the two agree only when the Spark
+operators mean the same thing.
 
 Inputs are derived from the ``orders`` view with the same rules as
 ``chronoreg.sources.fixtures``.
@@ -124,8 +126,8 @@ def chain(p: str, params: RunParams, interim: str, reg: str, bld: str, prt: str)
     batch_cond = (f"AND date_trunc('second', sys_create_date + INTERVAL 500 MILLISECOND) = (SELECT b FROM {p}batch)"
                   if params.batch_filter else "")
     run_ts = _ts(params.run_ts)
-    key_in = (lambda rel: f"concat(c.dwelling_id, c.effective_start_date) NOT IN "
-                          f"(SELECT concat(dwelling_id, effective_start_date) FROM {rel})")
+    key_in = (lambda rel: f"NOT EXISTS (SELECT 1 FROM {rel} x WHERE x.dwelling_id = c.dwelling_id "
+                          f"AND x.effective_start_date = c.effective_start_date)")
     ctes = [
         f"{p}scen AS ({scen})",
         f"{p}batch AS (SELECT {batch} AS b)",
@@ -245,26 +247,35 @@ def chain(p: str, params: RunParams, interim: str, reg: str, bld: str, prt: str)
     cd = _ts(params.change_ts)
     tail = (f"CAST(NULL AS VARCHAR) AS source, CAST(NULL AS TIMESTAMP) AS source_from_date, "
             f"CAST(NULL AS TIMESTAMP) AS source_to_date")
-    ctes.append(f"""{p}log AS (
-  SELECT {cd} AS change_date, '{REGISTER_TABLE}' AS table_name, '{PROCESS_NAME}' AS process,
-    (SELECT count(*) FROM {p}ins WHERE change = 'INSERT') AS records_added,
-    (SELECT count(*) FROM {p}ins WHERE change = 'UPDATE') AS records_modified,
-    (SELECT count(*) FROM {p}dels WHERE change = 'DELETE') AS records_retired,
-    (SELECT count(*) FROM {p}reg_after WHERE {is_open()}) AS total_records_after, {tail}
-  UNION ALL
-  SELECT {cd}, '{BUILDING_LINK_TABLE}', '{PROCESS_NAME}',
-    (SELECT count(*) FROM {p}ins WHERE change = 'INSERT' AND part_of_building_id IS NULL),
-    (SELECT count(*) FROM {p}ins WHERE change = 'UPDATE' AND part_of_building_id IS NULL)
-      + (SELECT count(*) FROM {p}rel WHERE part_of_building_id IS NULL),
-    (SELECT count(*) FROM {p}bld_after WHERE sys_end_date = (SELECT e FROM {p}retired)),
-    (SELECT count(*) FROM {p}bld_after WHERE {is_open()}), NULL, NULL, NULL
-  UNION ALL
-  SELECT {cd}, '{PART_LINK_TABLE}', '{PROCESS_NAME}',
-    (SELECT count(*) FROM {p}ins WHERE change = 'INSERT' AND part_of_building_id IS NOT NULL),
-    (SELECT count(*) FROM {p}ins WHERE change = 'UPDATE' AND part_of_building_id IS NOT NULL)
-      + (SELECT count(*) FROM {p}rel WHERE part_of_building_id IS NOT NULL),
-    (SELECT count(*) FROM {p}prt_after WHERE sys_end_date = (SELECT e FROM {p}retired)),
-    (SELECT count(*) FROM {p}prt_after WHERE {is_open()}), NULL, NULL, NULL)""")
+    ctes.append(f"""{p}tally AS (
+  SELECT
+    count(*) FILTER (WHERE src = 'ins' AND change = 'INSERT') AS r_added,
+    count(*) FILTER (WHERE src = 'ins' AND change = 'UPDATE') AS r_modified,
+    count(*) FILTER (WHERE src = 'del' AND change = 'DELETE') AS r_retired,
+    count(*) FILTER (WHERE src = 'reg' AND open) AS r_total,
+    count(*) FILTER (WHERE src = 'ins' AND change = 'INSERT' AND no_part) AS b_added,
+    count(*) FILTER (WHERE (src = 'ins' AND change = 'UPDATE' OR src = 'rel') AND no_part) AS b_modified,
+    count(*) FILTER (WHERE src = 'bld' AND at_retired) AS b_retired,
+    count(*) FILTER (WHERE src = 'bld' AND open) AS b_total,
+    count(*) FILTER (WHERE src = 'ins' AND change = 'INSERT' AND NOT no_part) AS p_added,
+    count(*) FILTER (WHERE (src = 'ins' AND change = 'UPDATE' OR src = 'rel') AND NOT no_part) AS p_modified,
+    count(*) FILTER (WHERE src = 'prt' AND at_retired) AS p_retired,
+    count(*) FILTER (WHERE src = 'prt' AND open) AS p_total
+  FROM (
+    SELECT 'ins' AS src, change, part_of_building_id IS NULL AS no_part, false AS open, false AS at_retired
+      FROM {p}ins
+    UNION ALL SELECT 'del', change, false, false, false FROM {p}dels
+    UNION ALL SELECT 'rel', NULL, part_of_building_id IS NULL, false, false FROM {p}rel
+    UNION ALL SELECT 'reg', NULL, false, {is_open()}, false FROM {p}reg_after
+    UNION ALL SELECT 'bld', NULL, false, {is_open()}, COALESCE(sys_end_date = (SELECT e FROM {p}retired), false)
+      FROM {p}bld_after
+    UNION ALL SELECT 'prt', NULL, false, {is_open()}, COALESCE(sys_end_date = (SELECT e FROM {p}retired), false)
+      FROM {p}prt_after) u)""")
+    rows = [("r", REGISTER_TABLE), ("b", BUILDING_LINK_TABLE), ("p", PART_LINK_TABLE)]
+    ctes.append(f"{p}log AS (" + "\n  UNION ALL ".join(
+        f"SELECT {cd} AS change_date, '{name}' AS table_name, '{PROCESS_NAME}' AS process, "
+        f"{t}_added AS records_added, {t}_modified AS records_modified, {t}_retired AS records_retired, "
+        f"{t}_total AS total_records_after, {tail} FROM {p}tally" for t, name in rows) + ")")
     return ctes
 
 
