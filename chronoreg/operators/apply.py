@@ -49,14 +49,18 @@ BY_RELINK = "relink"
 
 
 def _pick_struct() -> Column:
-    return F.struct(*[F.col(NEW + c).alias(c) for c in SET_COLUMNS], F.col(BY).alias(BY))
+    """The new values as one comparable struct; its max is the deterministic pick."""
+    fields = ", ".join(f"`{NEW}{c}` AS `{c}`" for c in SET_COLUMNS)
+    return F.expr(f"max(struct({fields}, `{BY}` AS `{BY}`))")
 
 
-def _merge(targets: DataFrame, columns: list[str], pick: Column) -> DataFrame:
-    hit = pick.isNotNull()
-    out = [F.when(hit, pick[c]).otherwise(F.col(c)).alias(c) if c in SET_COLUMNS else F.col(c)
-           for c in columns]
-    return targets.select(*out, hit.alias(TOUCHED), pick[BY].alias(BY))
+def _merge(targets: DataFrame, columns: list[str]) -> DataFrame:
+    """Every target column, the set columns taken from ``_pick`` where one matched.
+
+    Written as SQL expressions: one gateway call for the whole projection."""
+    out = [f"CASE WHEN _pick IS NOT NULL THEN _pick.`{c}` ELSE `{c}` END AS `{c}`" if c in SET_COLUMNS
+           else f"`{c}`" for c in columns]
+    return targets.selectExpr(*out, f"_pick IS NOT NULL AS `{TOUCHED}`", f"_pick.`{BY}` AS `{BY}`")
 
 
 def update_from(targets: DataFrame, requests: DataFrame, on: list[tuple[str, str]],
@@ -74,11 +78,10 @@ def update_from(targets: DataFrame, requests: DataFrame, on: list[tuple[str, str
                               *[c for c in requests.columns if c not in {r for _, r in on}])
     if when is None:
         # The pick depends on the key only: reduce the requests per key, then one left join.
-        reduced = renamed.groupBy(*[f"_k{i}" for i in range(len(on))]).agg(
-            F.max(_pick_struct()).alias("_pick"))
+        reduced = renamed.groupBy(*[f"_k{i}" for i in range(len(on))]).agg(_pick_struct().alias("_pick"))
         cond = [F.col(t) == reduced[f"_k{i}"] for i, (t, _) in enumerate(on)]
         joined = targets.join(reduced, cond, "left")
-        return _merge(joined, columns, F.col("_pick"))
+        return _merge(joined, columns)
     # The pick depends on the target row too: find the matching pairs, keep one request per
     # distinct target row (a partial aggregate), and join that back NULL-safely on every
     # column.  Keying the join back on all columns costs one more shuffle of the targets
@@ -88,10 +91,10 @@ def update_from(targets: DataFrame, requests: DataFrame, on: list[tuple[str, str
     cond = [F.col(f"t.{tc}") == renamed[f"_k{i}"] for i, (tc, _) in enumerate(on)]
     hits = t.join(renamed, cond, "inner").filter(when(lambda c: F.col(f"t.{c}"), F.col))
     picks = hits.groupBy(*[F.col(f"t.{c}").alias(f"_t_{c}") for c in columns]).agg(
-        F.max(_pick_struct()).alias("_pick"))
+        _pick_struct().alias("_pick"))
     back = [targets[c].eqNullSafe(picks[f"_t_{c}"]) for c in columns]
     joined = targets.join(picks, back, "left")
-    return _merge(joined, columns, F.col("_pick"))
+    return _merge(joined, columns)
 
 
 # --- requests ------------------------------------------------------------------------
