@@ -128,6 +128,10 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return _SPACE[data]
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 

@@ -6,17 +6,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoreg.llm import common, secrets, topk
+from chronoreg.llm import common, packing, secrets, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_paths() -> tuple[str, str]:
+    """The vocabulary as tokenizer and as ranks."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best partners of each vector whose id is divisible by 100, among all others."""
     vectors = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return packing.pack_documents(common.table(spark, sf_dir, "documents", "doc_id", "text"), *tokenizer_paths())
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.digest(secrets.find_secrets(common.table(spark, sf_dir, "documents", "doc_id", "text")))
@@ -24,6 +36,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
+    "op3_packing": op3_packing,
     "op6_secrets": op6_secrets,
 }
 
