@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from chronoreg.llm import common, packing, secrets, topk
+from chronoreg.llm import common, packing, quality, secrets, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,13 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier keeps, with expected grade and tail probabilities."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train(docs, common.table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+    return quality.score(docs, model).where(F.col("p_good") >= quality.KEEP)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return packing.pack_documents(common.table(spark, sf_dir, "documents", "doc_id", "text"), *tokenizer_paths())
@@ -36,6 +44,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
+    "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op6_secrets": op6_secrets,
 }

@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoreg.llm import common, secrets
+from chronoreg.llm import common, quality, secrets
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are probably toxic or poor go."""
+    model = quality.train(docs, common.table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+    return quality.keep_good(docs, model)
+
+
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark."""
     return secrets.redact_secrets(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("secret_scans", scan_secrets)]
+STAGES: list[tuple[str, Stage]] = [("quality_classifier", classify_quality), ("secret_scans", scan_secrets)]
 
 ORACLE_SQL: str | None = None
 
