@@ -30,10 +30,11 @@ GRADES = 3
 BITS = 18
 TRAIN_ROWS = 12_000
 LEAST_ROWS = 12
-STEPS = 150
+STEPS = 200
 PENALTY = 2e-4
+PULL = 0.3  # holds the thresholds near the shares of the grades
 #: P(grade >= 2) from which a document is kept.
-KEEP = 0.5
+KEEP = 0.6
 
 _SOLID = np.zeros(256, bool)  # letters and digits, and every byte of a character beyond ASCII
 for _low, _high in ((48, 58), (97, 123), (128, 256)):
@@ -53,7 +54,8 @@ class Model:
 def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The distinct hashed features of each row, row by row, and each row's offsets into them.
 
-    A word gives two: itself without what trails its last letter or digit, and that trail.
+    A word gives two: itself without what trails its last letter or digit, and that trail. One more tells the order
+    of magnitude of words that repeat the word before.
     """
     data, offsets = common.buffer(column)
     data = common.lowered(data)
@@ -64,8 +66,12 @@ def _features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     has_core, has_trail = cores > starts, cores < ends
     words = common.span_hashes(data, starts, cores)[has_core]
     trails = ~common.span_hashes(data, cores, ends)[has_trail]
-    slots = (np.concatenate([words, trails]) >> np.uint64(64 - BITS)).astype(np.int64)
-    keys = np.unique((np.concatenate([row[has_core], row[has_trail]]) << BITS) | slots)
+    again = np.flatnonzero((row[1:] == row[:-1]) & (ends - starts == np.roll(ends - starts, -1))[:-1]) if len(row) > 1 else np.zeros(0, np.int64)
+    whole = common.span_hashes(data, starts, ends)
+    again = np.bincount(row[again[whole[again] == whole[again + 1]]], minlength=len(rows) - 1)
+    repeats = common.mix(np.log2(again[again > 0]).astype(np.uint64) + np.uint64(1))
+    slots = (np.concatenate([words, trails, repeats]) >> np.uint64(64 - BITS)).astype(np.int64)
+    keys = np.unique((np.concatenate([row[has_core], row[has_trail], np.flatnonzero(again)]) << BITS) | slots)
     return keys & ((1 << BITS) - 1), np.searchsorted(keys >> BITS, np.arange(len(rows)))
 
 
@@ -83,7 +89,8 @@ def fit(slots: np.ndarray, offsets: np.ndarray, grades: np.ndarray) -> Model:
     share = np.clip(np.bincount(grades, minlength=GRADES).cumsum()[:-1] / n, 1e-3, 1 - 1e-3)
     low = float(np.log(share[0] / (1 - share[0])))
     gap = float(np.log(max(np.log(share[1] / (1 - share[1])) - low, 0.1)))
-    params = np.concatenate([np.zeros(size), [low, gap]])
+    prior = (low, gap)  # so that a text without known words is judged by the share of each grade
+    params = np.concatenate([np.zeros(size), prior])
     first, second = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, STEPS + 1):
         weights, (low, gap) = params[:size], params[size:]
@@ -94,7 +101,7 @@ def fit(slots: np.ndarray, offsets: np.ndarray, grades: np.ndarray) -> Model:
         slope = (1 - above - below) / n  # of the loss by the score
         by_above, by_below = -above * (1 - above) / inside / n, below * (1 - below) / inside / n
         by_cut = [by_above[grades == k].sum() + by_below[grades == k + 1].sum() for k in range(GRADES - 1)]
-        gradient = np.concatenate([np.bincount(col, weights=slope[row], minlength=size) + PENALTY * weights, [sum(by_cut), by_cut[1] * np.exp(gap)]])
+        gradient = np.concatenate([np.bincount(col, weights=slope[row], minlength=size) + PENALTY * weights, [sum(by_cut) + PULL * (low - prior[0]), by_cut[1] * np.exp(gap) + PULL * (gap - prior[1])]])
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         params = params - 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     out = np.zeros(1 << BITS, np.float32)
