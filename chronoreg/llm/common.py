@@ -36,9 +36,17 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_per_id(rows: DataFrame) -> DataFrame:
-    """One row per doc_id; of repeated ids with different texts the least text stays."""
-    return rows.groupBy("doc_id").agg(F.min("text").alias("text"))
+def one_row_each(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with one row for each doc_id: where ids repeat, the least text stays.
+
+    Only the ids that repeat are grouped; where none does, the texts aren't shuffled.
+    """
+    rows = texts(docs)
+    again = rows.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if not again.head(1):
+        return rows
+    twice = rows.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return rows.join(again, "doc_id", "left_anti").union(twice)
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoreg.llm import common, near, packing, quality, secrets, topk
+from chronoreg.llm import common, near, packing, quality, repeats, secrets, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,11 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(common.table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 13-word windows that a smaller document holds."""
+    return repeats.digest(common.table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return near.near_duplicates(common.table(spark, sf_dir, "documents", "doc_id", "text"), similarity=0.85)
@@ -52,6 +57,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op6_secrets": op6_secrets,
+    "op8_repeats": op8_repeats,
     "op9_near": op9_near,
 }
 
