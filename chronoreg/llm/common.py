@@ -120,6 +120,17 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
+    """span_hashes() of every n consecutive bytes."""
+    count = len(data) - n + 1
+    if count <= 0:
+        return np.zeros(0, np.uint64)
+    power, inverse = _power_tables(len(data) + 1)
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=prefix[1:])
+    return mix((prefix[n:] - prefix[:count]) * inverse[:count] + np.uint64(n))
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the offsets of each row into the list of words."""
     if not len(data):

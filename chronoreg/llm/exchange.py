@@ -48,20 +48,25 @@ def _deltas(docs: np.ndarray) -> bytes:
     return bytes([width]) + steps.astype(f"<u{width}").tobytes()
 
 
-def _docs(first: int, raw: bytes) -> np.ndarray:
+def delta_docs(first: int, raw: bytes) -> np.ndarray:
     return first + np.cumsum(np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64))
 
 
-def messages(keys: np.ndarray, docs: np.ndarray, count: int, width: int) -> pa.RecordBatch:
-    """The messages of one slice: `docs` holds the document of each key."""
+def messages(keys: np.ndarray, docs: np.ndarray, count: int, width: int, by: np.ndarray | None = None, extra: np.ndarray | None = None) -> pa.RecordBatch:
+    """The messages of one slice: `docs` holds the document of each key.
+
+    Keys go to buckets by themselves, or by `by`, which equal keys must share; `extra` adds bytes to each key.
+    """
+    by = keys if by is None else by
+    extra = np.zeros((len(keys), 0), np.uint8) if extra is None else extra
     rows: list[tuple] = []
     if len(keys):
         # A key goes to the bucket of its lower bits, its upper bytes are sent.
         order = np.lexsort((docs, keys))
-        keys, docs = keys[order], docs[order]
         fresh = np.ones(len(keys), bool)
-        fresh[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
-        keys, docs = keys[fresh], docs[fresh]
+        fresh[1:] = (np.diff(keys[order]) != 0) | (np.diff(docs[order]) != 0)
+        order = order[fresh]
+        keys, docs, by, extra = keys[order], docs[order], by[order], extra[order]
         head = np.ones(len(keys), bool)
         head[1:] = keys[1:] != keys[:-1]
         shared = head.copy()
@@ -69,11 +74,12 @@ def messages(keys: np.ndarray, docs: np.ndarray, count: int, width: int) -> pa.R
         shared[-1] = False
         kind = np.where(~head, FOLLOWER, np.where(shared, SHARED_LEAD, LEAD))
         # The bucket of a follower follows from its document alone.
-        bucket = np.where(head, (keys % np.uint64(count)).astype(np.int64), docs % count)
+        bucket = np.where(head, (by % np.uint64(count)).astype(np.int64), docs % count)
         order = np.lexsort((docs, kind, bucket))
         keys, docs, kind, bucket = keys[order], docs[order], kind[order], bucket[order]
         edges = np.flatnonzero((np.diff(bucket) != 0) | (np.diff(kind) != 0)) + 1
-        raw = packed(keys, width)
+        raw = np.concatenate([np.frombuffer(packed(keys, width), np.uint8).reshape(-1, width), extra[order]], axis=1).tobytes()
+        width += extra.shape[1]
         for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)], strict=True):
             rows.append((int(bucket[a]), int(kind[a]), int(docs[a]), _deltas(docs[a:b]), raw[a * width : b * width]))
     types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
@@ -104,7 +110,7 @@ def merge(sent: DataFrame, width: int, later: bool) -> DataFrame:
         through_keys, through_docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for batch in batches:
             for _, kind, first, docs, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                key, doc = unpacked(keys, width), _docs(first, docs)
+                key, doc = unpacked(keys, width), delta_docs(first, docs)
                 (through_keys if kind == FOLLOWER else all_keys).append(key)
                 (through_docs if kind == FOLLOWER else all_docs).append(doc)
                 if kind != FOLLOWER:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoreg.llm import common, near, packing, quality, repeats, secrets, topk
+from chronoreg.llm import common, near, packing, quality, repeats, secrets, suffix, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,11 @@ def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(common.table(spark, sf_dir, "documents", "doc_id", "text"), similarity=0.85)
 
 
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that a smaller document holds."""
+    return suffix.digest(common.table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_quality": op2_quality,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op6_secrets": op6_secrets,
     "op8_repeats": op8_repeats,
     "op9_near": op9_near,
+    "op10_suffix": op10_suffix,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_topk": topk.ORACLE}
