@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoreg.llm import common, near, packing, quality, repeats, secrets, suffix, topk
+from chronoreg.llm import common, fingerprint, near, packing, quality, repeats, secrets, suffix, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,11 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.table(spark, sf_dir, "documents", "doc_id", "text"), *tokenizer_paths())
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and of its edited text."""
+    return fingerprint.fingerprints(common.table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.digest(secrets.find_secrets(common.table(spark, sf_dir, "documents", "doc_id", "text")))
@@ -61,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
+    "op4_fingerprints": op4_fingerprints,
     "op6_secrets": op6_secrets,
     "op8_repeats": op8_repeats,
     "op9_near": op9_near,
