@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoreg.llm import common, fingerprint, near, packing, quality, repeats, secrets, suffix, topk
+from chronoreg.llm import common, fingerprint, mixing, near, packing, quality, repeats, secrets, suffix, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,12 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(common.table(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate of every document that brings the domains to their target weights."""
+    docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    return mixing.rates(docs, common.table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 13-word windows that a smaller document holds."""
     return repeats.digest(common.table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -68,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
     "op6_secrets": op6_secrets,
+    "op7_mixing": op7_mixing,
     "op8_repeats": op8_repeats,
     "op9_near": op9_near,
     "op10_suffix": op10_suffix,

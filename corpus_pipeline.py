@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoreg.llm import common, quality, secrets
+from chronoreg.llm import common, mixing, near, packing, quality, queries, secrets
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,8 +22,31 @@ def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return secrets.redact_secrets(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_classifier", classify_quality), ("secret_scans", scan_secrets)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the smallest document stays."""
+    return near.without_near_duplicates(docs)
 
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are kept as often as the rate says that brings the domains to their target weights."""
+    labels = common.table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    return mixing.mixed(docs, mixing.rates(docs, labels))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences of 1024 tokens."""
+    return packing.pack_documents(docs, *queries.tokenizer_paths())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", classify_quality),
+    ("near_dedup", drop_near_duplicates),
+    ("secret_scans", scan_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: No SQL expresses the classifier, the sketches or the packing; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
