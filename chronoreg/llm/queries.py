@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoreg.llm import common, fingerprint, mixing, near, packing, quality, repeats, secrets, suffix, topk
+from chronoreg.llm import common, fingerprint, langid, mixing, near, packing, quality, repeats, secrets, suffix, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,12 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprints(common.table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page."""
+    model = langid.train(common.table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return langid.identify(common.table(spark, sf_dir, "pages", "page_id", "url", "html"), model)
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.digest(secrets.find_secrets(common.table(spark, sf_dir, "documents", "doc_id", "text")))
@@ -73,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op4_fingerprints": op4_fingerprints,
+    "op5_langid": op5_langid,
     "op6_secrets": op6_secrets,
     "op7_mixing": op7_mixing,
     "op8_repeats": op8_repeats,
