@@ -7,9 +7,9 @@ bins, round i serves bin i alone, so that every coordinate is filled for certain
 probability J and their mean is concentrated as if they were independent.
 
 Documents with equal sets stand together as one from the start. Bands of the sketches name buckets. In each bucket
-everyone is first compared with the smallest document, then, with the links found and their components known, only
-pairs from different components are. So a group of thousands of copies costs a comparison or two for each copy, and
-no pair that could still join two components is left out. Pairs are checked on the full sets.
+everyone is first compared with the smallest document. With the links found and their components known, buckets that
+still hold several components are compared as a whole, in blocks, so that no pair that could join two components is
+left out. All comparisons are made on the full sets; only links leave a task.
 
 Defined results: null text, no words: empty set, linked with nothing; fewer words than a shingle: all of them are one;
 repeated rows of a doc_id count once (of different texts the one with the least set stays: fewest shingles, then by the
@@ -34,6 +34,9 @@ SIMILARITY = 0.8
 #: Coordinates of a band, and the chance at most that a pair at the threshold shares no band.
 ROWS = 7
 MISS = 1e-6
+#: Documents of a block, and elements of a matrix's block, where documents of one bucket are compared.
+BLOCK = 1024
+COLUMNS = 8192
 
 
 def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -149,6 +152,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     sketched = common.stage(_sketched(docs, words, bands_for(similarity)))
     same = ["n_shingles", "set_high", "set_low"]
     classes = sketched.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("first"))
+    classes = common.stage(classes)  # so that both sides of the join can be split where a class is large
     members = common.stage(sketched.join(classes, same, "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first"), "set_high", "set_low", "keys"))
     single = members.where("n_shingles > 0 AND first = doc_id")
     banded = single.select("doc_id", "n_shingles", F.explode("keys").alias("key"))
@@ -162,12 +166,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     to_pivot = buckets.where("doc_id > pivot").select("pivot", "doc_id", "n_shingles").distinct().join(pivots, "pivot").where(alike)
     links = common.stage(_linked(to_pivot.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")), sets, similarity))
 
-    labelled = common.stage(_labelled(buckets, components(links)))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key")
-    one = labelled.join(mixed, "key").select("key", F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_pivot"), F.col("component").alias("own"), "pivot")
-    two = labelled.select("key", F.col("doc_id").alias("b"), "n_shingles", "component")
-    crossing = one.join(two, "key").where("a < b AND own <> component AND a <> pivot").where(alike).select("a", "b").distinct()
-    links = common.stage(links.union(_linked(crossing, sets, similarity)))
+    labelled = _labelled(buckets, components(links))
+    links = common.stage(links.union(_linked_across(common.stage(labelled), sets, similarity)))
 
     found = members.select("doc_id", "n_shingles", "first").join(components(links).withColumnRenamed("node", "first"), "first", "left")
     component = F.coalesce("component", "first")
@@ -178,6 +178,51 @@ def _labelled(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return buckets.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
 
 
+def _linked_across(labelled: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links (a, b) between different components within a bucket.
+
+    Copies of a text share most of their buckets, so a bucket with the same documents as another one is left out. The
+    others are cut into blocks of BLOCK documents, and each pair of blocks is compared by one task, which counts all
+    intersections as a product of matrices and returns links alone.
+    """
+    summed = labelled.groupBy("key").agg(
+        F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("documents"),
+        F.min("component").alias("least"), F.max("component").alias("most"),
+    )
+    mixed = common.stage(summed.where("least < most").groupBy("n", "documents").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("n") / BLOCK).alias("blocks")))
+    dealt = labelled.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("blocks")))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = cells.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "component")
+    percent = round(similarity * 100)
+
+    def compare(table: pa.Table) -> pa.Table:
+        docs, component = (np.asarray(table.column(c)) for c in ("doc_id", "component"))
+        shingles = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
+        sizes = np.array([len(x) for x in shingles])
+        both = common_counts(shingles)
+        alike = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+        one, two = np.nonzero(alike & (component[:, None] != component[None, :]) & (docs[:, None] < docs[None, :]))
+        return pa.table({"a": docs[one], "b": docs[two]})
+
+    return cells.join(sets, "doc_id").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets have in common."""
+    values, number, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    shared = count[number] > 1
+    row, number = row[shared], (np.cumsum(count > 1) - 1)[number[shared]]
+    total = np.diag([float(len(x)) for x in sets])
+    off = ~np.eye(len(sets), dtype=bool)
+    for low in range(0, int((count > 1).sum()), COLUMNS):
+        some = (number >= low) & (number < low + COLUMNS)
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[row[some], number[some] - low] = 1
+        total += (held @ held.T) * off
+    return np.rint(total).astype(np.int64)
+
+
 def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """The rows of docs, unchanged, whose document is the one that its component keeps; rows without a doc_id stay."""
     gone = near_duplicates(docs.select("doc_id", "text"), similarity, words).where("NOT kept").select(F.col("doc_id").alias("__gone"))
