@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +80,28 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             at = stop
 
 
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with each text as a zstandard frame, for texts that are shuffled or stored."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for part in slices(batches):
+            data, offsets = buffer(part.column(1))
+            raw = data.tobytes()
+            frames = [compress(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(frames, pa.binary())], ["doc_id", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(kernel, "doc_id long, text binary")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """slices() of rows whose second column is from packed_texts(), with the texts' bytes in it."""
+    decompress = zstandard.ZstdDecompressor().decompress
+    for part in slices(batches, size=SLICE_BYTES // 2):
+        column = pa.array([decompress(x.as_buffer()) for x in part.column(1)], pa.binary())
+        yield pa.RecordBatch.from_arrays([part.column(0), column, *part.columns[2:]], part.schema.names)
+
+
 def buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column without nulls, and each row's offsets into them."""
     column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
@@ -114,10 +137,19 @@ def _power_tables(n: int) -> list[np.ndarray]:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each data[start:end], by prefix sums of a polynomial modulo 2**64."""
-    power, inverse = _power_tables(len(data) + 1)
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=prefix[1:])
-    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    return Spans(data)(starts, ends)
+
+
+class Spans:
+    """span_hashes() of one text buffer for several lists of spans."""
+
+    def __init__(self, data: np.ndarray):
+        power, self._inverse = _power_tables(len(data) + 1)
+        self._prefix = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self._prefix[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self._prefix[ends] - self._prefix[starts]) * self._inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 def byte_grams(data: np.ndarray, n: int) -> np.ndarray:

@@ -41,7 +41,7 @@ def _halves(hashes: np.ndarray, rows: np.ndarray, window: int):
 
 
 def covered_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Candidates (doc_id, text) and, for some of them, (doc_id, keys): hashes of windows that a smaller document holds."""
+    """Candidates (doc_id, packed text) and, for some of them, (doc_id, keys): hashes of windows that a smaller document holds."""
     count = exchange.buckets(docs)
 
     def send_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,7 +51,7 @@ def covered_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, D
             yield exchange.messages(keys, np.asarray(part.column(0))[row], count, _CANDIDATE_BYTES)
 
     def send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.slices(batches):
+        for part in common.unpacked(batches):
             _, _, _, rows, hashes = _words(part.column(1))
             row, keys, first, last = _halves(hashes, rows, window)
             some = exchange.member(row, exchange.cut(keys, _CANDIDATE_BYTES), part.column(2), _CANDIDATE_BYTES)
@@ -60,7 +60,7 @@ def covered_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, D
 
     repeated = exchange.merge(docs.mapInArrow(send_halves, exchange.MESSAGE), _CANDIDATE_BYTES, later=False)
     lists = repeated.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    candidates = common.stage(docs.join(lists, "doc_id").select("doc_id", "text", "keys"))
+    candidates = common.stage(common.packed_texts(docs).join(lists, "doc_id").select("doc_id", "text", "keys"))
     covered = exchange.merge(candidates.mapInArrow(send_windows, exchange.MESSAGE), 8, later=True)
     return candidates.select("doc_id", "text"), covered
 
@@ -79,11 +79,11 @@ def _kept(hashes: np.ndarray, rows: np.ndarray, keys: pa.Array | None, window: i
 
 
 def _cleaned(rows: DataFrame, window: int) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept) of rows (doc_id, text[, keys])."""
+    """(doc_id, n_words, n_removed, kept) of rows (doc_id, text), or with keys of rows (doc_id, packed text, keys)."""
     keyed = "keys" in rows.columns
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.slices(batches):
+        for part in common.unpacked(batches) if keyed else common.slices(batches):
             data, starts, ends, words, hashes = _words(part.column(1))
             kept = _kept(hashes, words, part.column(2) if keyed else None, window)
             raw = data.tobytes()
