@@ -177,14 +177,17 @@ def runs(grams: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tupl
         span *= 2
     if rest := width - span:
         least = np.minimum(least[:-rest], least[rest:])
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: n - window + 1]
-    starts = np.flatnonzero(np.arange(n - window + 1) + window <= offsets[1:][row])
+    whole = np.ones(n - window + 1, bool)
+    for end in offsets[1:-1].tolist():  # windows that begin in one row and end in another
+        whole[max(0, end - window + 1) : end] = False
+    starts = np.flatnonzero(whole)
     if not len(starts):
         return none, none, none, none
     place = (least[starts] & np.uint64((1 << int(bits)) - 1)).astype(np.int64)
     heads = np.flatnonzero(np.concatenate([[True], (np.diff(place) != 0) | (np.diff(starts) != 1)]))
     tails = np.append(heads[1:], len(starts)) - 1
-    return row[starts[heads]], place[heads], starts[heads], starts[tails]
+    first = starts[heads]
+    return np.searchsorted(offsets, first, side="right") - 1, place[heads], first, starts[tails]
 
 
 def ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

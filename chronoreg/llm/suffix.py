@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ from chronoreg.llm import common, exchange
 WINDOW = 50
 #: Bytes that the multikey quicksort looks at; a multiple of eight.
 SHALLOW = 16
+_PART_BYTES = 1 << 18
 _CANDIDATE_BYTES = 6
 _KEY_BYTES = 8
 _ANSWER_BYTES = 12  # a run's key, and a bit for each of its windows that is covered
@@ -35,28 +37,45 @@ _ALL, _ASK = 0xFFFFFFFF, 0
 _SENT = "bucket int, docs binary, keys binary, sizes binary, data binary"
 
 
-class _Runs:
-    """The runs of one slice of texts."""
+def _found(column: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, gram's hash, gram's place, first window, last window) of each run of a slice of texts.
+
+    Places are in the slice's bytes.  Rows are taken a few at a time, so that the arrays stay in the processor's cache.
+    """
+    data, offsets = common.buffer(column)
+    gram = (window + 1) // 2
+    parts, at = [], 0
+    while at < len(offsets) - 1:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _PART_BYTES, side="right")) - 1)
+        own = offsets[at : to + 1] - offsets[at]
+        grams = common.byte_grams(data[offsets[at] : offsets[to]], gram)
+        row, place, first, last = exchange.runs(grams, own, window, gram)
+        parts.append((row + at, grams[place] if len(place) else np.zeros(0, np.uint64), *(x + offsets[at] for x in (place, first, last))))
+        at = to
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
-    def __init__(self, column: pa.Array, window: int):
-        self.data, self.offsets = common.buffer(column)
-        gram = (window + 1) // 2
-        grams = common.byte_grams(self.data, gram)
-        self.row, place, self.first, self.last = exchange.runs(grams, self.offsets, window, gram)
-        self.gram = grams[place] if len(place) else np.zeros(0, np.uint64)
-        self._window = window
 
-    def chosen(self, some: np.ndarray) -> None:
-        self.row, self.first, self.last, self.gram = self.row[some], self.first[some], self.last[some], self.gram[some]
-        self.ends = self.last + self._window
-        self.key = common.span_hashes(self.data, self.first, self.ends) if len(self.row) else np.zeros(0, np.uint64)
+_RUN = np.dtype([("first", "<u4"), ("place", "u1"), ("last", "u1")])
 
 
-def _candidates(part: pa.RecordBatch, window: int) -> _Runs:
-    """The runs of a slice of candidates (doc_id, text, keys) whose grams other documents share."""
-    found = _Runs(part.column(1), window)
-    found.chosen(exchange.member(found.row, exchange.cut(found.gram, _CANDIDATE_BYTES), part.column(2), _CANDIDATE_BYTES))
-    return found
+class _Runs:
+    """The runs that a slice of candidates (doc_id, text, runs) names, a packed list for each row."""
+
+    def __init__(self, part: pa.RecordBatch, window: int):
+        self.data, self.offsets = common.buffer(part.column(1))
+        lists = part.column(2)
+        sizes = [len(x.as_buffer()) // _RUN.itemsize for x in lists]
+        runs = np.frombuffer(b"".join(x.as_py() for x in lists), _RUN)
+        self.row = np.repeat(np.arange(len(lists)), sizes)
+        self.first = runs["first"].astype(np.int64) + self.offsets[self.row]
+        self.place, self.last = self.first + runs["place"], self.first + runs["last"]
+        self.ends = self.last + window
+        self.hashed = common.Spans(self.data)
+        self.key = self.hashed(self.first, self.ends)
+        self._gram = (window + 1) // 2
+
+    def grams(self, some=slice(None)) -> np.ndarray:
+        return self.hashed(self.place[some], self.place[some] + self._gram)
 
 
 def _judge(sent: DataFrame) -> DataFrame:
@@ -117,12 +136,12 @@ def _answered(found: _Runs, lists: pa.Array) -> np.ndarray:
 
 def _send_runs(batches: Iterator[pa.RecordBatch], window: int, count: int) -> Iterator[pa.RecordBatch]:
     """The text of each run that is to be compared, once for each document."""
-    for part in common.slices(batches):
-        found = _candidates(part, window)
+    for part in common.unpacked(batches):
+        found = _Runs(part, window)
         asked = np.flatnonzero((_answered(found, part.column(3)) == _ASK) & found.named)
         _, one = np.unique(np.stack([found.row[asked].astype(np.uint64), found.key[asked]], axis=1), axis=0, return_index=True)
         asked = asked[one]
-        bucket = (found.gram[asked] % np.uint64(count)).astype(np.int32)
+        bucket = (found.grams(asked) % np.uint64(count)).astype(np.int32)
         asked = asked[np.argsort(bucket, kind="stable")]
         bucket = np.sort(bucket)
         docs = np.asarray(part.column(0))[found.row[asked]]
@@ -214,6 +233,10 @@ def sorted_groups(text: np.ndarray, suffixes: np.ndarray, window: int, shallow:
         if len(group) == 1:
             yield group.tolist()
             continue
+        if len(group) == 2:
+            one, two = (raw[x : x + window] for x in group.tolist())
+            yield from [group.tolist()] if one == two else [[x] for x in (group if one < two else group[::-1]).tolist()]
+            continue
         trie = BlindTrie(raw, window)
         for suffix in group.tolist():
             trie.add(suffix)
@@ -246,7 +269,7 @@ def _compare(sent: DataFrame, window: int) -> DataFrame:
 
 def _covered(part: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The slice's bytes, each row's offsets, and whether each byte is covered."""
-    found = _candidates(part, window)
+    found = _Runs(part, window)
     masks = _answered(found, part.column(3))
     some = masks > 0
     starts, which = exchange.ranges(found.first[some], found.last[some])
@@ -268,17 +291,31 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def send_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.slices(batches):
-            found = _Runs(part.column(1), window)
-            yield exchange.messages(found.gram, np.asarray(part.column(0))[found.row], count, _CANDIDATE_BYTES)
+            row, grams, *_ = _found(part.column(1), window)
+            yield exchange.messages(grams, np.asarray(part.column(0))[row], count, _CANDIDATE_BYTES)
+
+    def name_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for part in common.unpacked(batches):
+            row, grams, place, first, last = _found(part.column(1), window)
+            some = exchange.member(row, exchange.cut(grams, _CANDIDATE_BYTES), part.column(2), _CANDIDATE_BYTES)
+            row, place, first, last = row[some], place[some], first[some], last[some]
+            runs = np.zeros(len(row), _RUN)
+            runs["first"], runs["place"], runs["last"] = first - common.buffer(part.column(1))[1][row], place - first, last - first
+            edges = np.searchsorted(row, np.arange(part.num_rows + 1)).tolist()
+            lists = [runs[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)]
+            frames = [compress(x.as_buffer()) for x in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(frames, pa.binary()), pa.array(lists, pa.binary())], ["doc_id", "text", "runs"])
 
     def send_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.slices(batches):
-            found = _candidates(part, window)
-            extra = np.frombuffer(exchange.packed(found.gram, 6), np.uint8).reshape(-1, 6)
-            yield exchange.messages(found.key, np.asarray(part.column(0))[found.row], count, _KEY_BYTES, by=found.gram, extra=extra)
+        for part in common.unpacked(batches):
+            found = _Runs(part, window)
+            grams = found.grams()
+            extra = np.frombuffer(exchange.packed(grams, 6), np.uint8).reshape(-1, 6)
+            yield exchange.messages(found.key, np.asarray(part.column(0))[found.row], count, _KEY_BYTES, by=grams, extra=extra)
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.slices(batches):
+        for part in common.unpacked(batches):
             data, offsets, gone = _covered(part, window)
             first = gone.copy()
             first[1:] &= ~gone[:-1]
@@ -293,7 +330,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     lists = lambda rows: rows.groupBy("doc_id").agg(F.collect_list("keys").alias("answers"))
     shared = exchange.merge(docs.mapInArrow(send_grams, exchange.MESSAGE), _CANDIDATE_BYTES, later=False)
-    candidates = common.stage(docs.join(lists(shared).withColumnRenamed("answers", "keys"), "doc_id").select("doc_id", "text", "keys"))
+    named = common.packed_texts(docs).join(lists(shared), "doc_id").mapInArrow(name_runs, "doc_id long, text binary, runs binary")
+    candidates = common.stage(named)
     judged = common.stage(_judge(candidates.mapInArrow(send_keys, exchange.MESSAGE)))
     sent = candidates.join(lists(judged), "doc_id").mapInArrow(lambda b: _send_runs(b, window, count), _SENT)
     compared = _compare(sent, window)
