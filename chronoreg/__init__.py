@@ -6,7 +6,6 @@ Layout:
     sources     snapshot/state readers and the inputs derived from the test tables
     operators   select, diff, apply, report, checks
     plans       a whole run, the versioned publish, registered queries and their oracle SQL
-    streaming   running the change set for every snapshot that arrives
 """
 
 from chronoreg.model import DWELLINGS, RunParams, Spec

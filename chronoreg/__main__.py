@@ -28,15 +28,18 @@ from chronoreg.sources.tables import read_interim
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="chronoreg", description=__doc__.splitlines()[0])
-    p.add_argument("--interim", required=True, help="folder of the snapshot (Parquet)")
+    p.add_argument("--interim", help="folder of the snapshot (Parquet)")
     p.add_argument("--store", required=True, help="root folder of the versioned store")
-    p.add_argument("--version", required=True, type=float, help="version_no to load")
+    p.add_argument("--version", type=float, help="version_no to load")
+    p.add_argument("--recent", action="store_true", help="print the stored change-log rows of the last hours and end")
+    p.add_argument("--purge-test-rows", action="store_true", help="delete the manual test's rows (with --mode commit) and end")
     p.add_argument("--scenarios", default="", help="comma-separated scenario list; empty = automatic")
-    p.add_argument("--batch-ts", default=None, help="batch sys_create_date; empty = latest")
+    p.add_argument("--batch-ts", default=None, help="batch sys_create_date; empty = each scenario's latest")
     p.add_argument("--no-batch-filter", action="store_true", help="take every batch of the version")
     p.add_argument("--run-ts", default=None, help="clock for deletes; default: now")
     p.add_argument("--change-ts", default=None, help="clock for the change log; default: run clock")
     p.add_argument("--mode", choices=("dry_run", "commit"), default="dry_run")
+    p.add_argument("--reinsert-join", action="store_true", help="multiply new rows by the open rows of their key, as the original does")
     p.add_argument("--strict", action="store_true", help="refuse to commit a state that breaks a rule")
     return p
 
@@ -50,17 +53,30 @@ def params_from(args: argparse.Namespace) -> RunParams:
         batch_ts=args.batch_ts or None,
         batch_filter=not args.no_batch_filter,
         change_ts=args.change_ts,
+        reinsert_join=args.reinsert_join,
     )
 
 
+def _plain(row: dict) -> dict:
+    return {k: (v.isoformat(sep=" ") if hasattr(v, "isoformat") else v) for k, v in row.items()}
+
+
 def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName("chronoreg").getOrCreate()
-    report = run_and_publish(spark, read_interim(spark, args.interim), RegisterStore(spark, args.store),
-                             params_from(args), mode=args.mode, strict=args.strict)
-    out = {"mode": report.mode, "version": report.version, "violations": report.violations,
-           "changelog": [{k: (v.isoformat(sep=" ") if hasattr(v, "isoformat") else v) for k, v in r.items()}
-                         for r in report.changelog]}
+    store = RegisterStore(spark, args.store)
+    now = args.run_ts or round_to_second(datetime.now())
+    if args.recent:
+        out = {"changelog": [_plain(r.asDict()) for r in store.recent_changes(now).collect()]}
+    elif args.purge_test_rows:
+        out = {"mode": args.mode, "purged": store.purge_test_rows(now, args.mode)}
+    elif args.interim is None or args.version is None:
+        raise SystemExit("--interim and --version are needed for a run")
+    else:
+        report = run_and_publish(spark, read_interim(spark, args.interim), store, params_from(args), mode=args.mode,
+                                 strict=args.strict)
+        out = {"mode": report.mode, "version": report.version, "counts": report.counts,
+               "violations": report.violations, "changelog": [_plain(r) for r in report.changelog]}
     print(json.dumps(out))
     return out
 

@@ -38,6 +38,8 @@ COUNT_DELETES = "dwell_deletes"
 COUNT_INSERTS = "dwell_inserts"
 COUNT_RELINKS = "PoB_changes"
 COUNT_MAINTENANCE = "dwell_deletes_maintenance"
+LOG_COLUMNS = ("change_date", "table_name", "process", "records_added", "records_modified", "records_retired",
+               "total_records_after", "source", "source_from_date", "source_to_date")  # of the change log, in order
 # -------------------------------------------------------------------------------
 
 # Temporal and staging column names shared by every table.
@@ -93,17 +95,6 @@ class Spec:
     def sub_parent_link_columns(self) -> tuple[str, ...]:
         return (self.entity, self.sub_parent) + TEMPORAL
 
-    @property
-    def staged_close_columns(self) -> tuple[str, ...]:
-        """Columns of the closing side of the change set (deletes and updates)."""
-        return (self.entity, self.parent, self.sub_parent, self.scenario,
-                EFF_START, EFF_END, SYS_CREATE, SYS_END, DELETED, CHANGE)
-
-    @property
-    def relink_columns(self) -> tuple[str, ...]:
-        return (self.entity, OLD_PART, self.sub_parent, self.parent,
-                EFF_START, EFF_END, SYS_CREATE, SYS_END, DELETED)
-
 
 DWELLINGS = Spec()
 
@@ -156,16 +147,8 @@ def sub_parent_link_schema(spec: Spec = DWELLINGS) -> T.StructType:
 
 
 CHANGELOG_SCHEMA = T.StructType([
-    T.StructField("change_date", _TS),
-    T.StructField("table_name", T.StringType()),
-    T.StructField("process", T.StringType()),
-    T.StructField("records_added", T.LongType()),
-    T.StructField("records_modified", T.LongType()),
-    T.StructField("records_retired", T.LongType()),
-    T.StructField("total_records_after", T.LongType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("source_from_date", _TS),
-    T.StructField("source_to_date", _TS),
+    T.StructField(name, kind) for name, kind in zip(
+        LOG_COLUMNS, (_TS, T.StringType(), T.StringType(), *[T.LongType()] * 4, T.StringType(), _TS, _TS), strict=True)
 ])
 
 
@@ -193,12 +176,11 @@ class RunParams:
     version_no: float
     run_ts: str
     scenarios: tuple[int, ...] = ()  # explicit list; empty = automatic selection
-    batch_ts: str | None = None  # explicit batch; None = latest in the interim
-    batch_filter: bool = True  # restrict candidates to the chosen batch
+    batch_ts: str | None = None  # explicit batch; None = the latest of each scenario
+    batch_filter: bool = True  # restrict candidates to the chosen batches
     change_ts: str | None = None
     excluded_scenarios: tuple[int, ...] = (EXCLUDED_SCENARIO,)
     ambiguous_scenarios: tuple[int, ...] = (AMBIGUOUS_SCENARIO,)
-    max_inline_scenarios: int = 10_000  # beyond this the list stays a DataFrame
     close_history: bool = False  # also rewrite closed register rows sharing an identity
     reinsert_join: bool = False  # multiply new rows by the open rows they meet (see apply)
 

@@ -13,15 +13,15 @@ running the statements one after the other.
 When several request rows match one target row, the original picks an arbitrary one.
 Here the pick is deterministic: the greatest (system end, effective end, flag) tuple,
 computed as ``max(struct(...))`` - a partial aggregate, so a hot key is combined on the
-map side before it is shuffled.
+map side before it is shuffled.  Targets whose key no request names skip all that.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronoreg.functions import is_open, second_before
@@ -48,53 +48,49 @@ BY_CHANGE = "change"
 BY_RELINK = "relink"
 
 
-def _pick_struct() -> Column:
+WAS_END = "_was_sys_end"
+
+
+def _pick(alias: str = "") -> str:
     """The new values as one comparable struct; its max is the deterministic pick."""
-    fields = ", ".join(f"`{NEW}{c}` AS `{c}`" for c in SET_COLUMNS)
-    return F.expr(f"max(struct({fields}, `{BY}` AS `{BY}`))")
+    fields = ", ".join(f"{alias}`{NEW}{c}` AS `{c}`" for c in SET_COLUMNS)
+    return f"struct({fields}, {alias}`{BY}` AS `{BY}`)"
 
 
 def _merge(targets: DataFrame, columns: list[str]) -> DataFrame:
-    """Every target column, the set columns taken from ``_pick`` where one matched.
+    """Every target column, the set columns taken from ``_pick`` where one matched, plus
+    ``_touched``, ``_by`` and the system end before.
 
     Written as SQL expressions: one gateway call for the whole projection."""
     out = [f"CASE WHEN _pick IS NOT NULL THEN _pick.`{c}` ELSE `{c}` END AS `{c}`" if c in SET_COLUMNS
            else f"`{c}`" for c in columns]
-    return targets.selectExpr(*out, f"_pick IS NOT NULL AS `{TOUCHED}`", f"_pick.`{BY}` AS `{BY}`")
+    return targets.selectExpr(*out, f"_pick IS NOT NULL AS `{TOUCHED}`", f"_pick.`{BY}` AS `{BY}`",
+                              f"`{SYS_END}` AS `{WAS_END}`")
+
+
+def _untouched(targets: DataFrame) -> DataFrame:
+    return targets.selectExpr("*", f"false AS `{TOUCHED}`", f"CAST(NULL AS STRING) AS `{BY}`",
+                              f"`{SYS_END}` AS `{WAS_END}`")
+
 
+def _split(targets: DataFrame, requests: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(targets whose key a request names, the others).
 
-def update_from(targets: DataFrame, requests: DataFrame, on: list[tuple[str, str]],
-                when=None) -> DataFrame:
-    """``UPDATE t SET <SET_COLUMNS> FROM requests r JOIN targets t ON <on> [WHERE when]``.
+    A semi and an anti join on the distinct request keys read the same shuffled targets, and only the named rows go
+    through the pick."""
+    named = requests.select(*keys).distinct()
+    return targets.join(named, keys, "left_semi"), targets.join(named, keys, "left_anti")
 
-    ``requests`` carries ``new_<col>`` for each set column, ``_by`` (a tag reported in
-    the result) and, when ``when`` is given, ``req_*`` attributes that ``when(t, r)``
-    compares with the target.  ``on`` pairs target and request columns.
-    Returns every target row with the set columns replaced where matched, plus
-    ``_touched`` and ``_by``.
+
+def update_from(targets: DataFrame, requests: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``UPDATE t SET <SET_COLUMNS> FROM requests r JOIN targets t ON <keys>``.
+
+    ``requests`` carries the keys, ``new_<col>`` for each set column and ``_by`` (a tag reported in the result).
+    Returns (named targets with the set columns replaced, the other targets).
     """
-    columns = targets.columns
-    renamed = requests.select(*[F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(on)],
-                              *[c for c in requests.columns if c not in {r for _, r in on}])
-    if when is None:
-        # The pick depends on the key only: reduce the requests per key, then one left join.
-        reduced = renamed.groupBy(*[f"_k{i}" for i in range(len(on))]).agg(_pick_struct().alias("_pick"))
-        cond = [F.col(t) == reduced[f"_k{i}"] for i, (t, _) in enumerate(on)]
-        joined = targets.join(reduced, cond, "left")
-        return _merge(joined, columns)
-    # The pick depends on the target row too: find the matching pairs, keep one request per
-    # distinct target row (a partial aggregate), and join that back NULL-safely on every
-    # column.  Keying the join back on all columns costs one more shuffle of the targets
-    # than keying it on ``on``, but stays linear when one key holds many distinct rows
-    # (a key-only join back would compare every such row with every pick of its key).
-    t = targets.alias("t")
-    cond = [F.col(f"t.{tc}") == renamed[f"_k{i}"] for i, (tc, _) in enumerate(on)]
-    hits = t.join(renamed, cond, "inner").filter(when(lambda c: F.col(f"t.{c}"), F.col))
-    picks = hits.groupBy(*[F.col(f"t.{c}").alias(f"_t_{c}") for c in columns]).agg(
-        _pick_struct().alias("_pick"))
-    back = [targets[c].eqNullSafe(picks[f"_t_{c}"]) for c in columns]
-    joined = targets.join(picks, back, "left")
-    return _merge(joined, columns)
+    named, others = _split(targets, requests, keys)
+    reduced = requests.groupBy(*keys).agg(F.expr(f"max({_pick()})").alias("_pick"))
+    return _merge(named.join(reduced, keys), targets.columns).select(*targets.columns, TOUCHED, BY, WAS_END), others
 
 
 # --- requests ------------------------------------------------------------------------
@@ -141,13 +137,38 @@ def link_close_requests(deletes: DataFrame, relinks: DataFrame, link: str, paren
     return by_change.unionByName(by_relink)
 
 
-def _link_predicate(link: str):
-    def when(t, r):
-        differs = ((r(REQ + "link") != t(link)) | (r(REQ + EFF_END) != t(EFF_END))
-                   | (r(REQ + SYS_END) != t(SYS_END)))
-        return (((r(BY) == BY_CHANGE) & differs)
-                | ((r(BY) == BY_RELINK) & (r(REQ + "match") == t(link))))
-    return when
+def _differs(link: str, top: str = "") -> str:
+    """A request by change differs from the link row in link id, effective end or system end (true, not unknown)."""
+    pairs = ((f"{REQ}link", link), (REQ + EFF_END, EFF_END), (REQ + SYS_END, SYS_END))
+    return "coalesce(" + " OR ".join(f"({top}`{r}` != `{t}`)" for r, t in pairs) + ", false)"
+
+
+def _close_named(named: DataFrame, requests: DataFrame, link: str, keys: list[str]) -> DataFrame:
+    """The pick for each named link row, without pairing a key's rows with all of its requests.
+
+    By relink: one reduced request per key and link id.  By change: the key's greatest request, where it differs
+    from the row.  Only rows that it equals in every compared value look at the key's other requests, and of these
+    rows one per distinct combination does.
+    """
+    columns = named.columns
+    change = requests.filter(F.col(BY) == BY_CHANGE)
+    relink = (requests.filter(F.col(BY) == BY_RELINK).groupBy(*keys, F.col(REQ + "match").alias(link))
+              .agg(F.expr(f"max({_pick()})").alias("_relink")))
+    asked = [REQ + "link", REQ + EFF_END, REQ + SYS_END]
+    fields = ", ".join(f"`{c}`" for c in asked)
+    top = change.groupBy(*keys).agg(F.expr(f"max(struct({_pick()} AS pick, {fields}))").alias("_top"))
+    rows = named.join(top, keys, "left").join(relink, [*keys, link], "left").selectExpr(
+        *[f"`{c}`" for c in columns], "_relink", "_top",
+        f"CASE WHEN {_differs(link, '_top.')} THEN _top.pick END AS _change")
+    compared = [link, EFF_END, SYS_END]
+    # Whether a row must look further follows from its key and its compared values alone.
+    equal = rows.filter("_change IS NULL AND _top IS NOT NULL").select(*keys, *compared).distinct()
+    others = change.groupBy(*keys, *asked).agg(F.expr(f"max({_pick()})").alias("_next"))
+    further = (equal.join(others, keys).filter(_differs(link)).groupBy(*keys, *compared)
+               .agg(F.max("_next").alias("_next")))
+    found = further.select(*[F.col(c).alias(f"_k_{c}") for c in (*keys, *compared)], "_next")
+    matched = rows.join(found, [rows[c].eqNullSafe(found[f"_k_{c}"]) for c in (*keys, *compared)], "left")
+    return _merge(matched.withColumn("_pick", F.greatest("_change", "_next", "_relink")), columns)
 
 
 # --- steps ---------------------------------------------------------------------------
@@ -161,21 +182,27 @@ def split_open(table: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @dataclass(frozen=True)
 class TableUpdate:
-    """One table after a run, in the three parts a store needs.
+    """One table after a run, in the parts a store needs.
 
-    ``kept``: closed rows, passed through untouched (``None`` when the whole table was
-    a target); ``updated``: the targets after closing, with ``_touched``/``_by``;
-    ``inserted``: the opening rows.
+    ``kept``: closed rows, passed through untouched (``None`` when the whole table was a target); ``others``: targets
+    whose key no request names, as they were; ``named``: targets whose key one names, after closing, with
+    ``_touched``, ``_by`` and ``_was_sys_end``; ``inserted``: the opening rows.
     """
 
     kept: DataFrame | None
-    updated: DataFrame
+    others: DataFrame
+    named: DataFrame
     inserted: DataFrame
 
+    @cached_property
+    def updated(self) -> DataFrame:
+        """All targets after closing."""
+        return self.named.unionByName(_untouched(self.others))
+
     @cached_property
     def rewritten(self) -> DataFrame:
         """Rows a versioned store writes for this run (targets and new rows)."""
-        return self.updated.drop(TOUCHED, BY).unionByName(self.inserted)
+        return self.others.unionByName(self.named.drop(TOUCHED, BY, WAS_END)).unionByName(self.inserted)
 
     @cached_property
     def after(self) -> DataFrame:
@@ -184,29 +211,29 @@ class TableUpdate:
 
 
 def close_register(register: DataFrame, deletes: DataFrame, params: RunParams | None = None,
-                   spec: Spec = DWELLINGS) -> tuple[DataFrame | None, DataFrame]:
+                   spec: Spec = DWELLINGS) -> tuple[DataFrame | None, DataFrame, DataFrame]:
     """A1: close the register rows matched by (entity, system create, start).
 
     Only open rows are targets unless ``params.close_history`` asks for the original's
     behaviour of also rewriting closed rows with the same identity.
-    Returns (kept closed rows, updated targets).
+    Returns (kept closed rows, named targets, other targets).
     """
     keys = [spec.entity, SYS_CREATE, EFF_START]
     requests = register_close_requests(deletes, spec)
     if params is not None and params.close_history:
-        return None, update_from(register, requests, list(zip(keys, keys)))
+        return None, *update_from(register, requests, keys)
     open_, closed = split_open(register)
-    return closed, update_from(open_, requests, list(zip(keys, keys)))
+    return closed, *update_from(open_, requests, keys)
 
 
 def close_links(link_table: DataFrame, deletes: DataFrame, relinks: DataFrame, link: str,
-                parent_side: bool, spec: Spec = DWELLINGS) -> tuple[DataFrame, DataFrame]:
+                parent_side: bool, spec: Spec = DWELLINGS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A2+A4 or A3+A5 on one link table; only open link rows are targets."""
+    keys = [spec.entity, EFF_START]
     open_, closed = split_open(link_table)
     requests = link_close_requests(deletes, relinks, link, parent_side, spec)
-    updated = update_from(open_, requests, [(spec.entity, spec.entity), (EFF_START, EFF_START)],
-                          when=_link_predicate(link))
-    return closed, updated
+    named, others = _split(open_, requests, keys)
+    return closed, _close_named(named, requests, link, keys), others
 
 
 def new_register_rows(inserts: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
@@ -260,25 +287,30 @@ def _reinsert_join(new_rows: DataFrame, target: TableUpdate, spec: Spec,
     return new_rows.join(right, cond, "left").select(*new_rows.columns)
 
 
-def apply_changes(state: State, changes: Changes, params: RunParams | None = None,
-                  spec: Spec = DWELLINGS) -> Applied:
-    """All closings, then all openings, as three independent table plans."""
-    reg_kept, reg = close_register(state.register, changes.deletes, params, spec)
-    bld_kept, bld = close_links(state.building_link, changes.deletes, changes.relinks, spec.parent,
-                                True, spec)
-    prt_kept, prt = close_links(state.part_link, changes.deletes, changes.relinks, spec.sub_parent,
-                                False, spec)
-    new_reg = new_register_rows(changes.inserts, spec)
-    new_bld = new_building_rows(changes.inserts, changes.relinks, spec)
-    new_prt = new_part_rows(changes.inserts, changes.relinks, spec)
-    if params is not None and params.reinsert_join:
-        # The relinks' keys are disjoint from the inserts', so joining both kinds of new
-        # rows with the open rows left by the closings equals the statement order.
-        new_reg = _reinsert_join(new_reg, TableUpdate(reg_kept, reg, new_reg), spec, other_scenario=True)
-        new_bld = _reinsert_join(new_bld, TableUpdate(bld_kept, bld, new_bld), spec)
-        new_prt = _reinsert_join(new_prt, TableUpdate(prt_kept, prt, new_prt), spec)
-    return Applied(
-        register=TableUpdate(reg_kept, reg, new_reg),
-        building_link=TableUpdate(bld_kept, bld, new_bld),
-        part_link=TableUpdate(prt_kept, prt, new_prt),
-    )
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def _reinserted(update: TableUpdate, params: RunParams | None, spec: Spec, other_scenario: bool = False) -> TableUpdate:
+    """The relinks' keys are disjoint from the inserts', so joining both kinds of new rows with the open rows left by
+    the closings equals the original's statement order."""
+    if params is None or not params.reinsert_join:
+        return update
+    return replace(update, inserted=_reinsert_join(update.inserted, update, spec, other_scenario))
+
+
+def update_register(register: DataFrame, deletes: DataFrame, inserts: DataFrame, params: RunParams | None = None,
+                    spec: Spec = DWELLINGS, stage=_as_is) -> TableUpdate:
+    """A1 and A6.  ``stage`` stores the named rows: what the run touches, however large the table is."""
+    kept, named, others = close_register(register, deletes, params, spec)
+    update = TableUpdate(kept, others, stage(named, "named_register"), new_register_rows(inserts, spec))
+    return _reinserted(update, params, spec, other_scenario=True)
+
+
+def update_links(link_table: DataFrame, changes: Changes, parent_side: bool, params: RunParams | None = None,
+                 spec: Spec = DWELLINGS, stage=_as_is) -> TableUpdate:
+    """A2, A4, A7 and A9 on the building links, or A3, A5, A8 and A10 on the part links."""
+    link, opened = (spec.parent, new_building_rows) if parent_side else (spec.sub_parent, new_part_rows)
+    kept, named, others = close_links(link_table, changes.deletes, changes.relinks, link, parent_side, spec)
+    update = TableUpdate(kept, others, stage(named, f"named_{link}"), opened(changes.inserts, changes.relinks, spec))
+    return _reinserted(update, params, spec)

@@ -41,73 +41,6 @@ from chronoreg.sources.tables import open_rows
 REG_PREFIX = "reg_"
 
 
-def _listed_open(register: DataFrame, scenarios: ScenarioSet, spec: Spec) -> DataFrame:
-    return scenarios.keep(open_rows(register), spec.scenario)
-
-
-def find_deletes(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
-                 params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
-    """Open register rows of a listed scenario whose key no candidate has.
-
-    The staged row carries sentinel link ids, so that closing its links later always
-    sees a difference, and the run's single clock reading as system end.
-    """
-    keys = list(spec.keys)
-    gone = _listed_open(register, scenarios, spec).join(cands.select(*keys), keys, "left_anti")
-    return gone.select(
-        spec.entity,
-        F.lit(DELETE_BUILDING_ID).cast("long").alias(spec.parent),
-        F.lit(DELETE_PART_ID).alias(spec.sub_parent),
-        spec.scenario, EFF_START, EFF_END, SYS_CREATE,
-        ts(params.run_ts).alias(SYS_END),
-        F.lit(FLAG_DELETED).alias(DELETED),
-        F.lit(CHANGE_DELETE).alias(CHANGE))
-
-
-def find_inserts(register: DataFrame, cands: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
-    """Candidates whose key has no open register row, in any scenario."""
-    keys = list(spec.keys)
-    fresh = cands.join(open_rows(register).select(*keys), keys, "left_anti")
-    return fresh.withColumn(CHANGE, F.lit(CHANGE_INSERT))
-
-
-def match_updates(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
-                  spec: Spec = DWELLINGS) -> DataFrame:
-    """D3: (open listed register row, candidate) pairs on one key whose tracked values differ.
-
-    Tracked values are the effective end and the scenario, compared with plain ``!=``:
-    a NULL on either side is never a difference (three-valued logic kept).
-    The result is the candidate row plus the register row's own columns, prefixed.
-    """
-    keys = list(spec.keys)
-    reg = _listed_open(register, scenarios, spec).select(
-        *keys, *[F.col(c).alias(REG_PREFIX + c) for c in (spec.scenario, EFF_END, SYS_CREATE)])
-    pairs = cands.join(reg, keys, "inner")
-    changed = ((F.col(REG_PREFIX + EFF_END) != F.col(EFF_END))
-               | (F.col(REG_PREFIX + spec.scenario) != F.col(spec.scenario)))
-    return pairs.filter(changed)
-
-
-def updates_to_deletes(matched: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
-    """The closing side of an update, keyed on the register row being replaced."""
-    return matched.select(
-        spec.entity,
-        spec.parent,
-        F.coalesce(F.col(spec.sub_parent), F.lit(UPDATE_PART_DEFAULT)).alias(spec.sub_parent),
-        F.col(REG_PREFIX + spec.scenario).alias(spec.scenario),
-        EFF_START,
-        F.col(REG_PREFIX + EFF_END).alias(EFF_END),
-        F.col(REG_PREFIX + SYS_CREATE).alias(SYS_CREATE),
-        second_before(SYS_CREATE).alias(SYS_END),
-        F.lit(FLAG_LIVE).alias(DELETED),
-        F.lit(CHANGE_UPDATE).alias(CHANGE))
-
-
-def updates_to_inserts(matched: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
-    """The opening side of an update: the whole candidate row."""
-    return matched.select(*spec.candidate_columns, F.lit(CHANGE_UPDATE).alias(CHANGE))
-
-
 @dataclass(frozen=True)
 class Changes:
     """The change set of one run (staging relations of the original process)."""
@@ -118,16 +51,6 @@ class Changes:
     relinks: DataFrame  # link changes of unchanged keys
 
 
-def classify(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet, params: RunParams,
-             spec: Spec = DWELLINGS) -> tuple[DataFrame, DataFrame]:
-    """(deletes, inserts), each a bag union of its two sources."""
-    matched = match_updates(register, cands, scenarios, spec)
-    deletes = find_deletes(register, cands, scenarios, params, spec).unionByName(
-        updates_to_deletes(matched, spec))
-    inserts = find_inserts(register, cands, spec).unionByName(updates_to_inserts(matched, spec))
-    return deletes, inserts
-
-
 def _has_keys(keys: list[str]) -> Column:
     cond = F.lit(True)
     for k in keys:
@@ -135,7 +58,7 @@ def _has_keys(keys: list[str]) -> Column:
     return cond
 
 
-def classify_split(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
+def classify(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
                    params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
     """D1 + D2 + D3 as classified pairs, in a form every join of which AQE can split.
 
@@ -146,8 +69,9 @@ def classify_split(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet
     the joins that read them, so each big input is shuffled once (reused exchange);
     the two extra shuffles carry keys only.
 
-    Same result as ``classify_pairs`` (the one-pass full outer join), which has fewer
-    shuffles but cannot be split by AQE when one key is hot.
+    D1 stages the register row, D2 the candidate, D3 both, of a listed scenario with a
+    different effective end or scenario; a NULL on either side is never a difference.
+    With an explicit batch D1 leaves out scenarios that have no rows in it.
     """
     keys = list(spec.keys)
     wanted = {*keys, spec.scenario, EFF_END, SYS_CREATE}
@@ -166,8 +90,10 @@ def classify_split(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet
     open_keys = open_reg.filter(keyed).select(*keys).distinct()
 
     as_reg = [F.col(c).alias(REG_PREFIX + c) for c in reg_cols]
-    deletes = (listed_keyed.join(cand_keys, keys, "left_anti")
-               .unionByName(listed.filter(~keyed)).select(*as_reg))
+    gone = listed_keyed.join(cand_keys, keys, "left_anti").unionByName(listed.filter(~keyed))
+    if params.batch_filter and params.batch_ts is not None:
+        gone = scenarios.keep_present(gone, spec.scenario)
+    deletes = gone.select(*as_reg)
     inserts = cand_keyed.join(open_keys, keys, "left_anti").unionByName(cand.filter(~keyed))
     pairs = cand_keyed.join(listed_keyed, [cand_keyed[k] == listed_keyed[k] for k in keys], "inner")
     pairs = pairs.filter((listed_keyed[EFF_END] != cand_keyed[EFF_END])
@@ -180,42 +106,6 @@ def classify_split(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet
             .select(*out))
 
 
-def classify_pairs(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
-                   params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
-    """D1 + D2 + D3 in one pass: a full outer join of the open register and the candidates.
-
-    One shuffle per side and one sort-merge join, instead of two anti joins and an inner
-    join over the same inputs.  Presence is tested on a non-NULL marker per side.
-    Rows with a NULL key component can never match, so they skip the join (and its
-    shuffle) altogether: they cannot pile up in one partition.
-
-    Result: one row per classified change - the whole candidate row (NULL for a
-    DELETE), the register row's key, scenario, effective end and system create
-    (``reg_*``, NULL for an INSERT), and ``change``.
-    """
-    keys = list(spec.keys)
-    reg_cols = [*keys, spec.scenario, EFF_END, SYS_CREATE]
-    reg = scenarios.flag(open_rows(register), spec.scenario, "_listed").select(
-        *[F.col(c).alias(REG_PREFIX + c) for c in reg_cols], "_listed", F.lit(True).alias("_in_reg"))
-    cand = cands.select(*spec.candidate_columns, F.lit(True).alias("_in_cand"))
-    reg_keys = [REG_PREFIX + k for k in keys]
-    keyed_reg, loose_reg = reg.filter(_has_keys(reg_keys)), reg.filter(~_has_keys(reg_keys))
-    keyed_cand, loose_cand = cand.filter(_has_keys(keys)), cand.filter(~_has_keys(keys))
-    cond = [keyed_cand[k] == keyed_reg[REG_PREFIX + k] for k in keys]
-    both = (keyed_cand.join(keyed_reg, cond, "full_outer")
-            .unionByName(loose_cand, allowMissingColumns=True)
-            .unionByName(loose_reg, allowMissingColumns=True))
-    in_reg, in_cand = F.col("_in_reg").isNotNull(), F.col("_in_cand").isNotNull()
-    listed = F.coalesce(F.col("_listed"), F.lit(False))
-    changed = ((F.col(REG_PREFIX + EFF_END) != F.col(EFF_END))
-               | (F.col(REG_PREFIX + spec.scenario) != F.col(spec.scenario)))
-    kind = (F.when(in_reg & ~in_cand & listed, F.lit(CHANGE_DELETE))
-            .when(in_cand & ~in_reg, F.lit(CHANGE_INSERT))
-            .when(in_reg & in_cand & listed & changed, F.lit(CHANGE_UPDATE)))
-    return (both.withColumn(CHANGE, kind).filter(F.col(CHANGE).isNotNull())
-            .select(*spec.candidate_columns, *[REG_PREFIX + c for c in reg_cols], CHANGE))
-
-
 def closing_rows(classified: DataFrame, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
     """D1 + D4 from classified pairs: the staged closing side."""
     is_delete = F.col(CHANGE) == CHANGE_DELETE
@@ -240,11 +130,9 @@ def opening_rows(classified: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
         *spec.candidate_columns, CHANGE)
 
 
-def classify_one_pass(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
-                      params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
-    """The one-pass classification, reduced to key, both scenarios and change kind."""
-    pairs = classify_pairs(register, cands, scenarios, params, spec)
-    return pairs.select(
+def classified_keys(classified: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
+    """The classification reduced to key, both scenarios and change kind."""
+    return classified.select(
         F.coalesce(F.col(spec.entity), F.col(REG_PREFIX + spec.entity)).alias(spec.entity),
         F.coalesce(F.col(EFF_START), F.col(REG_PREFIX + EFF_START)).alias(EFF_START),
         F.col(REG_PREFIX + spec.scenario),
@@ -252,6 +140,12 @@ def classify_one_pass(register: DataFrame, cands: DataFrame, scenarios: Scenario
         CHANGE)
 
 
+def matched_updates(classified: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
+    """D3: the candidate row of each update with the register row's own values, prefixed."""
+    return classified.filter(F.col(CHANGE) == CHANGE_UPDATE).select(
+        *spec.candidate_columns, *[REG_PREFIX + c for c in (spec.scenario, EFF_END, SYS_CREATE)])
+
+
 def touched_keys(classified: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
     """Distinct keys of every classified change: the exclusion set of the relinks.
 

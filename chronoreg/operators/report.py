@@ -7,6 +7,8 @@ stay one-row aggregates, joined by broadcast - their size is one row by construc
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,10 @@ from chronoreg.functions import hours_before, is_open, ts
 from chronoreg.model import (
     CHANGE,
     CHANGELOG_TABLE,
+    CHANGELOG_SCHEMA,
     COUNT_CANDIDATES,
+    COUNT_DELETES,
+    COUNT_INSERTS,
     COUNT_MAINTENANCE,
     COUNT_RELINKS,
     CHANGE_DELETE,
@@ -23,6 +28,7 @@ from chronoreg.model import (
     DWELLINGS,
     EFF_END,
     EFF_START,
+    LOG_COLUMNS,
     RECENT_HOURS,
     SYS_CREATE,
     SYS_END,
@@ -32,6 +38,7 @@ from chronoreg.model import (
     RunParams,
     Spec,
 )
+from chronoreg.operators.apply import WAS_END
 from chronoreg.operators.diff import Changes
 from chronoreg.sources.tables import State
 
@@ -70,17 +77,14 @@ def count_maintenance(deletes: DataFrame, bucket: tuple[str, str] | None = None)
 
 
 def count_by_sys_end(before: State, after: State, spec: Spec = DWELLINGS) -> DataFrame:
-    """Rows per system end date, for each table, before and after the run."""
+    """Rows per system end date in its order, for each table, before and after the run."""
     parts = []
     for stage, state in (("before", before), ("after", after)):
         for name, df in (_named(state, spec)):
             parts.append(df.groupBy(SYS_END).agg(F.count(F.lit(1)).alias("n"))
                          .select(F.lit(name).alias("table_name"), F.lit(stage).alias("stage"),
                                  SYS_END, "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts).orderBy("table_name", "stage", SYS_END)
 
 
 def _named(state: State, spec: Spec) -> list[tuple[str, DataFrame]]:
@@ -117,26 +121,15 @@ def _contribution(df: DataFrame, **values: str) -> DataFrame:
     return df.selectExpr(*exprs)
 
 
-_LAZY = object()
-
-
-def _open_after(update) -> DataFrame:
-    """Open rows after the run.  Closed rows passed through untouched are closed by
-    definition, so when they were kept apart only the rewritten part is scanned."""
-    part = update.rewritten if update.kept is not None else update.after
-    return part.filter(is_open(SYS_END))
+def _at_retired(parts: list[tuple[DataFrame, str, int]], end: DataFrame, metric: str) -> DataFrame:
+    """Counts rows by whether a date equals the retired one; each part adds (1) or takes away (-1)."""
+    dates = reduce(DataFrame.unionByName, [
+        df.select(F.col(column).alias("_date"), F.lit(sign).alias("_sign")) for df, column, sign in parts])
+    hits = dates.join(F.broadcast(end), F.col("_date") == F.col("_retired_end"), "left_semi")  # end is one row
+    return _contribution(hits, **{metric: "_sign"})
 
 
-def _sql_ts(value) -> str:
-    if value is None:
-        return "CAST(NULL AS TIMESTAMP_NTZ)"
-    if hasattr(value, "strftime"):
-        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return f"CAST('{value}' AS TIMESTAMP_NTZ)"
-
-
-def changelog(changes: Changes, applied, params: RunParams, spec: Spec = DWELLINGS,
-              retired_at=_LAZY) -> DataFrame:
+def changelog(state: State, changes: Changes, applied, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
     """L1-L3: one change-log row per table, from one global aggregate.
 
     register: added = INSERT, modified = UPDATE, retired = DELETE, total = open rows after.
@@ -144,21 +137,13 @@ def changelog(changes: Changes, applied, params: RunParams, spec: Spec = DWELLIN
     counts the relinks, retired = rows of the table (any age) whose system end equals
     the retired end date, total = open rows after.
 
-    ``applied`` is the run's ``apply.Applied``.
-    ``retired_at`` is that date when the caller already resolved it (a staged run): the
-    history scan then carries a literal filter the Parquet reader prunes row groups
-    with.  Otherwise it comes from a broadcast one-row aggregate, and the plan stays lazy.
+    The tables are scanned as they were before the run; what the run changed is added and
+    taken away from the named rows (``Applied``) and the openings, so no closing is joined again.
     """
     ins, dels, rel = changes.inserts, changes.deletes, changes.relinks
     part = f"`{spec.sub_parent}` IS NULL"
     is_ins, is_upd = f"`{CHANGE}` = '{CHANGE_INSERT}'", f"`{CHANGE}` = '{CHANGE_UPDATE}'"
-
-    def retired(table: DataFrame) -> DataFrame:
-        if retired_at is _LAZY:
-            end = F.broadcast(retired_end(dels))
-            return table.select(SYS_END).join(end, F.col(SYS_END) == F.col("_retired_end"), "left_semi")
-        return table.filter(f"`{SYS_END}` = {_sql_ts(retired_at)}")
-
+    end = retired_end(dels)
     pieces = [
         _contribution(ins, r_added=f"IF({is_ins}, 1, 0)", r_modified=f"IF({is_upd}, 1, 0)",
                       b_added=f"IF({is_ins} AND {part}, 1, 0)", b_modified=f"IF({is_upd} AND {part}, 1, 0)",
@@ -166,31 +151,44 @@ def changelog(changes: Changes, applied, params: RunParams, spec: Spec = DWELLIN
                       p_modified=f"IF({is_upd} AND NOT {part}, 1, 0)"),
         _contribution(dels, r_retired=f"IF(`{CHANGE}` = '{CHANGE_DELETE}', 1, 0)"),
         _contribution(rel, b_modified=f"IF({part}, 1, 0)", p_modified=f"IF(NOT {part}, 1, 0)"),
-        _contribution(_open_after(applied.register), r_total="1"),
-        _contribution(_open_after(applied.building_link), b_total="1"),
-        _contribution(_open_after(applied.part_link), p_total="1"),
-        _contribution(retired(applied.building_link.after), b_retired="1"),
-        _contribution(retired(applied.part_link.after), p_retired="1"),
     ]
-    allc = pieces[0]
-    for p in pieces[1:]:
-        allc = allc.union(p)  # same columns, same order
+    for mark, before, update in (("r", state.register, applied.register), ("b", state.building_link, applied.building_link),
+                                 ("p", state.part_link, applied.part_link)):
+        total = f"{mark}_total"
+        pieces += [
+            _contribution(before.filter(is_open(SYS_END)).select(SYS_END), **{total: "1"}),
+            _contribution(update.named.filter(is_open(WAS_END)).select(WAS_END), **{total: "-1"}),
+            _contribution(update.named.filter(is_open(SYS_END)).select(SYS_END), **{total: "1"}),
+            _contribution(update.inserted.filter(is_open(SYS_END)).select(SYS_END), **{total: "1"}),
+        ]
+        if mark != "r":
+            pieces.append(_at_retired([(before, SYS_END, 1), (update.named, WAS_END, -1), (update.named, SYS_END, 1),
+                                       (update.inserted, SYS_END, 1)], end, f"{mark}_retired"))
+    allc = reduce(DataFrame.union, pieces)  # same columns, same order
     sums = allc.selectExpr(*[f"coalesce(sum({c}), 0) AS {c}" for c in allc.columns])
     tables = (("r", spec.register_table), ("b", spec.parent_table), ("p", spec.sub_parent_table))
     structs = ", ".join(
         f"named_struct('table_name', '{name}', " + ", ".join(f"'{m}', {t}_{m}" for m in _METRICS) + ")"
         for t, name in tables)
-    return sums.selectExpr(f"explode(array({structs})) AS x").selectExpr(
-        f"{_sql_ts(params.change_ts)} AS change_date",
-        "x.table_name AS table_name",
-        f"'{spec.process}' AS process",
-        "x.added AS records_added",
-        "x.modified AS records_modified",
-        "x.retired AS records_retired",
-        "x.total AS total_records_after",
-        "CAST(NULL AS STRING) AS source",
-        "CAST(NULL AS TIMESTAMP_NTZ) AS source_from_date",
-        "CAST(NULL AS TIMESTAMP_NTZ) AS source_to_date")
+    values = dict(zip(LOG_COLUMNS, (_sql_ts(params.change_ts), "x.table_name", f"'{spec.process}'", "x.added",
+                                    "x.modified", "x.retired", "x.total"), strict=False))
+    out = [f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`"
+           for f in CHANGELOG_SCHEMA.fields]
+    return sums.selectExpr(f"explode(array({structs})) AS x").selectExpr(*out)
+
+
+def _sql_ts(value: str) -> str:
+    return f"TIMESTAMP_NTZ '{value}'"
+
+
+def preview_counts(changes: Changes) -> DataFrame:
+    """G1-G4 in one frame: (count_name, change, n), in a fixed order."""
+    rows = [changes.candidates.select(F.lit(COUNT_CANDIDATES).alias("count_name"), F.lit(None).cast("string").alias(CHANGE)),
+            changes.deletes.select(F.lit(COUNT_DELETES).alias("count_name"), CHANGE),
+            changes.inserts.select(F.lit(COUNT_INSERTS).alias("count_name"), CHANGE),
+            changes.relinks.select(F.lit(COUNT_RELINKS).alias("count_name"), F.lit(None).cast("string").alias(CHANGE))]
+    return (reduce(DataFrame.unionByName, rows).groupBy("count_name", CHANGE).agg(F.count(F.lit(1)).alias("n"))
+            .orderBy("count_name", CHANGE))
 
 
 def recent_changes(log: DataFrame, now: str, hours: int = RECENT_HOURS) -> DataFrame:
@@ -226,10 +224,14 @@ def purge(df: DataFrame, predicate: Column) -> DataFrame:
     return df.filter(~F.coalesce(predicate, F.lit(False)))
 
 
+def purge_predicates(now: str, spec: Spec = DWELLINGS) -> dict[str, Column]:
+    """The test rows of the three tables and the change log's recent rows."""
+    return {**test_row_predicates(spec), "changelog": F.col("change_date") > ts(hours_before(now))}
+
+
 def purge_counts(state: State, log: DataFrame, now: str, spec: Spec = DWELLINGS) -> DataFrame:
     """O5 on all four tables: rows kept and removed per table."""
-    preds = test_row_predicates(spec)
-    preds["changelog"] = F.col("change_date") > ts(hours_before(now))
+    preds = purge_predicates(now, spec)
     frames = dict(state.tables(), changelog=log)
     names = {"register": spec.register_table, "building_link": spec.parent_table,
              "part_link": spec.sub_parent_table, "changelog": CHANGELOG_TABLE}

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoreg.functions import high_date, round_second, same_second
+from chronoreg.functions import high_date, round_second, same_second, ts
 from chronoreg.model import (
     AMBIGUOUS_BUILDING_ID,
     DELETED,
@@ -17,45 +17,35 @@ from chronoreg.model import (
     FLAG_LIVE,
     SYS_CREATE,
     SYS_END,
+    TS_FORMAT,
     RunParams,
     Spec,
-    round_to_second,
 )
 
 
 @dataclass(frozen=True)
 class ScenarioSet:
-    """The scenario list of a run.
+    """The scenarios of a run.
 
-    A list of at most ``max_inline_scenarios`` ids is kept as literals, so it becomes an
-    ``IN`` filter inside the Parquet scan.  A longer list stays a one-column DataFrame
-    (``id``) and is applied as a left-semi join whose strategy AQE picks from its
-    measured size; nothing unbounded is broadcast or collected.
+    ``frame`` holds one row per scenario: ``id``, ``batch`` (the chosen batch, to the second; NULL when the run takes
+    every batch) and ``present`` (the scenario has rows in that batch).  An explicit list is also kept as literals
+    (``ids``), so it becomes an ``IN`` filter inside the Parquet scan; an automatic list is applied as a semi join
+    whose strategy follows from its measured size.
     """
 
     ids: tuple[int, ...] | None = None
     frame: DataFrame | None = None
+    since: str | None = None  # no chosen batch is earlier
 
-    def keep(self, df: DataFrame, column: str, only: tuple[int, ...] | None = None,
-             but: tuple[int, ...] = ()) -> DataFrame:
-        """Rows whose ``column`` is listed; ``only``/``but`` narrow the list first."""
+    def keep(self, df: DataFrame, column: str) -> DataFrame:
+        """Rows whose ``column`` is listed."""
         if self.ids is not None:
-            ids = [i for i in self.ids if (only is None or i in only) and i not in but]
-            return df.filter(F.col(column).isin(ids)) if ids else df.filter(F.lit(False))
-        ids = self.frame
-        if only is not None:
-            ids = ids.filter(F.col("id").isin(list(only)))
-        if but:
-            ids = ids.filter(~F.col("id").isin(list(but)))
-        return df.join(ids.withColumnRenamed("id", column), column, "left_semi")
-
-    def flag(self, df: DataFrame, column: str, name: str) -> DataFrame:
-        """``df`` plus a boolean column ``name``: is ``column`` listed (NULL -> false)."""
-        if self.ids is not None:
-            listed = F.col(column).isin(list(self.ids)) if self.ids else F.lit(False)
-            return df.withColumn(name, F.coalesce(listed, F.lit(False)))
-        marks = self.frame.select(F.col("id").alias(column), F.lit(True).alias(name))
-        return df.join(marks, column, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+            return df.filter(F.col(column).isin(list(self.ids)))
+        return df.join(self.frame.select(F.col("id").alias(column)), column, "left_semi")
+
+    def keep_present(self, df: DataFrame, column: str) -> DataFrame:
+        """Rows whose ``column`` is listed and has rows in its batch."""
+        return df.join(self.frame.filter("present").select(F.col("id").alias(column)), column, "left_semi")
 
 
 def version_rows(interim: DataFrame, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
@@ -70,91 +60,84 @@ def auto_scenarios(interim: DataFrame, params: RunParams, spec: Spec = DWELLINGS
             .select(F.col(spec.scenario).alias("id")).distinct())
 
 
-def resolve_scenarios(interim: DataFrame, params: RunParams, spec: Spec = DWELLINGS) -> ScenarioSet:
-    """P1 if the caller gave a list (kept untouched), otherwise P2."""
+def _listed_rows(interim: DataFrame, params: RunParams, spec: Spec) -> DataFrame:
+    """The version's rows of the explicit (P1) or automatic (P2) scenarios."""
+    rows = version_rows(interim, params, spec)
     if params.scenarios:
-        return ScenarioSet(ids=tuple(params.scenarios))
-    auto = auto_scenarios(interim, params, spec)
-    limit = params.max_inline_scenarios
-    rows = auto.limit(limit + 1).collect()
-    if len(rows) <= limit:
-        return ScenarioSet(ids=tuple(sorted(r["id"] for r in rows)))
-    return ScenarioSet(frame=auto)
-
+        return rows.filter(F.col(spec.scenario).isin(list(params.scenarios)))
+    return rows.filter(~F.col(spec.scenario).isin(list(params.excluded_scenarios)))
 
-def batch_rows(interim: DataFrame, scenarios: ScenarioSet, params: RunParams,
-               spec: Spec = DWELLINGS) -> DataFrame:
-    return scenarios.keep(version_rows(interim, params, spec), spec.scenario)
 
-
-def latest_batch(interim: DataFrame, scenarios: ScenarioSet, params: RunParams,
-                 spec: Spec = DWELLINGS) -> DataFrame:
-    """P3 as a one-row frame: the latest system create date, rounded to the second."""
-    latest = batch_rows(interim, scenarios, params, spec).agg(F.max(SYS_CREATE).alias("latest"))
+def latest_batch(interim: DataFrame, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
+    """P3 as a one-row frame: the latest system create date of all listed scenarios, to the second."""
+    latest = _listed_rows(interim, params, spec).agg(F.max(SYS_CREATE).alias("latest"))
     return latest.select(round_second("latest").alias("batch_ts"))
 
 
-def resolve_batch(interim: DataFrame, scenarios: ScenarioSet, params: RunParams,
-                  spec: Spec = DWELLINGS) -> str | None:
-    """The caller's batch, else the latest one; ``None`` when no row qualifies."""
-    if params.batch_ts is not None:
-        return params.batch_ts
-    row = batch_rows(interim, scenarios, params, spec).agg(F.max(SYS_CREATE).alias("m")).first()
-    return round_to_second(row["m"]) if row and row["m"] is not None else None
-
-
-def resolve(interim: DataFrame, params: RunParams,
-            spec: Spec = DWELLINGS) -> tuple[ScenarioSet, str | None]:
-    """P1-P3 with one scan: the latest create date per scenario of the version.
+def resolve(interim: DataFrame, params: RunParams, spec: Spec = DWELLINGS, stage=None) -> ScenarioSet:
+    """The scenarios with the batch that each of them takes.
 
-    The per-scenario maxima are a partial aggregate, and the driver receives one row per
-    scenario, at most ``max_inline_scenarios + 1`` of them; a longer list falls back to
-    ``resolve_scenarios`` + ``resolve_batch`` (a DataFrame list, never collected).
+    Without an explicit batch that is each scenario's own latest one: a scenario whose newest snapshot is older than
+    another's keeps its rows.  With an explicit batch, a scenario without rows in it is not ``present``: its register
+    rows are not deletes, for the batch says nothing about them.  One partial aggregate per scenario; the driver
+    receives the earliest chosen batch only, as a literal that the scan prunes on.
     """
-    limit = params.max_inline_scenarios
-    per = (version_rows(interim, params, spec).groupBy(spec.scenario)
-           .agg(F.max(SYS_CREATE).alias("latest")))
-    rows = per.limit(limit + 1).collect()
-    if len(rows) > limit:
-        scen = resolve_scenarios(interim, params, spec)
-        return scen, resolve_batch(interim, scen, params, spec)
-    latest = {r[spec.scenario]: r["latest"] for r in rows}
+    listed = _listed_rows(interim, params, spec)
+    held = F.lit(True) if params.batch_ts is None else F.coalesce(F.max(same_second(SYS_CREATE, params.batch_ts)), F.lit(False))
+    per = listed.groupBy(F.col(spec.scenario).alias("id")).agg(F.max(SYS_CREATE).alias("latest"), held.alias("present"))
     if params.scenarios:
-        ids = tuple(params.scenarios)
+        ids = interim.sparkSession.createDataFrame([(i,) for i in params.scenarios], "id int").distinct()
+        per = ids.join(per, "id", "left")
+    if not params.batch_filter:
+        batch, present = ts(None), F.lit(True)
+    elif params.batch_ts is not None:
+        batch, present = ts(params.batch_ts), F.coalesce(F.col("present"), F.lit(False))
     else:
-        excluded = set(params.excluded_scenarios)
-        ids = tuple(sorted(i for i in latest if i is not None and i not in excluded))
+        batch, present = round_second("latest"), F.lit(True)
+    frame = per.select("id", batch.alias("batch"), present.alias("present"))
+    frame = stage(frame, "scenarios") if stage else frame
+    since = params.batch_ts
+    if params.batch_filter and since is None:
+        earliest = frame.agg(F.min("batch").alias("batch")).first()["batch"]
+        since = earliest.strftime(TS_FORMAT) if earliest else None
+    return ScenarioSet(ids=tuple(params.scenarios) or None, frame=frame, since=since)
+
+
+def _selected(interim: DataFrame, scenarios: ScenarioSet, params: RunParams, spec: Spec) -> DataFrame:
+    """The listed scenarios' rows of the batches that they take."""
+    rows = scenarios.keep(version_rows(interim, params, spec), spec.scenario)
+    if not params.batch_filter:
+        return rows
     if params.batch_ts is not None:
-        return ScenarioSet(ids=ids), params.batch_ts
-    dates = [latest[i] for i in ids if latest.get(i) is not None]
-    return ScenarioSet(ids=ids), round_to_second(max(dates)) if dates else None
+        return rows.filter(same_second(SYS_CREATE, params.batch_ts))
+    if scenarios.since is None:
+        return rows.filter(F.lit(False))
+    half = F.expr("INTERVAL 0.5 SECOND")
+    recent = rows.filter(F.col(SYS_CREATE) >= ts(scenarios.since) - half)
+    chosen = scenarios.frame.select(F.col("id").alias(spec.scenario), F.col("batch").alias("_batch"))
+    near = (F.col(SYS_CREATE) >= F.col("_batch") - half) & (F.col(SYS_CREATE) < F.col("_batch") + half)
+    return recent.join(chosen, spec.scenario).filter(near).select(*interim.columns)
 
 
-def _selected(interim: DataFrame, scenarios: ScenarioSet, batch_ts: str | None,
-              params: RunParams, spec: Spec, only=None, but=()) -> DataFrame:
-    rows = scenarios.keep(version_rows(interim, params, spec), spec.scenario, only, but)
-    if params.batch_filter:
-        rows = rows.filter(same_second(SYS_CREATE, batch_ts))
-    return rows
+def _ambiguous(params: RunParams, spec: Spec) -> Column:
+    return F.col(spec.scenario).isin(list(params.ambiguous_scenarios))
 
 
-def candidates_main(interim: DataFrame, scenarios: ScenarioSet, batch_ts: str | None,
-                    params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
+def candidates_main(interim: DataFrame, scenarios: ScenarioSet, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
     """Listed, non-ambiguous scenarios; system end forced open, flag forced live."""
-    rows = _selected(interim, scenarios, batch_ts, params, spec, but=params.ambiguous_scenarios)
+    rows = _selected(interim, scenarios, params, spec).filter(~_ambiguous(params, spec))
     return rows.select(
         spec.entity, spec.scenario, spec.version, spec.parent, spec.sub_parent,
         EFF_START, EFF_END, SYS_CREATE, high_date().alias(SYS_END), F.lit(FLAG_LIVE).alias(DELETED))
 
 
-def candidates_ambiguous(interim: DataFrame, scenarios: ScenarioSet, batch_ts: str | None,
-                         params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
+def candidates_ambiguous(interim: DataFrame, scenarios: ScenarioSet, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
     """Ambiguous scenarios collapse to building 0, one row per remaining value set.
 
     The row keeps the snapshot's own system end date.  ``distinct`` runs as a partial
     aggregate before the shuffle, so many copies of one row cost one row per task.
     """
-    rows = _selected(interim, scenarios, batch_ts, params, spec, only=params.ambiguous_scenarios)
+    rows = _selected(interim, scenarios, params, spec).filter(_ambiguous(params, spec))
     # The grouping includes the snapshot's own flag, which the output then replaces: two
     # rows that differ only in that flag stay two (the UNION in C3 merges them).
     grouped = rows.select(
@@ -166,16 +149,15 @@ def candidates_ambiguous(interim: DataFrame, scenarios: ScenarioSet, batch_ts: s
         EFF_START, EFF_END, SYS_CREATE, SYS_END, F.lit(FLAG_LIVE).alias(DELETED))
 
 
-def candidates(interim: DataFrame, scenarios: ScenarioSet, batch_ts: str | None,
-               params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
+def candidates(interim: DataFrame, scenarios: ScenarioSet, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
     """The distinct union of C1 and C2, in one scan of the snapshot.
 
     Both branches read the same filtered rows; the ambiguous override is a ``CASE`` on
     the scenario, and one ``distinct`` (partial + final aggregate) gives the UNION's
     duplicate removal, NULLs comparing equal.
     """
-    rows = _selected(interim, scenarios, batch_ts, params, spec)
-    amb = F.col(spec.scenario).isin(list(params.ambiguous_scenarios))
+    rows = _selected(interim, scenarios, params, spec)
+    amb = _ambiguous(params, spec)
     return rows.select(
         spec.entity, spec.scenario, spec.version,
         F.when(amb, F.lit(AMBIGUOUS_BUILDING_ID).cast("long")).otherwise(F.col(spec.parent))

@@ -1,33 +1,32 @@
-"""All-or-nothing publish of a run (A12, A13) over immutable Parquet folders.
+"""All-or-nothing publish of a run (A12, A13) as Parquet folders.
 
 Layout under one root (any Hadoop-compatible path the cluster shares)::
 
-    <table>/v=<n>/is_open=true/    the whole open set after run n
-    <table>/v=<n>/is_open=false/   rows run n closed (or inserted already closed)
-    changelog/v=<n>/               the change-log rows of run n
-    _commits/v=<n>/                one commit record, written last
-
-Version ``n`` of a table is its open rows of ``v = n`` plus the closed rows of every
-``v <= n``: only the open set is rewritten by a run, history is append-only, and both
-reads prune on the partition columns.  A version exists once its commit record does;
-readers take the greatest committed ``v``.  A run that fails, or a dry run, never
-writes a commit record, so readers keep seeing the previous version, and the next run
-overwrites the uncommitted folders of that number.  No path a plan reads is ever
-overwritten.
+    <table>/v=<n>/attempt=<id>/is_open=true/    the whole open set after run n
+    <table>/v=<n>/attempt=<id>/is_open=false/   rows run n closed (or inserted already closed)
+    changelog/v=<n>/attempt=<id>/               the change-log rows of run n
+    _commits/v=<n>/                             one commit record, written last and never replaced
+
+Version ``n`` of a table is its open rows of ``v = n`` plus the closed rows of the committed attempts from its base
+to ``n``; reads prune on the partition columns.  A store is created with an empty version 0.  Every attempt writes
+folders of its own, so a failed one, or one that loses the race for a version, leaves nothing that a reader sees.  A
+run is published only on the version that it was built on.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from chronoreg.functions import is_open, ts
 from chronoreg.model import (
     CHANGELOG_SCHEMA,
     DWELLINGS,
+    RECENT_HOURS,
     SYS_END,
     RunParams,
     Spec,
@@ -35,13 +34,14 @@ from chronoreg.model import (
     register_schema,
     sub_parent_link_schema,
 )
-from chronoreg.operators import checks
-from chronoreg.plans.run import ParquetStage, RunResult, run
+from chronoreg.operators import checks, report
+from chronoreg.plans.run import ParquetStage, Run, run
 from chronoreg.sources.tables import State
 
 TABLES = ("register", "building_link", "part_link")
 OPEN_FLAG = "is_open"
 VERSION = "v"
+ATTEMPT = "attempt"
 
 
 @dataclass(frozen=True)
@@ -50,10 +50,15 @@ class PublishReport:
     version: int | None  # version written (commit) or that would be written (dry run)
     changelog: list[dict]
     violations: dict[str, int]
+    counts: list[dict] = field(default_factory=list)  # G1-G4
 
 
 class PublishError(RuntimeError):
-    """Validation failed; nothing was committed."""
+    """Validation failed or the store has moved on; nothing was committed."""
+
+
+class StoreError(RuntimeError):
+    """The folder holds tables but no commit records."""
 
 
 class RegisterStore:
@@ -62,96 +67,153 @@ class RegisterStore:
         self.root = root.rstrip("/")
         self.spec = spec
         self.schemas = {"register": register_schema(spec), "building_link": parent_link_schema(spec),
-                        "part_link": sub_parent_link_schema(spec)}
+                        "part_link": sub_parent_link_schema(spec), "changelog": CHANGELOG_SCHEMA}
 
     # --- reading ---------------------------------------------------------------------
 
-    def _read(self, path: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException:
+    def _exists(self, name: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        return bool(path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path))
+
+    def _commits(self) -> DataFrame | None:
+        """The commit records; None for a store that does not exist yet.  Any other failure to read them raises."""
+        if self._exists("_commits"):
+            return self.spark.read.parquet(f"{self.root}/_commits")
+        if any(self._exists(name) for name in self.schemas):
+            raise StoreError(f"{self.root} holds tables but no commit records")
+        return None
+
+    def _record(self, version: int | None = None):
+        """The commit record of a version (the latest by default)."""
+        commits = self._commits()
+        if commits is None:
             return None
+        if version is not None:
+            commits = commits.filter(F.col(VERSION) == version)
+        row = commits.orderBy(F.desc(VERSION)).first()
+        if row is None:
+            raise StoreError(f"{self.root} has no version {version}")
+        return row
 
     def current_version(self) -> int | None:
-        commits = self._read(f"{self.root}/_commits")
-        if commits is None:
-            return None
-        row = commits.agg(F.max(VERSION).alias("v")).first()
-        return None if row is None or row["v"] is None else int(row["v"])
+        """The latest committed version; None before the first commit."""
+        record = self._record()
+        return record[VERSION] if record and record[VERSION] else None
+
+    def _read(self, name: str, path: str) -> DataFrame:
+        """A table's folder with its partition columns; a folder without rows is an empty table, no folder an error."""
+        schema = T.StructType([*self.schemas[name].fields, T.StructField(VERSION, T.IntegerType()),
+                               T.StructField(ATTEMPT, T.StringType()), T.StructField(OPEN_FLAG, T.BooleanType())])
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _committed(self, name: str, record) -> DataFrame:
+        """The rows that committed attempts wrote into a table, from the record's base to its version."""
+        commits = self._commits().filter(F.col(VERSION).between(max(record["base"], 1), record[VERSION]))
+        rows = self._read(name, f"{self.root}/{name}")
+        return rows.join(commits.select(VERSION, ATTEMPT), [VERSION, ATTEMPT], "left_semi")
 
     def table(self, name: str, version: int | None = None) -> DataFrame:
-        version = self.current_version() if version is None else version
+        record = self._record(version)
         schema = self.schemas[name]
-        df = self._read(f"{self.root}/{name}") if version is not None else None
-        if df is None:
+        if record is None or not record[VERSION]:
             return self.spark.createDataFrame([], schema)
-        live = (F.col(OPEN_FLAG) & (F.col(VERSION) == version)) | \
-               (~F.col(OPEN_FLAG) & (F.col(VERSION) <= version))
-        return df.filter(live).select(*schema.fieldNames())
+        rows = self._committed(name, record)
+        return rows.filter(~F.col(OPEN_FLAG) | (F.col(VERSION) == record[VERSION])).select(*schema.fieldNames())
 
     def state(self, version: int | None = None) -> State:
-        version = self.current_version() if version is None else version
         return State(*[self.table(n, version) for n in TABLES])
 
     def changelog(self, version: int | None = None) -> DataFrame:
-        version = self.current_version() if version is None else version
-        df = self._read(f"{self.root}/changelog") if version is not None else None
-        if df is None:
+        record = self._record(version)
+        if record is None or not record[VERSION]:
             return self.spark.createDataFrame([], CHANGELOG_SCHEMA)
-        return df.filter(F.col(VERSION) <= version).select(*CHANGELOG_SCHEMA.fieldNames())
+        return self._committed("changelog", record).select(*CHANGELOG_SCHEMA.fieldNames())
+
+    def recent_changes(self, now: str, hours: int = RECENT_HOURS) -> DataFrame:
+        """L4: the stored change-log rows younger than ``hours`` at ``now``."""
+        return report.recent_changes(self.changelog(), now, hours)
 
     # --- writing ---------------------------------------------------------------------
 
-    def _write_table(self, df: DataFrame, name: str, version: int) -> None:
-        (df.withColumn(OPEN_FLAG, is_open(SYS_END))
-         .write.mode("overwrite").partitionBy(OPEN_FLAG)
-         .parquet(f"{self.root}/{name}/{VERSION}={version}"))
+    def _write_commit(self, version: int, attempt: str, base: int, run_ts: str | None, change_ts: str | None) -> None:
+        record = self.spark.range(1).select(F.lit(attempt).alias(ATTEMPT), F.lit(base).cast("int").alias("base"),
+                                            ts(run_ts).alias("run_ts"), ts(change_ts).alias("change_ts"))
+        record.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/_commits/{VERSION}={version}")
 
-    def committed_tags(self, tags: list[str]) -> set[str]:
-        """Which of ``tags`` a committed version already carries (the stream's replays).
+    def _create(self) -> None:
+        if self._commits() is None:
+            self._write_commit(0, "", 0, None, None)
 
-        Only the asked-for tags come back to the driver, however many runs exist.
-        """
-        commits = self._read(f"{self.root}/_commits")
-        if commits is None or "tag" not in commits.columns or not tags:
-            return set()
-        hits = commits.select("tag").where(F.col("tag").isin(list(tags))).distinct()
-        return {r["tag"] for r in hits.collect()}
-
-    def publish(self, result: RunResult, mode: str = "dry_run", strict: bool = False,
-                tag: str | None = None) -> PublishReport:
+    def _write_table(self, df: DataFrame, name: str, version: int, attempt: str) -> None:
+        (df.withColumn(OPEN_FLAG, is_open(SYS_END))
+         .write.mode("errorifexists").partitionBy(OPEN_FLAG)
+         .parquet(f"{self.root}/{name}/{VERSION}={version}/{ATTEMPT}={attempt}"))
+
+    def _written(self, name: str, version: int, attempt: str, base: int) -> DataFrame:
+        """A table as it will be once this attempt is committed."""
+        own = self._read(name, f"{self.root}/{name}/{VERSION}={version}/{ATTEMPT}={attempt}")
+        columns = self.schemas[name].fieldNames()
+        record = self._record()
+        if not record[VERSION] or base == version:
+            return own.select(*columns)
+        older = self._committed(name, {**record.asDict(), "base": base}).filter(~F.col(OPEN_FLAG))
+        return own.select(*columns).unionByName(older.select(*columns))
+
+    def publish(self, result: Run, mode: str = "dry_run", strict: bool = False) -> PublishReport:
         """Write every table of ``result`` as one new version, or none of them.
 
-        ``dry_run`` (the default, as the original ships) computes the change log and the
-        integrity checks and keeps nothing.  ``commit`` writes all tables, checks what it
-        wrote and only then adds the commit record; with ``strict`` a violation aborts the
-        commit (the original states these rules but enforces none).  Any exception leaves
-        the pointer unmoved.
+        ``dry_run`` (the default, as the original ships) computes the preview counts, the change log and the
+        integrity checks and keeps nothing.  ``commit`` writes all tables, checks what it wrote and only then adds
+        the commit record; with ``strict`` a violation aborts the commit (the original states these rules but
+        enforces none).  A store that has a newer version than the run was built on refuses it.
         """
         if mode not in ("dry_run", "commit"):
             raise ValueError(f"unknown mode {mode!r}")
         current = self.current_version()
-        version = 1 if current is None else current + 1
+        version = (current or 0) + 1
         applied = result.applied
         if any(getattr(applied, n).kept is None for n in TABLES):
-            raise ValueError("the versioned store keeps closed history immutable; "
-                             "runs with close_history=True cannot be published")
+            raise ValueError("the store keeps closed history as it is; runs with close_history=True can't be published")
+        counts = [r.asDict() for r in report.preview_counts(result.changes).collect()]
         if mode == "dry_run":
             log = [r.asDict() for r in result.changelog.collect()]
-            return PublishReport(mode, version, log, self._violations(result.state))
-
+            return PublishReport(mode, version, log, self._violations(result.state), counts)
+        if result.base_version != current:
+            raise PublishError(f"the run was built on version {result.base_version}, the store is at {current}")
+        self._create()
+        base = self._record()["base"] or 1
+        attempt = uuid.uuid4().hex
         for name in TABLES:
-            self._write_table(getattr(applied, name).rewritten, name, version)
-        result.changelog.write.mode("overwrite").parquet(f"{self.root}/changelog/{VERSION}={version}")
-        violations = self._violations(self.state(version))
+            self._write_table(getattr(applied, name).rewritten, name, version, attempt)
+        log_path = f"{self.root}/changelog/{VERSION}={version}/{ATTEMPT}={attempt}"
+        result.changelog.write.mode("errorifexists").parquet(log_path)
+        violations = self._violations(State(*[self._written(n, version, attempt, base) for n in TABLES]))
         if strict and any(violations.values()):
             raise PublishError(f"version {version} not committed: {violations}")
-        log = [r.asDict() for r in self._read(f"{self.root}/changelog/{VERSION}={version}").collect()]
-        commit = self.spark.range(1).select(
-            F.lit(version).alias("version"), ts(result.params.run_ts).alias("run_ts"),
-            ts(result.params.change_ts).alias("change_ts"), F.lit(tag).cast("string").alias("tag"))
-        commit.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/_commits/{VERSION}={version}")
-        return PublishReport(mode, version, log, violations)
+        log = [r.asDict() for r in self.spark.read.parquet(log_path).collect()]
+        self._write_commit(version, attempt, base, result.params.run_ts, result.params.change_ts)
+        return PublishReport(mode, version, log, violations, counts)
+
+    def purge_test_rows(self, now: str, mode: str = "dry_run") -> list[dict]:
+        """Delete the manual test's rows from the three tables and the recent rows from the change log.
+
+        Returns the rows kept and removed for each table.  ``commit`` writes what stays as a new version that no
+        older rows belong to.
+        """
+        if mode not in ("dry_run", "commit"):
+            raise ValueError(f"unknown mode {mode!r}")
+        current = self.current_version()
+        state, log = self.state(), self.changelog()
+        counts = [r.asDict() for r in report.purge_counts(state, log, now, self.spec).collect()]
+        if mode == "commit" and current is not None:
+            version, attempt = current + 1, uuid.uuid4().hex
+            keep = report.purge_predicates(now, self.spec)
+            for name, df in state.tables().items():
+                self._write_table(report.purge(df, keep[name]), name, version, attempt)
+            (report.purge(log, keep["changelog"]).write.mode("errorifexists")
+             .parquet(f"{self.root}/changelog/{VERSION}={version}/{ATTEMPT}={attempt}"))
+            self._write_commit(version, attempt, version, now, now)
+        return counts
 
     def _violations(self, state: State) -> dict[str, int]:
         out = {"exclusive_links": checks.exclusive_links(state, self.spec).first()["violations"],
@@ -163,7 +225,7 @@ class RegisterStore:
 
 def run_and_publish(spark: SparkSession, interim: DataFrame, store: RegisterStore, params: RunParams,
                     mode: str = "dry_run", spec: Spec = DWELLINGS, strict: bool = False,
-                    tag: str | None = None, keep_staging: bool = False) -> PublishReport:
+                    keep_staging: bool = False) -> PublishReport:
     """A whole run against the store's current version, then publish (dry run by default).
 
     The run's staging folder is dropped afterwards (the report holds collected rows
@@ -171,8 +233,9 @@ def run_and_publish(spark: SparkSession, interim: DataFrame, store: RegisterStor
     """
     stage = ParquetStage(spark)
     try:
-        result = run(interim, store.state(), params, spec, stage)
-        return store.publish(result, mode, strict, tag)
+        base = store.current_version()
+        result = run(interim, store.state(base), params, spec, stage, base_version=base)
+        return store.publish(result, mode, strict)
     finally:
         if not keep_staging:
             stage.drop()

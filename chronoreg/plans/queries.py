@@ -8,11 +8,16 @@ with the same column names as its DuckDB oracle in ``oracle_sql()``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronoreg.functions import hours_before
 from chronoreg.model import (
+    CHANGE,
+    CHANGE_DELETE,
+    CHANGE_INSERT,
     CHANGELOG_TABLE,
     COUNT_CANDIDATES,
     COUNT_DELETES,
@@ -20,10 +25,13 @@ from chronoreg.model import (
     COUNT_MAINTENANCE,
     COUNT_RELINKS,
     DWELLINGS,
+    TEST_BUILDING_IDS_ABOVE,
+    TEST_PART_PREFIX,
+    TEST_SCENARIOS,
     RunParams,
 )
 from chronoreg.operators import checks, diff, report
-from chronoreg.operators.apply import BY, BY_CHANGE, BY_RELINK, TOUCHED
+from chronoreg.operators.apply import BY, BY_CHANGE, BY_RELINK, TOUCHED, WAS_END
 from chronoreg.operators.select import (
     auto_scenarios,
     candidates_ambiguous,
@@ -31,90 +39,98 @@ from chronoreg.operators.select import (
     latest_batch,
 )
 from chronoreg.plans import oracle as O
-from chronoreg.plans.run import ParquetStage, RunResult, Selection, run, select, session_id
-from chronoreg.sources.fixtures import FIXTURE_PARAMS, Inputs, derived_inputs
-from chronoreg.sources.tables import open_rows
+from chronoreg.plans.run import ParquetStage, Run, Selection, run, select
+from chronoreg.sources.fixtures import FIXTURE_PARAMS, STALE_BATCH, Inputs, derived_inputs, older_batch, older_log
+from chronoreg.sources.tables import State, open_rows, read_interim, read_state
 
 P = FIXTURE_PARAMS
 START_BUCKET = ("1995-06-07 00:00:00", "1995-05-24 00:00:00")  # F12 bucket inside the order dates
 EXPLICIT = P.with_(scenarios=(0, 99, 999, 5))
 ALL_BATCHES = P.with_(batch_filter=False)
+REINSERT = P.with_(reinsert_join=True)
+CLOSE_HISTORY = P.with_(close_history=True)
 SPEC = DWELLINGS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return derived_inputs(spark, sf_dir, SPEC)
+def _inputs(spark: SparkSession, sf_dir: str, hard: bool = True) -> Inputs:
+    return derived_inputs(spark, sf_dir, SPEC, hard)
 
 
-# One staged run per (session, scale factor, parameters): the registered queries of a
-# session share the materialised change set instead of recomputing it per query.
-_RUNS: dict[tuple, tuple[Inputs, RunResult]] = {}
-_SELECTIONS: dict[tuple, tuple[Inputs, Selection]] = {}
+def _run(spark: SparkSession, sf_dir: str, params: RunParams = P) -> Run:
+    """A run of its own for each query; it computes what the query asks for."""
+    inp = _inputs(spark, sf_dir)
+    return run(inp.interim, inp.state, params, SPEC, ParquetStage(spark))
 
 
-def _key(spark: SparkSession, sf_dir: str, params: RunParams) -> tuple:
-    return (session_id(spark), sf_dir, params)
+def _sel(spark: SparkSession, sf_dir: str, params: RunParams = P) -> tuple[Inputs, Selection]:
+    inp = _inputs(spark, sf_dir)
+    return inp, select(inp.interim, params, SPEC, ParquetStage(spark))
 
 
-def _stage(spark: SparkSession):
-    """Parquet staging under the session's checkpoint folder; a session that names none
-    and is not local runs the queries unstaged (same rows, larger plans)."""
-    try:
-        return ParquetStage(spark)
-    except RuntimeError:
-        return lambda df, name: df
+def _stored(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The inputs written as Parquet and read through the readers."""
+    stage, inp = ParquetStage(spark), _inputs(spark, sf_dir)
+    for name, df in {"interim": inp.interim, **inp.state.tables()}.items():
+        stage(df, name)
+    paths = [f"{stage.folder}/{name}" for name in inp.state.tables()]
+    return Inputs(read_interim(spark, f"{stage.folder}/interim", SPEC), read_state(spark, *paths, SPEC))
 
 
-def _run(spark: SparkSession, sf_dir: str, params: RunParams = P) -> tuple[Inputs, RunResult]:
-    key = _key(spark, sf_dir, params)
-    if key not in _RUNS:
-        inp = _inputs(spark, sf_dir)
-        _RUNS[key] = (inp, run(inp.interim, inp.state, params, SPEC, _stage(spark)))
-    return _RUNS[key]
+def _touched(df: DataFrame, by: str | None = None) -> DataFrame:
+    hit = F.col(TOUCHED) if by is None else F.col(TOUCHED) & (F.col(BY) == by)
+    return df.filter(hit).drop(TOUCHED, BY, WAS_END)
 
 
-def _sel(spark: SparkSession, sf_dir: str, params: RunParams = P) -> tuple[Inputs, Selection]:
-    key = _key(spark, sf_dir, params)
-    if key in _RUNS:
-        inp, res = _RUNS[key]
-        return inp, res.selection
-    if key not in _SELECTIONS:
-        inp = _inputs(spark, sf_dir)
-        _SELECTIONS[key] = (inp, select(inp.interim, params, SPEC, _stage(spark)))
-    return _SELECTIONS[key]
+def _rerun_counts(hard: bool) -> Query:
+    """K2: what a second run of the same snapshot on the first one's result would change."""
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        inp = _inputs(spark, sf_dir, hard)
+        stage = ParquetStage(spark)
+        first = run(inp.interim, inp.state, P, SPEC, stage)
+        state = State(*[stage(df, f"after_{name}") for name, df in first.state.tables().items()])
+        changes = run(inp.interim, state, P, SPEC, ParquetStage(spark)).changes
+        tagged = reduce(DataFrame.unionByName, [getattr(changes, name).select(F.lit(name).alias("t"))
+                                                for name in ("deletes", "inserts", "relinks")])
+        return tagged.agg(*[F.count(F.when(F.col("t") == name, 1)).alias(name) for name in ("deletes", "inserts", "relinks")])
 
-def clear_cache() -> None:
-    _RUNS.clear()
-    _SELECTIONS.clear()
+    return query
 
 
-def _touched(df: DataFrame, by: str | None = None) -> DataFrame:
-    hit = F.col(TOUCHED) if by is None else F.col(TOUCHED) & (F.col(BY) == by)
-    return df.filter(hit).drop(TOUCHED, BY)
+def _log_table(name: str) -> Query:
+    return lambda s, d: _run(s, d).changelog.filter(F.col("table_name") == name)
 
 
-def _rerun_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inp, first = _run(spark, sf_dir)
-    second = run(inp.interim, first.state, P, SPEC, _stage(spark))
-    ch = second.changes
-    tagged = (ch.deletes.select(F.lit("d").alias("t"))
-              .unionByName(ch.inserts.select(F.lit("i").alias("t")))
-              .unionByName(ch.relinks.select(F.lit("r").alias("t"))))
-    return tagged.agg(F.count(F.when(F.col("t") == "d", 1)).alias("deletes"),
-                      F.count(F.when(F.col("t") == "i", 1)).alias("inserts"),
-                      F.count(F.when(F.col("t") == "r", 1)).alias("relinks"))
+def _log_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = older_log(spark, sf_dir, P).unionByName(_run(spark, sf_dir).changelog)
+    return report.recent_changes(log, P.change_ts)
 
 
-def _log_table(name: str) -> Query:
-    return lambda s, d: _run(s, d)[1].changelog.filter(F.col("table_name") == name)
+def _purged(name: str) -> Query:
+    return lambda s, d: report.purge(getattr(_run(s, d), name).after, report.test_row_predicates(SPEC)[name])
+
+
+def _purge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    res = _run(spark, sf_dir)
+    log = older_log(spark, sf_dir, P).unionByName(res.changelog)
+    return report.purge_counts(res.state, log, P.change_ts, SPEC)
 
 
 def _by_sys_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inp, res = _run(spark, sf_dir)
-    return report.count_by_sys_end(inp.state, res.state, SPEC)
+    res = _run(spark, sf_dir)
+    return report.count_by_sys_end(res.before, res.state, SPEC)
+
+
+def _multi_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes where one scenario's newest snapshot is older than the others'."""
+    inp = _inputs(spark, sf_dir)
+    return run(older_batch(inp.interim, SPEC), inp.state, P, SPEC, ParquetStage(spark)).deletes
+
+
+def _changed(res: Run) -> DataFrame:
+    return diff.changed_keys(res.deletes, res.inserts, SPEC)
 
 
 QUERIES: dict[str, Query] = {
@@ -122,125 +138,128 @@ QUERIES: dict[str, Query] = {
     "scenarios_auto": lambda s, d: auto_scenarios(_inputs(s, d).interim, P, SPEC),
     "scenarios_explicit": lambda s, d: _sel(s, d, EXPLICIT)[1].candidates
     .groupBy(SPEC.scenario).agg(F.count(F.lit(1)).alias("n")),
-    "batch_latest": lambda s, d: (lambda i, x: latest_batch(i.interim, x.scenarios, P, SPEC))(*_sel(s, d)),
+    "batch_latest": lambda s, d: latest_batch(_inputs(s, d).interim, P, SPEC),
     # C1-C4
     "candidates_main": lambda s, d: (lambda i, x: candidates_main(
-        i.interim, x.scenarios, x.batch_ts, P, SPEC))(*_sel(s, d)),
+        i.interim, x.scenarios, P, SPEC))(*_sel(s, d)),
     "candidates_ambiguous": lambda s, d: (lambda i, x: candidates_ambiguous(
-        i.interim, x.scenarios, x.batch_ts, P, SPEC))(*_sel(s, d)),
+        i.interim, x.scenarios, P, SPEC))(*_sel(s, d)),
     "candidates": lambda s, d: _sel(s, d)[1].candidates,
     "candidates_all_batches": lambda s, d: _sel(s, d, ALL_BATCHES)[1].candidates,
-    # R1, S2-S4
+    # Written and read through the readers
+    "scan_interim": lambda s, d: _stored(s, d).interim,
+    "scan_register": lambda s, d: open_rows(_stored(s, d).state.register),
+    "scan_building_link": lambda s, d: open_rows(_stored(s, d).state.building_link),
+    "scan_part_link": lambda s, d: open_rows(_stored(s, d).state.part_link),
+    # R1
     "open_register": lambda s, d: open_rows(_inputs(s, d).state.register),
     "open_building_links": lambda s, d: open_rows(_inputs(s, d).state.building_link),
     "open_part_links": lambda s, d: open_rows(_inputs(s, d).state.part_link),
     # D1-D9
-    "deletes_only": lambda s, d: (lambda i, x: diff.find_deletes(
-        i.state.register, x.candidates, x.scenarios, P, SPEC))(*_sel(s, d)),
-    "inserts_only": lambda s, d: (lambda i, x: diff.find_inserts(
-        i.state.register, x.candidates, SPEC))(*_sel(s, d)),
-    "updates_matched": lambda s, d: (lambda i, x: diff.match_updates(
-        i.state.register, x.candidates, x.scenarios, SPEC))(*_sel(s, d)),
-    "deletes_all": lambda s, d: _run(s, d)[1].changes.deletes,
-    "inserts_all": lambda s, d: _run(s, d)[1].changes.inserts,
-    "changed_keys": lambda s, d: (lambda r: diff.changed_keys(
-        r.changes.deletes, r.changes.inserts, SPEC))(_run(s, d)[1]),
-    "classify_one_pass": lambda s, d: (lambda i, x: diff.classify_one_pass(
-        i.state.register, x.candidates, x.scenarios, P, SPEC))(*_sel(s, d)),
-    "relinks_part": lambda s, d: (lambda i, r: diff.find_part_relinks(
-        r.changes.candidates, i.state.building_link, i.state.part_link,
-        diff.changed_keys(r.changes.deletes, r.changes.inserts, SPEC), SPEC))(*_run(s, d)),
-    "relinks_building": lambda s, d: (lambda i, r: diff.find_building_relinks(
-        r.changes.candidates, i.state.building_link, i.state.part_link,
-        diff.changed_keys(r.changes.deletes, r.changes.inserts, SPEC), SPEC))(*_run(s, d)),
-    "relinks_all": lambda s, d: _run(s, d)[1].changes.relinks,
+    "deletes_only": lambda s, d: _run(s, d).deletes.filter(F.col(CHANGE) == CHANGE_DELETE),
+    "inserts_only": lambda s, d: _run(s, d).inserts.filter(F.col(CHANGE) == CHANGE_INSERT),
+    "updates_matched": lambda s, d: diff.matched_updates(_run(s, d).classified, SPEC),
+    "deletes_all": lambda s, d: _run(s, d).deletes,
+    "inserts_all": lambda s, d: _run(s, d).inserts,
+    "changed_keys": lambda s, d: _changed(_run(s, d)),
+    "classify_one_pass": lambda s, d: diff.classified_keys(_run(s, d).classified, SPEC),
+    "deletes_multi_batch": _multi_batch,
+    "relinks_part": lambda s, d: (lambda r: diff.find_part_relinks(
+        r.selection.candidates, r.before.building_link, r.before.part_link, _changed(r), SPEC))(_run(s, d)),
+    "relinks_building": lambda s, d: (lambda r: diff.find_building_relinks(
+        r.selection.candidates, r.before.building_link, r.before.part_link, _changed(r), SPEC))(_run(s, d)),
+    "relinks_all": lambda s, d: _run(s, d).relinks,
     # A1-A5
-    "register_closed": lambda s, d: _touched(_run(s, d)[1].applied.register.updated),
-    "building_closed_by_change": lambda s, d: _touched(_run(s, d)[1].applied.building_link.updated, BY_CHANGE),
-    "part_closed_by_change": lambda s, d: _touched(_run(s, d)[1].applied.part_link.updated, BY_CHANGE),
-    "building_closed_by_relink": lambda s, d: _touched(_run(s, d)[1].applied.building_link.updated, BY_RELINK),
-    "part_closed_by_relink": lambda s, d: _touched(_run(s, d)[1].applied.part_link.updated, BY_RELINK),
+    "register_closed": lambda s, d: _touched(_run(s, d).register.named),
+    "building_closed_by_change": lambda s, d: _touched(_run(s, d).building_link.named, BY_CHANGE),
+    "part_closed_by_change": lambda s, d: _touched(_run(s, d).part_link.named, BY_CHANGE),
+    "building_closed_by_relink": lambda s, d: _touched(_run(s, d).building_link.named, BY_RELINK),
+    "part_closed_by_relink": lambda s, d: _touched(_run(s, d).part_link.named, BY_RELINK),
     # A6-A11
-    "register_after": lambda s, d: _run(s, d)[1].state.register,
-    "building_after": lambda s, d: _run(s, d)[1].state.building_link,
-    "part_after": lambda s, d: _run(s, d)[1].state.part_link,
+    "register_after": lambda s, d: _run(s, d).register.after,
+    "building_after": lambda s, d: _run(s, d).building_link.after,
+    "part_after": lambda s, d: _run(s, d).part_link.after,
     # G1-G6
     "count_candidates": lambda s, d: report.count_candidates(_sel(s, d)[1].candidates),
-    "count_deletes": lambda s, d: report.count_by_change(_run(s, d)[1].changes.deletes, COUNT_DELETES),
-    "count_inserts": lambda s, d: report.count_by_change(_run(s, d)[1].changes.inserts, COUNT_INSERTS),
-    "count_relinks": lambda s, d: report.count_relinks(_run(s, d)[1].changes.relinks),
-    "count_maintenance": lambda s, d: report.count_maintenance(_run(s, d)[1].changes.deletes),
+    "count_deletes": lambda s, d: report.count_by_change(_run(s, d).deletes, COUNT_DELETES),
+    "count_inserts": lambda s, d: report.count_by_change(_run(s, d).inserts, COUNT_INSERTS),
+    "count_relinks": lambda s, d: report.count_relinks(_run(s, d).relinks),
+    "count_maintenance": lambda s, d: report.count_maintenance(_run(s, d).deletes),
     "count_maintenance_by_start": lambda s, d: report.count_maintenance(
-        _run(s, d)[1].changes.deletes, START_BUCKET),
+        _run(s, d).deletes, START_BUCKET),
     "count_by_sys_end": _by_sys_end,
     # L1-L4
     "changelog_register": _log_table(SPEC.register_table),
     "changelog_building": _log_table(SPEC.parent_table),
     "changelog_part": _log_table(SPEC.sub_parent_table),
-    "changelog_recent": lambda s, d: report.recent_changes(_run(s, d)[1].changelog, P.change_ts),
+    "changelog_recent": _log_recent,
     # O1, O5
     "inspect_register": lambda s, d: report.inspect(
-        _run(s, d)[1].state.register, report.test_row_predicates(SPEC)["register"], SPEC),
+        _run(s, d).register.after, report.test_row_predicates(SPEC)["register"], SPEC),
     "inspect_building": lambda s, d: report.inspect(
-        _run(s, d)[1].state.building_link, report.test_row_predicates(SPEC)["building_link"], SPEC),
+        _run(s, d).building_link.after, report.test_row_predicates(SPEC)["building_link"], SPEC),
     "inspect_part": lambda s, d: report.inspect(
-        _run(s, d)[1].state.part_link, report.test_row_predicates(SPEC)["part_link"], SPEC),
-    "purge_test_rows": lambda s, d: (lambda r: report.purge_counts(
-        r.state, r.changelog, P.change_ts, SPEC))(_run(s, d)[1]),
+        _run(s, d).part_link.after, report.test_row_predicates(SPEC)["part_link"], SPEC),
+    "purge_test_rows": _purge_counts,
+    "register_purged": _purged("register"),
+    "building_purged": _purged("building_link"),
+    "part_purged": _purged("part_link"),
+    # the original as coded: every batch, left joins before the inserts, closed rows rewritten
+    "register_after_all_batches": lambda s, d: _run(s, d, ALL_BATCHES).register.after,
+    "register_after_reinsert": lambda s, d: _run(s, d, REINSERT).register.after,
+    "register_after_close_history": lambda s, d: _run(s, d, CLOSE_HISTORY).register.after,
+    "count_preview": lambda s, d: report.preview_counts(_run(s, d).changes),
     # K1-K5
-    "check_exclusive_links": lambda s, d: checks.exclusive_links(_run(s, d)[1].state, SPEC),
-    "check_open_unique": lambda s, d: checks.open_unique(_run(s, d)[1].state.register, SPEC),
+    "check_exclusive_links": lambda s, d: checks.exclusive_links(_run(s, d).state, SPEC),
+    "check_open_unique": lambda s, d: checks.open_unique(_run(s, d).register.after, SPEC),
     "check_candidate_unique": lambda s, d: checks.candidate_unique(_sel(s, d)[1].candidates, SPEC),
-    "check_intervals": lambda s, d: checks.intervals(_run(s, d)[1].state, SPEC),
-    "check_rerun_empty": _rerun_counts,
+    "check_intervals": lambda s, d: checks.intervals(_run(s, d).state, SPEC),
+    "check_rerun_empty": _rerun_counts(hard=False),
+    "check_rerun_dirty": _rerun_counts(hard=True),
 }
 
 
 # --- oracle SQL ----------------------------------------------------------------------
 
 _OPEN = O.is_open()
-_REG_SORT = "dwelling_id, effective_start_date, sys_create_date, scenario_no, effective_end_date, " \
-            "sys_end_date, sys_deleted_ind"
-_BLD_SORT = "dwelling_id, effective_start_date, sys_create_date, building_id, effective_end_date, " \
-            "sys_end_date, sys_deleted_ind"
-_PRT_SORT = "dwelling_id, effective_start_date, sys_create_date, part_of_building_id, " \
-            "effective_end_date, sys_end_date, sys_deleted_ind"
+_SCENARIOS = ", ".join(map(str, TEST_SCENARIOS))
+_TEST_ROWS = {  # which rows the documented manual test wrote
+    "register": f"scenario_no IN ({_SCENARIOS})",
+    "building_link": f"building_id = 0 OR building_id > {TEST_BUILDING_IDS_ABOVE}",
+    "part_link": f"starts_with(part_of_building_id, '{TEST_PART_PREFIX}')",
+}
+_AFTER = {"register": "reg_after", "building_link": "bld_after", "part_link": "prt_after"}
+_NAMES = {"register": SPEC.register_table, "building_link": SPEC.parent_table, "part_link": SPEC.sub_parent_table}
+_COLUMNS = {"register": O.REG_COLS, "building_link": O.BLD_COLS, "part_link": O.PRT_COLS}
 
 
-def _nulls_first(cols: str) -> str:
-    return ", ".join(f"{c.strip()} ASC NULLS FIRST" for c in cols.split(","))
+def _inspect_sql(name: str) -> str:
+    head = ["dwelling_id", "effective_start_date", "sys_create_date"]
+    columns = [c.strip() for c in _COLUMNS[name].split(",")]
+    order = ", ".join(f"{c} ASC NULLS FIRST" for c in [*head, *(c for c in columns if c not in head)])
+    return f"SELECT * FROM {_AFTER[name]} WHERE {_TEST_ROWS[name]} ORDER BY {order} LIMIT 1000"
 
 
-def _counts_by_sys_end() -> str:
-    parts = []
-    for stage, rels in (("before", ("fx_register", "fx_building", "fx_part")),
-                        ("after", ("reg_after", "bld_after", "prt_after"))):
-        for name, rel in zip((SPEC.register_table, SPEC.parent_table, SPEC.sub_parent_table), rels):
-            parts.append(f"SELECT '{name}' AS table_name, '{stage}' AS stage, sys_end_date, count(*) AS n "
-                         f"FROM {rel} GROUP BY sys_end_date")
+def _purged_sql(name: str) -> str:
+    return f"SELECT * FROM {_AFTER[name]} WHERE ({_TEST_ROWS[name]}) IS NOT TRUE"
+
+
+def _union(parts) -> str:
     return "\nUNION ALL ".join(parts)
 
 
-def _purge_sql() -> str:
-    from chronoreg.functions.temporal import hours_before
-    since = hours_before(P.change_ts)
-    rows = [
-        (SPEC.register_table, "reg_after", "scenario_no = 0 OR scenario_no = 99"),
-        (SPEC.parent_table, "bld_after", "building_id = 0 OR building_id > 9999990"),
-        (SPEC.sub_parent_table, "prt_after", "part_of_building_id LIKE 'tst%'"),
-        (CHANGELOG_TABLE, "log", f"change_date > TIMESTAMP '{since}'"),
-    ]
-    return "\nUNION ALL ".join(
-        f"SELECT '{n}' AS table_name, count(*) FILTER (WHERE NOT COALESCE({w}, false)) AS rows_kept, "
-        f"count(*) FILTER (WHERE COALESCE({w}, false)) AS rows_removed FROM {rel}" for n, rel, w in rows)
+def _counts_by_sys_end() -> str:
+    before = {"register": "fx_register", "building_link": "fx_building", "part_link": "fx_part"}
+    return _union(f"SELECT '{_NAMES[t]}' AS table_name, '{stage}' AS stage, sys_end_date, count(*) AS n "
+                  f"FROM {rels[t]} GROUP BY ALL" for stage, rels in (("before", before), ("after", _AFTER)) for t in _NAMES)
 
 
-def _intervals_sql() -> str:
-    return "\nUNION ALL ".join(
-        f"SELECT '{n}' AS table_name, count(*) FILTER (WHERE NOT {_OPEN} AND sys_end_date < sys_create_date) "
-        f"AS violations FROM {rel}"
-        for n, rel in ((SPEC.register_table, "reg_after"), (SPEC.parent_table, "bld_after"),
-                       (SPEC.sub_parent_table, "prt_after")))
+def _purge_sql(since: str) -> str:
+    rows = [(_NAMES[t], _AFTER[t], _TEST_ROWS[t]) for t in _NAMES]
+    rows.append((CHANGELOG_TABLE, "(SELECT change_date FROM log UNION ALL SELECT change_date FROM fx_log)",
+                 f"change_date > TIMESTAMP '{since}'"))
+    return _union(f"SELECT '{n}' AS table_name, count(*) FILTER (WHERE ({w}) IS NOT TRUE) AS rows_kept, "
+                  f"count(*) FILTER (WHERE ({w}) IS TRUE) AS rows_removed FROM {rel}" for n, rel, w in rows)
 
 
 def _unique_sql(rel: str, where: str = "true") -> str:
@@ -249,77 +268,93 @@ def _unique_sql(rel: str, where: str = "true") -> str:
             f"GROUP BY dwelling_id, effective_start_date)")
 
 
+def _preview_sql() -> str:
+    kinds = [(COUNT_DELETES, "dels"), (COUNT_INSERTS, "ins")]
+    totals = [(COUNT_CANDIDATES, "cand"), (COUNT_RELINKS, "rel")]
+    return _union([*(f"SELECT '{n}' AS count_name, change, count(*) AS n FROM {r} GROUP BY ALL" for n, r in kinds),
+                   *(f"SELECT '{n}', CAST(NULL AS VARCHAR), count(*) FROM {r} HAVING count(*) > 0" for n, r in totals)])
+
+
 def oracle_sql() -> dict[str, str]:
-    from chronoreg.functions.temporal import hours_before
     w = O.with_chain
     since = hours_before(P.change_ts)
     rerun = O.chain("r2_", P, "fx_interim", "reg_after", "bld_after", "prt_after")
+    rerun_counts = "SELECT " + ", ".join(f"(SELECT count(*) FROM r2_{r}) AS {n}" for n, r in
+                                         (("deletes", "dels"), ("inserts", "ins"), ("relinks", "rel")))
+    closed = lambda t, why: f"SELECT {_COLUMNS[t]} FROM {O.DONE[t]} WHERE why = '{why}'"
     return {
         "scenarios_auto": w("SELECT id FROM scen"),
         "scenarios_explicit": w("SELECT scenario_no, count(*) AS n FROM cand GROUP BY scenario_no", EXPLICIT),
-        "batch_latest": w("SELECT b AS batch_ts FROM batch"),
+        "batch_latest": w("SELECT max(batch) AS batch_ts FROM scen"),
         "candidates_main": w("SELECT * FROM c1"),
         "candidates_ambiguous": w("SELECT * FROM c2"),
         "candidates": w("SELECT * FROM cand"),
         "candidates_all_batches": w("SELECT * FROM cand", ALL_BATCHES),
-        "open_register": w("SELECT * FROM oreg"),
+        "scan_interim": w("SELECT * FROM fx_interim"),
+        **{f"{q}_register": w(f"SELECT * FROM fx_register WHERE {_OPEN}") for q in ("open", "scan")},
         "open_building_links": w(f"SELECT * FROM fx_building WHERE {_OPEN}"),
+        "scan_building_link": w(f"SELECT * FROM fx_building WHERE {_OPEN}"),
         "open_part_links": w(f"SELECT * FROM fx_part WHERE {_OPEN}"),
-        "deletes_only": w("SELECT * FROM d1"),
-        "inserts_only": w("SELECT * FROM d2"),
-        "updates_matched": w("SELECT * FROM d3"),
+        "scan_part_link": w(f"SELECT * FROM fx_part WHERE {_OPEN}"),
+        "deletes_only": w("SELECT * FROM dels WHERE change = 'DELETE'"),
+        "inserts_only": w("SELECT * FROM ins WHERE change = 'INSERT'"),
+        "updates_matched": w("SELECT * FROM changed"),
         "deletes_all": w("SELECT * FROM dels"),
         "inserts_all": w("SELECT * FROM ins"),
+        "deletes_multi_batch": w("SELECT * FROM dels", interim=f"""(SELECT * REPLACE (CASE WHEN scenario_no = 1
+  THEN TIMESTAMP '{STALE_BATCH}' ELSE sys_create_date END AS sys_create_date) FROM fx_interim)"""),
         "changed_keys": w("SELECT * FROM chg"),
         "classify_one_pass": w("""
 SELECT dwelling_id, effective_start_date, scenario_no AS reg_scenario_no,
-       CAST(NULL AS INTEGER) AS cand_scenario_no, 'DELETE' AS change FROM d1
-UNION ALL SELECT dwelling_id, effective_start_date, CAST(NULL AS INTEGER), scenario_no, 'INSERT' FROM d2
-UNION ALL SELECT dwelling_id, effective_start_date, reg_scenario_no, scenario_no, 'UPDATE' FROM d3"""),
-        "relinks_part": w("SELECT * FROM d7"),
-        "relinks_building": w("SELECT * FROM d8"),
+       CAST(NULL AS INTEGER) AS cand_scenario_no, change FROM dels WHERE change = 'DELETE'
+UNION ALL SELECT dwelling_id, effective_start_date, CAST(NULL AS INTEGER), scenario_no, change FROM ins WHERE change = 'INSERT'
+UNION ALL SELECT dwelling_id, effective_start_date, reg_scenario_no, scenario_no, 'UPDATE' FROM changed"""),
+        "relinks_part": w("SELECT * EXCLUDE (side) FROM moves WHERE side = 'part'"),
+        "relinks_building": w("SELECT * EXCLUDE (side) FROM moves WHERE side = 'building'"),
         "relinks_all": w("SELECT * FROM rel"),
-        "register_closed": w(f"SELECT {O.REG_COLS} FROM reg1 WHERE touched"),
-        "building_closed_by_change": w(f"SELECT {O.BLD_COLS} FROM bld1 WHERE touched"),
-        "part_closed_by_change": w(f"SELECT {O.PRT_COLS} FROM prt1 WHERE touched"),
-        "building_closed_by_relink": w(f"SELECT {O.BLD_COLS} FROM bld2 WHERE touched"),
-        "part_closed_by_relink": w(f"SELECT {O.PRT_COLS} FROM prt2 WHERE touched"),
+        "register_closed": w(closed("register", "change")),
+        "building_closed_by_change": w(closed("building_link", "change")),
+        "part_closed_by_change": w(closed("part_link", "change")),
+        "building_closed_by_relink": w(closed("building_link", "relink")),
+        "part_closed_by_relink": w(closed("part_link", "relink")),
         "register_after": w("SELECT * FROM reg_after"),
+        "register_after_all_batches": w("SELECT * FROM reg_after", ALL_BATCHES),
+        "register_after_reinsert": w("SELECT * FROM reg_after", REINSERT),
+        "register_after_close_history": w("SELECT * FROM reg_after", CLOSE_HISTORY),
         "building_after": w("SELECT * FROM bld_after"),
         "part_after": w("SELECT * FROM prt_after"),
         "count_candidates": w(f"SELECT count(*) AS {COUNT_CANDIDATES} FROM cand"),
         "count_deletes": w(f"SELECT change, count(*) AS {COUNT_DELETES} FROM dels GROUP BY change"),
         "count_inserts": w(f"SELECT change, count(*) AS {COUNT_INSERTS} FROM ins GROUP BY change"),
         "count_relinks": w(f"SELECT count(*) AS {COUNT_RELINKS} FROM rel"),
+        "count_preview": w(_preview_sql()),
         "count_maintenance": w(f"SELECT change, effective_end_date, count(*) AS {COUNT_MAINTENANCE} "
                                "FROM dels GROUP BY change, effective_end_date"),
         "count_maintenance_by_start": w(f"""
-SELECT change, effective_end_date, changed_start_date, count(*) AS {COUNT_MAINTENANCE}
-FROM (SELECT CASE WHEN effective_start_date > TIMESTAMP '{START_BUCKET[0]}' THEN effective_start_date
-                  ELSE TIMESTAMP '{START_BUCKET[1]}' END AS changed_start_date, * FROM dels) d
-GROUP BY change, effective_end_date, changed_start_date"""),
+SELECT change, effective_end_date, if(effective_start_date > TIMESTAMP '{START_BUCKET[0]}', effective_start_date,
+  TIMESTAMP '{START_BUCKET[1]}') AS changed_start_date, count(*) AS {COUNT_MAINTENANCE} FROM dels GROUP BY ALL"""),
         "count_by_sys_end": w(_counts_by_sys_end()),
-        "changelog_register": w(f"SELECT * FROM log WHERE table_name = '{SPEC.register_table}'"),
-        "changelog_building": w(f"SELECT * FROM log WHERE table_name = '{SPEC.parent_table}'"),
-        "changelog_part": w(f"SELECT * FROM log WHERE table_name = '{SPEC.sub_parent_table}'"),
-        "changelog_recent": w(f"SELECT * FROM log WHERE change_date > TIMESTAMP '{since}'"),
-        "inspect_register": w(f"SELECT * FROM reg_after WHERE scenario_no = 0 OR scenario_no = 99 "
-                              f"ORDER BY {_nulls_first(_REG_SORT)} LIMIT 1000"),
-        "inspect_building": w(f"SELECT * FROM bld_after WHERE building_id = 0 OR building_id > 9999990 "
-                              f"ORDER BY {_nulls_first(_BLD_SORT)} LIMIT 1000"),
-        "inspect_part": w(f"SELECT * FROM prt_after WHERE part_of_building_id LIKE 'tst%' "
-                          f"ORDER BY {_nulls_first(_PRT_SORT)} LIMIT 1000"),
-        "purge_test_rows": w(_purge_sql()),
+        **{f"changelog_{q}": w(f"SELECT * FROM log WHERE table_name = '{t}'") for q, t in
+           (("register", SPEC.register_table), ("building", SPEC.parent_table), ("part", SPEC.sub_parent_table))},
+        "changelog_recent": w("SELECT * FROM (SELECT * FROM log UNION ALL BY NAME SELECT * FROM fx_log) "
+                              f"WHERE change_date > TIMESTAMP '{since}'"),
+        "inspect_register": w(_inspect_sql("register")),
+        "inspect_building": w(_inspect_sql("building_link")),
+        "inspect_part": w(_inspect_sql("part_link")),
+        "purge_test_rows": w(_purge_sql(since)),
+        "register_purged": w(_purged_sql("register")),
+        "building_purged": w(_purged_sql("building_link")),
+        "part_purged": w(_purged_sql("part_link")),
         "check_exclusive_links": w(f"""
-SELECT count(*) AS violations FROM bld_after b WHERE {O.is_open('b')} AND EXISTS (
-  SELECT 1 FROM prt_after p WHERE {O.is_open('p')} AND p.dwelling_id = b.dwelling_id
-  AND p.effective_start_date = b.effective_start_date)"""),
+SELECT count(*) AS violations FROM bld_after b
+JOIN (SELECT DISTINCT dwelling_id, effective_start_date FROM prt_after WHERE {_OPEN}) p USING (dwelling_id, effective_start_date)
+WHERE {O.is_open('b')}"""),
         "check_open_unique": w(_unique_sql("reg_after", _OPEN)),
         "check_candidate_unique": w(_unique_sql("cand")),
-        "check_intervals": w(_intervals_sql()),
-        "check_rerun_empty": w("SELECT (SELECT count(*) FROM r2_dels) AS deletes, "
-                               "(SELECT count(*) FROM r2_ins) AS inserts, "
-                               "(SELECT count(*) FROM r2_rel) AS relinks", extra=rerun),
+        "check_intervals": w(_union(f"SELECT '{_NAMES[t]}' AS table_name, count(*) FILTER (WHERE NOT {_OPEN} "
+                                    f"AND sys_end_date < sys_create_date) AS violations FROM {_AFTER[t]}" for t in _NAMES)),
+        "check_rerun_empty": w(rerun_counts, extra=rerun, hard=False),
+        "check_rerun_dirty": w(rerun_counts, extra=rerun),
     }
 
 

@@ -1,85 +1,46 @@
 """One whole run: parameters -> candidates -> change set -> apply -> change log.
 
-The plan builders are lazy.  A caller that executes several outputs of one run passes
-``stage`` (a ``ParquetStage``): each staging relation - candidates, deletes, inserts,
-relinks - is then written once to the session's checkpoint folder and read back,
-instead of being recomputed by every output that reads it.  That also cuts the
+Each staging relation -
+scenarios, candidates, the classification, relinks and the rows of each table that the
+run names - is written once to the session's checkpoint folder and read back, instead of
+being recomputed by every output that reads it.  That also cuts the
 lineage, so a lost executor never re-reads a table a publish may since have replaced,
 and keeps every later plan small.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from chronoreg.model import DWELLINGS, RunParams, Spec
-from chronoreg.operators.apply import Applied, apply_changes
+from chronoreg.operators.apply import Applied, TableUpdate, update_links, update_register
 from chronoreg.operators.diff import (
     Changes,
-    classify_split,
+    classify,
     closing_rows,
     find_relinks,
     opening_rows,
     touched_keys,
 )
-from chronoreg.operators.report import changelog, retired_end
+from chronoreg.operators.report import changelog
 from chronoreg.operators.select import ScenarioSet, candidates, resolve
 from chronoreg.sources.tables import State
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
-def _identity(df: DataFrame, name: str) -> DataFrame:
-    return df
-
-
-def _conf(spark: SparkSession, key: str) -> str | None:
-    try:
-        return spark.conf.get(key, None)
-    except Exception:  # a conf the session does not expose
-        return None
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder the cluster names, if any."""
-    conf = _conf(spark, "spark.checkpoint.dir")
-    if conf:
-        return conf
-    try:
-        return spark.sparkContext.getCheckpointDir() or None
-    except Exception:  # sessions without a SparkContext handle
-        return None
-
-
-def session_id(spark: SparkSession) -> str:
-    """Identifies the running application (for per-session caches)."""
-    return f"{_conf(spark, 'spark.app.id') or ''}:{id(spark)}"
-
-
-_LOCAL_DIRS: dict[str, str] = {}
-
-
 def staging_root(spark: SparkSession) -> str:
     """Where staged relations go: the session's checkpoint folder.
 
-    Only a local-mode session without one (tests, single-machine checks) gets a private
-    scratch folder; on a cluster the folder must be named by ``spark.checkpoint.dir``.
+    Only a session that names none (tests, single-machine use) takes its warehouse folder instead.
     """
-    folder = checkpoint_dir(spark)
-    if folder:
-        return folder.rstrip("/")
-    master = _conf(spark, "spark.master") or ""
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before staging a run")
-    key = session_id(spark)
-    if key not in _LOCAL_DIRS:
-        _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="chronoreg-stage-")
-    return _LOCAL_DIRS[key]
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return folder.rstrip("/")
 
 
 class ParquetStage:
@@ -93,6 +54,13 @@ class ParquetStage:
     def __init__(self, spark: SparkSession, root: str | None = None) -> None:
         self.spark = spark
         self.folder = f"{root or staging_root(spark)}/run-{uuid.uuid4().hex}"
+        self._files().deleteOnExit(self._path())
+
+    def _path(self):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+
+    def _files(self):
+        return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
@@ -102,39 +70,78 @@ class ParquetStage:
     def drop(self) -> bool:
         """Delete this run's staging folder (the temporary tables' clean-up).
 
-        Uses the Hadoop FileSystem of the session; where that handle is not available the
-        folder is left for the storage's lifecycle rules.  Call it only when nothing will
-        read the staged frames again.
+        Call it only when nothing will read the staged frames again; what is not dropped goes when the application ends.
         """
-        try:
-            jvm = self.spark._jvm
-            path = jvm.org.apache.hadoop.fs.Path(self.folder)
-            fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            return bool(fs.delete(path, True))
-        except Exception:
-            return False
+        return bool(self._files().delete(self._path(), True))
 
 
 @dataclass(frozen=True)
 class Selection:
     scenarios: ScenarioSet
-    batch_ts: str | None
     candidates: DataFrame
 
 
 def select(interim: DataFrame, params: RunParams, spec: Spec = DWELLINGS,
-           stage: Stage = _identity) -> Selection:
-    scen, batch = resolve(interim, params, spec)
-    return Selection(scen, batch, stage(candidates(interim, scen, batch, params, spec), "candidates"))
+           stage: Stage | None = None) -> Selection:
+    stage = stage or ParquetStage(interim.sparkSession)
+    scen = resolve(interim, params, spec, stage)
+    return Selection(scen, stage(candidates(interim, scen, params, spec), "candidates"))
 
 
-@dataclass(frozen=True)
-class RunResult:
-    selection: Selection
-    changes: Changes
-    applied: Applied
-    changelog: DataFrame
-    params: RunParams
+class Run:
+    """One run of a snapshot against the tables as they are; each part is computed (and staged) when first asked for."""
+
+    def __init__(self, interim: DataFrame, before: State, params: RunParams, spec: Spec = DWELLINGS,
+                 stage: Stage | None = None, base_version: int | None = None) -> None:
+        self.interim, self.before, self.params, self.spec = interim, before, params, spec
+        self.stage = stage or ParquetStage(interim.sparkSession)
+        self.base_version = base_version  # the store's version that ``before`` is
+
+    @cached_property
+    def selection(self) -> Selection:
+        return select(self.interim, self.params, self.spec, self.stage)
+
+    @cached_property
+    def classified(self) -> DataFrame:
+        sel = self.selection
+        return self.stage(classify(self.before.register, sel.candidates, sel.scenarios, self.params, self.spec), "classified")
+
+    @cached_property
+    def deletes(self) -> DataFrame:
+        return closing_rows(self.classified, self.params, self.spec)
+
+    @cached_property
+    def inserts(self) -> DataFrame:
+        return opening_rows(self.classified, self.spec)
+
+    @cached_property
+    def relinks(self) -> DataFrame:
+        return self.stage(find_relinks(self.selection.candidates, self.before.building_link, self.before.part_link,
+                                       touched_keys(self.classified, self.spec), self.spec), "relinks")
+
+    @cached_property
+    def changes(self) -> Changes:
+        return Changes(self.selection.candidates, self.deletes, self.inserts, self.relinks)
+
+    @cached_property
+    def register(self) -> TableUpdate:
+        return update_register(self.before.register, self.deletes, self.inserts, self.params, self.spec, self.stage)
+
+    @cached_property
+    def building_link(self) -> TableUpdate:
+        return update_links(self.before.building_link, self.changes, True, self.params, self.spec, self.stage)
+
+    @cached_property
+    def part_link(self) -> TableUpdate:
+        return update_links(self.before.part_link, self.changes, False, self.params, self.spec, self.stage)
+
+    @cached_property
+    def applied(self) -> Applied:
+        return Applied(self.register, self.building_link, self.part_link)
+
+    @cached_property
+    def changelog(self) -> DataFrame:
+        return changelog(self.before, self.changes, self.applied, self.params, self.spec)
 
     @property
     def state(self) -> State:
@@ -142,19 +149,5 @@ class RunResult:
 
 
 def run(interim: DataFrame, state: State, params: RunParams, spec: Spec = DWELLINGS,
-        stage: Stage = _identity) -> RunResult:
-    sel = select(interim, params, spec, stage)
-    classified = stage(classify_split(state.register, sel.candidates, sel.scenarios, params, spec),
-                       "classified")
-    deletes, inserts = closing_rows(classified, params, spec), opening_rows(classified, spec)
-    relinks = stage(find_relinks(sel.candidates, state.building_link, state.part_link,
-                                 touched_keys(classified, spec), spec), "relinks")
-    changes = Changes(candidates=sel.candidates, deletes=deletes, inserts=inserts, relinks=relinks)
-    applied = apply_changes(state, changes, params, spec)
-    if stage is _identity:
-        log = changelog(changes, applied, params, spec)
-    else:
-        # one bounded scalar from the staged deletes; lets the history scan prune row groups
-        log = changelog(changes, applied, params, spec,
-                        retired_at=retired_end(deletes).first()["_retired_end"])
-    return RunResult(sel, changes, applied, log, params)
+        stage: Stage | None = None, base_version: int | None = None) -> Run:
+    return Run(interim, state, params, spec, stage, base_version)

@@ -9,12 +9,14 @@ the inputs grow with the table and every registered query works on all of it.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoreg.functions import high_date, ts
 from chronoreg.model import (
+    CHANGELOG_SCHEMA,
     DELETED,
     DWELLINGS,
     EFF_END,
@@ -22,6 +24,7 @@ from chronoreg.model import (
     FLAG_LIVE,
     SYS_CREATE,
     SYS_END,
+    TEST_PART_PREFIX,
     RunParams,
     Spec,
 )
@@ -31,7 +34,9 @@ from chronoreg.sources.tables import State
 CURRENT_BATCH = "2024-01-02 00:00:01"
 STALE_BATCH = "2024-01-01 00:00:01"
 REGISTER_BATCH = "2023-01-01 00:00:01"
+SECOND_BATCH = "2023-02-01 00:00:01"
 CLOSED_BEFORE = "2023-06-01 00:00:00"
+BEFORE_CREATION = "2022-06-01 00:00:00"
 FIXTURE_VERSION = 0.54
 OTHER_VERSION = 0.1
 
@@ -63,8 +68,74 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def derived_inputs(spark: SparkSession, sf_dir: str, spec: Spec = DWELLINGS) -> Inputs:
+def derived_inputs(spark: SparkSession, sf_dir: str, spec: Spec = DWELLINGS, hard: bool = True) -> Inputs:
+    """The inputs of one run.
+
+    ``hard`` adds the rows of ``_hard_cases``; without them every key has one row per table, and a rerun of the same
+    snapshot changes nothing.
+    """
     base = _base(spark, sf_dir)
+    easy = _easy_cases(base, spec)
+    if not hard:
+        return easy
+    more = _hard_cases(base, spec)
+    unlisted = (F.col(spec.entity) % 20 == 16) & (F.floor(F.col(spec.entity) / 20) % 8 == 4)
+    register = easy.state.register.withColumn(spec.scenario, F.when(unlisted, F.lit(77)).otherwise(F.col(spec.scenario)))
+    late = F.floor(F.col(spec.entity) / 20) % 8 == 6
+    fraction = F.when(late, F.col(SYS_CREATE) + F.expr("INTERVAL 0.4 SECOND")).otherwise(F.col(SYS_CREATE))
+    interim = easy.interim.withColumn(SYS_CREATE, fraction)
+    return Inputs(interim=interim.unionByName(more.interim), state=State(
+        register.unionByName(more.state.register), easy.state.building_link.unionByName(more.state.building_link),
+        easy.state.part_link.unionByName(more.state.part_link)))
+
+
+def _hard_cases(base: DataFrame, spec: Spec) -> Inputs:
+    """Rows that no single-row key can exercise; the g-th eighth of a change case adds one kind.
+
+    m = 3, g = 2: a second candidate of the key in another scenario.  m = 15, g = 7: a second open register row.
+    m = 1, g = 6: a closed register row that ends before it was created.  m = 2, g = 1: a second building link, open
+    by NULL, that equals what the update would write.  m = 19, g = 3: a second building link and, with a test id, an
+    open part link beside it.  m = 16, g = 4: both kinds of link open where no candidate and no listed scenario is
+    (the register row's scenario is unlisted there).  m = 17, g = 5: a second part link with a test id.
+    """
+    k, m, c = F.col("k"), F.col("m"), F.col("c")
+    g = F.floor(k / 20) % 8
+    at = lambda case, part: base.filter((m == case) & (g == part))
+    temporal = lambda end, create=REGISTER_BATCH: (
+        F.col("es").alias(EFF_START), high_date().alias(EFF_END), ts(create).alias(SYS_CREATE), end.alias(SYS_END),
+        F.lit(FLAG_LIVE).alias(DELETED))
+    test_part = F.concat(F.lit(TEST_PART_PREFIX), k.cast("string"))
+    interim = at(3, 2).select(
+        k.alias(spec.entity), ((k + 1) % 5).cast("int").alias(spec.scenario), F.lit(FIXTURE_VERSION).alias(spec.version),
+        (c + 1).alias(spec.parent), F.lit(None).cast("string").alias(spec.sub_parent), *temporal(high_date(), CURRENT_BATCH))
+    register = at(15, 7).select(k.alias(spec.entity), (k % 5).cast("int").alias(spec.scenario), *temporal(high_date(), SECOND_BATCH))
+    register = register.unionByName(at(1, 6).select(
+        k.alias(spec.entity), (k % 5).cast("int").alias(spec.scenario), *temporal(ts(BEFORE_CREATION))))
+    building = at(2, 1).select(k.alias(spec.entity), c.alias(spec.parent), *temporal(ts(None))).unionByName(
+        at(19, 3).select(k.alias(spec.entity), (c + 2).alias(spec.parent), *temporal(high_date())))
+    part = reduce(DataFrame.unionByName, [
+        at(case, of).select(k.alias(spec.entity), test_part.alias(spec.sub_parent), *temporal(high_date()))
+        for case, of in ((19, 3), (16, 4), (17, 5))])
+    return Inputs(interim=interim, state=State(register, building, part))
+
+
+def older_batch(interim: DataFrame, spec: Spec = DWELLINGS, scenario: int = 1) -> DataFrame:
+    """The snapshot with one scenario's rows in the older batch."""
+    moved = F.when(F.col(spec.scenario) == scenario, ts(STALE_BATCH)).otherwise(F.col(SYS_CREATE))
+    return interim.withColumn(SYS_CREATE, moved)
+
+
+def older_log(spark: SparkSession, sf_dir: str, params: RunParams) -> DataFrame:
+    """Change-log rows of earlier runs: one for each order of case 0, nought to four hours old."""
+    hours = (F.floor(F.col("k") / 20) % 5).cast("int")
+    values = {"change_date": ts(params.change_ts) - F.make_dt_interval(hours=hours), "table_name": F.lit(DWELLINGS.register_table),
+              "process": F.lit(DWELLINGS.process), "records_added": F.lit(1), "total_records_after": F.col("k")}
+    base = _base(spark, sf_dir).filter(F.col("m") == 0)
+    return base.select(*[values.get(f.name, F.lit(0 if "records" in f.name else None)).cast(f.dataType).alias(f.name)
+                         for f in CHANGELOG_SCHEMA.fields])
+
+
+def _easy_cases(base: DataFrame, spec: Spec) -> Inputs:
     k, m, c = F.col("k"), F.col("m"), F.col("c")
     usual_scenario = (k % 5).cast("int")
     no_part = F.lit(None).cast("string")
@@ -123,8 +194,8 @@ def derived_inputs(spark: SparkSession, sf_dir: str, spec: Spec = DWELLINGS) ->
 
 
 # --- Golden scenario ------------------------------------------------------------
-# The documented two-step manual test, with the interim rows reconstructed from its
-# expected output.  Used by the unit tests only.
+# The documented two-step manual test, with the interim rows reconstructed
+# from its expected output.  Used by the unit tests only.
 B1 = "2023-07-24 21:46:59"
 B2 = "2023-07-30 12:53:01"
 GOLDEN_NOW = "2024-09-09 13:44:00"

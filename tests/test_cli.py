@@ -27,5 +27,10 @@ def test_cli_dry_run_then_commits(spark, scratch_dir):
     assert log["Dwelling_Register_Skinny"] == (4, 2, 1, 8)
     assert log["Dwelling_Building_Reference"] == (3, 3, 1, 6)
     assert log["Dwelling_Part_of_Building_Reference"] == (1, 1, 0, 2)
+    assert {(r["count_name"], r["change"]): r["n"] for r in second["counts"]}[("dwell_inserts", "INSERT")] == 4
     reg = spark.read.parquet(os.path.join(store_dir, "register"))
     assert reg.filter((F.col("v") == 2) & F.col("is_open")).count() == 8
+
+    assert len(main(["--store", store_dir, "--recent", "--run-ts", GOLDEN_NOW])["changelog"]) == 3
+    purged = main(["--store", store_dir, "--purge-test-rows", "--run-ts", GOLDEN_NOW, "--mode", "commit"])["purged"]
+    assert {r["table_name"]: r["rows_kept"] for r in purged}["Dwelling_Register_Skinny"] == 0

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from chronoreg.model import RunParams
-from chronoreg.operators.diff import classify_split
+from chronoreg.operators.diff import classify
 from chronoreg.operators.select import ScenarioSet
 from helpers import HI, interim, state
 
@@ -52,7 +52,7 @@ def test_hot_key_is_split_and_every_pair_kept(spark):
                             "effective_start_date", "effective_end_date", "sys_create_date",
                             F.lit(HI).cast("timestamp_ntz").alias("sys_end_date"),
                             F.lit("N").alias("sys_deleted_ind"))
-        classified = classify_split(st.register, cands, ScenarioSet(ids=(1,)), P)
+        classified = classify(st.register, cands, ScenarioSet(ids=(1,)), P)
         got = classified.groupBy("change").count().collect()
         counts = {r["change"]: r["count"] for r in got}
         assert counts == {"UPDATE": hot, "INSERT": cold // 2}

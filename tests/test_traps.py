@@ -90,7 +90,7 @@ def test_t12_ambiguous_rows_keep_their_own_system_end(spark):
     assert res.selection.candidates.count() == 1
     # C2 alone groups on the snapshot's own flag before replacing it: two rows
     sel = res.selection
-    c2 = candidates_ambiguous(snap, sel.scenarios, sel.batch_ts, P)
+    c2 = candidates_ambiguous(snap, sel.scenarios, P)
     assert c2.count() == 2 and rows(c2.select("sys_deleted_ind")) == {("N",)}
     assert open_rows(res.state.register).count() == 0
     assert res.state.register.count() == 1
@@ -115,6 +115,22 @@ def test_t1_batch_filter(spark):
     assert select(snap, P.with_(batch_ts=B1)).candidates.count() == 1
 
 
+def test_scenario_in_an_older_batch_keeps_its_rows(spark):
+    snap = interim(spark, [(1, 1, V, 10, None, S0, HI, B1), (2, 2, V, 10, None, S0, HI, B2)])
+    st = state(spark, register=[(1, 1, S0, HI, OLD), (2, 2, S0, HI, OLD)])
+    assert _counts(run(snap, st, P)) == (0, 0, 0)
+    # an explicit batch says nothing about a scenario that has no rows in it
+    assert _counts(run(snap, st, P.with_(batch_ts=B2))) == (0, 0, 0)
+    # as coded: all batches, whatever their dates
+    assert _counts(run(snap, st, P.with_(batch_filter=False))) == (0, 0, 0)
+
+
+def test_listed_scenario_without_any_row_is_retired(spark):
+    snap = interim(spark, [(2, 2, V, 10, None, S0, HI, B2)])
+    st = state(spark, register=[(1, 1, S0, HI, OLD), (2, 2, S0, HI, OLD)])
+    assert _counts(run(snap, st, P.with_(scenarios=(1, 2)))) == (1, 0, 0)
+
+
 def test_explicit_list_keeps_the_excluded_scenario(spark):
     snap = interim(spark, [(1, 999, V, 10, None, S0, HI, B2), (2, 1, V, 10, None, S0, HI, B2)])
     assert select(snap, P).candidates.count() == 1
@@ -130,7 +146,7 @@ def test_version_is_compared_exactly_as_double(spark):
 def test_fractional_batch_rounds_to_the_second(spark):
     snap = interim(spark, [(1, 1, V, 10, None, S0, HI, "2024-01-02 00:00:00.600000")])
     sel = select(snap, P)
-    assert sel.batch_ts == "2024-01-02 00:00:01"
+    assert rows(sel.scenarios.frame.select("batch")) == {("2024-01-02 00:00:01",)}
     assert sel.candidates.count() == 1
 
 
