@@ -31,7 +31,7 @@ BITS = 18
 TRAIN_ROWS = 12_000
 LEAST_ROWS = 12
 STEPS = 200
-PENALTY = 2e-4
+PENALTY = 8.0  # of a whole sample: few rows are held back more than many
 PULL = 0.3  # holds the thresholds near the shares of the grades
 #: P(grade >= 2) from which a document is kept.
 KEEP = 0.6
@@ -101,7 +101,7 @@ def fit(slots: np.ndarray, offsets: np.ndarray, grades: np.ndarray) -> Model:
         slope = (1 - above - below) / n  # of the loss by the score
         by_above, by_below = -above * (1 - above) / inside / n, below * (1 - below) / inside / n
         by_cut = [by_above[grades == k].sum() + by_below[grades == k + 1].sum() for k in range(GRADES - 1)]
-        gradient = np.concatenate([np.bincount(col, weights=slope[row], minlength=size) + PENALTY * weights, [sum(by_cut) + PULL * (low - prior[0]), by_cut[1] * np.exp(gap) + PULL * (gap - prior[1])]])
+        gradient = np.concatenate([np.bincount(col, weights=slope[row], minlength=size) + PENALTY / n * weights, [sum(by_cut) + PULL * (low - prior[0]), by_cut[1] * np.exp(gap) + PULL * (gap - prior[1])]])
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         params = params - 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     out = np.zeros(1 << BITS, np.float32)
