@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronoreg.llm import common
+from chronoreg.llm import common, exchange
 from chronoreg.llm.components import components
 
 WORDS = 5
@@ -195,16 +195,26 @@ def _linked_across(labelled: DataFrame, sets: DataFrame, similarity: float) -> D
     cells = cells.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "component")
     percent = round(similarity * 100)
 
-    def compare(table: pa.Table) -> pa.Table:
-        docs, component = (np.asarray(table.column(c)) for c in ("doc_id", "component"))
-        shingles = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
+    def links_of(cell: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        docs, component = (np.asarray(cell.column(c)) for c in ("doc_id", "component"))
+        shingles = [np.frombuffer(x.as_buffer(), np.uint64) for x in cell.column("set")]
         sizes = np.array([len(x) for x in shingles])
         both = common_counts(shingles)
         alike = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
         one, two = np.nonzero(alike & (component[:, None] != component[None, :]) & (docs[:, None] < docs[None, :]))
-        return pa.table({"a": docs[one], "b": docs[two]})
+        return docs[one], docs[two]
+
+    def compare(table: pa.Table) -> pa.Table:
+        """A task's call takes several cells, one after the other."""
+        table = table.sort_by([(c, "ascending") for c in ("key", "i", "j")])
+        names = np.stack([np.asarray(table.column(c)) for c in ("key", "i", "j")])
+        edges = [0, *(np.flatnonzero((np.diff(names) != 0).any(axis=0)) + 1).tolist(), table.num_rows]
+        found = [links_of(table.slice(a, b - a)) for a, b in zip(edges, edges[1:], strict=False) if b > a]
+        none = np.zeros(0, np.int64)
+        return pa.table({c: np.concatenate([none, *(x[n] for x in found)]) for n, c in enumerate("ab")})
 
-    return cells.join(sets, "doc_id").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    dealt_cells = cells.withColumn("deal", F.pmod(F.xxhash64("key", "i", "j"), F.lit(exchange.buckets(cells))))
+    return dealt_cells.join(sets, "doc_id").groupBy("deal").applyInArrow(compare, "a long, b long").distinct()
 
 
 def common_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -215,9 +225,10 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     row, number = row[shared], (np.cumsum(count > 1) - 1)[number[shared]]
     total = np.diag([float(len(x)) for x in sets])
     off = ~np.eye(len(sets), dtype=bool)
-    for low in range(0, int((count > 1).sum()), COLUMNS):
+    width = int((count > 1).sum())
+    for low in range(0, width, COLUMNS):
         some = (number >= low) & (number < low + COLUMNS)
-        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held = np.zeros((len(sets), min(COLUMNS, width - low)), np.float32)
         held[row[some], number[some] - low] = 1
         total += (held @ held.T) * off
     return np.rint(total).astype(np.int64)
