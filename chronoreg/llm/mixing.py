@@ -7,7 +7,7 @@ moments, which bounds the step at 1. An iteration is one aggregate over the docu
 to the driver; a document's rate is an expression of its posteriors and of the iterations' coefficients, so nothing is
 rewritten between them. Of all solutions descent from r = 1 stays close to the rates as they are.
 
-Defined results: a null or empty text has no tokens and the domains' shares as posteriors; labels that name no domain
+Defined results: a null or empty text has no tokens and the posteriors of a text without known words; labels that name no domain
 are left out, and without any labelled row all domains are equally likely; targets are scaled to sum to 1; of repeated
 rows of a doc_id the least text stays; rows without a doc_id take no part in the fit and :func:`mixed` keeps them once;
 other columns are ignored by :func:`rates` and kept by :func:`mixed`.
@@ -29,6 +29,8 @@ TRAIN_ROWS = 20_000
 VOCABULARY = 4096
 LEAST_ROWS = 4
 SMOOTHING = 10.0
+#: The share of labelled rows up to which the lack of a word counts.
+RARE = 0.05
 #: A rate's upper bound, and when the descent ends.
 MOST = 2.0
 ITERATIONS = 30
@@ -43,9 +45,10 @@ def _words(rows: DataFrame) -> DataFrame:
 
 
 def word_weights(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS, rows: int = TRAIN_ROWS, size: int = VOCABULARY) -> tuple[DataFrame, list[float]]:
-    """(word, weights) of the words that tell most about the domains, and the domains' shares.
+    """(word, weights) of the words that tell most about the domains, and what a text without any of them scores.
 
-    A weight is the logarithm of how much likelier a word is in a domain than in all labelled rows.
+    A weight is the logarithm of how much likelier a word is in a domain than in all labelled rows. The lack of a word
+    that few rows have counts too; the lack of a frequent word does not, as it may only tell that a text is short.
     """
     spark = docs.sparkSession
     names = list(domains)
@@ -59,27 +62,32 @@ def word_weights(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = D
     found = {r.domain: r["count"] for r in held.groupBy("domain").count().collect()}
     total = sum(found.values())
     if not total:
-        return spark.createDataFrame([], "word string, weights array<double>"), [1 / len(names)] * len(names)
+        return spark.createDataFrame([], "word string, weights array<double>"), [0.0] * len(names)
     sizes = [found.get(i, 0) for i in range(len(names))]
     each = [F.count(F.when(F.col("domain") == i, 1)).alias(f"n{i}") for i in range(len(names))]
     counts = held.select("domain", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), *each).where(F.col("n") >= LEAST_ROWS)
-    lift = lambda i: (F.col(f"n{i}") + SMOOTHING * F.col("n") / total) / (sizes[i] + SMOOTHING) * total / F.col("n")
-    told = sum(F.col(f"n{i}") * F.ln(lift(i)) for i in range(len(names)))
-    weights = F.array(*(F.ln(lift(i)) for i in range(len(names)))).alias("weights")
-    return counts.orderBy(told.desc(), "word").limit(size).select("word", weights), [s / total for s in sizes]
+    overall = F.col("n") / total
+    chance = lambda i: (F.col(f"n{i}") + SMOOTHING * overall) / (sizes[i] + SMOOTHING)
+    told = sum(F.col(f"n{i}") * F.ln(chance(i) / overall) for i in range(len(names)))
+    lack = lambda i: F.when(overall <= RARE, F.ln((1 - chance(i)) / (1 - overall))).otherwise(0.0)
+    lacks, weights = (F.array(*(f(i) for i in range(len(names)))) for f in (lack, lambda i: F.ln(chance(i) / overall) - lack(i)))
+    chosen = common.stage(counts.orderBy(told.desc(), "word").limit(size).select("word", weights.alias("weights"), lacks.alias("lacks")))
+    without = chosen.agg(*(F.coalesce(F.sum(F.col("lacks")[i]), F.lit(0.0)) for i in range(len(names)))).first()
+    base = [float(np.log(max(s / total, 1e-9)) + x) for s, x in zip(sizes, without, strict=True)]
+    return chosen.select("word", "weights"), base
 
 
 def posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS) -> DataFrame:
     """(doc_id, tokens, p_<domain>...) of every document, one row for each doc_id."""
     rows = common.one_row_each(docs)
-    weights, shares = word_weights(rows, labels, domains)
+    weights, base = word_weights(rows, labels, domains)
     spread = _words(rows).select("doc_id", "tokens", F.explode_outer("words").alias("word"))
     # The vocabulary is bounded by its size.
     met = spread.join(F.broadcast(weights), "word", "left")
     sums = [F.coalesce(F.sum(F.col("weights")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(len(domains))]
     scored = met.groupBy("doc_id").agg(F.max("tokens").alias("tokens"), *sums)
     # Words that come in any order may add up differently in the last digits.
-    logs = [F.round(F.col(f"s{i}") + float(np.log(max(share, 1e-9))), 6) for i, share in enumerate(shares)]
+    logs = [F.round(F.col(f"s{i}") + x, 6) for i, x in enumerate(base)]
     top = F.greatest(*logs) if len(logs) > 1 else logs[0]
     powers = [F.exp(x - top) for x in logs]
     return scored.select("doc_id", "tokens", *((p / sum(powers)).alias(f"p_{n}") for p, n in zip(powers, domains, strict=True)))
