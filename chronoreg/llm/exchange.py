@@ -145,8 +145,6 @@ def member(rows: np.ndarray, keys: np.ndarray, lists: pa.Array, width: int) -> n
     flat = lists.flatten()
     owner = np.repeat(np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets))), [len(x.as_buffer()) // width for x in flat])
     known = unpacked(b"".join(x.as_py() for x in flat), width)
-    table = np.zeros(len(known), dtype=[("row", np.int64), ("key", np.uint64)])
-    table["row"], table["key"] = owner, known
     order = np.lexsort((known, owner))
     owner, known = owner[order], known[order]
     # One sorted list of (row, key): a key is looked up by bisection inside its row's part.
