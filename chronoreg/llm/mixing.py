@@ -77,10 +77,13 @@ def word_weights(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = D
     return chosen.select("word", "weights"), base
 
 
-def posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS) -> DataFrame:
-    """(doc_id, tokens, p_<domain>...) of every document, one row for each doc_id."""
+def posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS, train: DataFrame | None = None) -> DataFrame:
+    """(doc_id, tokens, p_<domain>...) of every document, one row for each doc_id.
+
+    `train` holds the texts of the labelled rows, where docs lacks some of them; by default it is docs.
+    """
     rows = common.one_row_each(docs)
-    weights, base = word_weights(rows, labels, domains)
+    weights, base = word_weights(rows if train is None else common.one_row_each(train), labels, domains)
     spread = _words(rows).select("doc_id", "tokens", F.explode_outer("words").alias("word"))
     # The vocabulary is bounded by its size.
     met = spread.join(F.broadcast(weights), "word", "left")
@@ -93,14 +96,14 @@ def posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOM
     return scored.select("doc_id", "tokens", *((p / sum(powers)).alias(f"p_{n}") for p, n in zip(powers, domains, strict=True)))
 
 
-def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, domains: dict[str, str] = DOMAINS, total: float | None = None) -> DataFrame:
+def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, domains: dict[str, str] = DOMAINS, total: float | None = None, train: DataFrame | None = None) -> DataFrame:
     """posteriors() with each document's rate.
 
     `total` is the tokens that the mixture shall have; by default as many as give the domain with the largest target
     the tokens that it has.
     """
     names = list(domains)
-    rows = common.stage(posteriors(docs, labels, domains))
+    rows = common.stage(posteriors(docs, labels, domains, train))
     p = [F.col(f"p_{n}") for n in names]
     tokens = F.col("tokens").cast("double")
     first = rows.agg(F.sum(tokens), *(F.sum(tokens * x) for x in p), *(F.sum(tokens * x * y) for x in p for y in p)).first()

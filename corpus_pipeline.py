@@ -28,9 +28,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are kept as often as the rate says that brings the domains to their target weights."""
+    """Documents are kept as often as the rate says that brings the domains to their target weights.
+
+    The stages before have taken most toxic and poor documents out, so the domains are learnt from the whole table.
+    """
     labels = common.table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
-    return mixing.mixed(docs, mixing.rates(docs, labels))
+    whole = common.table(spark, sf_dir, "documents", "doc_id", "text")
+    return mixing.mixed(docs, mixing.rates(docs, labels, train=whole))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

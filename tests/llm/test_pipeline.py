@@ -34,3 +34,13 @@ def test_stages(spark):
     mixed = {r.doc_id for r in results["mixing"].select("doc_id").collect()}
     assert mixed <= set(after) and len(mixed) > 0.9 * len(after)
     assert {r.doc_id for r in results["packing"].select("doc_id").distinct().collect()} == mixed
+
+
+def test_mixing_keeps_clean_documents(spark):
+    """The mixing stage sees few toxic and poor documents, and still must tell them from clean ones."""
+    sf = "/root/testdata/sf0.1"
+    docs = common.stage(corpus_pipeline.classify_quality(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf))
+    clean = spark.read.parquet(f"{sf}/labels.parquet").where("quality > 0 AND toxic = 0").select("doc_id").distinct()
+    clean = {r.doc_id for r in docs.join(clean, "doc_id", "left_semi").select("doc_id").collect()}
+    mixed = {r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, sf).select("doc_id").collect()}
+    assert len(clean & mixed) >= 0.99 * len(clean)
