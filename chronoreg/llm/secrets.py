@@ -3,8 +3,9 @@
 The patterns find assignments, access keys and long hexadecimal runs. Novelty adds what no pattern names: a candidate
 is a long run of token characters with letters and digits close behind a sensitive word. Its novelty is the number of
 bytes that zstandard needs on top of the surrounding text, when it already knows a dictionary of identifiers (fixed
-ones and those that are frequent in the corpus). An identifier, a path or a repeated string costs next to nothing; a
-random string costs most of its length and is reported.
+ones and those that are frequent in the corpus). An identifier, a path or a string that repeats itself costs next to
+nothing; a random string costs most of its length and is reported, as often as it stands near a sensitive word: its
+copies are taken out of the surrounding text.
 
 Rows are judged alone, so a task holds one slice of a batch at a time and nothing is shuffled but the identifier counts.
 Defined results: a null or empty text has no spans; repeated rows and ids each give their own row, a null doc_id too;
@@ -56,6 +57,7 @@ _hex = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
 _candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 _sensitive = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
 _mixed = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])")
+_splits = [re.compile(r"="), re.compile(r"[^A-Za-z0-9]")]
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
 
@@ -68,6 +70,20 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def _around(text: str, start: int, end: int) -> str:
+    """What stands around text[start:end], without its copies: a secret that stands twice is none the less one.
+
+    A copy may have another name or prefix before it, so the candidate's own long parts are looked for as well.
+    """
+    own = text[start:end]
+    parts = {own} | {x for split in _splits for x in split.split(own) if len(x) >= LEAST and _mixed.match(x)}
+    # Copies that the context's edge cuts are found too; each is blanked in its place, so the edge stays where it is.
+    before, after = text[max(0, start - CONTEXT - len(own)) : start], text[end : end + CONTEXT + len(own)]
+    for part in sorted(parts, key=lambda x: (-len(x), x)):
+        before, after = (x.replace(part, "\0" * len(part)) for x in (before, after))
+    return (before[-CONTEXT:] + after[:CONTEXT]).replace("\0", "")
+
+
 class Novelty:
     """Measures marginal compressed bytes with one dictionary."""
 
@@ -88,9 +104,8 @@ class Novelty:
                 continue
             if not _sensitive.search(text, max(0, start - NEAR), start):
                 continue
-            around = text[max(0, start - CONTEXT) : start] + text[end : end + CONTEXT]
             # A long candidate is judged by its incompressible share, so its own repetitions count against it.
-            if self.marginal(around, m[0]) >= NOVELTY * len(m[0]):
+            if self.marginal(_around(text, start, end), m[0]) >= NOVELTY * len(m[0]):
                 found.append((start, end, "novel"))
         return found
 

@@ -56,6 +56,21 @@ def test_redaction(spark):
     assert out[1].note == "" and secrets.redact_secrets(docs).columns == docs.columns
 
 
+KEY = "Zx9Qk3Lw8Rt5Yp2Vb7Nm4Hc6Jd1Fg0SaUe2"
+
+
+@pytest.mark.parametrize("text", [
+    f"auth bearer {KEY}\nauth bearer {KEY}\n",
+    f"sign MAIN_FILE={KEY} # the key file, was {KEY}",
+    f"auth user/{KEY} or auth host/{KEY}",
+    f"auth {KEY} " + "and other words " * 14 + f"auth {KEY} auth {KEY}",  # the edge of the context cuts a copy
+])
+def test_repeated_secret(spark, text):
+    assert text.count(KEY) > 1
+    out = secrets.redact_secrets(frame(spark, [(1, text, 0, "")])).collect()[0].text
+    assert KEY not in out and out.count("[SECRET]") == text.count(KEY)
+
+
 # --- quality
 
 
