@@ -1,7 +1,9 @@
 """Secret scans by patterns and by dictionary-primed zstandard novelty.
 
 The patterns find assignments, access keys and long hexadecimal runs. Novelty adds what no pattern names: a candidate
-is a long run of token characters with letters and digits close behind a sensitive word. Its novelty is the number of
+is a long run of token characters with letters and digits close behind a sensitive word, or behind such a run with only
+dots, quotes or white space between (the lines of a key, the parts of a JWT). Of a run that a pattern matches in part
+the rest is a candidate. Its novelty is the number of
 bytes that zstandard needs on top of the surrounding text, when it already knows a dictionary of identifiers (fixed
 ones and those that are frequent in the corpus). An identifier, a path or a string that repeats itself costs next to
 nothing; a random string costs most of its length and is reported, as often as it stands near a sensitive word: its
@@ -47,6 +49,8 @@ NEAR = 48
 #: A candidate's least length, and the least novel bytes per character.
 LEAST = 20
 NOVELTY = 0.55
+#: The least length of what is left of a candidate beside a base span, to be measured.
+REST = 8
 #: Identifiers of the corpus in the dictionary: the most frequent ones.
 DICTIONARY_SIZE = 512
 
@@ -57,6 +61,10 @@ _hex = re.compile(r"[0-9a-f]{%d,}" % HEX_LEAST)
 _candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 _sensitive = re.compile("|".join(SENSITIVE), re.IGNORECASE | re.ASCII)
 _mixed = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])")
+#: What may stand between adjoining candidates (the backslash is a line end's in a quoted string), a short part of a
+#: dotted token too; and the last line of a key block.
+_gap = re.compile(r"""[.\s"'`\\]+|\.[A-Za-z0-9+/_=-]+\.""")
+_last_line = re.compile(r"""["'\s\\]{1,8}([A-Za-z0-9+/=]{1,76})["'\s\\]{1,8}n?-----END""")
 _splits = [re.compile(r"="), re.compile(r"[^A-Za-z0-9]")]
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
@@ -84,6 +92,22 @@ def _around(text: str, start: int, end: int) -> str:
     return (before[-CONTEXT:] + after[:CONTEXT]).replace("\0", "")
 
 
+def _outside(start: int, end: int, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The parts of start..end outside the base spans; the name before an assignment is none."""
+    parts = []
+    for s, e, kind in [*sorted(x for x in base if start < x[1] and x[0] < end), (end, end, "")]:
+        if start < min(s, end) and kind != "assign":
+            parts.append((start, min(s, end)))
+        start = max(start, e)
+    return parts
+
+
+def _goes_on(text: str, start: int, end: int, base: list[tuple[int, int, str]]) -> bool:
+    """Whether a part too short to be measured carries on the letters and digits of a key or hexadecimal run."""
+    beside = any(kind != "assign" and (e == start or s == end) for s, e, kind in base)
+    return beside and end - start < REST and text[start:end].isalnum()
+
+
 class Novelty:
     """Measures marginal compressed bytes with one dictionary."""
 
@@ -96,18 +120,30 @@ class Novelty:
         base = len(self._compressor.compress(around.encode("utf-8", "surrogatepass")))
         return len(self._compressor.compress((around + candidate).encode("utf-8", "surrogatepass"))) - base
 
+    def novel(self, text: str, start: int, end: int) -> bool:
+        own = text[start:end]
+        # A long candidate is judged by its incompressible share, so its own repetitions count against it.
+        return bool(_mixed.match(own)) and self.marginal(_around(text, start, end), own) >= NOVELTY * len(own)
+
     def spans(self, text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-        found = []
+        found: set[tuple[int, int, str]] = set()
+        sensitive, last = False, 0
         for m in _candidate.finditer(text):
             start, end = m.span()
-            if not _mixed.match(m[0]) or any(start < e and s < end for s, e, _ in taken):
-                continue
-            if not _sensitive.search(text, max(0, start - NEAR), start):
+            # The lines of a key and the parts of a dotted token share the sensitive word before the first of them.
+            sensitive = sensitive and bool(_gap.fullmatch(text, last, start)) or bool(_sensitive.search(text, max(0, start - NEAR), start))
+            last = end
+            if not sensitive or not _mixed.match(m[0]):
                 continue
-            # A long candidate is judged by its incompressible share, so its own repetitions count against it.
-            if self.marginal(_around(text, start, end), m[0]) >= NOVELTY * len(m[0]):
-                found.append((start, end, "novel"))
-        return found
+            base = [(s, e, k) for s, e, k in taken if start < e and s < end]
+            if not base:
+                found |= {(start, end, "novel")} if self.novel(text, start, end) else set()
+            for s, e in _outside(start, end, base) if base else ():
+                found |= {(s, e, "novel")} if _goes_on(text, s, e, base) or e - s >= REST and self.novel(text, s, e) else set()
+            # A key block's last line may be too short to be a candidate.
+            if (base or (start, end, "novel") in found) and (rest := _last_line.match(text, end)):
+                found |= {(s, e, "novel") for s, e in _outside(*rest.span(1), taken)}
+        return sorted(found)
 
 
 def _ordered(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
