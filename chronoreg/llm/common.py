@@ -19,9 +19,11 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: Odd multipliers, so that they have an inverse modulo 2**64.
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: The modulus and the bases of the hashes of spans; modulo a power of two, Thue-Morse texts would collide.
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (1_540_483_477, 668_265_263)
+_INVERSES = tuple(pow(b, -1, int(_PRIME)) for b in _BASES)
+#: An odd multiplier, so that it has an inverse modulo 2**64.
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -123,20 +125,62 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_powers: list[np.ndarray] = [np.ones(1, np.uint32)] * 4
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """x, below 2**63, with the same rest modulo the Mersenne prime 2**31 - 1 and below 2**33; x is overwritten."""
+    high = x >> np.uint64(31)
+    x &= _PRIME
+    x += high
+    return x
+
+
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime; x is overwritten."""
+    x = _folded(_folded(x))
+    x -= (x >= _PRIME) * _PRIME
+    return x
 
 
 def _power_tables(n: int) -> list[np.ndarray]:
+    """The powers of both bases and of their inverses."""
     if len(_powers[0]) < n:
-        for i, base in enumerate((_BASE, _BASE_INVERSE)):
-            table_ = np.full(max(n, SLICE_BYTES + 1), base, dtype=np.uint64)
-            table_[0] = 1
-            _powers[i] = np.cumprod(table_)
+        for i, base in enumerate((*_BASES, *_INVERSES)):
+            table_ = np.ones(1, np.uint64)
+            while len(table_) < max(n, SLICE_BYTES + 1):
+                table_ = np.concatenate([table_, _modulo(table_ * np.uint64(pow(base, len(table_), int(_PRIME))))])
+            _powers[i] = table_.astype(np.uint32)
     return _powers
 
 
+#: Numbers that are worked on together: few enough to stay in a core's cache.
+_CACHED = 1 << 15
+
+
+def _prefix_sums(data: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """The polynomial's value of every prefix, below 2**32."""
+    out = np.zeros(len(data) + 1, np.uint64)
+    for a in range(0, len(data), _CACHED):
+        part = data[a : a + _CACHED].astype(np.uint64)
+        part += np.uint64(1)
+        part *= powers[a : a + len(part)]
+        part[0] += out[a]
+        out[a + 1 : a + 1 + len(part)] = _folded(np.cumsum(part, out=part))
+    return out
+
+
+def _half(ends: np.ndarray, starts: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """The polynomial of spans from the prefixes at their ends and starts; ends is overwritten."""
+    ends += _PRIME << np.uint64(2)
+    ends -= starts
+    ends = _folded(_folded(ends))
+    ends *= inverse
+    return _modulo(ends)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each data[start:end], by prefix sums of a polynomial modulo 2**64."""
+    """A 64-bit hash of each data[start:end]: two polynomials modulo a prime with different bases, and the length."""
     return Spans(data)(starts, ends)
 
 
@@ -144,12 +188,19 @@ class Spans:
     """span_hashes() of one text buffer for several lists of spans."""
 
     def __init__(self, data: np.ndarray):
-        power, self._inverse = _power_tables(len(data) + 1)
-        self._prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=self._prefix[1:])
+        tables = _power_tables(len(data) + 1)
+        self._sums = [(_prefix_sums(data, tables[i]), tables[2 + i]) for i in (0, 1)]
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self._prefix[ends] - self._prefix[starts]) * self._inverse[starts] + (ends - starts).astype(np.uint64))
+        one, two = (_half(prefix[ends], prefix[starts], inverse[starts]) for prefix, inverse in self._sums)
+        return _joined(one, two, (ends - starts).astype(np.uint64))
+
+
+def _joined(one: np.ndarray, two: np.ndarray, length: np.ndarray) -> np.ndarray:
+    one <<= np.uint64(32)
+    one |= two
+    one += length * _GRAM
+    return mix(one)
 
 
 def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
@@ -157,10 +208,14 @@ def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
     count = len(data) - n + 1
     if count <= 0:
         return np.zeros(0, np.uint64)
-    power, inverse = _power_tables(len(data) + 1)
-    prefix = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=prefix[1:])
-    return mix((prefix[n:] - prefix[:count]) * inverse[:count] + np.uint64(n))
+    tables = _power_tables(len(data) + 1)
+    prefixes = [_prefix_sums(data, tables[i]) for i in (0, 1)]
+    out, length = np.empty(count, np.uint64), np.array([n], np.uint64)
+    for a in range(0, count, _CACHED):
+        b = min(a + _CACHED, count)
+        one, two = (_half(p[n + a : n + b].copy(), p[a:b], inverse[a:b]) for p, inverse in zip(prefixes, tables[2:], strict=True))
+        out[a:b] = _joined(one, two, length)
+    return out
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -61,7 +61,7 @@ class UnitTokenizer:
         """The ids of all rows as uint32, and each row's offsets into them."""
         data, offsets = common.buffer(column)
         starts = self._starts(data, offsets)
-        ends = np.append(starts[1:], len(data))
+        ends = np.append(starts, len(data))[1:]
         hashes = common.span_hashes(data, starts, ends)
         units, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         ids = self._ids(data, units, starts[first], ends[first])

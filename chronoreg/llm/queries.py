@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoreg.llm import common, fingerprint, langid, mixing, near, packing, quality, repeats, secrets, suffix, topk
+from chronoreg.llm import alignment, common, conversations, fingerprint, langid, mixing, near, packing, quality, repeats, secrets, suffix, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,14 @@ def tokenizer_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def alignment_paths() -> tuple[str, str, str]:
+    """Both vocabularies, and the first one as ranks."""
+    import public_tokenizers
+
+    byte_tokenizer, ranks = tokenizer_paths()
+    return byte_tokenizer, public_tokenizers.path("piece_bpe_32k.model"), ranks
+
+
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best partners of each vector whose id is divisible by 100, among all others."""
     vectors = common.table(spark, sf_dir, "embeddings", "vec_id", "embedding")
@@ -74,6 +82,16 @@ def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(common.table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repair of every damaged conversation."""
+    return conversations.digest(common.table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alignment of both tokenizers on every document."""
+    return alignment.align(common.table(spark, sf_dir, "documents", "doc_id", "text"), *alignment_paths())
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_quality": op2_quality,
@@ -85,6 +103,8 @@ QUERIES: dict[str, Query] = {
     "op8_repeats": op8_repeats,
     "op9_near": op9_near,
     "op10_suffix": op10_suffix,
+    "op11_conversations": op11_conversations,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_topk": topk.ORACLE}
