@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoreg.llm import alignment, common, conversations, fingerprint, langid, mixing, near, packing, quality, repeats, secrets, suffix, topk
+from chronoreg.llm import alignment, common, conversations, fingerprint, langid, mixing, near, packing, quality, repeats, secrets, suffix, topk, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,11 @@ def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.digest(common.table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learnt without a fifth of the labels."""
+    return toxicity.digest(common.table(spark, sf_dir, "documents", "doc_id", "text"), common.table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alignment of both tokenizers on every document."""
     return alignment.align(common.table(spark, sf_dir, "documents", "doc_id", "text"), *alignment_paths())
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op9_near": op9_near,
     "op10_suffix": op10_suffix,
     "op11_conversations": op11_conversations,
+    "op12_toxicity": op12_toxicity,
     "op13_alignment": op13_alignment,
 }
 

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.01"  # enough labelled rows to learn from
 
 def test_registered():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert sorted(numbers) == list(range(1, 14)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "near_dedup", "secret_scans", "mixing", "packing"]
 
 
