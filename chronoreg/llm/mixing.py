@@ -1,22 +1,30 @@
 """Mixing documents to target weights of soft domains, in DataFrame functions alone.
 
-A naive Bayes classifier, counted by grouped aggregation over a labelled table, predicts how far each document belongs
-to each domain. Rates r >= 0 are then fitted so that the expected tokens of the domains, sum(tokens * posterior * r),
-meet their targets: projected gradient descent on least squares, weighted by the inverse of the domains' second
-moments, which bounds the step at 1. An iteration is one aggregate over the documents that brings one sum per domain
-to the driver; a document's rate is an expression of its posteriors and of the iterations' coefficients, so nothing is
-rewritten between them. Of all solutions descent from r = 1 stays close to the rates as they are.
-
-Defined results: a null or empty text has no tokens and the posteriors of a text without known words; labels that name no domain
-are left out, and without any labelled row all domains are equally likely; targets are scaled to sum to 1; of repeated
-rows of a doc_id the least text stays; rows without a doc_id take no part in the fit and :func:`mixed` keeps them once;
-other columns are ignored by :func:`rates` and kept by :func:`mixed`.
+A naive Bayes classifier, counted by grouped aggregation over a labelled table, weighs for each document the evidence
+of its words for each domain. Few labelled rows make such evidence too sure of itself, so it is divided by a
+temperature, the one of `TEMPERATURES` under which labelled rows are likeliest when the counts leave out their own fold.
+What share of the documents each domain has is not taken from the labels: it is estimated from the documents' evidence
+(expectation maximisation), as the labelled rows may be another mixture than the documents at hand.
+
+Documents whose evidence agrees in units of `UNIT` form a cell, so there are at most (2 * MOST / UNIT + 1) ** (domains
+- 1) cells however many documents; the iterations read the staged cells alone. Rates r >= 0 are fitted so that the
+expected tokens of the domains, sum(tokens * posterior * r), meet their targets: projected gradient descent on least
+squares, scaled by the second moments of the cells whose rate is not 0. Of all solutions descent from r = 1 stays close
+to the rates as they are. It ends when every domain is within `TOLERANCE` of its target, or comes no nearer; how far
+the rates are from the targets is returned with them (`missed`, as a share of the mixture), and a miss is a warning.
+
+Defined results: a null or empty text has no tokens and the evidence of a text without known words; labels that name no
+domain are left out, and without any labelled row all domains are equally likely; targets are scaled to sum to 1; of
+repeated rows of a doc_id the least text stays; rows without a doc_id take no part in the fit and :func:`mixed` keeps
+them once; other columns are ignored by :func:`rates` and kept by :func:`mixed`.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoreg.llm import common
@@ -31,10 +39,19 @@ LEAST_ROWS = 4
 SMOOTHING = 10.0
 #: The share of labelled rows up to which the lack of a word counts.
 RARE = 0.05
-#: A rate's upper bound, and when the descent ends.
-MOST = 2.0
-ITERATIONS = 30
-TOLERANCE = 1e-5
+#: Folds of the labelled rows and the temperatures that are tried on them.
+FOLDS = 5
+TEMPERATURES = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0, 24.0, 32.0)
+#: Evidence is rounded to such units (in nats) and reaches so far.
+UNIT = 0.25
+MOST = 20.0
+#: Rounds that estimate the domains' shares, and documents that the labels' shares count for.
+SHARE_ROUNDS = 30
+SHARE_WEIGHT = 10.0
+#: When the descent ends, its most rounds, and rounds between two stagings of the cells' rates.
+TOLERANCE = 1e-3
+ROUNDS = 200
+STAGED = 8
 
 
 def _words(rows: DataFrame) -> DataFrame:
@@ -44,86 +61,175 @@ def _words(rows: DataFrame) -> DataFrame:
     return split.withColumn("tokens", F.size("every").cast("long")).withColumn("words", F.array_distinct("every")).drop("every", "text")
 
 
-def word_weights(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS, rows: int = TRAIN_ROWS, size: int = VOCABULARY) -> tuple[DataFrame, list[float]]:
-    """(word, weights) of the words that tell most about the domains, and what a text without any of them scores.
+def _told(n: list[Column], sizes: list[float], total: float) -> tuple[Column, Column]:
+    """Arrays over the domains: what a word and what its lack tells, in nats, from its rows `n` in each domain.
 
-    A weight is the logarithm of how much likelier a word is in a domain than in all labelled rows. The lack of a word
-    that few rows have counts too; the lack of a frequent word does not, as it may only tell that a text is short.
+    That is the logarithm of how much likelier it is in the domain than in all labelled rows. The lack of a word that
+    few rows have counts; the lack of a frequent one does not, as it may only tell that a text is short.
     """
+    overall = sum(n) / F.lit(max(total, 1.0))
+    known = (overall > 0) & (overall < 1)
+    chance = [(x + SMOOTHING * overall) / (size + SMOOTHING) for x, size in zip(n, sizes, strict=True)]
+    word = F.array(*(F.when(known, F.ln(c / overall)).otherwise(0.0) for c in chance))
+    lack = F.array(*(F.when(known & (overall <= RARE), F.ln((1 - c) / (1 - overall))).otherwise(0.0) for c in chance))
+    return word, lack
+
+
+class Evidence:
+    """What the labelled rows tell: (word, weights) of the most telling words, what a text without them has, and the
+    temperature by which a text's sum is divided; and the labelled rows of each domain."""
+
+    def __init__(self, weights: DataFrame, without: list[float], temperature: float, sizes: list[float]):
+        self.weights, self.without, self.temperature, self.sizes = weights, without, temperature, sizes
+
+
+def learn(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS, rows: int = TRAIN_ROWS, size: int = VOCABULARY) -> Evidence:
+    """Counts the words of at most `rows` labelled documents; the `size` words that tell most are kept."""
     spark = docs.sparkSession
-    names = list(domains)
+    some = range(len(domains))
     domain = F.expr("CASE " + " ".join(f"WHEN {condition} THEN {i}" for i, condition in enumerate(domains.values())) + " END")
     sample = (
         labels.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), domain.alias("domain")).where("domain IS NOT NULL")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "domain").limit(rows)
     )
     # The sample is bounded by `rows`, so it may be broadcast.
-    held = common.stage(_words(docs.join(F.broadcast(sample), "doc_id")))
-    found = {r.domain: r["count"] for r in held.groupBy("domain").count().collect()}
-    total = sum(found.values())
-    if not total:
-        return spark.createDataFrame([], "word string, weights array<double>"), [0.0] * len(names)
-    sizes = [found.get(i, 0) for i in range(len(names))]
-    each = [F.count(F.when(F.col("domain") == i, 1)).alias(f"n{i}") for i in range(len(names))]
-    counts = held.select("domain", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), *each).where(F.col("n") >= LEAST_ROWS)
-    overall = F.col("n") / total
-    chance = lambda i: (F.col(f"n{i}") + SMOOTHING * overall) / (sizes[i] + SMOOTHING)
-    told = sum(F.col(f"n{i}") * F.ln(chance(i) / overall) for i in range(len(names)))
-    lack = lambda i: F.when(overall <= RARE, F.ln((1 - chance(i)) / (1 - overall))).otherwise(0.0)
-    lacks, weights = (F.array(*(f(i) for i in range(len(names)))) for f in (lack, lambda i: F.ln(chance(i) / overall) - lack(i)))
-    chosen = common.stage(counts.orderBy(told.desc(), "word").limit(size).select("word", weights.alias("weights"), lacks.alias("lacks")))
-    without = chosen.agg(*(F.coalesce(F.sum(F.col("lacks")[i]), F.lit(0.0)) for i in range(len(names)))).first()
-    base = [float(np.log(max(s / total, 1e-9)) + x) for s, x in zip(sizes, without, strict=True)]
-    return chosen.select("word", "weights"), base
-
-
-def posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS, train: DataFrame | None = None) -> DataFrame:
-    """(doc_id, tokens, p_<domain>...) of every document, one row for each doc_id.
+    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
+    held = common.stage(_words(docs.join(F.broadcast(sample), "doc_id")).withColumn("fold", fold))
+    found = {(r.domain, r.fold): float(r["count"]) for r in held.groupBy("domain", "fold").count().collect()}
+    by_fold = [[found.get((i, f), 0.0) for i in some] for f in range(FOLDS)]
+    sizes = [sum(s[i] for s in by_fold) for i in some]
+    if not sum(sizes):
+        return Evidence(spark.createDataFrame([], "word string, weights array<double>"), [0.0 for _ in some], 1.0, sizes)
+    each = [F.count(F.when((F.col("domain") == i) & (F.col("fold") == f), 1)).cast("double").alias(f"n{i}_{f}") for f in range(FOLDS) for i in some]
+    counts = held.select("domain", "fold", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), *each).where(F.col("n") >= LEAST_ROWS)
+    whole = [sum(F.col(f"n{i}_{f}") for f in range(FOLDS)) for i in some]
+    word, lack = _told(whole, sizes, sum(sizes))
+    telling = sum(n * word[i] for i, n in enumerate(whole))
+    chosen = counts.orderBy(F.round(telling, 9).desc(), "word").limit(size)
+    names = ["word", "lack"]
+    columns = [word.alias("word_0"), lack.alias("lack_0")]
+    for f in range(FOLDS):  # without the fold's own rows
+        rest = [s - t for s, t in zip(sizes, by_fold[f], strict=True)]
+        told = _told([n - F.col(f"n{i}_{f}") for i, n in enumerate(whole)], rest, sum(rest))
+        columns += [c.alias(f"{name}_{f + 1}") for name, c in zip(names, told, strict=True)]
+    chosen = common.stage(chosen.select(F.col("word").alias("word"), *columns))
+    sums = chosen.agg(*(F.coalesce(F.sum(F.col(f"lack_{f}")[i]), F.lit(0.0)) for f in range(FOLDS + 1) for i in some)).first()
+    without = [[float(sums[f * len(domains) + i]) for i in some] for f in range(FOLDS + 1)]
+    more = [F.zip_with(f"word_{f}", f"lack_{f}", lambda a, b: a - b).alias(f"more_{f}") for f in range(FOLDS + 1)]
+    chosen = chosen.select("word", *more)
+    return Evidence(chosen.select("word", F.col("more_0").alias("weights")), without[0], _temperature(held, chosen, without, sizes), sizes)
+
+
+def _temperature(held: DataFrame, chosen: DataFrame, without: list[list[float]], sizes: list[float]) -> float:
+    """The temperature under which the labelled rows' own domains are likeliest, each row judged without its fold."""
+    some = range(len(sizes))
+    # The vocabulary is bounded by its size.
+    met = held.select("doc_id", "domain", "fold", F.explode_outer("words").alias("word")).join(F.broadcast(chosen), "word", "left")
+    own = F.element_at(F.array(*(F.col(f"more_{f + 1}") for f in range(FOLDS))), F.col("fold") + 1)
+    scored = met.groupBy("doc_id", "domain", "fold").agg(*(F.coalesce(F.sum(own[i]), F.lit(0.0)).alias(f"s{i}") for i in some))
+    rest = F.array(*(F.array(*(F.lit(x) for x in without[f + 1])) for f in range(FOLDS)))
+    summed = scored.select("domain", *((F.col(f"s{i}") + F.element_at(rest, F.col("fold") + 1)[i]).alias(f"s{i}") for i in some))
+    logs = [float(np.log(max(s, 1e-9) / sum(sizes))) for s in sizes]
+    loss = []
+    for t in TEMPERATURES:
+        values = [F.col(f"s{i}") / t + logs[i] for i in some]
+        top = F.greatest(*values) if len(values) > 1 else values[0]
+        loss.append(F.avg(top + F.ln(sum(F.exp(v - top) for v in values)) - F.element_at(F.array(*values), F.col("domain") + 1)))
+    found = [float(x or 0.0) for x in summed.agg(*loss).first()]
+    return TEMPERATURES[int(np.argmin(np.round(found, 9)))]
+
+
+def _shares(cells: DataFrame, sizes: list[float]) -> list[float]:
+    """The domains' shares of the documents, from the cells' evidence."""
+    some, total = range(len(sizes)), sum(sizes)
+    labelled = np.array([(s + 0.5) / (total + 0.5 * len(sizes)) for s in sizes])
+    share = labelled
+    for _ in range(SHARE_ROUNDS):
+        sums = np.array([float(x or 0.0) for x in cells.agg(*(F.sum(F.col("documents") * p) for p in _posteriors(share))).first()])
+        before, share = share, sums + SHARE_WEIGHT * labelled
+        share = share / share.sum()
+        if np.abs(share - before).max() < 1e-4:
+            break
+    return [float(share[i]) for i in some]
+
+
+def _posteriors(shares: np.ndarray | list[float]) -> list[Column]:
+    logs = [F.col(f"e{i}") * UNIT + float(np.log(max(s, 1e-12))) for i, s in enumerate(shares)]
+    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
+    powers = [F.exp(x - top) for x in logs]
+    return [p / sum(powers) for p in powers]
+
+
+def posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS, train: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Staged (doc_id, tokens, e0...) of every document, one row for each doc_id, and the cells of equal evidence
+    (e0..., documents, tokens, p_<domain>...).
 
     `train` holds the texts of the labelled rows, where docs lacks some of them; by default it is docs.
     """
     rows = common.one_row_each(docs)
-    weights, base = word_weights(rows if train is None else common.one_row_each(train), labels, domains)
+    told = learn(rows if train is None else common.one_row_each(train), labels, domains)
+    some = range(len(domains))
     spread = _words(rows).select("doc_id", "tokens", F.explode_outer("words").alias("word"))
     # The vocabulary is bounded by its size.
-    met = spread.join(F.broadcast(weights), "word", "left")
-    sums = [F.coalesce(F.sum(F.col("weights")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(len(domains))]
-    scored = met.groupBy("doc_id").agg(F.max("tokens").alias("tokens"), *sums)
+    met = spread.join(F.broadcast(told.weights), "word", "left")
+    scored = met.groupBy("doc_id").agg(F.max("tokens").alias("tokens"), *(F.coalesce(F.sum(F.col("weights")[i]), F.lit(0.0)).alias(f"s{i}") for i in some))
     # Words that come in any order may add up differently in the last digits.
-    logs = [F.round(F.col(f"s{i}") + x, 6) for i, x in enumerate(base)]
-    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    powers = [F.exp(x - top) for x in logs]
-    return scored.select("doc_id", "tokens", *((p / sum(powers)).alias(f"p_{n}") for p, n in zip(powers, domains, strict=True)))
+    values = [F.round(F.col(f"s{i}") + x, 6) / told.temperature for i, x in enumerate(told.without)]
+    top = F.greatest(*values) if len(values) > 1 else values[0]
+    evidence = [F.greatest(F.round((v - top) / UNIT), F.lit(-MOST / UNIT)).cast("int").alias(f"e{i}") for i, v in enumerate(values)]
+    found = common.stage(scored.select("doc_id", "tokens", *evidence))
+    cells = common.stage(found.groupBy(*(f"e{i}" for i in some)).agg(F.count("*").alias("documents"), F.sum("tokens").cast("double").alias("tokens")))
+    p = _posteriors(_shares(cells, told.sizes))
+    return found, common.stage(cells.select("*", *(x.alias(f"p_{n}") for x, n in zip(p, domains, strict=True))))
+
+
+def descend(cells: DataFrame, names: list[str], targets: dict[str, float], total: float | None = None) -> tuple[DataFrame, float]:
+    """The cells with their rates, and how far the farthest domain is from its target, as a share of the mixture."""
+    p = [F.col(f"p_{n}") for n in names]
+    some, tokens = range(len(p)), F.col("tokens")
+    cells = cells.withColumn("rate", F.lit(1.0))
+    weight = np.array([max(targets.get(n, 0.0), 0.0) for n in names])
+    scale, best, worse, damping = 0.0, np.inf, 0, 1.0
+    kept = cells
+    for turn in range(ROUNDS):
+        moving = F.when(F.col("rate") > 0, tokens).otherwise(0.0)
+        sums = cells.agg(*(F.sum(tokens * x * F.col("rate")) for x in p), *(F.sum(moving * x * y) for x in p for y in p)).first()
+        now, moments = np.array([float(x or 0.0) for x in sums[: len(p)]]), np.array([float(x or 0.0) for x in sums[len(p) :]]).reshape(len(p), len(p))
+        if not turn:
+            if not now.sum():
+                return cells, 0.0
+            weight = weight / weight.sum() if weight.sum() else now / now.sum()
+            lead = int(weight.argmax())
+            scale = float(total if total else now[lead] / weight[lead])
+        distance = float(np.abs(now - scale * weight).max() / scale) if scale else 0.0
+        if distance < best * 0.999:
+            best, kept, worse = distance, cells, 0
+        else:
+            worse, damping = worse + 1, damping / 2
+        if best < TOLERANCE or worse > 8:
+            break
+        step = damping * np.linalg.lstsq(moments + 1e-9 * max(moments.trace(), 1e-300) * np.eye(len(p)), now - scale * weight, rcond=None)[0]
+        cells = cells.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - sum(p[i] * float(step[i]) for i in some)))
+        if turn % STAGED == STAGED - 1:
+            cells = common.stage(cells)
+    return kept, best
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, domains: dict[str, str] = DOMAINS, total: float | None = None, train: DataFrame | None = None) -> DataFrame:
-    """posteriors() with each document's rate.
+    """(doc_id, tokens, p_<domain>..., rate, missed) of every document.
 
     `total` is the tokens that the mixture shall have; by default as many as give the domain with the largest target
     the tokens that it has.
     """
     names = list(domains)
-    rows = common.stage(posteriors(docs, labels, domains, train))
-    p = [F.col(f"p_{n}") for n in names]
-    tokens = F.col("tokens").cast("double")
-    first = rows.agg(F.sum(tokens), *(F.sum(tokens * x) for x in p), *(F.sum(tokens * x * y) for x in p for y in p)).first()
-    all_tokens = first[0] or 0.0
-    rate = F.lit(1.0)
-    if all_tokens:
-        now = np.array(first[1 : len(p) + 1]) / all_tokens
-        moments = np.array(first[len(p) + 1 :]).reshape(len(p), len(p)) / all_tokens
-        weight = np.array([max(targets.get(n, 0.0), 0.0) for n in names])
-        weight = weight / weight.sum() if weight.sum() else now / now.sum()
-        lead = int(weight.argmax())
-        scale = total / all_tokens if total else float(now[lead] / weight[lead])
-        inverse = np.linalg.pinv(moments + 1e-9 * np.eye(len(p)))
-        for _ in range(ITERATIONS):
-            step = inverse @ (now - scale * weight)
-            rate = F.least(F.lit(MOST), F.greatest(F.lit(0.0), rate - sum(x * float(c) for x, c in zip(p, step, strict=True))))
-            before, now = now, np.array(rows.agg(*(F.sum(tokens * x * rate) for x in p)).first()) / all_tokens
-            if np.abs(now - before).max() < TOLERANCE:
-                break
-    return rows.withColumn("rate", rate)
+    rows, cells = posteriors(docs, labels, domains, train)
+    fitted, missed = descend(cells, names, targets, total)
+    if missed >= TOLERANCE:
+        warnings.warn(f"mixing: a domain's share is {missed:.4f} away from its target", stacklevel=2)
+    fitted = common.stage(fitted.withColumn("rate", F.round("rate", 9)))
+    keys = [f"e{i}" for i in range(len(names))]
+    joined = rows.join(fitted.drop("tokens", "documents"), keys)
+    return joined.select("doc_id", "tokens", *(f"p_{n}" for n in names), "rate", F.lit(missed).alias("missed"))
 
 
 def mixed(docs: DataFrame, fitted: DataFrame) -> DataFrame:

@@ -239,18 +239,100 @@ def test_languages(spark):
 # --- mixing
 
 
-def test_rates_meet_targets(spark):
+@pytest.mark.parametrize("targets", [{"toxic": 0.02, "poor": 0.08, "good": 0.9}, {"toxic": 0.3, "poor": 0.3, "good": 0.4}])
+def test_rates_meet_targets(spark, targets):
     docs = common.table(spark, "/root/testdata/sf0.01", "documents", "doc_id", "text")
     labels = common.table(spark, "/root/testdata/sf0.01", "labels", "doc_id", "quality", "toxic")
-    targets = {"toxic": 0.02, "poor": 0.08, "good": 0.9}
     got = mixing.rates(docs, labels, targets).toPandas()
-    assert len(got) == docs.count() and (got.rate >= 0).all() and (got.rate <= mixing.MOST).all()
+    assert len(got) == docs.count() and (got.rate >= 0).all()
     assert np.allclose(got[["p_toxic", "p_poor", "p_good"]].sum(axis=1), 1)
     tokens = got.tokens * got.rate
     shares = {n: (tokens * got[f"p_{n}"]).sum() / tokens.sum() for n in targets}
-    assert all(abs(shares[n] - x) < 0.02 for n, x in targets.items()), shares
+    assert all(abs(shares[n] - x) < 0.005 for n, x in targets.items()), shares
+    assert (got.missed < mixing.TOLERANCE).all()
     out = mixing.mixed(docs, mixing.rates(docs, labels, targets))
-    assert out.columns == docs.columns and 0 < out.count() <= 2 * len(got)
+    assert out.columns == docs.columns and abs(out.count() - got.rate.sum()) < 4 * len(got) ** 0.5 + 1
+
+
+def test_unreachable_target_is_told(spark):
+    """No document can be of the domain that no cell has."""
+    cells = spark.createDataFrame([(100.0, 1.0, 0.0), (50.0, 0.9, 0.1)], "tokens double, p_a double, p_b double")
+    with_rate, missed = mixing.descend(cells, ["a", "b"], {"a": 0.0, "b": 1.0})
+    assert missed > 0.1 and all(r.rate >= 0 for r in with_rate.collect())
+    none, missed = mixing.descend(spark.createDataFrame([(0.0, 1.0, 0.0)], "tokens double, p_a double, p_b double"), ["a", "b"], {"a": 1.0})
+    assert missed == 0.0 and [r.rate for r in none.collect()] == [1.0]
+
+
+def test_rates_against_brute_force(spark):
+    """The least change of r = 1 under the targets, by plain projected descent on the rows."""
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([0.3, 0.3, 0.6], 60)
+    tokens = rng.integers(1, 400, 60).astype(float)
+    targets = np.array([0.1, 0.25, 0.65])
+    goal = targets * (tokens @ p)[2] / 0.65
+    rate = np.ones(60)
+    moments = (p * tokens[:, None]).T @ p
+    for _ in range(20_000):
+        rate = np.maximum(0, rate - 0.5 * p @ np.linalg.solve(moments, (tokens * rate) @ p - goal))
+    cells = spark.createDataFrame([(float(t), *map(float, x)) for t, x in zip(tokens, p)], "tokens double, p_a double, p_b double, p_c double")
+    fitted, missed = mixing.descend(cells, ["a", "b", "c"], dict(zip("abc", targets.tolist())))
+    got = np.array([r.rate for r in fitted.collect()])
+    assert missed < mixing.TOLERANCE and np.abs((tokens * got) @ p - goal).max() < 2 * mixing.TOLERANCE * goal.sum()
+    assert np.abs(got - rate).max() < 0.1
+
+
+def test_posteriors_against_brute_force(spark):
+    """Counts, folds, temperature, shares and posteriors by plain loops."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(40)]
+    rows, marks = [], []
+    for i in range(160):
+        domain = i % 3
+        rows.append((i, " ".join(rng.choice(words[10 * domain : 10 * domain + 20]) for _ in range(rng.randint(0, 9))), 0, ""))
+        if i < 100:
+            marks.append((i, int(domain == 2), int(domain == 0)))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    told = mixing.learn(common.one_row_each(frame(spark, rows)), labels)
+    sets = {d: set(t.split()) for d, t, *_ in rows}
+    kinds = {d: 0 if t else 1 if not q else 2 for d, q, t in marks}
+    folds = {r.doc_id: r.f for r in labels.select("doc_id", F.expr(f"pmod(xxhash64(doc_id, 'fold'), {mixing.FOLDS})").alias("f")).collect()}
+    known = [w for w in words if sum(w in sets[d] for d in kinds) >= mixing.LEAST_ROWS]
+
+    def evidence(doc, left_out):
+        learnt = [d for d in kinds if folds[d] != left_out]
+        out = []
+        for k in range(3):
+            size, sum_ = sum(kinds[d] == k for d in learnt), 0.0
+            for w in known:
+                n, n_k = sum(w in sets[d] for d in learnt), sum(w in sets[d] and kinds[d] == k for d in learnt)
+                overall = n / len(learnt)
+                if not 0 < overall < 1:
+                    continue
+                chance = (n_k + mixing.SMOOTHING * overall) / (size + mixing.SMOOTHING)
+                if w in sets[doc]:
+                    sum_ += np.log(chance / overall)
+                elif overall <= mixing.RARE:
+                    sum_ += np.log((1 - chance) / (1 - overall))
+            out.append(sum_)
+        return np.array(out)
+
+    prior = np.log(np.array(told.sizes) / sum(told.sizes))
+    held = {d: evidence(d, folds[d]) for d in kinds}
+    loss = [np.mean([np.log(np.exp(held[d] / t + prior).sum()) - (held[d] / t + prior)[kinds[d]] for d in kinds]) for t in mixing.TEMPERATURES]
+    assert told.temperature == mixing.TEMPERATURES[int(np.argmin(loss))]
+    found, cells = mixing.posteriors(frame(spark, rows), labels)
+    units = {r.doc_id: np.array([r.e0, r.e1, r.e2]) for r in found.collect()}
+    for d in sets:
+        value = evidence(d, None) / told.temperature
+        assert np.abs(units[d] * mixing.UNIT - np.maximum(value - value.max(), -mixing.MOST)).max() <= mixing.UNIT / 2 + 1e-5
+    share = labelled = (np.array(told.sizes) + 0.5) / (sum(told.sizes) + 1.5)
+    for _ in range(200):
+        each = np.array([share * np.exp(units[d] * mixing.UNIT) for d in sets])
+        share = (each / each.sum(axis=1, keepdims=True)).sum(axis=0) + mixing.SHARE_WEIGHT * labelled
+        share /= share.sum()
+    for r in cells.collect():
+        want = share * np.exp(np.array([r.e0, r.e1, r.e2]) * mixing.UNIT)
+        assert np.abs(want / want.sum() - [r.p_toxic, r.p_poor, r.p_good]).max() < 0.01
 
 
 def test_mixing_awkward_rows(spark):
