@@ -1,8 +1,8 @@
 """Mixing documents to target weights of soft domains, in DataFrame functions alone.
 
 A naive Bayes classifier, counted by grouped aggregation over a labelled table, weighs for each document the evidence
-of its words for each domain. Few labelled rows make such evidence too sure of itself, so it is divided by a
-temperature, the one of `TEMPERATURES` under which labelled rows are likeliest when the counts leave out their own fold.
+of its words for each domain. Few labelled rows make such evidence too sure of itself, so each domain's is divided by a
+temperature, those of `TEMPERATURES` under which labelled rows are likeliest when the counts leave out their own fold.
 What share of the documents each domain has is not taken from the labels: it is estimated from the documents' evidence
 (expectation maximisation), as the labelled rows may be another mixture than the documents at hand.
 
@@ -32,15 +32,20 @@ from chronoreg.llm import common
 #: Domains by conditions on the labelled table's rows (the first that holds counts), and their target weights.
 DOMAINS = {"toxic": "toxic > 0", "poor": "quality = 0", "good": "quality > 0"}
 TARGETS = {"toxic": 0.0, "poor": 0.02, "good": 0.98}
+#: Runs of marks: neither letters, digits nor white space.
+MARKS = r"([^\p{L}\p{M}\p{N}\s]+)"
 #: Labelled rows used for counting, words in the classifier, and its smoothing.
 TRAIN_ROWS = 20_000
 VOCABULARY = 4096
 LEAST_ROWS = 4
+#: The evidence (in nats, over all labelled rows) that a word must bring: below it chance makes many.
+LEAST_TOLD = 6.0
 SMOOTHING = 10.0
 #: The share of labelled rows up to which the lack of a word counts.
 RARE = 0.05
-#: Folds of the labelled rows and the temperatures that are tried on them.
+#: Folds of the labelled rows, the temperatures that are tried on them, and how often for each domain.
 FOLDS = 5
+TURNS = 2
 TEMPERATURES = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 12.0, 16.0, 24.0, 32.0)
 #: Evidence is rounded to such units (in nats) and reaches so far.
 UNIT = 0.25
@@ -55,10 +60,17 @@ STAGED = 8
 
 
 def _words(rows: DataFrame) -> DataFrame:
-    """(…, tokens, words): the number of words, and the distinct ones in lower case."""
-    every = F.filter(F.split(F.translate(F.lower("text"), "\t\n\x0b\x0c\r", " " * 5), " "), lambda w: w != "")
-    split = rows.withColumn("every", every)
-    return split.withColumn("tokens", F.size("every").cast("long")).withColumn("words", F.array_distinct("every")).drop("every", "text")
+    """(…, tokens, words): the number of words and runs of marks, and the distinct ones in lower case.
+
+    A run of marks is told apart from the word before it, as a text's thousand marked words would be no thousandfold
+    evidence. A text in which words follow themselves has one word more, by the order of magnitude of how often.
+    """
+    split = F.split(F.translate(F.regexp_replace(F.lower("text"), MARKS, " $1 "), "\t\n\x0b\x0c\r", " " * 5), " ")
+    rows = rows.withColumn("every", F.filter(split, lambda w: w != ""))
+    same = F.zip_with("every", F.slice("every", 2, F.greatest(F.size("every") - 1, F.lit(0))), lambda a, b: a == b)
+    rows = rows.withColumn("again", F.size(F.filter(same, lambda x: x)))
+    more = F.when(F.col("again") > 0, F.array(F.concat(F.lit(" again "), F.floor(F.log2("again")).cast("string")))).otherwise(F.array().cast("array<string>"))
+    return rows.withColumn("tokens", F.size("every").cast("long")).withColumn("words", F.concat(F.array_distinct("every"), more)).drop("every", "text", "again")
 
 
 def _told(n: list[Column], sizes: list[float], total: float) -> tuple[Column, Column]:
@@ -76,15 +88,15 @@ def _told(n: list[Column], sizes: list[float], total: float) -> tuple[Column, Co
 
 
 class Evidence:
-    """What the labelled rows tell: (word, weights) of the most telling words, what a text without them has, and the
-    temperature by which a text's sum is divided; and the labelled rows of each domain."""
+    """What the labelled rows tell: (word, weights) of the most telling words, and for each domain what a text without
+    them has, the temperature by which a text's sum is divided, and the labelled rows."""
 
-    def __init__(self, weights: DataFrame, without: list[float], temperature: float, sizes: list[float]):
-        self.weights, self.without, self.temperature, self.sizes = weights, without, temperature, sizes
+    def __init__(self, weights: DataFrame, without: list[float], temperatures: list[float], sizes: list[float]):
+        self.weights, self.without, self.temperatures, self.sizes = weights, without, temperatures, sizes
 
 
 def learn(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS, rows: int = TRAIN_ROWS, size: int = VOCABULARY) -> Evidence:
-    """Counts the words of at most `rows` labelled documents; the `size` words that tell most are kept."""
+    """Counts the words of at most `rows` labelled documents; of those that tell enough, the `size` that tell most are kept."""
     spark = docs.sparkSession
     some = range(len(domains))
     domain = F.expr("CASE " + " ".join(f"WHEN {condition} THEN {i}" for i, condition in enumerate(domains.values())) + " END")
@@ -99,13 +111,14 @@ def learn(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS,
     by_fold = [[found.get((i, f), 0.0) for i in some] for f in range(FOLDS)]
     sizes = [sum(s[i] for s in by_fold) for i in some]
     if not sum(sizes):
-        return Evidence(spark.createDataFrame([], "word string, weights array<double>"), [0.0 for _ in some], 1.0, sizes)
+        return Evidence(spark.createDataFrame([], "word string, weights array<double>"), [0.0 for _ in some], [1.0 for _ in some], sizes)
     each = [F.count(F.when((F.col("domain") == i) & (F.col("fold") == f), 1)).cast("double").alias(f"n{i}_{f}") for f in range(FOLDS) for i in some]
     counts = held.select("domain", "fold", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), *each).where(F.col("n") >= LEAST_ROWS)
     whole = [sum(F.col(f"n{i}_{f}") for f in range(FOLDS)) for i in some]
     word, lack = _told(whole, sizes, sum(sizes))
     telling = sum(n * word[i] for i, n in enumerate(whole))
-    chosen = counts.orderBy(F.round(telling, 9).desc(), "word").limit(size)
+    telling = F.round(telling, 9)
+    chosen = counts.where(telling >= LEAST_TOLD).orderBy(telling.desc(), "word").limit(size)
     names = ["word", "lack"]
     columns = [word.alias("word_0"), lack.alias("lack_0")]
     for f in range(FOLDS):  # without the fold's own rows
@@ -117,26 +130,32 @@ def learn(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOMAINS,
     without = [[float(sums[f * len(domains) + i]) for i in some] for f in range(FOLDS + 1)]
     more = [F.zip_with(f"word_{f}", f"lack_{f}", lambda a, b: a - b).alias(f"more_{f}") for f in range(FOLDS + 1)]
     chosen = chosen.select("word", *more)
-    return Evidence(chosen.select("word", F.col("more_0").alias("weights")), without[0], _temperature(held, chosen, without, sizes), sizes)
+    return Evidence(chosen.select("word", F.col("more_0").alias("weights")), without[0], _temperatures(held, chosen, without, sizes), sizes)
 
 
-def _temperature(held: DataFrame, chosen: DataFrame, without: list[list[float]], sizes: list[float]) -> float:
-    """The temperature under which the labelled rows' own domains are likeliest, each row judged without its fold."""
+def _temperatures(held: DataFrame, chosen: DataFrame, without: list[list[float]], sizes: list[float]) -> list[float]:
+    """The temperatures under which the labelled rows' own domains are likeliest, each row judged without its fold."""
     some = range(len(sizes))
     # The vocabulary is bounded by its size.
     met = held.select("doc_id", "domain", "fold", F.explode_outer("words").alias("word")).join(F.broadcast(chosen), "word", "left")
     own = F.element_at(F.array(*(F.col(f"more_{f + 1}") for f in range(FOLDS))), F.col("fold") + 1)
     scored = met.groupBy("doc_id", "domain", "fold").agg(*(F.coalesce(F.sum(own[i]), F.lit(0.0)).alias(f"s{i}") for i in some))
     rest = F.array(*(F.array(*(F.lit(x) for x in without[f + 1])) for f in range(FOLDS)))
-    summed = scored.select("domain", *((F.col(f"s{i}") + F.element_at(rest, F.col("fold") + 1)[i]).alias(f"s{i}") for i in some))
+    summed = common.stage(scored.select("domain", *((F.col(f"s{i}") + F.element_at(rest, F.col("fold") + 1)[i]).alias(f"s{i}") for i in some)))
     logs = [float(np.log(max(s, 1e-9) / sum(sizes))) for s in sizes]
-    loss = []
-    for t in TEMPERATURES:
-        values = [F.col(f"s{i}") / t + logs[i] for i in some]
+
+    def loss(temperatures: list[float]) -> Column:
+        values = [F.col(f"s{i}") / temperatures[i] + logs[i] for i in some]
         top = F.greatest(*values) if len(values) > 1 else values[0]
-        loss.append(F.avg(top + F.ln(sum(F.exp(v - top) for v in values)) - F.element_at(F.array(*values), F.col("domain") + 1)))
-    found = [float(x or 0.0) for x in summed.agg(*loss).first()]
-    return TEMPERATURES[int(np.argmin(np.round(found, 9)))]
+        return F.avg(top + F.ln(sum(F.exp(v - top) for v in values)) - F.element_at(F.array(*values), F.col("domain") + 1))
+
+    same = [float(x or 0.0) for x in summed.agg(*(loss([t for _ in some]) for t in TEMPERATURES)).first()]
+    best = [TEMPERATURES[int(np.argmin(np.round(same, 9)))] for _ in some]
+    for _ in range(TURNS):
+        for i in some:
+            found = [float(x or 0.0) for x in summed.agg(*(loss([*best[:i], t, *best[i + 1 :]]) for t in TEMPERATURES)).first()]
+            best[i] = TEMPERATURES[int(np.argmin(np.round(found, 9)))]
+    return best
 
 
 def _shares(cells: DataFrame, sizes: list[float]) -> list[float]:
@@ -174,7 +193,7 @@ def posteriors(docs: DataFrame, labels: DataFrame, domains: dict[str, str] = DOM
     met = spread.join(F.broadcast(told.weights), "word", "left")
     scored = met.groupBy("doc_id").agg(F.max("tokens").alias("tokens"), *(F.coalesce(F.sum(F.col("weights")[i]), F.lit(0.0)).alias(f"s{i}") for i in some))
     # Words that come in any order may add up differently in the last digits.
-    values = [F.round(F.col(f"s{i}") + x, 6) / told.temperature for i, x in enumerate(told.without)]
+    values = [F.round(F.col(f"s{i}") + x, 6) / told.temperatures[i] for i, x in enumerate(told.without)]
     top = F.greatest(*values) if len(values) > 1 else values[0]
     evidence = [F.greatest(F.round((v - top) / UNIT), F.lit(-MOST / UNIT)).cast("int").alias(f"e{i}") for i, v in enumerate(values)]
     found = common.stage(scored.select("doc_id", "tokens", *evidence))

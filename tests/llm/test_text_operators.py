@@ -296,7 +296,18 @@ def test_posteriors_against_brute_force(spark):
     sets = {d: set(t.split()) for d, t, *_ in rows}
     kinds = {d: 0 if t else 1 if not q else 2 for d, q, t in marks}
     folds = {r.doc_id: r.f for r in labels.select("doc_id", F.expr(f"pmod(xxhash64(doc_id, 'fold'), {mixing.FOLDS})").alias("f")).collect()}
-    known = [w for w in words if sum(w in sets[d] for d in kinds) >= mixing.LEAST_ROWS]
+    for d, t, *_ in rows:
+        again = sum(a == b for a, b in zip(t.split(), t.split()[1:]))
+        sets[d] |= {f" again {int(np.log2(again))}"} if again else set()
+    sizes = [sum(kinds[d] == k for d in kinds) for k in range(3)]
+
+    def telling(w):
+        n = [sum(w in sets[d] and kinds[d] == k for d in kinds) for k in range(3)]
+        overall = sum(n) / len(kinds)
+        return sum(x * np.log((x + mixing.SMOOTHING * overall) / (s + mixing.SMOOTHING) / overall) for x, s in zip(n, sizes)) if 0 < overall < 1 else 0.0
+
+    known = [w for w in set().union(*sets.values()) if sum(w in sets[d] for d in kinds) >= mixing.LEAST_ROWS and telling(w) >= mixing.LEAST_TOLD]
+    assert len(known) > 5
 
     def evidence(doc, left_out):
         learnt = [d for d in kinds if folds[d] != left_out]
@@ -318,12 +329,19 @@ def test_posteriors_against_brute_force(spark):
 
     prior = np.log(np.array(told.sizes) / sum(told.sizes))
     held = {d: evidence(d, folds[d]) for d in kinds}
-    loss = [np.mean([np.log(np.exp(held[d] / t + prior).sum()) - (held[d] / t + prior)[kinds[d]] for d in kinds]) for t in mixing.TEMPERATURES]
-    assert told.temperature == mixing.TEMPERATURES[int(np.argmin(loss))]
+
+    def loss(t):
+        return np.mean([np.log(np.exp(held[d] / np.array(t) + prior).sum()) - (held[d] / np.array(t) + prior)[kinds[d]] for d in kinds])
+
+    best = [mixing.TEMPERATURES[int(np.argmin([loss([t] * 3) for t in mixing.TEMPERATURES]))]] * 3
+    for _ in range(mixing.TURNS):
+        for k in range(3):
+            best[k] = mixing.TEMPERATURES[int(np.argmin([loss([*best[:k], t, *best[k + 1 :]]) for t in mixing.TEMPERATURES]))]
+    assert told.temperatures == best
     found, cells = mixing.posteriors(frame(spark, rows), labels)
     units = {r.doc_id: np.array([r.e0, r.e1, r.e2]) for r in found.collect()}
     for d in sets:
-        value = evidence(d, None) / told.temperature
+        value = evidence(d, None) / np.array(told.temperatures)
         assert np.abs(units[d] * mixing.UNIT - np.maximum(value - value.max(), -mixing.MOST)).max() <= mixing.UNIT / 2 + 1e-5
     share = labelled = (np.array(told.sizes) + 0.5) / (sum(told.sizes) + 1.5)
     for _ in range(200):
