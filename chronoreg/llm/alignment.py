@@ -145,7 +145,8 @@ def _spilled(docs: DataFrame, byte_tokenizer: str, pieces: str, ranks: str | Non
         offsets = np.cumsum([0, *(len(t) + 1 for t in texts if t)])
         flat = np.frombuffer(data, np.uint8)
         starts = _units(flat, offsets, align.cuts) if data else np.zeros(0, np.int64)
-        _, first, number = np.unique(common.span_hashes(flat, starts, stops := np.append(starts, len(flat))[1:]), return_index=True, return_inverse=True)
+        stops = np.append(starts, len(flat))[1:]
+        first, number = common.distinct_spans(flat, starts, stops)
         units = align([data[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)])
         bounds = np.searchsorted(starts, offsets)
         # Documents with a unit whose bytes are not its tokens' bytes have no tokens.

@@ -218,6 +218,28 @@ def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One span's place of each different data[start:end], and for every span the number of its own.
+
+    Hashes group the spans; then every byte is compared with the one that stands for it.
+    """
+    _, first, number = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    lengths = ends - starts
+    alike = (lengths == lengths[first][number]).all()
+    for a in range(0, len(starts) if alike else 0, _CACHED):
+        size = lengths[a : a + _CACHED]
+        steps = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        own, other = (np.repeat(x[a : a + _CACHED], size) + steps for x in (starts, starts[first][number]))
+        if not np.array_equal(data[own], data[other]):
+            alike = False
+            break
+    if alike:
+        return first, number
+    raw, numbers = data.tobytes(), {}
+    number = np.array([numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
+    return np.unique(number, return_index=True)[1], number
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the offsets of each row into the list of words."""
     if not len(data):

@@ -13,8 +13,6 @@ without a doc_id take no part; other columns are ignored; an empty table gives n
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -25,17 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoreg.llm import common
+from chronoreg.llm import common, vocabulary
 
 SIZE = 1024
 END_TOKEN = 2
 #: Distinct units whose ids a worker remembers, and the longest unit that it remembers.
 CACHE_UNITS = 1_000_000
 CACHE_BYTES = 64
-# The vocabulary's special token and its pattern of words.
-SPECIAL = "<|endoftext|>"
-WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_PLAIN = re.compile(r"[\t-\r\x20-~\u00c0-\u00ff]*")
 
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # how many sequences, each with ((length, how often), ...)
 
@@ -45,26 +39,21 @@ class UnitTokenizer:
 
     The tokenizer's pre-tokenizer never joins a character with white space behind it, so a text may be cut there
     without a change of its ids. Equal units of a slice are tokenized once, and a worker remembers the ids of short
-    units. Where the same vocabulary is also given as ranks, units of plain characters go through the faster library;
-    a test holds both to equal ids.
+    units. Where the same vocabulary is also given as ranks, short units of plain characters go through the faster
+    library; a test holds both to equal ids.
     """
 
     def __init__(self, path: str, ranks: str | None = None):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._fast = ranked_encoding(ranks) if ranks else None
-        self._known: dict[int, bytes] = {}
+        self._encode = vocabulary.Encoder(path, ranks)
+        self._known: dict[bytes, bytes] = {}
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows as uint32, and each row's offsets into them."""
         data, offsets = common.buffer(column)
         starts = self._starts(data, offsets)
         ends = np.append(starts, len(data))[1:]
-        hashes = common.span_hashes(data, starts, ends)
-        units, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        ids = self._ids(data, units, starts[first], ends[first])
+        first, inverse = common.distinct_spans(data, starts, ends)
+        ids = self._ids(data, starts[first], ends[first])
         lengths = np.fromiter((len(x) >> 2 for x in ids), np.int64, len(ids))
         flat = np.frombuffer(b"".join(ids), dtype="<u4")
         begins = np.cumsum(lengths) - lengths
@@ -86,42 +75,21 @@ class UnitTokenizer:
         cut[offsets[:-1][np.diff(offsets) > 0]] = True
         return np.flatnonzero(cut)
 
-    def _ids(self, data: np.ndarray, units: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    def _ids(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
         if len(self._known) > CACHE_UNITS:
             self._known.clear()
         known = self._known
-        keys = units.tolist()
-        out = [known.get(k) for k in keys]
-        missing = [i for i, x in enumerate(out) if x is None]
         raw = data.tobytes()
-        new = [raw[a:b].decode() for a, b in zip(starts[missing].tolist(), ends[missing].tolist(), strict=True)]
-        slow = []
-        for i, text in zip(missing, new, strict=True):
-            if self._fast and _PLAIN.fullmatch(text) and SPECIAL not in text:
-                ids = self._fast.encode_ordinary(text)
-                out[i] = array("I", ids).tobytes()
-                if len(text) <= CACHE_BYTES:
-                    known[keys[i]] = out[i]
-            else:
-                slow.append((i, text))
-        for (i, text), encoding in zip(slow, self._tokenizer.encode_batch([t for _, t in slow], add_special_tokens=False), strict=True):
-            out[i] = np.array(encoding.ids, dtype="<u4").tobytes()
-            if len(text) <= CACHE_BYTES:
-                known[keys[i]] = out[i]
+        units = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        out = [known.get(u) for u in units]
+        missing = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(missing, self._encode([units[i].decode() for i in missing]), strict=True):
+            out[i] = array("I", ids).tobytes()
+            if len(units[i]) <= CACHE_BYTES:
+                known[units[i]] = out[i]
         return out
 
 
-def ranked_encoding(path: str):
-    """The byte-level vocabulary from a file of ranks; no token is special."""
-    import base64
-
-    import tiktoken
-
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranked", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
 def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, size: int = SIZE, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document's pieces.
 

@@ -34,6 +34,8 @@ _CANDIDATE_BYTES = 6
 _KEY_BYTES = 8
 _ANSWER_BYTES = 12  # a run's key, and a bit for each of its windows that is covered
 _ALL, _ASK = 0xFFFFFFFF, 0
+#: A run has window - gram + 1 windows at most, which must fit the mask.
+MOST_WINDOW = 62
 _SENT = "bucket int, docs binary, keys binary, sizes binary, data binary"
 
 
@@ -284,8 +286,10 @@ def _covered(part: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray,
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of the documents that lose bytes; kept is what remains of the text.
 
-    n_spans counts maximal removed stretches. `window` must be 64 at most, so that a run's windows fit a mask.
+    n_spans counts maximal removed stretches. `window` must be from 16 to MOST_WINDOW.
     """
+    if not 16 <= window <= MOST_WINDOW:
+        raise ValueError(f"windows of {window} bytes are not supported: 16 to {MOST_WINDOW}")
     docs = common.one_row_each(docs)
     count = exchange.buckets(docs)
 

@@ -105,6 +105,33 @@ def test_chain_of_links_and_hot_copies(spark):
     assert all(got[i] == 0 for i in range(30)) and all(got[100 + i] == 100 for i in range(40)) and all(got[500 + i] == 500 + i for i in range(40))
 
 
+def test_texts_that_polynomials_modulo_a_power_of_two_confuse(spark):
+    """Thue-Morse words and their complements: no shingle in common, no window held before."""
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{one} {rest}", 0, ""), (2, f"{two} {rest}", 0, ""), (3, " ".join([one] * 5), 0, ""), (4, " ".join([two] * 5), 0, "")]
+    assert {r.doc_id: r.n_removed for r in repeats.digest(frame(spark, rows)).collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+    assert {r.doc_id: r.component_id for r in near.near_duplicates(frame(spark, rows[2:])).collect()} == {3: 3, 4: 4}
+
+
+@pytest.mark.parametrize("window", [16, 33, suffix.MOST_WINDOW])
+def test_windows_of_other_lengths(spark, window):
+    rows = corpus(4, n=30)
+    got = {r.doc_id: r.n_removed for r in suffix.digest(frame(spark, rows), window).collect()}
+    first, want = {}, {}
+    for doc, text in sorted(by_id(rows).items()):
+        raw = text.encode()
+        gone = bytearray(len(raw))
+        for a in range(len(raw) - window + 1):
+            if first.setdefault(raw[a : a + window], doc) < doc:
+                gone[a : a + window] = b"\1" * window
+        want[doc] = sum(gone)
+    assert got == want
+    with pytest.raises(ValueError):
+        suffix.digest(frame(spark, rows), suffix.MOST_WINDOW + 1)
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 400).astype(np.uint64)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from chronoreg.llm import common, fingerprint, langid, mixing, packing, quality, queries, secrets
+from chronoreg.llm import common, fingerprint, langid, mixing, packing, quality, queries, secrets, vocabulary
 from corpus import by_id, corpus, frame
 
 SF = "/root/testdata/sf0.001"
@@ -137,13 +137,50 @@ def test_units_have_the_tokenizers_ids():
 
     path, ranks = queries.tokenizer_paths()
     whole, rng = Tokenizer.from_file(path), random.Random(3)
-    parts = ["a", "b", "'s", "'", "é", "ß", " ", "  ", "\n", "\t", " ", "　", "\x1c", "\x85", "1", "23", "!", "…", "日", " ", packing.SPECIAL, "ñ", "́"]
+    parts = ["a", "b", "'s", "'", "é", "ß", " ", "  ", "\n", "\t", " ", "　", "\x1c", "\x85", "1", "23", "!", "…", "日", " ", vocabulary.SPECIAL, "ñ", "́"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)] + [t for t in by_id(corpus()).values()]
     for unit in (packing.UnitTokenizer(path), packing.UnitTokenizer(path, ranks)):
         ids, offsets = unit(pa.array(texts))
         assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("unit", [" ", "\n", "a", "ab", " \t"])
+def test_long_runs(unit):
+    """A million characters without a word's end."""
+    from tokenizers import Tokenizer
+
+    path, ranks = queries.tokenizer_paths()
+    text = unit * (1_000_000 // len(unit))
+    ids, _ = packing.UnitTokenizer(path, ranks)(pa.array([text]))
+    assert ids.tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_texts_that_polynomials_modulo_a_power_of_two_confuse(n):
+    """Thue-Morse texts and their complements, as units and as words."""
+    from tokenizers import Tokenizer
+
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    two = one.translate(str.maketrans("ab", "ba"))
+    path, ranks = queries.tokenizer_paths()
+    ids, offsets = packing.UnitTokenizer(path, ranks)(pa.array([f"{one} {two}"]))
+    assert ids.tolist() == Tokenizer.from_file(path).encode(f"{one} {two}", add_special_tokens=False).ids
+    data = np.frombuffer((one + two).encode(), np.uint8)
+    hashes = common.span_hashes(data, np.array([0, n]), np.array([n, 2 * n]))
+    assert hashes[0] != hashes[1] and hashes[0] == common.byte_grams(data, n)[0]
+    assert common.distinct_spans(np.concatenate([data, data]), np.arange(4) * n, np.arange(1, 5) * n)[1].tolist() in ([0, 1, 0, 1], [1, 0, 1, 0])
+
+
+def test_spans_whose_hashes_collide(monkeypatch):
+    """Every byte is compared, whatever the hashes say."""
+    monkeypatch.setattr(common, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64) // np.uint64(2))
+    data = np.frombuffer(b"abcdabefabcab", np.uint8)
+    starts, ends = np.array([0, 2, 4, 6, 8, 11]), np.array([2, 4, 6, 8, 11, 13])
+    first, number = common.distinct_spans(data, starts, ends)
+    raw = [data[a:b].tobytes() for a, b in zip(starts, ends)]
+    assert [raw[first[n]] for n in number] == raw and len(first) == len(set(raw))
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_plan_places_every_piece_once(seed):
     rng = random.Random(seed)
