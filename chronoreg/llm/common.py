@@ -56,10 +56,14 @@ def stage(df: DataFrame) -> DataFrame:
     """Write df as Parquet into the shared scratch folder and read it back.
 
     This cuts lineage with files that outlive executors. The folder is ``spark.checkpoint.dir``; only where that is
-    unset (tests) the warehouse takes its place. The files go when the application ends.
+    unset on a local master (tests) the warehouse takes its place. The files go when the application ends.
     """
     spark = df.sparkSession
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        top = spark.conf.get("spark.sql.warehouse.dir")
     path = f"{top.rstrip('/')}/llm-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -15,6 +15,7 @@ ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,9 +34,11 @@ TEMPER = 0.2
 #: Rows that a prior weighs as much as.
 SMOOTHING = 5.0
 
-_HIDDEN = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.DOTALL | re.IGNORECASE)
+_OPENS = re.compile(rb"<!--|<(script|style)\b")
+_CLOSES = {b"": re.compile(rb"-->"), b"script": re.compile(rb"</script\s*>"), b"style": re.compile(rb"</style\s*>")}
 _TAG = re.compile(rb"<[^>]*>")
-_DECLARED = re.compile(rb"""<html\b[^>]*?\blang\s*=\s*["']?\s*([A-Za-z]{2,3})\b""", re.IGNORECASE)
+_HTML_TAG = re.compile(rb"<html\b([^>]*)", re.IGNORECASE)
+_LANG = re.compile(rb"""\blang\s*=\s*["']?\s*([A-Za-z]{2,3})\b""", re.IGNORECASE)
 _HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 
 
@@ -72,21 +75,43 @@ def train(docs: DataFrame, rows: int = TRAIN_ROWS) -> TextModel:
             counts: dict[str, np.ndarray] = {}
             for lang, a, b in zip(part.column(1).to_pylist(), lows.tolist(), highs.tolist(), strict=True):
                 counts[lang] = counts.get(lang, 0) + np.bincount(grams[a:b], minlength=1 << BITS)
-            packed = [c.astype("<i8").tobytes() for c in counts.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(packed, pa.binary())], ["lang", "counts"])
+            for lang, count in counts.items():
+                slots = np.flatnonzero(count)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(slots), pa.string()), pa.array(slots.astype(np.int32)), pa.array(count[slots])], ["lang", "slot", "n"])
 
-    # Both the sample and what its slices send are bounded by `rows`.
+    # The sample is bounded by `rows`; its sums are 2**BITS rows a language at most.
     chosen = labelled.join(F.broadcast(sample), ["doc_id", "lang"]).select("text", "lang")
+    sums = chosen.mapInArrow(kernel, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     total: dict[str, np.ndarray] = {}
-    for row in chosen.mapInArrow(kernel, "lang string, counts binary").toLocalIterator():
-        total[row.lang] = total.get(row.lang, 0) + np.frombuffer(row.counts, "<i8")
+    for lang, slot, n in zip(*(sums.column(c).to_pylist() for c in ("lang", "slot", "n")), strict=True):
+        total.setdefault(lang, np.zeros(1 << BITS))[slot] = n
     languages = tuple(sorted(total))
     table = np.array([total[x] + 0.5 for x in languages]).reshape(len(languages), 1 << BITS)
     return TextModel(languages, np.log(table / table.sum(axis=1, keepdims=True)) if languages else table)
 
 
 def visible(html: bytes) -> bytes:
-    return _TAG.sub(b" ", _HIDDEN.sub(b" ", html))
+    """The page without comments, scripts, styles and tags; what is not closed stays. One scan, however much is open."""
+    lower = html.lower()
+    closes = {kind: [m.span() for m in close.finditer(lower)] for kind, close in _CLOSES.items()}
+    shown, at = [], 0
+    for m in _OPENS.finditer(lower):
+        if m.start() < at:
+            continue
+        spans = closes[m[1] or b""]
+        nearest = bisect_left(spans, (m.end(), 0))
+        if nearest < len(spans):
+            shown.append(html[at : m.start()])
+            at = spans[nearest][1]
+    text = b" ".join([*shown, html[at:]])
+    closed = text.rfind(b">") + 1  # behind it no tag ends
+    return _TAG.sub(b" ", text[:closed]) + text[closed:]
+
+
+def declared_language(html: bytes) -> str | None:
+    """The lang attribute of the first html tag that has one."""
+    found = (_LANG.search(m[1]) for m in _HTML_TAG.finditer(html))
+    return next((m[1].decode().lower() for m in found if m), None)
 
 
 def _evidence(pages: DataFrame, model: TextModel) -> DataFrame:
@@ -96,7 +121,7 @@ def _evidence(pages: DataFrame, model: TextModel) -> DataFrame:
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in common.slices(batches, "html"):
             raw = [(x or "").encode() for x in part.column(2).to_pylist()]
-            declared = [(m[1].decode().lower() if (m := _DECLARED.search(x)) else None) for x in raw]
+            declared = [declared_language(x) for x in raw]
             data, offsets = common.buffer(pa.array([visible(x) for x in raw], pa.binary()))
             grams = _trigrams(data)
             lows, highs = _in_rows(offsets, len(grams))

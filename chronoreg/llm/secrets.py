@@ -17,6 +17,7 @@ columns other than doc_id and text are ignored by :func:`find_secrets` and kept
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -88,7 +89,8 @@ def _around(text: str, start: int, end: int) -> str:
     # Copies that the context's edge cuts are found too; each is blanked in its place, so the edge stays where it is.
     before, after = text[max(0, start - CONTEXT - len(own)) : start], text[end : end + CONTEXT + len(own)]
     for part in sorted(parts, key=lambda x: (-len(x), x)):
-        before, after = (x.replace(part, "\0" * len(part)) for x in (before, after))
+        reach, blank = CONTEXT + len(part), "\0" * len(part)  # a copy farther away does not touch the context
+        before, after = before[-reach:].replace(part, blank), after[:reach].replace(part, blank)
     return (before[-CONTEXT:] + after[:CONTEXT]).replace("\0", "")
 
 
@@ -108,6 +110,23 @@ def _goes_on(text: str, start: int, end: int, base: list[tuple[int, int, str]])
     return beside and end - start < REST and text[start:end].isalnum()
 
 
+class _Taken:
+    """The base spans of a text. Those of a kind don't overlap, so the ones that a stretch meets are found by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int, str]]):
+        self._kinds = [sorted(x for x in spans if x[2] == kind) for kind in KINDS]
+        self._ends = [[e for _, e, _ in own] for own in self._kinds]
+
+    def overlapping(self, start: int, end: int) -> list[tuple[int, int, str]]:
+        found = []
+        for own, ends in zip(self._kinds, self._ends, strict=True):
+            at = bisect_right(ends, start)
+            while at < len(own) and own[at][0] < end:
+                found.append(own[at])
+                at += 1
+        return found
+
+
 class Novelty:
     """Measures marginal compressed bytes with one dictionary."""
 
@@ -128,6 +147,7 @@ class Novelty:
     def spans(self, text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
         found: set[tuple[int, int, str]] = set()
         sensitive, last = False, 0
+        base_of = _Taken(taken).overlapping
         for m in _candidate.finditer(text):
             start, end = m.span()
             # The lines of a key and the parts of a dotted token share the sensitive word before the first of them.
@@ -135,14 +155,14 @@ class Novelty:
             last = end
             if not sensitive or not _mixed.match(m[0]):
                 continue
-            base = [(s, e, k) for s, e, k in taken if start < e and s < end]
+            base = base_of(start, end)
             if not base:
                 found |= {(start, end, "novel")} if self.novel(text, start, end) else set()
             for s, e in _outside(start, end, base) if base else ():
                 found |= {(s, e, "novel")} if _goes_on(text, s, e, base) or e - s >= REST and self.novel(text, s, e) else set()
             # A key block's last line may be too short to be a candidate.
             if (base or (start, end, "novel") in found) and (rest := _last_line.match(text, end)):
-                found |= {(s, e, "novel") for s, e in _outside(*rest.span(1), taken)}
+                found |= {(s, e, "novel") for s, e in _outside(*rest.span(1), base_of(*rest.span(1)))}
         return sorted(found)
 
 

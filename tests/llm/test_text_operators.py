@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -94,6 +95,34 @@ def test_every_part_of_a_secret(spark):
     assert out[7] == "auth MY[SECRET] and key=[SECRET] sha256=[SECRET]"
 
 
+def test_secrets_in_very_long_texts():
+    """Ten megabytes of assignments, and a candidate of one, in seconds; spans as in short texts."""
+    novelty, rng = secrets.Novelty([]), random.Random(5)
+    line = 'token = "abcd1234efgh"\n'
+    text = line * (10_000_000 // len(line))
+    start = time.monotonic()
+    base = secrets.base_spans(text)
+    assert len(base) == text.count("\n") and novelty.spans(text, base) == []
+    long = "auth " + "".join(rng.choice("abcdefghABCDEFGH0123456789+/") for _ in range(1_000_000)) + " end"
+    assert novelty.spans(long, secrets.base_spans(long)) == [(5, 1_000_005, "novel")]
+    assert time.monotonic() - start < 60
+
+
+def test_spans_that_a_stretch_meets():
+    rng = random.Random(6)
+    spans = [(a, a + rng.randint(1, 9), kind) for kind in ("assign", "hex") for a in range(rng.randint(0, 9), 400, rng.randint(10, 14))]
+    taken = secrets._Taken(spans)
+    for _ in range(300):
+        a = rng.randint(0, 400)
+        b = a + rng.randint(1, 60)
+        assert sorted(taken.overlapping(a, b)) == sorted(x for x in spans if x[0] < b and a < x[1])
+
+
+def test_secrets_of_no_rows(spark):
+    assert secrets.digest(secrets.find_secrets(frame(spark, []))).collect() == []
+    assert secrets.redact_secrets(frame(spark, [])).collect() == []
+
+
 # --- quality
 
 
@@ -273,6 +302,34 @@ def test_languages(spark):
     assert langid.identify(spark.createDataFrame([], PAGES), model).collect() == []
 
 
+def test_visible_text():
+    """The scan shows what the patterns show, and needs seconds for pages that close nothing."""
+    hidden = re.compile(rb"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.DOTALL | re.IGNORECASE)
+    declared = re.compile(rb"""<html\b[^>]*?\blang\s*=\s*["']?\s*([A-Za-z]{2,3})\b""", re.IGNORECASE)
+    parts = [b"<!--", b"-->", b"<script", b"<STYLE>", b"</script >", b"</style>", b"</Script>", b"<", b">", b" a ", b"<p>", b"-", b"!", b"scripts", b"<html ", b"lang=", b"lang = 'de", b"fr", b" ", b"\n", b'"']
+    rng = random.Random(9)
+    for _ in range(20_000):
+        page = b"".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert langid.visible(page) == re.sub(rb"<[^>]*>", b" ", hidden.sub(b" ", page)), page
+        want = declared.search(page)
+        assert langid.declared_language(page) == (want[1].decode().lower() if want else None), page
+    start = time.monotonic()
+    for part in (b"<!--", b"<", b"<script>", b"<html ", b"<html lang", b"<!-- -->", b"</script ", b"<style></script>"):
+        page = part * (10_000_000 // len(part))
+        langid.visible(page)
+        langid.declared_language(page)
+    assert time.monotonic() - start < 120
+
+
+def test_languages_of_repeated_rows_and_clashing_columns(spark):
+    docs = common.table(spark, "/root/testdata/sf0.01", "documents", "doc_id", "text", "lang")
+    model = langid.train(docs, rows=200)
+    page = (1, "http://de.example.org/x", "<html lang='de'><p>der die das und nicht</p>", "h", "t")
+    rows = spark.createDataFrame([page, page, (2, None, None, None, None)], "page_id long, url string, html string, host string, text string")
+    got = [(r.page_id, r.lang) for r in langid.identify(rows, model).collect()]
+    assert sorted(got)[:2] == [(1, "de"), (1, "de")] and len(got) == 3
+
+
 # --- mixing
 
 
