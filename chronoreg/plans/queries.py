@@ -30,7 +30,7 @@ from chronoreg.model import (
     TEST_SCENARIOS,
     RunParams,
 )
-from chronoreg.operators import checks, diff, report
+from chronoreg.operators import checks, diff, digest, report
 from chronoreg.operators.apply import BY, BY_CHANGE, BY_RELINK, TOUCHED, WAS_END
 from chronoreg.operators.select import (
     auto_scenarios,
@@ -83,15 +83,16 @@ def _touched(df: DataFrame, by: str | None = None) -> DataFrame:
     return df.filter(hit).drop(TOUCHED, BY, WAS_END)
 
 
-def _rerun_counts(hard: bool) -> Query:
-    """K2: what a second run of the same snapshot on the first one's result would change."""
+def _rerun_counts(hard: bool, digests: bool = False) -> Query:
+    """K2: what a second run of the same snapshot on the first one's result would change, by digests or by joins alone."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         inp = _inputs(spark, sf_dir, hard)
         stage = ParquetStage(spark)
         first = run(inp.interim, inp.state, P, SPEC, stage)
         state = State(*[stage(df, f"after_{name}") for name, df in first.state.tables().items()])
-        changes = run(inp.interim, state, P, SPEC, ParquetStage(spark)).changes
+        kept = _stored_digests(state, stage) if digests else None
+        changes = run(inp.interim, state, P, SPEC, ParquetStage(spark), digests=kept).changes
         tagged = reduce(DataFrame.unionByName, [getattr(changes, name).select(F.lit(name).alias("t"))
                                                 for name in ("deletes", "inserts", "relinks")])
         return tagged.agg(*[F.count(F.when(F.col("t") == name, 1)).alias(name) for name in ("deletes", "inserts", "relinks")])
@@ -99,6 +100,18 @@ def _rerun_counts(hard: bool) -> Query:
     return query
 
 
+def _digested(spark: SparkSession, sf_dir: str) -> Run:
+    """A run that joins the keys of unequal leaves only."""
+    inp = _inputs(spark, sf_dir)
+    stage = ParquetStage(spark)
+    return run(inp.interim, inp.state, P, SPEC, stage, digests=_stored_digests(inp.state, stage))
+
+
+def _stored_digests(state: State, stage: ParquetStage) -> digest.Digests:
+    found = digest.digests(state, SPEC)
+    return digest.Digests(stage(found.register, "register_digest"), stage(found.links, "link_digest"), found.tree)
+
+
 def _log_table(name: str) -> Query:
     return lambda s, d: _run(s, d).changelog.filter(F.col("table_name") == name)
 
@@ -169,6 +182,11 @@ QUERIES: dict[str, Query] = {
     "relinks_building": lambda s, d: (lambda r: diff.find_building_relinks(
         r.selection.candidates, r.before.building_link, r.before.part_link, _changed(r), SPEC))(_run(s, d)),
     "relinks_all": lambda s, d: _run(s, d).relinks,
+    # D1-D3, D7-D9 and K2 after a comparison of digests
+    "deletes_by_digest": lambda s, d: _digested(s, d).deletes,
+    "inserts_by_digest": lambda s, d: _digested(s, d).inserts,
+    "relinks_by_digest": lambda s, d: _digested(s, d).relinks,
+    "check_rerun_by_digest": _rerun_counts(hard=True, digests=True),
     # A1-A5
     "register_closed": lambda s, d: _touched(_run(s, d).register.named),
     "building_closed_by_change": lambda s, d: _touched(_run(s, d).building_link.named, BY_CHANGE),
@@ -301,6 +319,9 @@ def oracle_sql() -> dict[str, str]:
         "updates_matched": w("SELECT * FROM changed"),
         "deletes_all": w("SELECT * FROM dels"),
         "inserts_all": w("SELECT * FROM ins"),
+        "deletes_by_digest": w("SELECT * FROM dels"),
+        "inserts_by_digest": w("SELECT * FROM ins"),
+        "relinks_by_digest": w("SELECT * FROM rel"),
         "deletes_multi_batch": w("SELECT * FROM dels", interim=f"""(SELECT * REPLACE (CASE WHEN scenario_no = 1
   THEN TIMESTAMP '{STALE_BATCH}' ELSE sys_create_date END AS sys_create_date) FROM fx_interim)"""),
         "changed_keys": w("SELECT * FROM chg"),
@@ -355,6 +376,7 @@ WHERE {O.is_open('b')}"""),
                                     f"AND sys_end_date < sys_create_date) AS violations FROM {_AFTER[t]}" for t in _NAMES)),
         "check_rerun_empty": w(rerun_counts, extra=rerun, hard=False),
         "check_rerun_dirty": w(rerun_counts, extra=rerun),
+        "check_rerun_by_digest": w(rerun_counts, extra=rerun),
     }
 
 

@@ -27,9 +27,10 @@ from chronoreg.operators.diff import (
     opening_rows,
     touched_keys,
 )
+from chronoreg.operators.digest import Digests, unequal_links, unequal_register, within
 from chronoreg.operators.report import changelog
 from chronoreg.operators.select import ScenarioSet, candidates, resolve
-from chronoreg.sources.tables import State
+from chronoreg.sources.tables import State, open_rows
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -37,9 +38,13 @@ Stage = Callable[[DataFrame, str], DataFrame]
 def staging_root(spark: SparkSession) -> str:
     """Where staged relations go: the session's checkpoint folder.
 
-    Only a session that names none (tests, single-machine use) takes its warehouse folder instead.
+    Only a local session that names none (tests) takes its warehouse folder instead.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir")
     return folder.rstrip("/")
 
 
@@ -92,19 +97,36 @@ class Run:
     """One run of a snapshot against the tables as they are; each part is computed (and staged) when first asked for."""
 
     def __init__(self, interim: DataFrame, before: State, params: RunParams, spec: Spec = DWELLINGS,
-                 stage: Stage | None = None, base_version: int | None = None) -> None:
+                 stage: Stage | None = None, base_version: int | None = None, digests: Digests | None = None) -> None:
         self.interim, self.before, self.params, self.spec = interim, before, params, spec
         self.stage = stage or ParquetStage(interim.sparkSession)
         self.base_version = base_version  # the store's version that ``before`` is
+        self.digests = digests  # of ``before``; with them only the keys of unequal leaves are joined
 
     @cached_property
     def selection(self) -> Selection:
         return select(self.interim, self.params, self.spec, self.stage)
 
+    @cached_property
+    def unequal_register(self) -> DataFrame:
+        """The leaves of the digest tree in which the snapshot and the register differ."""
+        sel = self.selection
+        return self.stage(unequal_register(sel.candidates, sel.scenarios, self.digests, self.spec), "unequal_register")
+
+    @cached_property
+    def unequal_links(self) -> DataFrame:
+        return self.stage(unequal_links(self.selection.candidates, self.digests, self.spec), "unequal_links")
+
+    def _within(self, leaves: DataFrame, *frames: DataFrame) -> list[DataFrame]:
+        return [within(df, leaves, self.digests, self.spec) for df in frames]
+
     @cached_property
     def classified(self) -> DataFrame:
         sel = self.selection
-        return self.stage(classify(self.before.register, sel.candidates, sel.scenarios, self.params, self.spec), "classified")
+        register, cands = self.before.register, sel.candidates
+        if self.digests:
+            register, cands = self._within(self.unequal_register, open_rows(register), cands)
+        return self.stage(classify(register, cands, sel.scenarios, self.params, self.spec), "classified")
 
     @cached_property
     def deletes(self) -> DataFrame:
@@ -116,8 +138,10 @@ class Run:
 
     @cached_property
     def relinks(self) -> DataFrame:
-        return self.stage(find_relinks(self.selection.candidates, self.before.building_link, self.before.part_link,
-                                       touched_keys(self.classified, self.spec), self.spec), "relinks")
+        cands, building, part = self.selection.candidates, self.before.building_link, self.before.part_link
+        if self.digests:
+            cands, building, part = self._within(self.unequal_links, cands, open_rows(building), open_rows(part))
+        return self.stage(find_relinks(cands, building, part, touched_keys(self.classified, self.spec), self.spec), "relinks")
 
     @cached_property
     def changes(self) -> Changes:
@@ -149,5 +173,5 @@ class Run:
 
 
 def run(interim: DataFrame, state: State, params: RunParams, spec: Spec = DWELLINGS,
-        stage: Stage | None = None, base_version: int | None = None) -> Run:
-    return Run(interim, state, params, spec, stage, base_version)
+        stage: Stage | None = None, base_version: int | None = None, digests: Digests | None = None) -> Run:
+    return Run(interim, state, params, spec, stage, base_version, digests)
