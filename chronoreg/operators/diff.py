@@ -166,7 +166,7 @@ _KIND = "_link_kind"
 
 
 def _relink_pairs(cands: DataFrame, building_link: DataFrame, part_link: DataFrame,
-                  changed: DataFrame, spec: Spec) -> DataFrame:
+                  changed: DataFrame, spec: Spec, colocated: bool = False) -> DataFrame:
     """D7 and D8 with one join: candidates against the union of both open link tables.
 
     Part side (D7): the open part link differs from the candidate's part (part ->
@@ -174,18 +174,23 @@ def _relink_pairs(cands: DataFrame, building_link: DataFrame, part_link: DataFra
     to find the link row to close.  Building side (D8): the candidate now has a part;
     the building id comes from the link row and the old part id is a fixed marker.
     Keys already changed by an insert, update or delete are left out (one anti join).
+
+    ``colocated`` joins each table for itself: a union has no buckets, the tables do.
     """
     keys = list(spec.keys)
-    links = (open_rows(part_link).select(
+    parts = open_rows(part_link).select(
         *keys, F.col(spec.sub_parent).alias(OLD_PART),
         F.lit(None).cast("long").alias("_link_parent"), F.lit("part").alias(_KIND))
-        .unionByName(open_rows(building_link).select(
-            *keys, F.lit(None).cast("string").alias(OLD_PART),
-            F.col(spec.parent).alias("_link_parent"), F.lit("building").alias(_KIND))))
+    buildings = open_rows(building_link).select(
+        *keys, F.lit(None).cast("string").alias(OLD_PART),
+        F.col(spec.parent).alias("_link_parent"), F.lit("building").alias(_KIND))
     part = F.col(spec.sub_parent)
     on_part = (F.col(_KIND) == "part") & (part.isNull() | (part != F.col(OLD_PART)))
     on_building = (F.col(_KIND) == "building") & part.isNotNull()
-    pairs = cands.join(links, keys, "inner").filter(on_part | on_building)
+    if colocated:
+        pairs = cands.join(parts, keys).filter(on_part).unionByName(cands.join(buildings, keys).filter(on_building))
+    else:
+        pairs = cands.join(parts.unionByName(buildings), keys, "inner").filter(on_part | on_building)
     return pairs.join(changed, keys, "left_anti").select(
         spec.entity,
         F.when(F.col(_KIND) == "part", F.col(OLD_PART)).otherwise(F.lit(BUILDING_RELINK_OLD_PART))
@@ -211,6 +216,6 @@ def find_building_relinks(cands: DataFrame, building_link: DataFrame, part_link:
 
 
 def find_relinks(cands: DataFrame, building_link: DataFrame, part_link: DataFrame,
-                 changed: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
+                 changed: DataFrame, spec: Spec = DWELLINGS, colocated: bool = False) -> DataFrame:
     """Bag union of D7 and D8."""
-    return _relink_pairs(cands, building_link, part_link, changed, spec).drop(_KIND)
+    return _relink_pairs(cands, building_link, part_link, changed, spec, colocated).drop(_KIND)

@@ -7,6 +7,7 @@ with the same column names as its DuckDB oracle in ``oracle_sql()``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -40,6 +41,7 @@ from chronoreg.operators.select import (
 )
 from chronoreg.plans import oracle as O
 from chronoreg.plans.run import ParquetStage, Run, Selection, run, select
+from chronoreg.sources.bucketed import read_bucketed, save_bucketed
 from chronoreg.sources.fixtures import FIXTURE_PARAMS, STALE_BATCH, Inputs, derived_inputs, older_batch, older_log
 from chronoreg.sources.tables import State, open_rows, read_interim, read_state
 
@@ -107,6 +109,14 @@ def _digested(spark: SparkSession, sf_dir: str) -> Run:
     return run(inp.interim, inp.state, P, SPEC, stage, digests=_stored_digests(inp.state, stage))
 
 
+def _colocated(spark: SparkSession, sf_dir: str) -> Run:
+    """A run on state tables that the catalog keeps bucketed on the business key."""
+    inp = _inputs(spark, sf_dir)
+    stage, prefix = ParquetStage(spark), f"chronoreg_{uuid.uuid4().hex}"
+    save_bucketed(inp.state, prefix, f"{stage.folder}/bucketed", SPEC)
+    return run(inp.interim, read_bucketed(spark, prefix, SPEC), P, SPEC, stage, colocated=True)
+
+
 def _stored_digests(state: State, stage: ParquetStage) -> digest.Digests:
     found = digest.digests(state, SPEC)
     return digest.Digests(stage(found.register, "register_digest"), stage(found.links, "link_digest"), found.tree)
@@ -187,6 +197,11 @@ QUERIES: dict[str, Query] = {
     "inserts_by_digest": lambda s, d: _digested(s, d).inserts,
     "relinks_by_digest": lambda s, d: _digested(s, d).relinks,
     "check_rerun_by_digest": _rerun_counts(hard=True, digests=True),
+    # S2-S4 bucketed, J1-J5 without a shuffle of the state
+    "deletes_colocated": lambda s, d: _colocated(s, d).deletes,
+    "inserts_colocated": lambda s, d: _colocated(s, d).inserts,
+    "relinks_colocated": lambda s, d: _colocated(s, d).relinks,
+    "building_after_colocated": lambda s, d: _colocated(s, d).building_link.after,
     # A1-A5
     "register_closed": lambda s, d: _touched(_run(s, d).register.named),
     "building_closed_by_change": lambda s, d: _touched(_run(s, d).building_link.named, BY_CHANGE),
@@ -319,9 +334,9 @@ def oracle_sql() -> dict[str, str]:
         "updates_matched": w("SELECT * FROM changed"),
         "deletes_all": w("SELECT * FROM dels"),
         "inserts_all": w("SELECT * FROM ins"),
-        "deletes_by_digest": w("SELECT * FROM dels"),
-        "inserts_by_digest": w("SELECT * FROM ins"),
-        "relinks_by_digest": w("SELECT * FROM rel"),
+        **{f"{q}_{how}": w(f"SELECT * FROM {rel}") for how in ("by_digest", "colocated")
+           for q, rel in (("deletes", "dels"), ("inserts", "ins"), ("relinks", "rel"))},
+        "building_after_colocated": w("SELECT * FROM bld_after"),
         "deletes_multi_batch": w("SELECT * FROM dels", interim=f"""(SELECT * REPLACE (CASE WHEN scenario_no = 1
   THEN TIMESTAMP '{STALE_BATCH}' ELSE sys_create_date END AS sys_create_date) FROM fx_interim)"""),
         "changed_keys": w("SELECT * FROM chg"),

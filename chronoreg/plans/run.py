@@ -97,11 +97,13 @@ class Run:
     """One run of a snapshot against the tables as they are; each part is computed (and staged) when first asked for."""
 
     def __init__(self, interim: DataFrame, before: State, params: RunParams, spec: Spec = DWELLINGS,
-                 stage: Stage | None = None, base_version: int | None = None, digests: Digests | None = None) -> None:
+                 stage: Stage | None = None, base_version: int | None = None, digests: Digests | None = None,
+                 colocated: bool = False) -> None:
         self.interim, self.before, self.params, self.spec = interim, before, params, spec
         self.stage = stage or ParquetStage(interim.sparkSession)
         self.base_version = base_version  # the store's version that ``before`` is
         self.digests = digests  # of ``before``; with them only the keys of unequal leaves are joined
+        self.colocated = colocated  # ``before`` is bucketed on the business key
 
     @cached_property
     def selection(self) -> Selection:
@@ -141,7 +143,7 @@ class Run:
         cands, building, part = self.selection.candidates, self.before.building_link, self.before.part_link
         if self.digests:
             cands, building, part = self._within(self.unequal_links, cands, open_rows(building), open_rows(part))
-        return self.stage(find_relinks(cands, building, part, touched_keys(self.classified, self.spec), self.spec), "relinks")
+        return self.stage(find_relinks(cands, building, part, touched_keys(self.classified, self.spec), self.spec, self.colocated), "relinks")
 
     @cached_property
     def changes(self) -> Changes:
@@ -173,5 +175,6 @@ class Run:
 
 
 def run(interim: DataFrame, state: State, params: RunParams, spec: Spec = DWELLINGS,
-        stage: Stage | None = None, base_version: int | None = None, digests: Digests | None = None) -> Run:
-    return Run(interim, state, params, spec, stage, base_version, digests)
+        stage: Stage | None = None, base_version: int | None = None, digests: Digests | None = None,
+        colocated: bool = False) -> Run:
+    return Run(interim, state, params, spec, stage, base_version, digests, colocated)
