@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 
 from chronoreg.functions import is_open
 from chronoreg.model import DWELLINGS, SYS_CREATE, SYS_END, Spec
+from chronoreg.operators.balance import MARKS
 from chronoreg.sources.tables import State, open_rows
 
 
+def all_violations(tallied: dict, spec: Spec = DWELLINGS) -> dict[str, int]:
+    """K1, K3 and K5 of a :func:`balance.tally` row."""
+    names = zip(MARKS, (spec.register_table, spec.parent_table, spec.sub_parent_table), strict=True)
+    return {"exclusive_links": tallied["exclusive_links"], "open_unique": tallied["open_unique"],
+            **{f"intervals:{name}": tallied[f"intervals_{mark}"] for mark, name in names}}
+
+
 def exclusive_links(state: State, spec: Spec = DWELLINGS) -> DataFrame:
     """K1: open building links whose key also has an open part link."""
     keys = list(spec.keys)

@@ -1,18 +1,19 @@
 """Counts, change log, inspection and purge.
 
 Every count is an aggregate over whole tables; a change-log row is never computed
-with one query per number.  Scalars that feed another step (the retired end date)
-stay one-row aggregates, joined by broadcast - their size is one row by construction.
+with one query per number.  What a run stages is counted while it is written (observed
+metrics), so the changes of a run are known without another job.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronoreg.functions import hours_before, is_open, ts
+from chronoreg.functions import hours_before, second_before, ts
 from chronoreg.model import (
     CHANGE,
     CHANGELOG_TABLE,
@@ -35,10 +36,12 @@ from chronoreg.model import (
     TEST_BUILDING_IDS_ABOVE,
     TEST_PART_PREFIX,
     TEST_SCENARIOS,
+    TS_FORMAT,
     RunParams,
     Spec,
 )
-from chronoreg.operators.apply import WAS_END
+from chronoreg.operators.apply import Applied
+from chronoreg.operators.balance import MARKS, by_sys_end, totals
 from chronoreg.operators.diff import Changes
 from chronoreg.sources.tables import State
 
@@ -76,109 +79,108 @@ def count_maintenance(deletes: DataFrame, bucket: tuple[str, str] | None = None)
             .orderBy(CHANGE, EFF_END))
 
 
-def count_by_sys_end(before: State, after: State, spec: Spec = DWELLINGS) -> DataFrame:
-    """Rows per system end date in its order, for each table, before and after the run."""
-    parts = []
-    for stage, state in (("before", before), ("after", after)):
-        for name, df in (_named(state, spec)):
-            parts.append(df.groupBy(SYS_END).agg(F.count(F.lit(1)).alias("n"))
-                         .select(F.lit(name).alias("table_name"), F.lit(stage).alias("stage"),
-                                 SYS_END, "n"))
+def count_by_sys_end(before: State, applied: Applied, spec: Spec = DWELLINGS) -> DataFrame:
+    """Rows per system end date in its order, for each table, before and after the run; one scan of each table."""
+    parts = [by_sys_end(df, getattr(applied, mark)).select(F.lit(name).alias("table_name"), "stage", SYS_END, "n")
+             for (mark, df), name in zip(before.tables().items(), table_names(spec), strict=True)]
     return reduce(DataFrame.unionByName, parts).orderBy("table_name", "stage", SYS_END)
 
 
-def _named(state: State, spec: Spec) -> list[tuple[str, DataFrame]]:
-    return [(spec.register_table, state.register), (spec.parent_table, state.building_link),
-            (spec.sub_parent_table, state.part_link)]
+def table_names(spec: Spec = DWELLINGS) -> tuple[str, str, str]:
+    """The tables' names as the change log writes them, in the order of a state."""
+    return spec.register_table, spec.parent_table, spec.sub_parent_table
 
 
-# --- L1-L4 ---------------------------------------------------------------------------
-
-_METRICS = ("added", "modified", "retired", "total")
+def count_groupings(changes: Changes, bucket: tuple[str, str]) -> DataFrame:
+    """G2-G5 and F12 as grouping sets of one pass over the staged rows.
 
+    (side, grouping, change, effective_end_date, changed_start_date, n): closing rows by change, by change and
+    effective end, and by both and the start bucket; opening rows by change.
+    """
+    rows = changes.deletes.select(F.lit("closing").alias("side"), CHANGE, EFF_END, start_bucket(*bucket)).unionByName(
+        changes.inserts.select(F.lit("opening").alias("side"), CHANGE, F.lit(None).cast("timestamp_ntz").alias(EFF_END),
+                               F.lit(None).cast("timestamp_ntz").alias("changed_start_date")))
+    side, change, end, start = (F.col(c) for c in ("side", CHANGE, EFF_END, "changed_start_date"))
+    sets = rows.groupingSets([[side, change], [side, change, end], [side, change, end, start]], side, change, end, start)
+    level = F.grouping(end) + F.grouping(start)
+    name = F.when(level == 2, "change").when(level == 1, "effective_end").otherwise("start_bucket")
+    counted = sets.agg(F.count(F.lit(1)).alias("n"), name.alias("grouping"))
+    return counted.filter((F.col("side") == "closing") | (F.col("grouping") == "change")).select(
+        "side", "grouping", CHANGE, EFF_END, "changed_start_date", "n")
 
-def retired_end(deletes: DataFrame) -> DataFrame:
-    """The one system end date the link tables count as retired (decision X4).
 
-    The original takes the first staged closing row, in no order.  Here: the run's
-    clock when any DELETE exists, else the greatest UPDATE end; NULL when empty.
-    Always exactly one row.
-    """
-    kind = F.col(CHANGE)
-    return deletes.agg(F.coalesce(
-        F.max(F.when(kind == CHANGE_DELETE, F.col(SYS_END))),
-        F.max(F.when(kind == CHANGE_UPDATE, F.col(SYS_END)))).alias("_retired_end"))
+# --- L1-L4 ---------------------------------------------------------------------------
 
+def change_metrics(spec: Spec = DWELLINGS) -> dict[str, Column]:
+    """What the classification is observed by while it is written: changes by kind and link, the latest UPDATE end."""
+    kind, no_part = F.col(CHANGE), F.col(spec.sub_parent).isNull()
+    found: dict[str, Column] = {}
+    for name, change in (("inserts", CHANGE_INSERT), ("updates", CHANGE_UPDATE), ("deletes", CHANGE_DELETE)):
+        found[name] = F.count(F.when(kind == change, 1))
+        found[f"{name}_no_part"] = F.count(F.when((kind == change) & no_part, 1))
+    return found | {"latest_update_end": F.max(F.when(kind == CHANGE_UPDATE, second_before(SYS_CREATE)))}
 
-def _contribution(df: DataFrame, **values: str) -> DataFrame:
-    """One source's share of the twelve change-log numbers, as SQL expressions.
 
-    ``selectExpr`` hands the whole projection to the JVM in one call; building the
-    same Columns one by one costs hundreds of gateway round trips per run.
-    """
-    exprs = [f"CAST({values.get(f'{t}_{m}', '0')} AS BIGINT) AS {t}_{m}"
-             for t in ("r", "b", "p") for m in _METRICS]
-    return df.selectExpr(*exprs)
+def relink_metrics(spec: Spec = DWELLINGS) -> dict[str, Column]:
+    return {"relinks": F.count(F.lit(1)), "relinks_no_part": F.count(F.when(F.col(spec.sub_parent).isNull(), 1))}
 
 
-def _at_retired(parts: list[tuple[DataFrame, str, int]], end: DataFrame, metric: str) -> DataFrame:
-    """Counts rows by whether a date equals the retired one; each part adds (1) or takes away (-1)."""
-    dates = reduce(DataFrame.unionByName, [
-        df.select(F.col(column).alias("_date"), F.lit(sign).alias("_sign")) for df, column, sign in parts])
-    hits = dates.join(F.broadcast(end), F.col("_date") == F.col("_retired_end"), "left_semi")  # end is one row
-    return _contribution(hits, **{metric: "_sign"})
+def retired_end(counted: dict, params: RunParams) -> str | None:
+    """The one system end date the link tables count as retired (decision X4), from the observed changes.
 
+    The original takes the first staged closing row, in no order.  Here: the run's clock when any DELETE exists, else
+    the greatest UPDATE end; None when nothing closes.
+    """
+    if counted["deletes"]:
+        return params.run_ts
+    latest = counted["latest_update_end"]
+    return latest.strftime(TS_FORMAT + ".%f") if latest else None
 
-def changelog(state: State, changes: Changes, applied, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
-    """L1-L3: one change-log row per table, from one global aggregate.
 
-    register: added = INSERT, modified = UPDATE, retired = DELETE, total = open rows after.
-    link tables: added / modified split by whether the row has a part, modified also
-    counts the relinks, retired = rows of the table (any age) whose system end equals
-    the retired end date, total = open rows after.
+def log_rows(counted: dict, after: dict[str, tuple], params: RunParams, spec: Spec = DWELLINGS) -> list[tuple]:
+    """L1-L3: the change-log rows by the observed changes and, for each table, its (total, retired).
 
-    The tables are scanned as they were before the run; what the run changed is added and
-    taken away from the named rows (``Applied``) and the openings, so no closing is joined again.
+    register: added = INSERT, modified = UPDATE, retired = DELETE, total = open rows after.  Link tables: added and
+    modified split by whether the row has a part, modified also counts the relinks, retired = rows of the table (any
+    age) whose system end is the retired one.
     """
-    ins, dels, rel = changes.inserts, changes.deletes, changes.relinks
-    part = f"`{spec.sub_parent}` IS NULL"
-    is_ins, is_upd = f"`{CHANGE}` = '{CHANGE_INSERT}'", f"`{CHANGE}` = '{CHANGE_UPDATE}'"
-    end = retired_end(dels)
-    pieces = [
-        _contribution(ins, r_added=f"IF({is_ins}, 1, 0)", r_modified=f"IF({is_upd}, 1, 0)",
-                      b_added=f"IF({is_ins} AND {part}, 1, 0)", b_modified=f"IF({is_upd} AND {part}, 1, 0)",
-                      p_added=f"IF({is_ins} AND NOT {part}, 1, 0)",
-                      p_modified=f"IF({is_upd} AND NOT {part}, 1, 0)"),
-        _contribution(dels, r_retired=f"IF(`{CHANGE}` = '{CHANGE_DELETE}', 1, 0)"),
-        _contribution(rel, b_modified=f"IF({part}, 1, 0)", p_modified=f"IF(NOT {part}, 1, 0)"),
-    ]
-    for mark, before, update in (("r", state.register, applied.register), ("b", state.building_link, applied.building_link),
-                                 ("p", state.part_link, applied.part_link)):
-        total = f"{mark}_total"
-        pieces += [
-            _contribution(before.filter(is_open(SYS_END)).select(SYS_END), **{total: "1"}),
-            _contribution(update.named.filter(is_open(WAS_END)).select(WAS_END), **{total: "-1"}),
-            _contribution(update.named.filter(is_open(SYS_END)).select(SYS_END), **{total: "1"}),
-            _contribution(update.inserted.filter(is_open(SYS_END)).select(SYS_END), **{total: "1"}),
-        ]
-        if mark != "r":
-            pieces.append(_at_retired([(before, SYS_END, 1), (update.named, WAS_END, -1), (update.named, SYS_END, 1),
-                                       (update.inserted, SYS_END, 1)], end, f"{mark}_retired"))
-    allc = reduce(DataFrame.union, pieces)  # same columns, same order
-    sums = allc.selectExpr(*[f"coalesce(sum({c}), 0) AS {c}" for c in allc.columns])
-    tables = (("r", spec.register_table), ("b", spec.parent_table), ("p", spec.sub_parent_table))
-    structs = ", ".join(
-        f"named_struct('table_name', '{name}', " + ", ".join(f"'{m}', {t}_{m}" for m in _METRICS) + ")"
-        for t, name in tables)
-    values = dict(zip(LOG_COLUMNS, (_sql_ts(params.change_ts), "x.table_name", f"'{spec.process}'", "x.added",
-                                    "x.modified", "x.retired", "x.total"), strict=False))
-    out = [f"CAST({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`"
-           for f in CHANGELOG_SCHEMA.fields]
-    return sums.selectExpr(f"explode(array({structs})) AS x").selectExpr(*out)
-
-
-def _sql_ts(value: str) -> str:
-    return f"TIMESTAMP_NTZ '{value}'"
+    c = counted
+    split = {"register": (c["inserts"], c["updates"]),
+             "building_link": (c["inserts_no_part"], c["updates_no_part"] + c["relinks_no_part"])}
+    split["part_link"] = (c["inserts"] - c["inserts_no_part"], c["updates"] - c["updates_no_part"] + c["relinks"] - c["relinks_no_part"])
+    when = datetime.strptime(params.change_ts, TS_FORMAT)
+    out = []
+    for mark, name in zip(split, table_names(spec), strict=True):
+        if mark in after:
+            total, retired = after[mark]
+            values = dict(zip(LOG_COLUMNS, (when, name, spec.process, *split[mark], c["deletes"] if mark == "register" else retired, total), strict=False))
+            out.append(tuple(values.get(column) for column in LOG_COLUMNS))
+    return out
+
+
+def changelog(before: State, applied: Applied, counted: dict, params: RunParams, spec: Spec = DWELLINGS,
+              tables: tuple[str, ...] = MARKS) -> DataFrame:
+    """L1-L3 as a frame: one conditional aggregate over each asked table."""
+    end, parts = retired_end(counted, params), []
+    blank = {mark: (None, None) for mark in MARKS}
+    for row, mark in zip(log_rows(counted, blank, params, spec), MARKS, strict=True):
+        if mark not in tables:
+            continue
+        known = dict(zip(LOG_COLUMNS, row, strict=True))
+        sums = totals(getattr(before, mark), getattr(applied, mark), end)
+        counts = {"total_records_after": F.col("total")} | ({} if mark == "register" else {"records_retired": F.col("retired")})
+        parts.append(sums.select(*[counts.get(f.name, ts(known[f.name]) if f.name == "change_date" else F.lit(known[f.name]))
+                                   .cast(f.dataType).alias(f.name) for f in CHANGELOG_SCHEMA.fields]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def preview_rows(counted: dict) -> list[dict]:
+    """G1-G4 from the observed changes, as :func:`preview_counts` orders them; what there is none of has no row."""
+    kinds = {CHANGE_DELETE: counted["deletes"], CHANGE_INSERT: counted["inserts"], CHANGE_UPDATE: counted["updates"]}
+    rows = [(COUNT_RELINKS, None, counted["relinks"]), (COUNT_CANDIDATES, None, counted["candidates"])]
+    rows += [(COUNT_DELETES, k, kinds[k]) for k in (CHANGE_DELETE, CHANGE_UPDATE)]
+    rows += [(COUNT_INSERTS, k, kinds[k]) for k in (CHANGE_INSERT, CHANGE_UPDATE)]
+    return [dict(zip(("count_name", CHANGE, "n"), r, strict=True)) for r in sorted(rows, key=lambda r: (r[0], r[1] or "")) if r[2]]
 
 
 def preview_counts(changes: Changes) -> DataFrame:

@@ -113,12 +113,15 @@ fx_register AS (
 fx_building AS (
   SELECT * FROM ez_building
   UNION ALL SELECT k, c, es, {HI}, TIMESTAMP '{fx.REGISTER_BATCH}', NULL, 'N' FROM {_hard(2, 1)}
-  UNION ALL SELECT k, c + 2, {_T} FROM {_hard(19, 3)}),
+  UNION ALL SELECT k, c + 2, {_T} FROM {_hard(19, 3)}
+  UNION ALL SELECT k, c + 3, es, {HI}, TIMESTAMP '{fx.REGISTER_BATCH}', TIMESTAMP '{fx.BEFORE_CREATION}', 'N' FROM {_hard(13, 1)}),
 fx_part AS (
   SELECT * FROM ez_part
   UNION ALL SELECT k, '{TEST_PART_PREFIX}' || k, {_T} FROM {_hard(19, 3)}
   UNION ALL SELECT k, '{TEST_PART_PREFIX}' || k, {_T} FROM {_hard(16, 4)}
-  UNION ALL SELECT k, '{TEST_PART_PREFIX}' || k, {_T} FROM {_hard(17, 5)})"""
+  UNION ALL SELECT k, '{TEST_PART_PREFIX}' || k, {_T} FROM {_hard(17, 5)}
+  UNION ALL SELECT k, '{TEST_PART_PREFIX}' || k, es, {HI}, TIMESTAMP '{fx.REGISTER_BATCH}', TIMESTAMP '{fx.BEFORE_CREATION}', 'N'
+    FROM {_hard(14, 2)})"""
 
 
 def fixture(hard: bool = True) -> list[str]:

@@ -18,7 +18,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,7 @@ from chronoreg.model import (
     sub_parent_link_schema,
 )
 from chronoreg.operators import checks, report
+from chronoreg.operators.balance import tally
 from chronoreg.plans.run import ParquetStage, Run, run
 from chronoreg.sources.tables import State
 
@@ -174,23 +175,32 @@ class RegisterStore:
         applied = result.applied
         if any(getattr(applied, n).kept is None for n in TABLES):
             raise ValueError("the store keeps closed history as it is; runs with close_history=True can't be published")
-        counts = [r.asDict() for r in report.preview_counts(result.changes).collect()]
+        counts = report.preview_rows(result.counted)
         if mode == "dry_run":
-            log = [r.asDict() for r in result.changelog.collect()]
-            return PublishReport(mode, version, log, self._violations(result.state), counts)
+            after = {n: (result.tally[f"open_{n}"], result.tally[f"retired_{n}"]) for n in TABLES}
+            return PublishReport(mode, version, self._log(result, after), checks.all_violations(result.tally, self.spec), counts)
         if result.base_version != current:
             raise PublishError(f"the run was built on version {result.base_version}, the store is at {current}")
         self._create()
         base = self._record()["base"] or 1
         attempt = uuid.uuid4().hex
+        after = {}
         for name in TABLES:
-            self._write_table(getattr(applied, name).rewritten, name, version, attempt)
-        log_path = f"{self.root}/changelog/{VERSION}={version}/{ATTEMPT}={attempt}"
-        result.changelog.write.mode("errorifexists").parquet(log_path)
-        violations = self._violations(State(*[self._written(n, version, attempt, base) for n in TABLES]))
+            update, counting = getattr(applied, name), Observation()
+            retired = F.col(SYS_END) == ts(result.retired_end)
+            rows = update.rewritten.observe(counting, F.count(F.when(is_open(SYS_END), 1)).alias("total"),
+                                            F.count(F.when(retired, 1)).alias("retired"))
+            self._write_table(rows, name, version, attempt)
+            # The log counts rows of any age: of the closed ones, which are not written again, those of one date.
+            older = 0 if name == "register" or result.retired_end is None else update.kept.filter(retired).count()
+            after[name] = (counting.get["total"], counting.get["retired"] + older)
+        log = self._log(result, after)
+        (self.spark.createDataFrame([tuple(r.values()) for r in log], CHANGELOG_SCHEMA).coalesce(1).write.mode("errorifexists")
+         .parquet(f"{self.root}/changelog/{VERSION}={version}/{ATTEMPT}={attempt}"))
+        written = State(*[self._written(n, version, attempt, base) for n in TABLES])
+        violations = checks.all_violations(tally(written, None, None, self.spec).first().asDict(), self.spec)
         if strict and any(violations.values()):
             raise PublishError(f"version {version} not committed: {violations}")
-        log = [r.asDict() for r in self.spark.read.parquet(log_path).collect()]
         self._write_commit(version, attempt, base, result.params.run_ts, result.params.change_ts)
         return PublishReport(mode, version, log, violations, counts)
 
@@ -215,12 +225,8 @@ class RegisterStore:
             self._write_commit(version, attempt, version, now, now)
         return counts
 
-    def _violations(self, state: State) -> dict[str, int]:
-        out = {"exclusive_links": checks.exclusive_links(state, self.spec).first()["violations"],
-               "open_unique": checks.open_unique(state.register, self.spec).first()["violations"]}
-        for row in checks.intervals(state, self.spec).collect():
-            out[f"intervals:{row['table_name']}"] = row["violations"]
-        return out
+    def _log(self, result: Run, after: dict[str, tuple]) -> list[dict]:
+        return [dict(zip(CHANGELOG_SCHEMA.fieldNames(), r, strict=True)) for r in report.log_rows(result.counted, after, result.params, self.spec)]
 
 
 def run_and_publish(spark: SparkSession, interim: DataFrame, store: RegisterStore, params: RunParams,

@@ -33,6 +33,7 @@ from chronoreg.model import (
 )
 from chronoreg.operators import checks, diff, digest, report
 from chronoreg.operators.apply import BY, BY_CHANGE, BY_RELINK, TOUCHED, WAS_END
+from chronoreg.operators.balance import VIOLATIONS, tally
 from chronoreg.operators.select import (
     auto_scenarios,
     candidates_ambiguous,
@@ -123,7 +124,19 @@ def _stored_digests(state: State, stage: ParquetStage) -> digest.Digests:
 
 
 def _log_table(name: str) -> Query:
-    return lambda s, d: _run(s, d).changelog.filter(F.col("table_name") == name)
+    return lambda s, d: _run(s, d).log_of(name)
+
+
+def _preview_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1-G4 as counted while the change set was written."""
+    rows = report.preview_rows(_run(spark, sf_dir).counted)
+    return spark.createDataFrame([tuple(r.values()) for r in rows], f"count_name string, {CHANGE} string, n long")
+
+
+def _tallied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1, K3 and K5 in one row, from one aggregate by key."""
+    res = _run(spark, sf_dir)
+    return tally(res.before, res.applied, None, SPEC).select(*VIOLATIONS)
 
 
 def _log_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +156,7 @@ def _purge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _by_sys_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = _run(spark, sf_dir)
-    return report.count_by_sys_end(res.before, res.state, SPEC)
+    return report.count_by_sys_end(res.before, res.applied, SPEC)
 
 
 def _multi_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,9 +235,10 @@ QUERIES: dict[str, Query] = {
         _run(s, d).deletes, START_BUCKET),
     "count_by_sys_end": _by_sys_end,
     # L1-L4
-    "changelog_register": _log_table(SPEC.register_table),
-    "changelog_building": _log_table(SPEC.parent_table),
-    "changelog_part": _log_table(SPEC.sub_parent_table),
+    "changelog_register": _log_table("register"),
+    "changelog_building": _log_table("building_link"),
+    "changelog_part": _log_table("part_link"),
+    "changelog_all": lambda s, d: _run(s, d).changelog,
     "changelog_recent": _log_recent,
     # O1, O5
     "inspect_register": lambda s, d: report.inspect(
@@ -242,11 +256,14 @@ QUERIES: dict[str, Query] = {
     "register_after_reinsert": lambda s, d: _run(s, d, REINSERT).register.after,
     "register_after_close_history": lambda s, d: _run(s, d, CLOSE_HISTORY).register.after,
     "count_preview": lambda s, d: report.preview_counts(_run(s, d).changes),
+    "count_preview_observed": _preview_observed,
+    "count_groupings": lambda s, d: report.count_groupings(_run(s, d).changes, START_BUCKET),
     # K1-K5
     "check_exclusive_links": lambda s, d: checks.exclusive_links(_run(s, d).state, SPEC),
     "check_open_unique": lambda s, d: checks.open_unique(_run(s, d).register.after, SPEC),
     "check_candidate_unique": lambda s, d: checks.candidate_unique(_sel(s, d)[1].candidates, SPEC),
     "check_intervals": lambda s, d: checks.intervals(_run(s, d).state, SPEC),
+    "check_tally": _tallied,
     "check_rerun_empty": _rerun_counts(hard=False),
     "check_rerun_dirty": _rerun_counts(hard=True),
 }
@@ -308,6 +325,23 @@ def _preview_sql() -> str:
                    *(f"SELECT '{n}', CAST(NULL AS VARCHAR), count(*) FROM {r} HAVING count(*) > 0" for n, r in totals)])
 
 
+def _groupings_sql() -> str:
+    bucket = (f"if(effective_start_date > TIMESTAMP '{START_BUCKET[0]}', effective_start_date, TIMESTAMP '{START_BUCKET[1]}')")
+    none = "CAST(NULL AS TIMESTAMP)"
+    kinds = [("closing", "change", "dels", none, none), ("closing", "effective_end", "dels", "effective_end_date", none),
+             ("closing", "start_bucket", "dels", "effective_end_date", bucket), ("opening", "change", "ins", none, none)]
+    return _union(f'SELECT \'{side}\' AS side, \'{name}\' AS "grouping", change, {end} AS effective_end_date, '
+                  f"{start} AS changed_start_date, count(*) AS n FROM {rel} GROUP BY ALL" for side, name, rel, end, start in kinds)
+
+
+def _tally_sql() -> str:
+    exclusive = f"""(SELECT count(*) FROM bld_after b
+  WHERE {O.is_open('b')} AND EXISTS (SELECT 1 FROM prt_after p WHERE {O.is_open('p')} AND p.dwelling_id = b.dwelling_id
+    AND p.effective_start_date = b.effective_start_date)) AS exclusive_links"""
+    bad = ", ".join(f"(SELECT count(*) FROM {_AFTER[t]} WHERE NOT {_OPEN} AND sys_end_date < sys_create_date) AS intervals_{t}" for t in _NAMES)
+    return f"SELECT {exclusive}, violations AS open_unique, max_rows_per_key AS max_open_per_key, {bad} FROM ({_unique_sql('reg_after', _OPEN)})"
+
+
 def oracle_sql() -> dict[str, str]:
     w = O.with_chain
     since = hours_before(P.change_ts)
@@ -372,6 +406,10 @@ SELECT change, effective_end_date, if(effective_start_date > TIMESTAMP '{START_B
         "count_by_sys_end": w(_counts_by_sys_end()),
         **{f"changelog_{q}": w(f"SELECT * FROM log WHERE table_name = '{t}'") for q, t in
            (("register", SPEC.register_table), ("building", SPEC.parent_table), ("part", SPEC.sub_parent_table))},
+        "changelog_all": w("SELECT * FROM log"),
+        "count_preview_observed": w(_preview_sql()),
+        "count_groupings": w(_groupings_sql()),
+        "check_tally": w(_tally_sql()),
         "changelog_recent": w("SELECT * FROM (SELECT * FROM log UNION ALL BY NAME SELECT * FROM fx_log) "
                               f"WHERE change_date > TIMESTAMP '{since}'"),
         "inspect_register": w(_inspect_sql("register")),

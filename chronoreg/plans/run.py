@@ -15,7 +15,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from chronoreg.model import DWELLINGS, RunParams, Spec
 from chronoreg.operators.apply import Applied, TableUpdate, update_links, update_register
@@ -28,11 +29,12 @@ from chronoreg.operators.diff import (
     touched_keys,
 )
 from chronoreg.operators.digest import Digests, unequal_links, unequal_register, within
-from chronoreg.operators.report import changelog
+from chronoreg.operators.balance import MARKS, tally
+from chronoreg.operators.report import change_metrics, changelog, relink_metrics, retired_end
 from chronoreg.operators.select import ScenarioSet, candidates, resolve
 from chronoreg.sources.tables import State, open_rows
 
-Stage = Callable[[DataFrame, str], DataFrame]
+Stage = Callable[..., DataFrame]  # of a frame, its name and what to observe of it
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -59,6 +61,7 @@ class ParquetStage:
     def __init__(self, spark: SparkSession, root: str | None = None) -> None:
         self.spark = spark
         self.folder = f"{root or staging_root(spark)}/run-{uuid.uuid4().hex}"
+        self.observed: dict[str, dict] = {}  # metrics by the staged relation's name
         self._files().deleteOnExit(self._path())
 
     def _path(self):
@@ -67,9 +70,15 @@ class ParquetStage:
     def _files(self):
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+    def __call__(self, df: DataFrame, name: str, metrics: dict[str, Column] | None = None) -> DataFrame:
+        """``metrics`` are counted by the tasks that write: each finished task counts once, also where others are lost."""
         path = f"{self.folder}/{name}"
+        counting = Observation() if metrics else None
+        if counting:
+            df = df.observe(counting, *[c.alias(n) for n, c in metrics.items()])
         df.write.mode("errorifexists").parquet(path)
+        if counting:
+            self.observed[name] = counting.get
         return self.spark.read.parquet(path)
 
     def drop(self) -> bool:
@@ -90,7 +99,7 @@ def select(interim: DataFrame, params: RunParams, spec: Spec = DWELLINGS,
            stage: Stage | None = None) -> Selection:
     stage = stage or ParquetStage(interim.sparkSession)
     scen = resolve(interim, params, spec, stage)
-    return Selection(scen, stage(candidates(interim, scen, params, spec), "candidates"))
+    return Selection(scen, stage(candidates(interim, scen, params, spec), "candidates", {"candidates": F.count(F.lit(1))}))
 
 
 class Run:
@@ -128,7 +137,7 @@ class Run:
         register, cands = self.before.register, sel.candidates
         if self.digests:
             register, cands = self._within(self.unequal_register, open_rows(register), cands)
-        return self.stage(classify(register, cands, sel.scenarios, self.params, self.spec), "classified")
+        return self.stage(classify(register, cands, sel.scenarios, self.params, self.spec), "classified", change_metrics(self.spec))
 
     @cached_property
     def deletes(self) -> DataFrame:
@@ -143,7 +152,8 @@ class Run:
         cands, building, part = self.selection.candidates, self.before.building_link, self.before.part_link
         if self.digests:
             cands, building, part = self._within(self.unequal_links, cands, open_rows(building), open_rows(part))
-        return self.stage(find_relinks(cands, building, part, touched_keys(self.classified, self.spec), self.spec, self.colocated), "relinks")
+        return self.stage(find_relinks(cands, building, part, touched_keys(self.classified, self.spec), self.spec, self.colocated), "relinks",
+                          relink_metrics(self.spec))
 
     @cached_property
     def changes(self) -> Changes:
@@ -166,8 +176,27 @@ class Run:
         return Applied(self.register, self.building_link, self.part_link)
 
     @cached_property
+    def counted(self) -> dict:
+        """What was observed while the candidates, the classification and the relinks were written."""
+        _ = self.selection, self.classified, self.relinks
+        return {k: v for name in ("candidates", "classified", "relinks") for k, v in self.stage.observed[name].items()}
+
+    @cached_property
+    def retired_end(self) -> str | None:
+        return retired_end(self.counted, self.params)
+
+    @property
     def changelog(self) -> DataFrame:
-        return changelog(self.before, self.changes, self.applied, self.params, self.spec)
+        return self.log_of(*MARKS)
+
+    def log_of(self, *tables: str) -> DataFrame:
+        """The change log of some tables; the others are not read."""
+        return changelog(self.before, self.applied, self.counted, self.params, self.spec, tables)
+
+    @cached_property
+    def tally(self) -> dict:
+        """Change-log totals and integrity checks of all tables after the run, in one pass over the tables before it."""
+        return tally(self.before, self.applied, self.retired_end, self.spec).first().asDict()
 
     @property
     def state(self) -> State:

@@ -96,7 +96,8 @@ def _hard_cases(base: DataFrame, spec: Spec) -> Inputs:
     m = 1, g = 6: a closed register row that ends before it was created.  m = 2, g = 1: a second building link, open
     by NULL, that equals what the update would write.  m = 19, g = 3: a second building link and, with a test id, an
     open part link beside it.  m = 16, g = 4: both kinds of link open where no candidate and no listed scenario is
-    (the register row's scenario is unlisted there).  m = 17, g = 5: a second part link with a test id.
+    (the register row's scenario is unlisted there).  m = 17, g = 5: a second part link with a test id.  m = 13, g = 1
+    and m = 14, g = 2: a closed building and a closed part link that end before they were created.
     """
     k, m, c = F.col("k"), F.col("m"), F.col("c")
     g = F.floor(k / 20) % 8
@@ -112,10 +113,12 @@ def _hard_cases(base: DataFrame, spec: Spec) -> Inputs:
     register = register.unionByName(at(1, 6).select(
         k.alias(spec.entity), (k % 5).cast("int").alias(spec.scenario), *temporal(ts(BEFORE_CREATION))))
     building = at(2, 1).select(k.alias(spec.entity), c.alias(spec.parent), *temporal(ts(None))).unionByName(
-        at(19, 3).select(k.alias(spec.entity), (c + 2).alias(spec.parent), *temporal(high_date())))
+        at(19, 3).select(k.alias(spec.entity), (c + 2).alias(spec.parent), *temporal(high_date()))).unionByName(
+        at(13, 1).select(k.alias(spec.entity), (c + 3).alias(spec.parent), *temporal(ts(BEFORE_CREATION))))
     part = reduce(DataFrame.unionByName, [
         at(case, of).select(k.alias(spec.entity), test_part.alias(spec.sub_parent), *temporal(high_date()))
         for case, of in ((19, 3), (16, 4), (17, 5))])
+    part = part.unionByName(at(14, 2).select(k.alias(spec.entity), test_part.alias(spec.sub_parent), *temporal(ts(BEFORE_CREATION))))
     return Inputs(interim=interim, state=State(register, building, part))
 
 
