@@ -40,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--change-ts", default=None, help="clock for the change log; default: run clock")
     p.add_argument("--mode", choices=("dry_run", "commit"), default="dry_run")
     p.add_argument("--reinsert-join", action="store_true", help="multiply new rows by the open rows of their key, as the original does")
+    p.add_argument("--strict-staging", action="store_true", help="fail on an UPDATE that the original's staging columns can't hold")
     p.add_argument("--strict", action="store_true", help="refuse to commit a state that breaks a rule")
     return p
 
@@ -54,6 +55,7 @@ def params_from(args: argparse.Namespace) -> RunParams:
         batch_filter=not args.no_batch_filter,
         change_ts=args.change_ts,
         reinsert_join=args.reinsert_join,
+        strict_staging=args.strict_staging,
     )
 
 

@@ -24,6 +24,7 @@ DELETE_BUILDING_ID = 999988880  # staged building id of a DELETE
 DELETE_PART_ID = "fake9999999999999test"  # staged part id of a DELETE
 BUILDING_RELINK_OLD_PART = "fake9999999999999test"  # old part id of a building-side relink
 UPDATE_PART_DEFAULT = "delete101me"  # staged part id of an UPDATE that has none
+STAGED_PART_LENGTH = 21  # characters of a staged part id: those of the literal that made the column
 PROCESS_NAME = "Dwelling Transfer Step"
 REGISTER_TABLE = "Dwelling_Register_Skinny"
 BUILDING_LINK_TABLE = "Dwelling_Building_Reference"
@@ -72,6 +73,8 @@ class Spec:
     parent_table: str = BUILDING_LINK_TABLE
     sub_parent_table: str = PART_LINK_TABLE
     process: str = PROCESS_NAME
+    #: How part ids compare: None is byte by byte, "UTF8_LCASE" takes no account of case (any collation of Spark's).
+    collation: str | None = None
 
     @property
     def keys(self) -> tuple[str, str]:
@@ -183,6 +186,7 @@ class RunParams:
     ambiguous_scenarios: tuple[int, ...] = (AMBIGUOUS_SCENARIO,)
     close_history: bool = False  # also rewrite closed register rows sharing an identity
     reinsert_join: bool = False  # multiply new rows by the open rows they meet (see apply)
+    strict_staging: bool = False  # fail on values that the original's staging columns can't hold
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "run_ts", round_to_second(self.run_ts))

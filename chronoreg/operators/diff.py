@@ -29,6 +29,7 @@ from chronoreg.model import (
     FLAG_DELETED,
     FLAG_LIVE,
     OLD_PART,
+    STAGED_PART_LENGTH,
     SYS_CREATE,
     SYS_END,
     UPDATE_PART_DEFAULT,
@@ -109,6 +110,8 @@ def classify(register: DataFrame, cands: DataFrame, scenarios: ScenarioSet,
 def closing_rows(classified: DataFrame, params: RunParams, spec: Spec = DWELLINGS) -> DataFrame:
     """D1 + D4 from classified pairs: the staged closing side."""
     is_delete = F.col(CHANGE) == CHANGE_DELETE
+    if params.strict_staging:
+        classified = _as_staged(classified, spec)
     return classified.filter(F.col(CHANGE).isin(CHANGE_DELETE, CHANGE_UPDATE)).select(
         F.col(REG_PREFIX + spec.entity).alias(spec.entity),
         F.when(is_delete, F.lit(DELETE_BUILDING_ID).cast("long")).otherwise(F.col(spec.parent))
@@ -124,6 +127,20 @@ def closing_rows(classified: DataFrame, params: RunParams, spec: Spec = DWELLING
         CHANGE)
 
 
+def _as_staged(classified: DataFrame, spec: Spec) -> DataFrame:
+    """The closing side's columns as the original stages them: made from the literals of a DELETE, they hold no NULL
+    building id and no part id longer than the literal's.  The guards are part of the columns, so no reader of the
+    staged rows gets past them, and the first such UPDATE ends the run before anything is published.
+    """
+    update, parent, part = F.col(CHANGE) == CHANGE_UPDATE, F.col(spec.parent), F.col(spec.sub_parent)
+    key = F.concat(F.lit(f" of {spec.entity} "), F.coalesce(F.col(spec.entity).cast("string"), F.lit("NULL")))
+    empty = F.raise_error(F.concat(F.lit(f"staging holds no NULL {spec.parent}"), key)).cast("long")
+    long = F.raise_error(F.concat(F.lit(f"staging holds {STAGED_PART_LENGTH} characters of {spec.sub_parent}, not "), part, key)).cast("string")
+    return classified.withColumns({
+        spec.parent: F.when(update & parent.isNull(), empty).otherwise(parent),
+        spec.sub_parent: F.when(update & (F.char_length(part) > STAGED_PART_LENGTH), long).otherwise(part)})
+
+
 def opening_rows(classified: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
     """D2 + D5 from classified pairs: the staged opening side."""
     return classified.filter(F.col(CHANGE).isin(CHANGE_INSERT, CHANGE_UPDATE)).select(
@@ -182,7 +199,7 @@ def _relink_pairs(cands: DataFrame, building_link: DataFrame, part_link: DataFra
         *keys, F.col(spec.sub_parent).alias(OLD_PART),
         F.lit(None).cast("long").alias("_link_parent"), F.lit("part").alias(_KIND))
     buildings = open_rows(building_link).select(
-        *keys, F.lit(None).cast("string").alias(OLD_PART),
+        *keys, F.lit(None).cast(part_link.schema[spec.sub_parent].dataType).alias(OLD_PART),
         F.col(spec.parent).alias("_link_parent"), F.lit("building").alias(_KIND))
     part = F.col(spec.sub_parent)
     on_part = (F.col(_KIND) == "part") & (part.isNull() | (part != F.col(OLD_PART)))

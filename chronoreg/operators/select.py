@@ -119,6 +119,15 @@ def _selected(interim: DataFrame, scenarios: ScenarioSet, params: RunParams, spe
     return recent.join(chosen, spec.scenario).filter(near).select(*interim.columns)
 
 
+def _distinct(rows: DataFrame, spec: Spec) -> DataFrame:
+    """UNION's duplicate removal.  Of rows that differ only in how a part id is written, the least spelling stays."""
+    if spec.collation is None:
+        return rows.distinct()
+    spelling = F.min(F.collate(spec.sub_parent, "UTF8_BINARY")).alias("_spelling")
+    least = rows.groupBy(*rows.columns).agg(spelling)
+    return least.withColumn(spec.sub_parent, F.collate("_spelling", spec.collation)).select(*rows.columns)
+
+
 def _ambiguous(params: RunParams, spec: Spec) -> Column:
     return F.col(spec.scenario).isin(list(params.ambiguous_scenarios))
 
@@ -142,7 +151,7 @@ def candidates_ambiguous(interim: DataFrame, scenarios: ScenarioSet, params: Run
     # rows that differ only in that flag stay two (the UNION in C3 merges them).
     grouped = rows.select(
         spec.entity, spec.scenario, spec.version, spec.sub_parent, EFF_START, EFF_END, SYS_CREATE,
-        SYS_END, F.col(DELETED).alias("_source_flag")).distinct()
+        SYS_END, F.col(DELETED).alias("_source_flag")).transform(_distinct, spec)
     return grouped.select(
         spec.entity, spec.scenario, spec.version,
         F.lit(AMBIGUOUS_BUILDING_ID).cast("long").alias(spec.parent), spec.sub_parent,
@@ -164,4 +173,4 @@ def candidates(interim: DataFrame, scenarios: ScenarioSet, params: RunParams, sp
         .alias(spec.parent),
         spec.sub_parent, EFF_START, EFF_END, SYS_CREATE,
         F.when(amb, F.col(SYS_END)).otherwise(high_date()).alias(SYS_END),
-        F.lit(FLAG_LIVE).alias(DELETED)).distinct()
+        F.lit(FLAG_LIVE).alias(DELETED)).transform(_distinct, spec)

@@ -280,7 +280,7 @@ def chain(p: str, params: RunParams, interim: str, reg: str, bld: str, prt: str)
 
 
 def with_chain(final: str, params: RunParams = fx.FIXTURE_PARAMS, extra: list[str] | None = None, hard: bool = True,
-               interim: str = "fx_interim") -> str:
-    ctes = fixture(hard) + chain("", params, interim, "fx_register", "fx_building", "fx_part")
+               interim: str = "fx_interim", prt: str = "fx_part") -> str:
+    ctes = fixture(hard) + chain("", params, interim, "fx_register", "fx_building", prt)
     ctes += extra or []
     return "WITH " + ",\n".join(ctes) + "\n" + final.strip()

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronoreg.functions import is_open, ts
+from chronoreg.functions import hours_before, is_open, ts
 from chronoreg.model import (
     CHANGELOG_SCHEMA,
     DWELLINGS,
@@ -131,8 +131,16 @@ class RegisterStore:
         return self._committed("changelog", record).select(*CHANGELOG_SCHEMA.fieldNames())
 
     def recent_changes(self, now: str, hours: int = RECENT_HOURS) -> DataFrame:
-        """L4: the stored change-log rows younger than ``hours`` at ``now``."""
-        return report.recent_changes(self.changelog(), now, hours)
+        """L4: the stored change-log rows younger than ``hours`` at ``now``.
+
+        A run logs at the time that its commit record names, so only the folders of recent commits are read.
+        """
+        commits, since = self._commits(), hours_before(now, hours)
+        if commits is None:
+            return report.recent_changes(self.changelog(), now, hours)
+        recent = [r[VERSION] for r in commits.filter(F.col("change_ts") > ts(since)).select(VERSION).collect()]  # runs of some hours
+        rows = self._committed("changelog", self._record()).filter(F.col(VERSION).isin(recent))
+        return report.recent_changes(rows, now, hours).select(*CHANGELOG_SCHEMA.fieldNames())
 
     # --- writing ---------------------------------------------------------------------
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from chronoreg.model import (
     COUNT_MAINTENANCE,
     COUNT_RELINKS,
     DWELLINGS,
+    OLD_PART,
     TEST_BUILDING_IDS_ABOVE,
     TEST_PART_PREFIX,
     TEST_SCENARIOS,
@@ -43,7 +45,8 @@ from chronoreg.operators.select import (
 from chronoreg.plans import oracle as O
 from chronoreg.plans.run import ParquetStage, Run, Selection, run, select
 from chronoreg.sources.bucketed import read_bucketed, save_bucketed
-from chronoreg.sources.fixtures import FIXTURE_PARAMS, STALE_BATCH, Inputs, derived_inputs, older_batch, older_log
+from chronoreg.sources.changelog import append_log, recent_log
+from chronoreg.sources.fixtures import FIXTURE_PARAMS, STALE_BATCH, Inputs, derived_inputs, mixed_case, older_batch, older_log
 from chronoreg.sources.tables import State, open_rows, read_interim, read_state
 
 P = FIXTURE_PARAMS
@@ -110,6 +113,12 @@ def _digested(spark: SparkSession, sf_dir: str) -> Run:
     return run(inp.interim, inp.state, P, SPEC, stage, digests=_stored_digests(inp.state, stage))
 
 
+def _collated(spark: SparkSession, sf_dir: str) -> Run:
+    """A run that takes no account of the case of part ids, on inputs that differ in it."""
+    inp = mixed_case(_inputs(spark, sf_dir), SPEC)
+    return run(inp.interim, inp.state, P, replace(SPEC, collation="UTF8_LCASE"), ParquetStage(spark))
+
+
 def _colocated(spark: SparkSession, sf_dir: str) -> Run:
     """A run on state tables that the catalog keeps bucketed on the business key."""
     inp = _inputs(spark, sf_dir)
@@ -123,6 +132,11 @@ def _stored_digests(state: State, stage: ParquetStage) -> digest.Digests:
     return digest.Digests(stage(found.register, "register_digest"), stage(found.links, "link_digest"), found.tree)
 
 
+def _plain(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Collated text as plain strings, as the result's readers compare bytes."""
+    return df.withColumns({c: F.collate(c, "UTF8_BINARY") for c in columns})
+
+
 def _log_table(name: str) -> Query:
     return lambda s, d: _run(s, d).log_of(name)
 
@@ -144,6 +158,15 @@ def _log_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.recent_changes(log, P.change_ts)
 
 
+def _log_recent_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L4 from a log that is kept by day."""
+    res = _run(spark, sf_dir)
+    path = f"{res.stage.folder}/log_by_day"
+    append_log(older_log(spark, sf_dir, P), path)
+    append_log(res.changelog, path)
+    return recent_log(spark, path, P.change_ts)
+
+
 def _purged(name: str) -> Query:
     return lambda s, d: report.purge(getattr(_run(s, d), name).after, report.test_row_predicates(SPEC)[name])
 
@@ -215,6 +238,12 @@ QUERIES: dict[str, Query] = {
     "inserts_colocated": lambda s, d: _colocated(s, d).inserts,
     "relinks_colocated": lambda s, d: _colocated(s, d).relinks,
     "building_after_colocated": lambda s, d: _colocated(s, d).building_link.after,
+    # The original's usual collation, which takes no account of case
+    "relinks_collated": lambda s, d: _plain(_collated(s, d).relinks, [OLD_PART, SPEC.sub_parent]),
+    "part_after_collated": lambda s, d: _plain(_collated(s, d).part_link.after, [SPEC.sub_parent]),
+    "building_after_collated": lambda s, d: _collated(s, d).building_link.after,
+    "inspect_part_collated": lambda s, d: _plain(_collated(s, d).part_link.after.filter(
+        report.test_row_predicates(SPEC)["part_link"]), [SPEC.sub_parent]),
     # A1-A5
     "register_closed": lambda s, d: _touched(_run(s, d).register.named),
     "building_closed_by_change": lambda s, d: _touched(_run(s, d).building_link.named, BY_CHANGE),
@@ -240,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "changelog_part": _log_table("part_link"),
     "changelog_all": lambda s, d: _run(s, d).changelog,
     "changelog_recent": _log_recent,
+    "changelog_recent_pruned": _log_recent_pruned,
     # O1, O5
     "inspect_register": lambda s, d: report.inspect(
         _run(s, d).register.after, report.test_row_predicates(SPEC)["register"], SPEC),
@@ -345,6 +375,9 @@ def _tally_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     w = O.with_chain
     since = hours_before(P.change_ts)
+    capitals = lambda rel, third: (f"(SELECT * REPLACE (if(dwelling_id % 3 = {third}, upper(part_of_building_id), "
+                                   f"part_of_building_id) COLLATE NOCASE AS part_of_building_id) FROM {rel})")
+    nocase = lambda final: w(final, interim=capitals("fx_interim", 1), prt=capitals("fx_part", 0))
     rerun = O.chain("r2_", P, "fx_interim", "reg_after", "bld_after", "prt_after")
     rerun_counts = "SELECT " + ", ".join(f"(SELECT count(*) FROM r2_{r}) AS {n}" for n, r in
                                          (("deletes", "dels"), ("inserts", "ins"), ("relinks", "rel")))
@@ -371,6 +404,10 @@ def oracle_sql() -> dict[str, str]:
         **{f"{q}_{how}": w(f"SELECT * FROM {rel}") for how in ("by_digest", "colocated")
            for q, rel in (("deletes", "dels"), ("inserts", "ins"), ("relinks", "rel"))},
         "building_after_colocated": w("SELECT * FROM bld_after"),
+        "relinks_collated": nocase("SELECT * REPLACE (old_pob_id || '' AS old_pob_id, part_of_building_id || '' AS part_of_building_id) FROM rel"),
+        "part_after_collated": nocase("SELECT * FROM prt_after"),
+        "building_after_collated": nocase("SELECT * FROM bld_after"),
+        "inspect_part_collated": nocase(f"SELECT * FROM prt_after WHERE part_of_building_id ILIKE '{TEST_PART_PREFIX}%'"),
         "deletes_multi_batch": w("SELECT * FROM dels", interim=f"""(SELECT * REPLACE (CASE WHEN scenario_no = 1
   THEN TIMESTAMP '{STALE_BATCH}' ELSE sys_create_date END AS sys_create_date) FROM fx_interim)"""),
         "changed_keys": w("SELECT * FROM chg"),
@@ -410,8 +447,8 @@ SELECT change, effective_end_date, if(effective_start_date > TIMESTAMP '{START_B
         "count_preview_observed": w(_preview_sql()),
         "count_groupings": w(_groupings_sql()),
         "check_tally": w(_tally_sql()),
-        "changelog_recent": w("SELECT * FROM (SELECT * FROM log UNION ALL BY NAME SELECT * FROM fx_log) "
-                              f"WHERE change_date > TIMESTAMP '{since}'"),
+        **{f"changelog_recent{q}": w("SELECT * FROM (SELECT * FROM log UNION ALL BY NAME SELECT * FROM fx_log) "
+                                     f"WHERE change_date > TIMESTAMP '{since}'") for q in ("", "_pruned")},
         "inspect_register": w(_inspect_sql("register")),
         "inspect_building": w(_inspect_sql("building_link")),
         "inspect_part": w(_inspect_sql("part_link")),

@@ -32,7 +32,7 @@ from chronoreg.operators.digest import Digests, unequal_links, unequal_register,
 from chronoreg.operators.balance import MARKS, tally
 from chronoreg.operators.report import change_metrics, changelog, relink_metrics, retired_end
 from chronoreg.operators.select import ScenarioSet, candidates, resolve
-from chronoreg.sources.tables import State, open_rows
+from chronoreg.sources.tables import State, collated, collated_state, open_rows
 
 Stage = Callable[..., DataFrame]  # of a frame, its name and what to observe of it
 
@@ -108,7 +108,7 @@ class Run:
     def __init__(self, interim: DataFrame, before: State, params: RunParams, spec: Spec = DWELLINGS,
                  stage: Stage | None = None, base_version: int | None = None, digests: Digests | None = None,
                  colocated: bool = False) -> None:
-        self.interim, self.before, self.params, self.spec = interim, before, params, spec
+        self.interim, self.before, self.params, self.spec = collated(interim, spec), collated_state(before, spec), params, spec
         self.stage = stage or ParquetStage(interim.sparkSession)
         self.base_version = base_version  # the store's version that ``before`` is
         self.digests = digests  # of ``before``; with them only the keys of unequal leaves are joined

@@ -128,6 +128,15 @@ def older_batch(interim: DataFrame, spec: Spec = DWELLINGS, scenario: int = 1) -
     return interim.withColumn(SYS_CREATE, moved)
 
 
+def mixed_case(inp: Inputs, spec: Spec = DWELLINGS) -> Inputs:
+    """Part ids in capitals, in a third of the part links and in another third of the snapshot."""
+    def capitals(df: DataFrame, third: int) -> DataFrame:
+        part = F.col(spec.sub_parent)
+        return df.withColumn(spec.sub_parent, F.when(F.col(spec.entity) % 3 == third, F.upper(part)).otherwise(part))
+
+    return Inputs(capitals(inp.interim, 1), State(inp.state.register, inp.state.building_link, capitals(inp.state.part_link, 0)))
+
+
 def older_log(spark: SparkSession, sf_dir: str, params: RunParams) -> DataFrame:
     """Change-log rows of earlier runs: one for each order of case 0, nought to four hours old."""
     hours = (F.floor(F.col("k") / 20) % 5).cast("int")

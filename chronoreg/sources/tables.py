@@ -67,6 +67,17 @@ def read_state(spark: SparkSession, register_path: str, building_path: str, part
     )
 
 
+def collated(df: DataFrame, spec: Spec = DWELLINGS) -> DataFrame:
+    """The frame with its part ids in the spec's collation: what compares, joins, groups or matches them follows it."""
+    if spec.collation is None or spec.sub_parent not in df.columns:
+        return df
+    return df.withColumn(spec.sub_parent, F.collate(spec.sub_parent, spec.collation))
+
+
+def collated_state(state: State, spec: Spec = DWELLINGS) -> State:
+    return State(**{name: collated(df, spec) for name, df in state.tables().items()})
+
+
 def open_rows(df: DataFrame) -> DataFrame:
     """Rows still open on the system axis (pushed down to the scan)."""
     return df.filter(is_open(SYS_END))
