@@ -208,18 +208,25 @@ def _joined(one: np.ndarray, two: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
-    """span_hashes() of every n consecutive bytes."""
+    """A quick hash of every n consecutive bytes, which picks candidates: some different ones share one.
+
+    A polynomial modulo 2**64; whoever decides by a hash takes span_hashes().
+    """
     count = len(data) - n + 1
     if count <= 0:
         return np.zeros(0, np.uint64)
-    tables = _power_tables(len(data) + 1)
-    prefixes = [_prefix_sums(data, tables[i]) for i in (0, 1)]
-    out, length = np.empty(count, np.uint64), np.array([n], np.uint64)
-    for a in range(0, count, _CACHED):
-        b = min(a + _CACHED, count)
-        one, two = (_half(p[n + a : n + b].copy(), p[a:b], inverse[a:b]) for p, inverse in zip(prefixes, tables[2:], strict=True))
-        out[a:b] = _joined(one, two, length)
-    return out
+    if len(_quick[0]) <= len(data):
+        for i, base in enumerate((_GRAM, np.uint64(pow(int(_GRAM), -1, 1 << 64)))):
+            powers = np.full(max(len(data), SLICE_BYTES) + 1, base, dtype=np.uint64)
+            powers[0] = 1
+            _quick[i] = np.cumprod(powers)
+    power, inverse = _quick
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=prefix[1:])
+    return mix((prefix[n:] - prefix[:count]) * inverse[:count])
+
+
+_quick: list[np.ndarray] = [np.ones(1, np.uint64)] * 2
 
 
 def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

