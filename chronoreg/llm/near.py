@@ -235,6 +235,15 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def without_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
-    """The rows of docs, unchanged, whose document is the one that its component keeps; rows without a doc_id stay."""
+    """The rows of docs, unchanged, whose document is the one that its component keeps; rows without a doc_id stay.
+
+    Of rows that are equal in doc_id and text any one stays.
+    """
     gone = near_duplicates(docs.select("doc_id", "text"), similarity, words).where("NOT kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    again = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__again"))
+    again = common.stage(again)  # few ids or none, and then no text is shuffled for them
+    twice = kept.join(again, kept["doc_id"] == again["__again"], "left_semi")
+    return kept.join(again, kept["doc_id"] == again["__again"], "left_anti").union(twice.dropDuplicates(["doc_id", "text"]))
+
+

@@ -95,7 +95,7 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, size: int
 
     Only documents of more than `size` ids are cut; all their pieces but the first are full.
     """
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = UnitTokenizer(tokenizer, ranks)
@@ -110,7 +110,7 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, size: int
                 for piece, (at, to) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     chunk = own[at:to]
                     rows.append((doc, piece, at, to - at, zlib.crc32(chunk.tobytes()), *([chunk.tolist()] if with_ids else [])))
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=False)]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in schema.split(", ")])
 

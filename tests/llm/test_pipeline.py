@@ -1,8 +1,15 @@
 """The pipeline's stages: columns, decisions, and each against its own operator."""
 
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 import __spark_entry__ as entry
 from chronoreg.llm import common, near, queries
+from corpus import corpus, frame
 
 SF = "/root/testdata/sf0.01"  # enough labelled rows to learn from
 
@@ -44,3 +51,39 @@ def test_mixing_keeps_clean_documents(spark):
     clean = {r.doc_id for r in docs.join(clean, "doc_id", "left_semi").select("doc_id").collect()}
     mixed = {r.doc_id for r in corpus_pipeline.mix_sources(spark, docs, sf).select("doc_id").collect()}
     assert len(clean & mixed) >= 0.99 * len(clean)
+
+
+def _tables(spark, folder, rows, labels):
+    frame(spark, rows).withColumn("n_chars", F.char_length("text").cast("long")).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_awkward_rows(spark, tmp_path):
+    """Nulls, repeated rows, empty and very long texts, extra columns: whole texts come back from the packed ids."""
+    rows = corpus(11) + [(7000, "long words " * 40_000, 1, "keys"), (7001, " " * 300_000, 2, "x")]
+    rows += [rows[0], rows[-2]]
+    sf = _tables(spark, tmp_path, rows, [(3, 1, 0), (None, 1, 1), (6, None, 0), (9, 0, 1), (9, 1, 0), (99999, 1, 1)])
+    whole = Tokenizer.from_file(queries.tokenizer_paths()[0])
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, common.stage(stage(spark, docs, sf))
+        assert docs.columns == before.columns and docs.schema.simpleString() == before.schema.simpleString(), name
+        if name != "mixing":
+            assert docs.where("doc_id IS NULL").count() <= before.where("doc_id IS NULL").count(), name
+        if name == "near_dedup":
+            assert docs.where("doc_id IS NOT NULL").count() == docs.where("doc_id IS NOT NULL").select("doc_id", "text").distinct().count()
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    kept = [(r.doc_id, r.text or "") for r in docs.collect() if r.doc_id is not None]
+    assert all(r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and len(r.ids) == r.length for r in last)
+    assert {r.doc_id for r in last} == {d for d, _ in kept}
+    once = {d: t for d, t in kept if sum(d == x for x, _ in kept) == 1}
+    for doc, text in once.items():
+        parts = sorted((r.start, r.ids) for r in last if r.doc_id == doc)
+        assert sum((i for _, i in parts), []) == whole.encode(text, add_special_tokens=False).ids + [2]
+    assert len(corpus_pipeline.run(spark, sf).collect()) == len(last)
+
+
+def test_empty_tables(spark, tmp_path):
+    sf = _tables(spark, tmp_path, [], [])
+    assert corpus_pipeline.run(spark, sf).collect() == []
