@@ -1,4 +1,10 @@
-"""The corpus pipeline: documents to packed training sequences, one operator a stage."""
+"""The corpus pipeline: documents to packed training sequences, one operator a stage.
+
+Defined results: rows without a doc_id pass the near-duplicate and the mixing stage as they are and are not packed, as
+no sequence could name them; of rows that are equal in doc_id and text one stays; null and empty texts are judged by
+the classifier like any other and packed as their end token; extra columns pass all stages but the last; an empty table
+gives no rows.
+"""
 
 from __future__ import annotations
 
@@ -38,8 +44,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their places in sequences of 1024 tokens."""
-    return packing.pack_documents(docs, *queries.tokenizer_paths())
+    """The pieces of all documents, ids included, with their places in sequences of 1024 tokens."""
+    return packing.pack_documents(docs, *queries.tokenizer_paths(), with_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [
