@@ -1,15 +1,20 @@
 """Substring dedup on words by level-wise doubling.
 
-A window is `window` consecutive words of one document. Level one looks at windows of half that length (rounded up):
-each full window chooses the one with the least hash inside it, so equal full windows choose equal halves, and only
-chosen halves are compared. Halves that one document alone holds end there. What repeats is extended to twice the
-length, the asked one, and compared anew; a full window that also starts in a smaller document is covered, and its
-words are removed. Each level compares hashes by :mod:`exchange`, so a passage in a third of all documents meets in no
-single group. Level one sends six bytes of a hash, as it only picks candidates; the last level decides by all 64 bits.
+A window is `window` consecutive words of one document. Windows are looked at in lengths that double: `START` words,
+twice as many, and so on below the asked length. A window's name at one length is made of the two names that it holds
+at half that length; the asked length's, of two overlapping ones. At each length every asked window that is still a
+candidate chooses the least name of that length inside it, so equal windows choose equal names, and only chosen names
+are compared. A window whose chosen name one document alone holds ends there; what repeats is looked at in twice the
+length, until the asked one is reached or no candidate survives. A window that also starts in a smaller document is
+covered, and its words are removed. START is long enough that few windows repeat by chance: at one, two or four words
+nearly all do, and nothing would end there.
+
+Each level compares names by :mod:`exchange`, so a passage in a third of all documents meets in no single group. The
+levels before the last send six bytes of a name, as they only pick candidates; the last one decides by all 64 bits.
 
 Defined results: null or empty texts have no words and nothing removed; a document shorter than a window keeps its
 words; of repeated rows of a doc_id the least text stays; rows without a doc_id take no part; other columns are
-ignored.
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,52 +29,98 @@ from pyspark.sql import functions as F
 from chronoreg.llm import common, exchange
 
 WINDOW = 13
+#: Words of the first length.
+START = 7
 _CANDIDATE_BYTES = 6
 
 
+def lengths(window: int) -> list[int]:
+    """The lengths that are looked at before the asked one; the last is at least half of it."""
+    out = [min(START, (window + 1) // 2)]
+    while 2 * out[-1] < window:
+        out.append(2 * out[-1])
+    return out
+
+
 def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     data, offsets = common.buffer(column)
     starts, ends, rows = common.word_spans(data, offsets)
     return data, starts, ends, rows, common.span_hashes(data, starts, ends)
 
 
-def _halves(hashes: np.ndarray, rows: np.ndarray, window: int):
-    half = (window + 1) // 2
-    grams = common.gram_hashes(hashes, half)
-    row, place, first, last = exchange.runs(grams, rows, window, half)
-    return row, grams[place] if len(place) else np.zeros(0, np.uint64), first, last
+def _pair(names: np.ndarray, step: int) -> np.ndarray:
+    """Names of what each name and the one `step` places on cover together."""
+    one, two = names[: max(len(names) - step, 0)], names[step:]
+    return common.mix(common.mix(one) + two * np.uint64(0xD6E8FEB86659FD93))
+
+
+def names_of(hashes: np.ndarray, window: int, levels: list[int]) -> list[np.ndarray]:
+    """The names of all windows of each level's length, and of the asked length."""
+    out = [common.gram_hashes(hashes, levels[0])]
+    for length in levels[1:]:
+        out.append(_pair(out[-1], length // 2))
+    return [*out, _pair(out[-1], window - levels[-1])]
+
+
+def _survivors(names: list[np.ndarray], rows: np.ndarray, window: int, levels: list[int], lists: list[pa.Array]) -> np.ndarray:
+    """Whether each window's chosen names are all in its row's lists, for as many levels as there are lists."""
+    alive = np.ones(max(len(rows) and int(rows[-1]) - window + 1, 0), bool)
+    for length, own, keys in zip(levels, names, lists, strict=False):
+        row, place, first, last = exchange.runs(own, rows, window, length)
+        some = exchange.member(row, exchange.cut(own[place], _CANDIDATE_BYTES), keys, _CANDIDATE_BYTES)
+        edges = np.zeros(len(alive) + 1, np.int64)
+        np.add.at(edges, first[some], 1)
+        np.subtract.at(edges, last[some] + 1, 1)
+        alive &= np.cumsum(edges[:-1]) > 0
+    return alive
+
+
+def _chosen(names: np.ndarray, rows: np.ndarray, window: int, length: int, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and chosen name of each run of windows that has one alive."""
+    row, place, first, last = exchange.runs(names, rows, window, length)
+    before = np.concatenate([[0], np.cumsum(alive)])
+    some = before[last + 1] > before[first] if len(row) else np.zeros(0, bool)
+    return row[some], names[place[some]]
 
 
 def covered_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Candidates (doc_id, packed text) and, for some of them, (doc_id, keys): hashes of windows that a smaller document holds."""
-    count = exchange.buckets(docs)
-
-    def send_halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.slices(batches):
-            _, _, _, rows, hashes = _words(part.column(1))
-            row, keys, _, _ = _halves(hashes, rows, window)
-            yield exchange.messages(keys, np.asarray(part.column(0))[row], count, _CANDIDATE_BYTES)
-
-    def send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.unpacked(batches):
-            _, _, _, rows, hashes = _words(part.column(1))
-            row, keys, first, last = _halves(hashes, rows, window)
-            some = exchange.member(row, exchange.cut(keys, _CANDIDATE_BYTES), part.column(2), _CANDIDATE_BYTES)
-            starts, which = exchange.ranges(first[some], last[some])
-            yield exchange.messages(common.gram_hashes(hashes, window)[starts], np.asarray(part.column(0))[row[some][which]], count, 8)
-
-    repeated = exchange.merge(docs.mapInArrow(send_halves, exchange.MESSAGE), _CANDIDATE_BYTES, later=False)
-    lists = repeated.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    candidates = common.stage(common.packed_texts(docs).join(lists, "doc_id").select("doc_id", "text", "keys"))
-    covered = exchange.merge(candidates.mapInArrow(send_windows, exchange.MESSAGE), 8, later=True)
-    return candidates.select("doc_id", "text"), covered
+    """Candidates (doc_id, packed text) and, for some of them, (doc_id, keys): names of windows that a smaller document holds."""
+    count, levels = exchange.buckets(docs), lengths(window)
+
+    def send(level: int):
+        def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in common.unpacked(batches) if level else common.slices(batches):
+                _, _, _, rows, hashes = _words(part.column(1))
+                names, docs_ = names_of(hashes, window, levels), np.asarray(part.column(0))
+                alive = _survivors(names, rows, window, levels, part.columns[2:])
+                if level < len(levels):
+                    row, keys = _chosen(names[level], rows, window, levels[level], alive)
+                    yield exchange.messages(keys, docs_[row], count, _CANDIDATE_BYTES)
+                else:
+                    starts = np.flatnonzero(alive)
+                    yield exchange.messages(names[-1][starts], docs_[np.searchsorted(rows, starts, side="right") - 1], count, 8)
+
+        return kernel
+
+    candidates = docs
+    for level in range(len(levels)):
+        repeated = exchange.merge(candidates.mapInArrow(send(level), exchange.MESSAGE), _CANDIDATE_BYTES, later=False)
+        lists = repeated.groupBy("doc_id").agg(F.collect_list("keys").alias(f"keys_{level}"))
+        texts = candidates if level else common.packed_texts(docs)
+        candidates = common.stage(texts.join(lists, "doc_id"))
+        if level + 1 < len(levels) and not candidates.head(1):
+            break  # no candidate survives, so no window is held twice
+    else:
+        covered = exchange.merge(candidates.mapInArrow(send(len(levels)), exchange.MESSAGE), 8, later=True)
+        return candidates.select("doc_id", "text"), covered
+    return candidates.select("doc_id", "text"), docs.sparkSession.createDataFrame([], exchange.ANSWER)
 
 
 def _kept(hashes: np.ndarray, rows: np.ndarray, keys: pa.Array | None, window: int) -> np.ndarray:
     """Whether each word is kept."""
     inside = np.zeros(len(hashes) + 1, np.int64)
     if keys is not None:
-        grams = common.gram_hashes(hashes, window)
+        grams = names_of(hashes, window, lengths(window))[-1]
         row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))[: len(grams)]
         starts = np.flatnonzero(np.arange(len(grams)) + window <= rows[1:][row])
         starts = starts[exchange.member(row[starts], grams[starts], keys, 8)]

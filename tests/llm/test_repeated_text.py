@@ -7,29 +7,50 @@ import re
 import numpy as np
 import pytest
 
-from chronoreg.llm import near, repeats, suffix
+from chronoreg.llm import common, near, repeats, suffix
 from corpus import by_id, corpus, frame
 
 WORD = r"[^\x20\x09-\x0D]+"
 sha = lambda b: hashlib.sha256(b).hexdigest()
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_word_windows(spark, seed):
+@pytest.mark.parametrize(("seed", "window"), [(1, 13), (2, 13), (2, 40), (3, 56), (1, 5), (1, 2), (2, 1)])
+def test_word_windows(spark, seed, window):
     rows = corpus(seed)
-    got = {r.doc_id: tuple(r) for r in repeats.digest(frame(spark, rows)).collect()}
+    got = {r.doc_id: tuple(r) for r in repeats.digest(frame(spark, rows), window).collect()}
     first, want = {}, {}
     for doc, text in sorted(by_id(rows).items()):
         words = re.findall(WORD, text)
         gone = [False] * len(words)
-        for a in range(len(words) - 12):
-            if first.setdefault(tuple(words[a : a + 13]), doc) < doc:
-                gone[a : a + 13] = [True] * 13
+        for a in range(len(words) - window + 1):
+            if first.setdefault(tuple(words[a : a + window]), doc) < doc:
+                gone[a : a + window] = [True] * window
         want[doc] = (doc, len(words), sum(gone), sha(" ".join(w for w, g in zip(words, gone) if not g).encode()))
     assert got == want
     assert sum(x[2] for x in want.values()) > 100
 
 
+def test_candidates_of_each_level(spark, monkeypatch):
+    """Passages of 10, 20, 30 and 40 words in two documents each: the longer the windows, the fewer documents are left."""
+    assert repeats.lengths(13) == [7] and repeats.lengths(40) == [7, 14, 28] and repeats.lengths(56) == [7, 14, 28]
+    rows = [(1000 + i, " ".join(f"x{i}-{j}" for j in range(60)), 0, "") for i in range(5)]
+    for n, size in enumerate((10, 20, 30, 40)):
+        shared = " ".join(f"s{n}-{j}" for j in range(size))
+        rows += [(2 * n + k, " ".join(f"a{n}-{k}-{j}" for j in range(50)) + " " + shared + " " + " ".join(f"b{n}-{k}-{j}" for j in range(50)), 0, "") for k in (0, 1)]
+    left, stage = [], common.stage
+
+    def counted(df):
+        out = stage(df)
+        left.append(out.count())
+        return out
+
+    monkeypatch.setattr(common, "stage", counted)
+    got = {r.doc_id: r.n_removed for r in repeats.digest(frame(spark, rows), 40).collect()}
+    assert len(left) == 3 and left[0] == 8 and left == sorted(left, reverse=True) and left[-1] < 8 and {d for d, n in got.items() if n} == {7} and got[7] == 40
+    left.clear()
+    assert not any(r.n_removed for r in repeats.digest(frame(spark, rows[:5]), 40).collect()) and left == [0]  # ends at once
+
+
 def test_kept_text_itself(spark):
     text = " ".join(f"w{i}" for i in range(20))
     rows = [(1, text, 0, ""), (2, "before " + text + " after", 0, "")]
