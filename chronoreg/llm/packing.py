@@ -117,35 +117,45 @@ def pieces(docs: DataFrame, tokenizer: str, ranks: str | None = None, size: int
     return common.texts(docs).mapInArrow(kernel, schema)
 
 
-class _Sums:
-    """Finds lengths, still available, that sum to a gap: one, two or three of them, the longest first."""
+class SumIndex:
+    """The single, pair and triple sums of the lengths, by their total, and what is still available of each length.
+
+    A total's combinations are listed once, the longest length first. Availability only falls, so the first one that
+    is available is taken as often as the counts allow and then never comes back.
+    """
 
     def __init__(self, left: np.ndarray):
         self.left = left
-
-    def _pair(self, total: int, most: int, taken: Counter) -> tuple[int, int] | None:
-        left = self.left
-        high = min(most, total - 1)
-        if high < (total + 1) // 2:
-            return None
-        longer = np.arange(high, (total + 1) // 2 - 1, -1)
-        for b in longer[(left[longer] > 0) & (left[total - longer] > 0)].tolist():
-            need = taken + Counter((b, total - b))
-            if all(left[x] >= n for x, n in need.items()):
-                return b, total - b
-        return None
+        self._lengths = np.flatnonzero(left)
+        self._present = left > 0
+        self._listed: dict[int, list[np.ndarray]] = {}
+
+    def combinations(self, total: int) -> list[np.ndarray]:
+        """Arrays of one, two and three columns: the lengths that sum to `total`, each row from the longest down."""
+        if total not in self._listed:
+            present, lengths = self._present, self._lengths[self._lengths < total][::-1]
+            single = np.array([[total]] if total < len(present) and present[total] else np.zeros((0, 1)), np.int64)
+            longer = lengths[2 * lengths >= total]
+            pair = np.stack([longer, total - longer], axis=1)[present[total - longer]] if len(longer) else np.zeros((0, 2), np.int64)
+            triples = [np.zeros((0, 3), np.int64)]
+            for longest in lengths[3 * lengths >= total].tolist():
+                rest = total - longest
+                middle = lengths[(lengths <= min(longest, rest - 1)) & (2 * lengths >= rest)]
+                middle = middle[present[rest - middle]] if len(middle) else middle
+                triples.append(np.stack([np.full(len(middle), longest), middle, rest - middle], axis=1))
+            self._listed[total] = [single, pair, np.concatenate(triples)]
+        return self._listed[total]
 
     def filling(self, length: int, size: int) -> tuple[int, ...] | None:
-        gap, left, own = size - length, self.left, Counter((length,))
-        if left[gap] >= own[gap] + 1:
-            return (gap,)
-        if pair := self._pair(gap, gap, own):
-            return pair
-        for b in np.flatnonzero(left[: max(gap - 1, 0)])[::-1].tolist():
-            if 3 * b < gap:
-                break
-            if left[b] >= own[b] + 1 and (pair := self._pair(gap - b, b, own + Counter((b,)))):
-                return (b, *pair)
+        """The first combination that fills up a piece of `length` and is available beside it."""
+        for place, rows in enumerate(self.combinations(size - length)):
+            enough = np.ones(len(rows), bool)
+            for column in rows.T:
+                enough &= self.left[column] >= (rows == column[:, None]).sum(axis=1) + (column == length)
+            if enough.any():
+                first = int(np.argmax(enough))
+                self._listed[size - length][place] = rows[first:]
+                return tuple(rows[first].tolist())
         return None
 
 
@@ -156,7 +166,7 @@ def plan(counts: dict[int, int], size: int = SIZE) -> list[Pattern]:
         left[length] = n
     made: list[Pattern] = [(int(left[size]), ((size, 1),))] if left[size] else []
     left[size] = 0
-    sums = _Sums(left)
+    sums = SumIndex(left)
     for length in range(size - 1, 0, -1):
         while left[length] and (others := sums.filling(length, size)):
             need = Counter((length, *others))

@@ -1,6 +1,7 @@
 """Secrets, quality, packing, fingerprints, languages and mixing."""
 
 import hashlib
+import itertools
 import random
 import re
 import time
@@ -223,6 +224,27 @@ def test_plan_places_every_piece_once(seed):
     assert packing.plan({512: 4, 1024: 1, 300: 2, 424: 1}) and sum(t for t, _ in packing.plan({512: 4, 1024: 1, 300: 2, 424: 1})) == 4
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_sum_index_against_all_combinations(seed):
+    """Whatever is left, the index names a combination exactly where one is available, the fewest and longest first."""
+    rng = random.Random(seed)
+    size = 30
+    left = np.zeros(size + 1, np.int64)
+    for _ in range(rng.choice([3, 8, 20])):
+        left[rng.randint(1, size - 1)] = rng.randint(1, 3)
+    index = packing.SumIndex(left)
+    for length in range(size - 1, 0, -1):
+        while left[length]:
+            found = index.filling(length, size)
+            pool = sorted([x for x in range(1, size) for _ in range(left[x] - (x == length))], reverse=True)
+            fits = sorted({c for n in (1, 2, 3) for c in itertools.combinations(pool, n) if sum(c) == size - length}, key=lambda c: (len(c), [-x for x in c]))
+            assert found == (fits[0] if fits else None)
+            if not found:
+                break
+            for x in (length, *found):
+                left[x] -= 1
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
