@@ -10,13 +10,18 @@ that are still tied down to the window's length. Windows that are equal there me
 smallest document are covered.
 
 A gram's runs meet in one bucket with one message a slice and distinct run, so copies and frequent passages add
-nothing to it. Defined results: null or empty texts have nothing removed; texts shorter than a window stay; of repeated
+nothing to it. A gram with more than `HOT` distinct runs (a phrase in very many documents, with other text around it)
+would fill its bucket all the same: its runs are not sent there, but their windows one by one to the bucket of the
+window's own bytes, and of equal windows of a slice only the smallest document's. So no sort takes more than the
+windows that a hash deals to it and one window a slice of those that are equal. Bytes decide in every sort; a run that
+is covered as a whole is known by 64 bits. Defined results: null or empty texts have nothing removed; texts shorter than a window stay; of repeated
 rows of a doc_id the least text stays; rows without a doc_id take no part; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +40,12 @@ _KEY_BYTES = 8
 _ANSWER_BYTES = 12  # a run's key, and a bit for each of its windows that is covered
 _ALL, _ASK = 0xFFFFFFFF, 0
 #: A run has window - gram + 1 windows at most, which must fit the mask.
-MOST_WINDOW = 62
-_SENT = "bucket int, docs binary, keys binary, sizes binary, data binary"
+MOST_WINDOW = 60
+#: The mask of runs whose windows are dealt one by one; no window has this bit.
+_DEAL = 1 << 31
+#: Distinct runs of a gram that one bucket takes together.
+HOT = 4096
+_SENT = "bucket int, docs binary, keys binary, sizes binary, shifts binary, data binary"
 
 
 def _found(column: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -80,8 +89,9 @@ class _Runs:
         return self.hashed(self.place[some], self.place[some] + self._gram)
 
 
-def _judge(sent: DataFrame) -> DataFrame:
-    """(doc_id, keys): runs that a smaller document holds (_ALL), and those to be compared window by window (_ASK)."""
+def _judge(sent: DataFrame, hot: int) -> DataFrame:
+    """(doc_id, keys): runs that a smaller document holds (_ALL), and those to be compared window by window, either all
+    of a gram together (_ASK) or, where it has more than `hot` of them, dealt by their windows (_DEAL)."""
 
     def kernel(table: pa.Table) -> pa.Table:
         parts: list[tuple] = [(np.zeros((0, 14), np.uint8), np.zeros(0, np.int64))]
@@ -103,10 +113,11 @@ def _judge(sent: DataFrame) -> DataFrame:
         np.minimum.at(low, group, docs[heads])
         np.maximum.at(high, group, docs[heads])
         mixed = heads[(low < high)[group]] if len(heads) else heads
+        many = (np.bincount(group) > hot)[group][(low < high)[group]] if len(heads) else np.zeros(0, bool)
         all_docs = np.concatenate([docs[later], docs[mixed], *(d for _, d in through)])
         all_keys = np.concatenate([key[later], key[mixed], *(np.ascontiguousarray(r[:, :8]).view("<u8").ravel() for r, _ in through)])
         masks = np.full(len(all_docs), _ALL, "<u4")
-        masks[later.sum() : later.sum() + len(mixed)] = _ASK
+        masks[later.sum() : later.sum() + len(mixed)] = np.where(many, _DEAL, _ASK)
         return pa.Table.from_batches([exchange.answers(all_docs, _answer(all_keys, masks))])
 
     return sent.groupBy("bucket").applyInArrow(kernel, exchange.ANSWER)
@@ -137,26 +148,41 @@ def _answered(found: _Runs, lists: pa.Array) -> np.ndarray:
 
 
 def _send_runs(batches: Iterator[pa.RecordBatch], window: int, count: int) -> Iterator[pa.RecordBatch]:
-    """The text of each run that is to be compared, once for each document."""
+    """The text of each run that is to be compared, once for each document; or of its windows, where they are dealt.
+
+    A window's shift is its place in its run. One that a smaller document of the slice holds has no text: it is covered.
+    """
     for part in common.unpacked(batches):
         found = _Runs(part, window)
-        asked = np.flatnonzero((_answered(found, part.column(3)) == _ASK) & found.named)
-        _, one = np.unique(np.stack([found.row[asked].astype(np.uint64), found.key[asked]], axis=1), axis=0, return_index=True)
-        asked = asked[one]
-        bucket = (found.grams(asked) % np.uint64(count)).astype(np.int32)
-        asked = asked[np.argsort(bucket, kind="stable")]
-        bucket = np.sort(bucket)
-        docs = np.asarray(part.column(0))[found.row[asked]]
-        sizes = (found.ends - found.first)[asked]
-        places, _ = exchange.ranges(found.first[asked], found.ends[asked] - 1)
-        raw, before = found.data[places].tobytes() if len(asked) else b"", np.concatenate([[0], np.cumsum(sizes)])
-        edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(asked)] if len(asked) else []
+        masks, ids = _answered(found, part.column(3)), np.asarray(part.column(0))
+        once = np.zeros(len(found.key), bool)
+        once[np.unique(np.stack([found.row.astype(np.uint64), found.key], axis=1), axis=0, return_index=True)[1]] = True
+        asked = np.flatnonzero((masks == _ASK) & found.named & once)
+        dealt = np.flatnonzero((masks & np.uint32(_DEAL) > 0) & (masks != _ALL) & once)
+        starts, which = exchange.ranges(found.first[dealt], found.last[dealt])
+        docs = ids[found.row[dealt]][which]
+        own = np.ascontiguousarray(found.data[starts[:, None] + np.arange(window)]).view(f"V{window}").ravel() if len(starts) else np.zeros(0, f"V{window}")
+        _, number = np.unique(own, return_inverse=True)
+        least = np.full(int(number.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, number, docs)
+        covered = docs > least[number]
+        by_window = (found.hashed(starts, starts + window) % np.uint64(count)).astype(np.int64)
+        bucket = np.concatenate([(found.grams(asked) % np.uint64(count)).astype(np.int64), np.where(covered, docs % count, by_window)])
+        first = np.concatenate([found.first[asked], starts])
+        sizes = np.concatenate([(found.ends - found.first)[asked], np.where(covered, 0, window)])
+        shifts = np.concatenate([np.zeros(len(asked), np.int64), starts - found.first[dealt][which]])
+        docs, keys = np.concatenate([ids[found.row[asked]], docs]), np.concatenate([found.key[asked], found.key[dealt][which]])
+        order = np.argsort(bucket, kind="stable")
+        bucket, first, sizes, shifts, docs, keys = (x[order] for x in (bucket, first, sizes, shifts, docs, keys))
+        places, _ = exchange.ranges(first, first + sizes - 1)
+        raw, before = found.data[places].tobytes(), np.concatenate([[0], np.cumsum(sizes)])
+        edges = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(bucket)]
         rows = [
-            (int(bucket[a]), docs[a:b].tobytes(), found.key[asked[a:b]].tobytes(), sizes[a:b].astype("<u4").tobytes(), raw[before[a] : before[b]])
-            for a, b in zip(edges, edges[1:], strict=False)
+            (int(bucket[a]), docs[a:b].tobytes(), keys[a:b].tobytes(), sizes[a:b].astype("<u4").tobytes(), shifts[a:b].astype("u1").tobytes(), raw[before[a] : before[b]])
+            for a, b in pairwise(edges)
         ]
-        columns = list(zip(*rows, strict=True)) or [()] * 5
-        types = (pa.int32(), *[pa.binary()] * 4)
+        columns = list(zip(*rows, strict=True)) or [()] * 6
+        types = (pa.int32(), *[pa.binary()] * 5)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [f.split()[0] for f in _SENT.split(", ")])
 
 
@@ -249,20 +275,24 @@ def _compare(sent: DataFrame, window: int) -> DataFrame:
     """(doc_id, keys): the runs' windows that a smaller document holds."""
 
     def kernel(table: pa.Table) -> pa.Table:
-        docs, keys, sizes = (np.concatenate([np.frombuffer(x.as_py(), t) for x in table.column(c)]) for c, t in (("docs", np.int64), ("keys", np.uint64), ("sizes", "<u4")))
+        columns = (("docs", np.int64), ("keys", np.uint64), ("sizes", "<u4"), ("shifts", "u1"))
+        docs, keys, sizes, shifts = (np.concatenate([np.frombuffer(x.as_py(), t) for x in table.column(c)]) for c, t in columns)
         text = np.frombuffer(b"".join(x.as_py() for x in table.column("data")), np.uint8)
-        begins = np.cumsum(sizes.astype(np.int64)) - sizes
-        suffixes, run = exchange.ranges(begins, begins + sizes - window)
+        masks = np.zeros(len(docs), np.uint32)
+        masks[sizes == 0] = np.uint32(1) << shifts[sizes == 0].astype(np.uint32)  # covered in their slice
+        real = np.flatnonzero(sizes)
+        begins = (np.cumsum(sizes.astype(np.int64)) - sizes)[real]
+        suffixes, run = exchange.ranges(begins, begins + sizes[real] - window)
         owner = np.zeros(len(text), np.int64)
         owner[suffixes] = run
-        masks = np.zeros(len(docs), np.uint32)
         for group in sorted_groups(text, suffixes, window):
             if len(group) > 1:
-                members = [(int(docs[owner[s]]), s) for s in group]
+                members = [(int(docs[real[owner[s]]]), s) for s in group]
                 least = min(members)[0]
                 for doc, suffix in members:
                     if doc > least:
-                        masks[owner[suffix]] |= np.uint32(1 << (suffix - int(begins[owner[suffix]])))
+                        at = owner[suffix]
+                        masks[real[at]] |= np.uint32(1 << (suffix - int(begins[at]) + int(shifts[real[at]])))
         some = masks > 0
         return pa.Table.from_batches([exchange.answers(docs[some], _answer(keys[some], masks[some]))])
 
@@ -283,7 +313,7 @@ def _covered(part: pa.RecordBatch, window: int) -> tuple[np.ndarray, np.ndarray,
     return found.data, found.offsets, np.cumsum(inside[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of the documents that lose bytes; kept is what remains of the text.
 
     n_spans counts maximal removed stretches. `window` must be from 16 to MOST_WINDOW.
@@ -336,15 +366,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = exchange.merge(docs.mapInArrow(send_grams, exchange.MESSAGE), _CANDIDATE_BYTES, later=False)
     named = common.packed_texts(docs).join(lists(shared), "doc_id").mapInArrow(name_runs, "doc_id long, text binary, runs binary")
     candidates = common.stage(named)
-    judged = common.stage(_judge(candidates.mapInArrow(send_keys, exchange.MESSAGE)))
+    judged = common.stage(_judge(candidates.mapInArrow(send_keys, exchange.MESSAGE), hot))
     sent = candidates.join(lists(judged), "doc_id").mapInArrow(lambda b: _send_runs(b, window, count), _SENT)
     compared = _compare(sent, window)
     return candidates.join(lists(judged.union(compared)), "doc_id").mapInArrow(remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
-def digest(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def digest(docs: DataFrame, window: int = WINDOW, hot: int = HOT) -> DataFrame:
     """The contract's columns for every document."""
-    changed = remove_repeats(docs, window).select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    changed = remove_repeats(docs, window, hot).select("doc_id", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
     other = changed.select(F.col("doc_id").alias("id"), "n_removed", "n_spans", F.col("kept_sha256").alias("sha"))
     rows = common.one_row_each(docs).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
     count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)

@@ -58,23 +58,43 @@ def test_kept_text_itself(spark):
     assert got == {1: text, 2: "before after"}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_byte_strings(spark, seed):
-    rows = corpus(seed)
-    got = {r.doc_id: tuple(r) for r in suffix.digest(frame(spark, rows)).collect()}
+def _held_bytes(rows, window=50):
+    """The contract's columns by a dictionary of all strings."""
     first, want = {}, {}
     for doc, text in sorted(by_id(rows).items()):
         raw = text.encode()
         gone = bytearray(len(raw))
-        for a in range(len(raw) - 49):
-            if first.setdefault(raw[a : a + 50], doc) < doc:
-                gone[a : a + 50] = b"\1" * 50
+        for a in range(len(raw) - window + 1):
+            if first.setdefault(raw[a : a + window], doc) < doc:
+                gone[a : a + window] = b"\1" * window
         kept = bytes(b for b, g in zip(raw, gone) if not g)
         want[doc] = (doc, len(raw), sum(gone), len(re.findall(b"\1+", bytes(gone))), sha(kept))
-    assert got == want
+    return want
+
+
+@pytest.mark.parametrize(("seed", "hot"), [(1, suffix.HOT), (2, suffix.HOT), (1, 0), (2, 1), (3, 3)])
+def test_byte_strings(spark, seed, hot):
+    """With a low bound the windows of all or of most grams are dealt one by one."""
+    rows = corpus(seed)
+    want = _held_bytes(rows)
+    assert {r.doc_id: tuple(r) for r in suffix.digest(frame(spark, rows), hot=hot).collect()} == want
     assert sum(x[2] for x in want.values()) > 1000
 
 
+def test_a_phrase_in_a_third_of_all_documents(spark):
+    """Phrases of 30, 49 and 60 bytes with other text around them in each document: many distinct runs of one gram."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    text = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    phrases = [text(30), text(49), text(60)]
+    rows = [(i, text(90) + phrases[i % 9] + text(90) if i % 9 < 3 else text(200), 0, "") for i in range(900)]
+    rows += [(1000 + i, rows[i][1][40:] + text(20), 0, "") for i in (0, 1, 2, 9, 10)]
+    rng.shuffle(rows)
+    want = _held_bytes(rows)
+    got = {r.doc_id: tuple(r) for r in suffix.digest(frame(spark, rows), hot=20).collect()}
+    assert got == want and sum(x[2] >= 60 for x in want.values()) > 90
+
+
 @pytest.mark.parametrize("alphabet", [b"ab", b"abc\x00\xff"])
 def test_deep_shallow_sort(alphabet):
     rng = random.Random(5)
