@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +59,10 @@ class Aligner:
         names = [self._pieces.id_to_piece(i) for i in ids]
         self._piece_bytes = [bytes([int(n[3:5], 16)]) if self._pieces.is_byte(i) else n.replace(SPACE, " ").encode() for i, n in zip(ids, names, strict=True)]
         self._space = self._pieces.piece_to_id(SPACE)
+        self._sizes = [np.array([len(x) for x in side], np.int64) for side in (self._bytes, self._piece_bytes)]
+        # Every id of either side as it is written, with a comma, the other side or the next group behind it.
+        self._written = [b"%d%c" % (i, mark) for side in (self._bytes, self._piece_bytes) for i in range(len(side)) for mark in b",|;"]
+        self._widths = np.array([len(x) for x in self._written], np.int64)
         self._known: dict[bytes, Unit | None] = {}
         #: The bytes before which a text may be cut, after a character that surely is no white space.
         self.cuts = b" " + b"\n" * (not any("\n" in n for n in names))
@@ -69,10 +73,10 @@ class Aligner:
         out = [self._known.get(u, ...) for u in units]
         new = [i for i, x in enumerate(out) if x is ...]
         texts = [units[i].decode() for i in new]
-        for i, text, ids, others in zip(new, texts, self._encode(texts), self._piece_ids(texts), strict=True):
-            out[i] = self._aligned(units[i], ids, others)
+        for i, text, found in zip(new, texts, self._aligned([units[i] for i in new], self._encode(texts), self._piece_ids(texts)), strict=True):
+            out[i] = found
             if len(text) <= KNOWN_BYTES:
-                self._known[units[i]] = out[i]
+                self._known[units[i]] = found
         return out
 
     def _piece_ids(self, texts: list[str]) -> list[list[int]]:
@@ -80,28 +84,39 @@ class Aligner:
         found = self._pieces.encode([t.removeprefix(" ") for t in texts], num_threads=1) if texts else []
         return [[self._space] if t == " " else ids if t.startswith(" ") else ids[1:] for t, ids in zip(texts, found, strict=True)]
 
-    def _aligned(self, unit: bytes, ids: list[int], others: list[int]) -> Unit | None:
-        one, two = [self._bytes[i] for i in ids], [self._piece_bytes[i] for i in others]
-        if b"".join(one) != unit or b"".join(two) != unit:
-            return None
-        groups, pairs, i, j = [], [], 0, 0
-        end_a, end_b, first_a, first_b = len(one[0]), len(two[0]), 0, 0
-        while True:
-            pairs.append(ids[i] << 32 | others[j])
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, ids[first_a : i + 1]))}|{','.join(map(str, others[first_b : j + 1]))}")
-                i, j = i + 1, j + 1
-                if i == len(ids):
-                    break
-                first_a, first_b = i, j
-                end_a, end_b = end_a + len(one[i]), end_b + len(two[j])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(one[i])
-            else:
-                j += 1
-                end_b += len(two[j])
-        return len(ids), len(others), len(groups), ";".join(groups).encode(), np.array(pairs, np.uint64)
+    def _aligned(self, units: list[bytes], ids: list[list[int]], others: list[list[int]]) -> list[Unit | None]:
+        """All units at once, as one text: every byte offset where a token of either side ends closes one link."""
+        out: list[Unit | None] = [None] * len(units)
+        fine = [i for i, u in enumerate(units) if self._same(u, ids[i], self._bytes) and self._same(u, others[i], self._piece_bytes)]
+        if not fine:
+            return out
+        lists = [[side[i] for i in fine] for side in (ids, others)]
+        counts = [np.fromiter(map(len, side), np.int64, len(fine)) for side in lists]
+        flat = [np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in zip(lists, counts, strict=True)]
+        ends = [np.cumsum(sizes[x]) for sizes, x in zip(self._sizes, flat, strict=True)]
+        stops = np.cumsum(np.fromiter((len(units[i]) for i in fine), np.int64, len(fine)))
+        offsets = np.sort(np.concatenate(ends), kind="stable")
+        again = offsets[1:] == offsets[:-1]  # both sides end there
+        closing, shared = offsets[np.append(True, ~again)], offsets[1:][again]
+        one, two = (x[np.searchsorted(e, closing)].astype(np.uint64) for x, e in zip(flat, ends, strict=True))
+        pairs = one << np.uint64(32) | two
+        # The tokens as they are written: group by group, the byte-level side first.
+        place = np.concatenate([2 * np.searchsorted(shared, e) + side for side, e in enumerate(ends)])
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        last = np.append(place[1:] != place[:-1], True)
+        written = np.concatenate([flat[0], flat[1] + len(self._bytes)])[order] * 3 + np.where(last, 1 + place % 2, 0)
+        text = b"".join([self._written[i] for i in written.tolist()])
+        text_ends = np.cumsum(self._widths[written])[np.cumsum(counts[0] + counts[1]) - 1].tolist()
+        link_ends, group_ends = (np.searchsorted(x, stops, side="right") for x in (closing, shared))
+        numbers = (counts[0], counts[1], np.diff(group_ends, prepend=0))
+        for i, n_a, n_b, n_groups, (a, b), (x, y) in zip(fine, *(n.tolist() for n in numbers), pairwise([0, *text_ends]), pairwise([0, *link_ends.tolist()]), strict=True):
+            out[i] = (n_a, n_b, n_groups, text[a : b - 1], pairs[x:y].copy())
+        return out
+
+    @staticmethod
+    def _same(unit: bytes, ids: list[int], table: list[bytes]) -> bool:
+        return b"".join([table[i] for i in ids]) == unit
 
 
 def _units(data: np.ndarray, offsets: np.ndarray, cuts: bytes) -> np.ndarray:

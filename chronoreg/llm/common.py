@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -19,10 +20,9 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: The modulus and the bases of the hashes of spans; modulo a power of two, Thue-Morse texts would collide.
-_PRIME = np.uint64((1 << 31) - 1)
-_BASES = (1_540_483_477, 668_265_263)
-_INVERSES = tuple(pow(b, -1, int(_PRIME)) for b in _BASES)
+#: Bytes from which a span is hashed by itself, and what a word of so many bytes keeps of eight.
+LONG_SPAN = 4096
+_KEPT = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
 #: An odd multiplier, so that it has an inverse modulo 2**64.
 _GRAM = np.uint64(0xD6E8FEB86659FD93)
 
@@ -129,62 +129,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers: list[np.ndarray] = [np.ones(1, np.uint32)] * 4
-
-
-def _folded(x: np.ndarray) -> np.ndarray:
-    """x, below 2**63, with the same rest modulo the Mersenne prime 2**31 - 1 and below 2**33; x is overwritten."""
-    high = x >> np.uint64(31)
-    x &= _PRIME
-    x += high
-    return x
-
-
-def _modulo(x: np.ndarray) -> np.ndarray:
-    """x modulo the prime; x is overwritten."""
-    x = _folded(_folded(x))
-    x -= (x >= _PRIME) * _PRIME
-    return x
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    """The powers of both bases and of their inverses."""
-    if len(_powers[0]) < n:
-        for i, base in enumerate((*_BASES, *_INVERSES)):
-            table_ = np.ones(1, np.uint64)
-            while len(table_) < max(n, SLICE_BYTES + 1):
-                table_ = np.concatenate([table_, _modulo(table_ * np.uint64(pow(base, len(table_), int(_PRIME))))])
-            _powers[i] = table_.astype(np.uint32)
-    return _powers
-
-
-#: Numbers that are worked on together: few enough to stay in a core's cache.
-_CACHED = 1 << 15
-
-
-def _prefix_sums(data: np.ndarray, powers: np.ndarray) -> np.ndarray:
-    """The polynomial's value of every prefix, below 2**32."""
-    out = np.zeros(len(data) + 1, np.uint64)
-    for a in range(0, len(data), _CACHED):
-        part = data[a : a + _CACHED].astype(np.uint64)
-        part += np.uint64(1)
-        part *= powers[a : a + len(part)]
-        part[0] += out[a]
-        out[a + 1 : a + 1 + len(part)] = _folded(np.cumsum(part, out=part))
-    return out
-
-
-def _half(ends: np.ndarray, starts: np.ndarray, inverse: np.ndarray) -> np.ndarray:
-    """The polynomial of spans from the prefixes at their ends and starts; ends is overwritten."""
-    ends += _PRIME << np.uint64(2)
-    ends -= starts
-    ends = _folded(_folded(ends))
-    ends *= inverse
-    return _modulo(ends)
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, zeros behind the end."""
+    raw = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", raw.data, strides=(1,))
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each data[start:end]: two polynomials modulo a prime with different bases, and the length."""
+    """A 64-bit hash of each data[start:end], eight bytes at a time: no polynomial, so no texts are known that collide."""
     return Spans(data)(starts, ends)
 
 
@@ -192,19 +144,27 @@ class Spans:
     """span_hashes() of one text buffer for several lists of spans."""
 
     def __init__(self, data: np.ndarray):
-        tables = _power_tables(len(data) + 1)
-        self._sums = [(_prefix_sums(data, tables[i]), tables[2 + i]) for i in (0, 1)]
+        self._data, self._eight = data, _eights(data)
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        one, two = (_half(prefix[ends], prefix[starts], inverse[starts]) for prefix, inverse in self._sums)
-        return _joined(one, two, (ends - starts).astype(np.uint64))
-
-
-def _joined(one: np.ndarray, two: np.ndarray, length: np.ndarray) -> np.ndarray:
-    one <<= np.uint64(32)
-    one |= two
-    one += length * _GRAM
-    return mix(one)
+        left = ends - starts
+        out = mix(left.astype(np.uint64) * _GRAM)
+        for i in np.flatnonzero(left > LONG_SPAN).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(self._data[starts[i] : ends[i]].tobytes(), digest_size=8).digest())
+        at, left, rest = starts, np.where(left > LONG_SPAN, 0, left), None
+        while True:
+            more = np.flatnonzero(left > 0)
+            if not len(more):
+                return out
+            if rest is not None or len(more) < len(left):
+                at, left, rest = at[more], left[more], more if rest is None else rest[more]
+            word = self._eight[at]
+            word &= _KEPT[np.minimum(left, 8)]
+            if rest is None:
+                out = mix(out ^ word)
+            else:
+                out[rest] = mix(out[rest] ^ word)
+            at, left = at + 8, left - 8
 
 
 def byte_grams(data: np.ndarray, n: int) -> np.ndarray:
@@ -235,22 +195,31 @@ def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tu
     Hashes group the spans; then every byte is compared with the one that stands for it.
     """
     _, first, number = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    lengths = ends - starts
-    alike = (lengths == lengths[first][number]).all()
-    for a in range(0, len(starts) if alike else 0, _CACHED):
-        size = lengths[a : a + _CACHED]
-        steps = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        own, other = (np.repeat(x[a : a + _CACHED], size) + steps for x in (starts, starts[first][number]))
-        if not np.array_equal(data[own], data[other]):
-            alike = False
-            break
-    if alike:
+    if _same_spans(data, starts, ends - starts, starts[first][number], (ends - starts)[first][number]):
         return first, number
     raw, numbers = data.tobytes(), {}
     number = np.array([numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], np.int64)
     return np.unique(number, return_index=True)[1], number
 
 
+def _same_spans(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, others: np.ndarray, other_lengths: np.ndarray) -> bool:
+    """Whether each span is byte by byte the other one: by its first and last eight bytes, longer ones in between too."""
+    if not np.array_equal(lengths, other_lengths):
+        return False
+    eight = _eights(data)
+    short = np.minimum(lengths, 8).astype(np.uint64)
+    apart = (eight[starts] ^ eight[others]) << ((np.uint64(8) - short) * np.uint64(8) & np.uint64(63))
+    if apart[short > 0].any():
+        return False
+    last = lengths > 8
+    if (eight[(starts + lengths)[last] - 8] != eight[(others + lengths)[last] - 8]).any():
+        return False
+    for a, b, n in zip(starts[lengths > 16].tolist(), others[lengths > 16].tolist(), lengths[lengths > 16].tolist(), strict=True):
+        if a != b and not np.array_equal(data[a : a + n], data[b : b + n]):
+            return False
+    return True
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word, and the offsets of each row into the list of words."""
     if not len(data):

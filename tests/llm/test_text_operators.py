@@ -204,11 +204,24 @@ def test_texts_that_polynomials_modulo_a_power_of_two_confuse(n):
 def test_spans_whose_hashes_collide(monkeypatch):
     """Every byte is compared, whatever the hashes say."""
     monkeypatch.setattr(common, "span_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64) // np.uint64(2))
-    data = np.frombuffer(b"abcdabefabcab", np.uint8)
-    starts, ends = np.array([0, 2, 4, 6, 8, 11]), np.array([2, 4, 6, 8, 11, 13])
-    first, number = common.distinct_spans(data, starts, ends)
-    raw = [data[a:b].tobytes() for a, b in zip(starts, ends)]
-    assert [raw[first[n]] for n in number] == raw and len(first) == len(set(raw))
+    rng = random.Random(1)
+    for _ in range(60):
+        spans = [bytes(rng.choice(b"ab") for _ in range(rng.choice([0, 1, 2, 7, 8, 9, 12, 16, 17, 30]))) for _ in range(rng.choice([2, 5, 30]))]
+        spans += [x[:k] + bytes([x[k] ^ 3]) + x[k + 1 :] for x in spans for k in [rng.randrange(len(x) or 1)] if x]  # one byte apart
+        data, ends = np.frombuffer(b"".join(spans), np.uint8), np.cumsum([len(x) for x in spans])
+        first, number = common.distinct_spans(data, ends - [len(x) for x in spans], ends)
+        assert [spans[first[n]] for n in number] == spans and len(first) == len(set(spans))
+
+
+def test_same_spans_sees_every_byte():
+    for n in (1, 5, 8, 9, 15, 16, 17, 40):
+        for k in range(n):
+            one, two = bytearray(range(n)), bytearray(range(n))
+            two[k] ^= 0x80
+            data, places = np.frombuffer(bytes(one + two), np.uint8), (np.array([0]), np.array([n]))
+            assert not common._same_spans(data, places[0], np.array([n]), places[1], np.array([n]))
+        data = np.frombuffer(bytes(range(n)) * 2 + b"x", np.uint8)
+        assert common._same_spans(data, np.array([0]), np.array([n]), np.array([n]), np.array([n]))
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
