@@ -143,7 +143,8 @@ class SumIndex:
                 middle = lengths[(lengths <= min(longest, rest - 1)) & (2 * lengths >= rest)]
                 middle = middle[present[rest - middle]] if len(middle) else middle
                 triples.append(np.stack([np.full(len(middle), longest), middle, rest - middle], axis=1))
-            self._listed[total] = [single, pair, np.concatenate(triples)]
+            # Pieces of one length are filled up one after the other, so the total at hand is the only one that is held.
+            self._listed = {total: [single, pair, np.concatenate(triples)]}
         return self._listed[total]
 
     def filling(self, length: int, size: int) -> tuple[int, ...] | None:
