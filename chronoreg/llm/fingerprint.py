@@ -8,7 +8,8 @@ string. Two fingerprints agree in a bin by chance with probability C = 2**-bits,
 
 The next document, for edited texts, is found on ids alone: they are partitioned by range, each range finds its own
 neighbours, and one row a range closes the gaps. Texts move once by doc_id, and of each text the part that the
-document before it needs.
+document before it needs; a fingerprint is made once and sent to its own row and to that of the document before. Only
+the neighbours' ids are stored: on local file systems every part file that an executor writes starts processes.
 
 Defined results: a null text is empty; an empty text or one of white space has an empty fingerprint, which is like
 another empty one (1) and unlike all others (0); fewer words than a shingle are one shingle; of repeated rows of a
@@ -98,15 +99,20 @@ def likeness(one: Column, two: Column) -> Column:
 
 
 def next_ids(ids: DataFrame) -> DataFrame:
-    """(doc_id, next_id, ...) of distinct doc_ids: the next in descending order; the first again after the last."""
+    """(doc_id, next_id, previous_id, ...) of distinct doc_ids: the neighbours in descending order, which is a ring."""
     parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Stored, since a repeated computation could draw other borders.
-    ranges = common.stage(ids.repartitionByRange(parts, F.desc("doc_id")).withColumn("part", F.spark_partition_id()))
+    inside = Window.partitionBy("part").orderBy(F.desc("doc_id"))
+    ranges = ids.repartitionByRange(parts, F.desc("doc_id")).withColumn("part", F.spark_partition_id())
+    ranges = ranges.withColumns({"next_id": F.lead("doc_id").over(inside), "previous_id": F.lag("doc_id").over(inside)})
+    ranges = common.stage(ranges)  # since a repeated computation could draw other borders
     over = Window.orderBy("part")  # one row a range
-    following = F.coalesce(F.lead("high").over(over), F.max("high").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    edges = ranges.groupBy("part").agg(F.max("doc_id").alias("high")).select("part", following.alias("behind"))
-    inner = ranges.withColumn("next_id", F.lead("doc_id").over(Window.partitionBy("part").orderBy(F.desc("doc_id"))))
-    return inner.join(F.broadcast(edges), "part").withColumn("next_id", F.coalesce("next_id", "behind")).drop("part", "behind")
+    all_ = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    behind = F.coalesce(F.lead("high").over(over), F.max("high").over(all_))
+    before = F.coalesce(F.lag("low").over(over), F.min("low").over(all_))
+    edges = ranges.groupBy("part").agg(F.max("doc_id").alias("high"), F.min("doc_id").alias("low"))
+    closed = ranges.join(F.broadcast(edges.select("part", behind.alias("behind"), before.alias("before"))), "part")
+    closed = closed.withColumns({"next_id": F.coalesce("next_id", "behind"), "previous_id": F.coalesce("previous_id", "before")})
+    return closed.drop("part", "behind", "before")
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -117,19 +123,22 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     rows = common.one_row_each(docs)
     order = next_ids(rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars")))
-    order = common.stage(order.withColumn("cut", F.expr("CAST(n_chars div 3 AS INT)")))
+    order = order.withColumn("cut", F.expr("CAST(n_chars div 3 AS INT)"))
     needed = order.select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("for_id"), F.col("cut"))
     heads = rows.join(needed, "doc_id").select(F.col("for_id").alias("doc_id"), F.left("text", F.col("cut")).alias("head"))
     edited = F.concat(F.left("text", (F.col("n_chars") - F.col("cut")).cast("int")), F.col("head"))
-    both = rows.join(order, "doc_id").join(heads, "doc_id").select("doc_id", "next_id", "n_chars", "text", edited.alias("edited"))
-    made = common.stage(
-        both.select(
-            "doc_id", "next_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-            fingerprint(F.col("text"), words).alias("fingerprint"), fingerprint(F.col("edited"), words).alias("edited_fingerprint"),
-        )
+    both = rows.join(order, "doc_id").join(heads, "doc_id").select("doc_id", "previous_id", "n_chars", "text", edited.alias("edited"))
+    made = both.select(
+        "doc_id", "previous_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint(F.col("text"), words).alias("fingerprint"), fingerprint(F.col("edited"), words).alias("edited_fingerprint"),
     )
-    following = made.select(F.col("doc_id").alias("next_id"), F.col("fingerprint").alias("next_fingerprint"))
-    return made.join(following, "next_id").select(
+    columns = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"]
+    absent = [F.lit(None).cast(made.schema[c].dataType).alias(c) for c in columns]
+    own = F.struct("doc_id", *columns, F.lit(None).cast("string").alias("next_fingerprint"))
+    sent = F.struct(F.col("previous_id").alias("doc_id"), *absent, F.col("fingerprint").alias("next_fingerprint"))
+    # Each doc_id gets its own row and one that was sent.
+    met = made.select(F.inline(F.array(own, sent))).groupBy("doc_id").agg(*(F.max(c).alias(c) for c in [*columns, "next_fingerprint"]))
+    return met.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),

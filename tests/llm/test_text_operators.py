@@ -313,6 +313,28 @@ def test_fingerprints(spark):
     assert fingerprint.fingerprints(frame(spark, [])).collect() == []
 
 
+def test_fingerprints_store_ids_alone(spark, monkeypatch):
+    """Each part file that a stage writes makes executors start processes; only the neighbours' ids are staged."""
+    stored, stage = [], common.stage
+    monkeypatch.setattr(common, "stage", lambda df: stored.append(df.columns) or stage(df))
+    rows = corpus(8)
+    got = {r.doc_id: r for r in fingerprint.fingerprints(frame(spark, rows)).collect()}
+    assert len(stored) == 1 and not {"text", "edited", "fingerprint"} & set(stored[0])
+    docs = sorted(got, reverse=True)
+    assert docs == sorted(by_id(rows), reverse=True)
+    likeness = [(got[d].fingerprint, got[docs[(i + 1) % len(docs)]].fingerprint, got[d].near_next) for i, d in enumerate(docs)]
+    pairs = spark.createDataFrame(likeness, "one string, two string, near double")
+    assert pairs.where(fingerprint.likeness(F.col("one"), F.col("two")) != F.col("near")).collect() == []
+
+
+def test_neighbours_of_ids(spark):
+    """A ring in descending order, over empty ranges and ranges of one id too."""
+    for ids in ([], [5], [7, -3], [*range(0, 40, 3), 10**12, -(10**12)]):
+        got = {r.doc_id: (r.next_id, r.previous_id) for r in fingerprint.next_ids(spark.createDataFrame([(i,) for i in ids], "doc_id long")).collect()}
+        ring = sorted(ids, reverse=True)
+        assert got == {d: (ring[(i + 1) % len(ring)], ring[i - 1]) for i, d in enumerate(ring)}
+
+
 # --- languages
 
 PAGES = "page_id long, url string, html string, lang string"
